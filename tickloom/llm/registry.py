@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, pii, quality
+from . import chat, langid, mixing, packing, pii, quality, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -108,3 +108,26 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_best_fit_pack")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), source_conflicts=(("src1", "src2"),))
+
+
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, q.r AS r, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20
+"""
+
+
+@_query("op9_exact_topk", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs)).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
