@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, packing, pii, quality, topk
+from . import chat, langid, minhash, mixing, packing, pii, quality, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -131,3 +131,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs)).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@_query("op4_minhash_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, num=85)
