@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, minhash, mixing, packing, pii, quality, topk
+from . import chat, langid, minhash, mixing, packing, pii, quality, substrings, suffixes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -136,3 +136,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op4_minhash_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), size=3, num=85)
+
+
+@_query("op5_substring_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
+
+
+@_query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), with_bytes=False).drop("kept_bytes")
