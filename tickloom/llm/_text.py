@@ -6,7 +6,9 @@ character, so splitting bytes equals splitting characters.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -62,8 +64,12 @@ def window_hash(v: np.ndarray, length: int) -> np.ndarray:
 
 
 def tune(spark: SparkSession, rows: int = 512) -> None:
-    """Arrow batches small enough that whole texts of a batch stay within a few MB of a Python worker."""
+    """Arrow batches small enough that whole texts of a batch stay within a few MB of a Python worker. Workers that share
+    this machine also find the package, wherever the driver was started; a cluster gets it with the job."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
 
 
 def buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

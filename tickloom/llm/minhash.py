@@ -204,6 +204,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
 
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of the smallest doc_id of each group, one row where rows repeat whole; all columns stay."""
+    """The rows of the smallest doc_id of each group, with all their columns. Rows that repeat a doc_id stay or go together."""
     gone = near_duplicates(docs, size, num, den).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import chat, langid, minhash, mixing, packing, pii, quality, substrings, suffixes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +148,6 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op1_suffix_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), with_bytes=False).drop("kept_bytes")
+
+
+_query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
