@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("q_bars", "q_scalars")
+MODULES = ("q_bars", "q_scalars", "q_orders")
 
 
 def load() -> None:
