@@ -38,7 +38,8 @@ BYTE_CODE = mix(np.arange(1, 257, dtype=U64) * U64(_BASE))
 _powers = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
 
 
-def _power(kind: str, n: int) -> np.ndarray:
+def power(kind: str, n: int) -> np.ndarray:
+    """Powers of the step, or of its inverse."""
     if len(_powers[kind]) < n:
         step = np.full(n, _STEP if kind == "up" else _INVERSE, U64)
         step[0] = 1
@@ -116,8 +117,8 @@ class Words:
         self.end = np.flatnonzero(inside & (~after | edge[1:])) + 1
         self.text = np.searchsorted(at, self.start, "right") - 1
         total = np.zeros(n + 1, U64)
-        np.cumsum(BYTE_CODE[raw] * _power("up", max(n, 1))[:n], out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * _power("down", max(n, 1))[self.start] + U64(1)) if n else np.zeros(0, U64)
+        np.cumsum(BYTE_CODE[raw] * power("up", max(n, 1))[:n], out=total[1:])
+        self.hash = mix((total[self.end] - total[self.start]) * power("down", max(n, 1))[self.start] + U64(1)) if n else np.zeros(0, U64)
         self.first = np.searchsorted(self.text, np.arange(texts + 1))
         self.count = np.diff(self.first)
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import BYTE_CODE, U64, Words, buffer, pieces, tune, window_hash
+from ._text import BYTE_CODE, U64, Words, buffer, mix, pieces, power, tune
 
 MAIL = "part long, shard int, body binary"
 #: Perfect difference covers, period to residues.
@@ -137,6 +137,28 @@ def _kept(inbox: pa.Table) -> bytes:
     return next(b for p, b in zip(inbox["part"].to_pylist(), inbox["body"].to_pylist(), strict=True) if p < 0)
 
 
+class Run:
+    """Some documents: their indices, where their units begin (one more entry at the end), and names of any windows."""
+
+    def __init__(self, docs: np.ndarray, first: np.ndarray, code: np.ndarray):
+        self.docs, self.first, self.count = docs, first, np.diff(first)
+        self.total = np.zeros(len(code) + 1, U64)
+        np.cumsum(code * power("up", max(1, len(code)))[: len(code)], out=self.total[1:])
+
+    def __len__(self) -> int:
+        return len(self.total) - 1
+
+    def names(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the windows of a length that begin at some units."""
+        if not len(at):
+            return np.zeros(0, U64)
+        return mix((self.total[at + length] - self.total[at]) * power("down", len(self))[at] + U64(length))
+
+    def docs_at(self, at: np.ndarray) -> np.ndarray:
+        """Indices of the documents that some units, in order, are in."""
+        return np.repeat(self.docs, np.diff(np.searchsorted(at, self.first)))
+
+
 class Shard:
     """The documents of one shard, by doc_id, nulls last."""
 
@@ -159,38 +181,45 @@ class Shard:
         names = np.array([int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "big") for t in self.text], U64)
         return np.unique(names, return_inverse=True, return_counts=True)
 
-    def runs(self, skip: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """For runs of documents that are not skipped: their indices, codes of all units, each unit's place in its document,
-        and the number of units of each document."""
+    def runs(self, skip: np.ndarray) -> Iterator[Run]:
+        """Runs of the documents that are not skipped, small enough for a processor's cache."""
         own = np.flatnonzero(~skip)
         at = np.cumsum([0, *(len(self.text[i]) for i in own)])
-        for a, b in pieces(at):
+        for a, b in pieces(at, 1 << 18):
             raw = np.frombuffer(b"".join(self.text[i] for i in own[a:b]), np.uint8)
-            inside = at[a : b + 1] - at[a]
             if self.job.words:
-                words = Words(raw, inside)
-                code, count = words.hash, words.count
+                words = Words(raw, at[a : b + 1] - at[a])
+                yield Run(own[a:b], words.first, words.hash)
             else:
-                code, count = BYTE_CODE[raw], np.diff(inside)
-            first = np.repeat(np.cumsum(count) - count, count)
-            place = np.arange(len(code)) - first
-            yield own[a:b], code, place, count
-
-    def samples(self, skip: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-        """For each run: names of the samples, the units at which they are, and the number of units."""
-        cover = np.zeros(self.job.period, bool)
-        cover[list(COVERS[self.job.period])] = True
-        for _, code, place, count in self.runs(skip):
-            left = np.repeat(count, count) - place
-            at = np.flatnonzero(cover[place % self.job.period] & (left >= self.job.sample))
-            yield window_hash(code, self.job.sample)[at] >> U64(64 - bits) if len(at) else np.zeros(0, U64), at, len(code)
-
-    def suffixes(self, skip: np.ndarray, maybe: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each run: names of the windows that may repeat, their units, and each unit's document."""
-        for (docs, code, place, count), open_ in zip(self.runs(skip), maybe, strict=True):
-            doc = np.repeat(docs, count)
-            at = np.flatnonzero(open_ & (np.repeat(count, count) - place >= self.job.window))
-            yield window_hash(code, self.job.window)[at] if len(at) else np.zeros(0, U64), at, doc
+                yield Run(own[a:b], at[a : b + 1] - at[a], BYTE_CODE[raw])
+
+    def samples(self, skip: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, Run]]:
+        """For each run: names of the samples, and the units at which they are."""
+        cover = np.array(COVERS[self.job.period])
+        grid = cover
+        for run in self.runs(skip):
+            longest = int(run.count.max(initial=0))
+            if grid[-1] < longest:
+                grid = (np.arange(longest // self.job.period + 2)[:, None] * self.job.period + cover).ravel()
+            k = np.searchsorted(grid, run.count - self.job.sample, "right")
+            at = np.concatenate([np.zeros(0, np.int64), *(grid[:n] + a for a, n in zip(run.first.tolist(), k.tolist(), strict=False))])
+            yield run.names(at, self.job.sample) >> U64(64 - bits), at, run
+
+    def suffixes(self, skip: np.ndarray, maybe: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, Run]]:
+        """For each run: names of the windows that may repeat, and their units."""
+        for run, open_ in zip(self.runs(skip), maybe, strict=True):
+            at = np.flatnonzero(open_)
+            yield run.names(at, self.job.window), at, run
+
+    def reach(self, hit: np.ndarray, run: Run) -> np.ndarray:
+        """The units of a run from which a whole window takes in one of the sampled units."""
+        change = np.zeros(len(run) + 1, np.int32)
+        change[hit + 1] -= 1
+        np.add.at(change, np.maximum(hit - self.job.period + 1, 0), 1)
+        out = np.cumsum(change[:-1]) > 0
+        for a, b in zip(run.first[:-1].tolist(), run.first[1:].tolist(), strict=True):
+            out[max(a, b - self.job.window + 1) : b] = False
+        return out
 
 
 def _sent(names: np.ndarray, parts: int, bits: int) -> list[int]:
@@ -224,7 +253,7 @@ def _concat(arrays: list[np.ndarray], kind: type) -> np.ndarray:
 def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndarray, list], pa.Table], fields: str, shard_bytes: int = 16 << 20) -> DataFrame:
     """finish(shard, elsewhere, skip, marks) makes a shard's result. elsewhere: texts that occur elsewhere; skip: exact
     copies of a smaller document (or, with equal ids, of an earlier row); marks: for each run of the other documents, as
-    Shard.runs() gives them, the units at which a repeated window starts."""
+    Shard.runs() gives them, the units at which a repeated window starts. A run's sums are not kept from round to round."""
     spark = docs.sparkSession
     tune(spark)
     size = docs.agg(F.sum(F.octet_length("text")).alias("n"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
@@ -233,7 +262,7 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
     ends = np.array(sorted(set(ends or [])), np.int64)  # a number for each shard
     parts = max(64, shards)
     units = max(1, size["n"] or 1)
-    bits = min(64, units.bit_length() - 2 + 13)  # a sample meets a stranger with a chance of about 2^-13
+    bits = min(64, units.bit_length() - 2 + 11)  # a sample meets a stranger with a chance of about 2^-11
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -284,13 +313,9 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
         shared = (_bits(inbox, len(names), _sent(names, parts, bits))[0] | (count > 1))[which]
         del which, count, names
         maybe, at = [], 0
-        for own, where, n in runs:
-            hit = where[shared[at : at + len(own)]]
+        for own, where, run in runs:
+            maybe.append(shard.reach(where[shared[at : at + len(own)]], run))
             at += len(own)
-            change = np.zeros(n + 1, np.int32)
-            np.add.at(change, np.maximum(hit - job.period + 1, 0), 1)  # suffixes() leaves out windows that leave a document
-            np.add.at(change, hit + 1, -1)
-            maybe.append(np.cumsum(change[:-1]) > 0)
         del runs, shared
         names = np.unique(_concat([n for n, _, _ in shard.suffixes(skip, maybe)], U64))
         lengths = np.array([len(shard.text), *map(len, maybe)], np.int64).tobytes()
@@ -302,17 +327,17 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
         size = int.from_bytes(body[:4], "big")
         n, *lengths = np.frombuffer(body, np.int64, size // 8, 4).tolist()
         elsewhere, skip, *maybe = _unflag(body[4 + size :], n, n, *lengths)
-        runs = list(shard.suffixes(skip, maybe))
+        runs = [(own, at, run.docs_at(at).astype(np.int32)) for own, at, run in shard.suffixes(skip, maybe)]
         names, first, which, count = np.unique(_concat([x for x, _, _ in runs], U64), return_index=True, return_inverse=True, return_counts=True)
         other, lower = _bits(inbox, len(names), _sent(names, parts, 64))
         if job.by_order:
-            doc = _concat([d[at] for _, at, d in runs], np.int64)
-            hit = lower[which] | (shard.id[doc] > shard.id[doc[first]][which] if len(doc) else np.zeros(0, bool))
+            doc = shard.id[_concat([d for _, _, d in runs], np.int32)]
+            hit = lower[which] | (doc > doc[first][which])
         else:
             hit = (other | (count > 1))[which]
         marks, at = [], 0
-        for own, where, d in runs:
-            mark = np.zeros(len(d), bool)
+        for (own, where, _), open_ in zip(runs, maybe, strict=True):
+            mark = np.zeros(len(open_), bool)
             mark[where[hit[at : at + len(own)]]] = True
             at += len(own)
             marks.append(mark)

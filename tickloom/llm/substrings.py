@@ -29,8 +29,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, with_text: bool = True, sh
 
     def finish(shard: Shard, elsewhere: np.ndarray, skip: np.ndarray, marks: list) -> pa.Table:
         gone: dict[int, np.ndarray] = {}
-        for (own, _, _, count), mark in zip(shard.runs(skip), marks, strict=True):
-            gone.update(zip(own.tolist(), np.split(covered(mark, window), np.cumsum(count)[:-1]), strict=True))
+        for run, mark in zip(shard.runs(skip), marks, strict=True):
+            gone.update(zip(run.docs.tolist(), np.split(covered(mark, window), run.first[1:-1]), strict=True))
         out = []
         for i, (doc_id, text) in enumerate(zip(ids(shard), shard.text, strict=True)):
             words = text.split()

@@ -26,14 +26,14 @@ FIELDS = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(),
 TYPES = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary"
 
 
-def remove_repeats(docs: DataFrame, with_bytes: bool = True, shard_bytes: int = 16 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_bytes: bool = True, shard_bytes: int = 8 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes); kept_bytes is null unless with_bytes."""
     job = Job(words=False, window=50, period=31, by_order=True)
 
     def finish(shard: Shard, elsewhere: np.ndarray, skip: np.ndarray, marks: list) -> pa.Table:
         gone: dict[int, np.ndarray] = {}
-        for (own, _, _, count), mark in zip(shard.runs(skip), marks, strict=True):
-            gone.update(zip(own.tolist(), np.split(covered(mark, job.window), np.cumsum(count)[:-1]), strict=True))
+        for run, mark in zip(shard.runs(skip), marks, strict=True):
+            gone.update(zip(run.docs.tolist(), np.split(covered(mark, job.window), run.first[1:-1]), strict=True))
         # the first row of each text in the shard stands for later ones; of equal ids, it is not a smaller document
         out, first = [], {}
         for i, (doc_id, text) in enumerate(zip(ids(shard), shard.text, strict=True)):
