@@ -16,7 +16,7 @@ SPAN_MS = 20_760_000
 
 TICKS_SQL = f"""
 folded AS (
-  SELECT *, 33600000 + epoch_ms(ts) % {SPAN_MS} AS ms, CASE WHEN event_type = 'error' THEN 0.0 ELSE round(value, 2) END AS current FROM events),
+  SELECT *, 33600000 + CAST(epoch_us(ts) AS BIGINT) // 1000 % {SPAN_MS} AS ms, CASE WHEN event_type = 'error' THEN 0.0 ELSE round(value, 2) END AS current FROM events),
 ordered AS (
   SELECT lpad(CAST(user_id AS VARCHAR), 6, '0') || '.XSHE' AS code, current, event_id AS seq,
          (ms // 3600000) * 10000000 + (ms // 60000 % 60) * 100000 + (ms // 1000 % 60) * 1000 + ms % 1000 AS tm,
@@ -128,3 +128,97 @@ def previous(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("d8_bars", BARS_SQL)
 def d8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.minute_bars(ticks(spark, sf_dir), universe(spark, sf_dir), previous(spark, sf_dir))
+
+
+BODY = BARS_SQL.rsplit("SELECT TIMESTAMP", 1)[0]
+
+
+@query("d1_baseline", f"{BODY} SELECT code, bc, bv, bm FROM base")
+def d1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each code stood at before 09:25."""
+    at = F.struct("tm", "seq")
+    return ticks(spark, sf_dir).filter("tm < 92500000").groupBy("code").agg(F.max_by("current", at).alias("bc"), F.max_by("volume", at).alias("bv"), F.max_by("money", at).alias("bm"))
+
+
+@query("d2_session_end_carry", f"{BODY} SELECT code, seq, tm, bar FROM placed WHERE carried")
+def d2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first tick after each session, put back into its last bar."""
+    return bars.with_labels(ticks(spark, sf_dir)).filter("carried").select("code", "seq", "tm", "bar")
+
+
+@query("d3_price_ticks", f"{BODY} SELECT code, seq, bar FROM inbar WHERE price")
+def d3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks that take part in a bar's prices."""
+    return bars.with_price_flags(bars.with_labels(ticks(spark, sf_dir))).filter("is_price").select("code", "seq", "bar")
+
+
+def _steps(spark: SparkSession, sf_dir: str, *rules) -> DataFrame:
+    marked = universe(spark, sf_dir).unionByName(ticks(spark, sf_dir), allowMissingColumns=True)
+    rows = bars.filled(bars.spine(bars.bar_aggregates(bars.with_auction_flags(bars.with_price_flags(bars.with_labels(marked))))))
+    for rule in rules:
+        rows = rule(rows)
+    return rows.select("code", F.col("label").alias("bar"), "open", "high", "low", "close", "volume", "money")
+
+
+STEP = "SELECT code, bar, open, high, low, close, CAST(volume AS BIGINT) AS volume, CAST(money AS BIGINT) AS money FROM"
+
+
+@query("d4_intraday_bars", f"{BODY} {STEP} bars")
+def d4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars before the rules of 11:30, 15:00 and the previous close."""
+    return _steps(spark, sf_dir)
+
+
+@query("d5_morning_end", f"{BODY} {STEP} noon_bars")
+def d5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _steps(spark, sf_dir, bars.morning_end)
+
+
+@query("d6_close_auction", f"{BODY} {STEP} closed")
+def d6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _steps(spark, sf_dir, bars.morning_end, bars.close_auction)
+
+
+@query("d7_previous_close", f"{BODY} SELECT code, count(*) AS filled FROM filled WHERE u GROUP BY code")
+def d7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many bars of each code stand at the previous close."""
+    marked = universe(spark, sf_dir).unionByName(ticks(spark, sf_dir), allowMissingColumns=True)
+    rows = bars.close_auction(bars.morning_end(bars.filled(bars.spine(bars.bar_aggregates(bars.with_auction_flags(bars.with_price_flags(bars.with_labels(marked))))))))
+    before = rows.select("code", "label", F.col("close").alias("was"))
+    after = bars.previous_close(rows, previous(spark, sf_dir)).select("code", "label", "close", "prev_day_close")
+    return after.join(before, ["code", "label"]).filter("close = prev_day_close and coalesce(was, 0) = 0").groupBy("code").agg(F.count("*").alias("filled"))
+
+
+PLAIN = bars.Rules(boundary="prev", prices="all", carry=False, extrema="current")
+PLAIN_SQL = (
+    BARS_SQL.replace("WHEN tm // 100000 % 100 = 59", "WHEN tm % 100000 = 0 AND tm NOT IN (93000000, 130000000) THEN tm // 100000 WHEN tm // 100000 % 100 = 59")
+    .replace("WHEN phase = -2 AND n = 1 THEN 1130 WHEN phase = -3 AND n = 1 THEN 1500", "")
+    .replace("current > 0 AND (volume IS DISTINCT FROM lag(volume) OVER w OR money IS DISTINCT FROM lag(money) OVER w) AS price", "current > 0 AS price")
+    .replace("WHEN late AND NOT ok AND anchor IS NOT NULL THEN", "WHEN false THEN")
+    .replace("ELSE ph END, nh) AS ph", "ELSE ph END, ph) AS ph")
+    .replace("ELSE pl END, nl) AS pl", "ELSE pl END, pl) AS pl")
+)
+
+
+@query("d9_bars_other_rules", PLAIN_SQL)
+def d9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All switches the other way: full minutes end a bar, every snapshot counts, nothing is carried back."""
+    return bars.minute_bars(ticks(spark, sf_dir), universe(spark, sf_dir), previous(spark, sf_dir), PLAIN)
+
+
+@query(
+    "d10_d16_bar_comparison",
+    f"""WITH a AS ({BARS_SQL}), b AS ({PLAIN_SQL})
+SELECT count(*) FILTER (WHERE a.code IS NOT NULL AND b.code IS NOT NULL) AS "both", count(*) FILTER (WHERE b.code IS NULL) AS left_only, count(*) FILTER (WHERE a.code IS NULL) AS right_only,
+       count(*) FILTER (WHERE NOT coalesce(abs(CAST(a.close AS DOUBLE) - CAST(b.close AS DOUBLE)) <= 1e-6 + 1e-9 * abs(CAST(b.close AS DOUBLE)), a.close IS NULL AND b.close IS NULL)) AS close_mismatches,
+       count(*) FILTER (WHERE abs(a.volume - b.volume) > 1e-6 + 1e-9 * abs(b.volume)) AS volume_mismatches, count(*) FILTER (WHERE abs(a.money - b.money) > 1 + 1e-9 * abs(b.money)) AS money_mismatches,
+       max(abs(a.volume - b.volume)) AS volume_max_diff, max(abs(a.money - b.money)) AS money_max_diff
+FROM a FULL JOIN b ON a.code = b.code AND a.datetime = b.datetime""",
+)
+def d16(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two syntheses of the same day against each other."""
+    from ..operators import compare
+
+    inputs = ticks(spark, sf_dir), universe(spark, sf_dir), previous(spark, sf_dir)
+    diff = compare.differences(bars.minute_bars(*inputs), bars.minute_bars(*inputs, PLAIN), ["code", "datetime"], {"close": 1e-6, "volume": 1e-6, "money": 1.0})
+    return compare.summary(diff, ["close", "volume", "money"]).drop("close_max_diff", "close_rate", "volume_rate", "money_rate")

@@ -257,7 +257,7 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "d13_cumulative_factors",
     f"""WITH {BASE_SQL}, t AS (SELECT *, {LABEL_SQL} AS lab FROM l), asked AS (SELECT unnest([925, 1000, 1030, 1100, 1130, 1330, 1400, 1430, 1500]) AS label), s AS (SELECT DISTINCT symbol FROM t)
-SELECT s.symbol, CAST(asked.label AS BIGINT) AS label, CASE WHEN count(t.symbol) > 0 THEN count(t.symbol) END AS trades, round(avg(tradevol * tradepx), 3) AS trademoney_mean, round(stddev_samp(tradevol * tradepx), 2) AS trademoney_std, round(sum(tradevol * tradepx) / sum(tradevol), 4) AS tradevwapx,
+SELECT s.symbol, CAST(asked.label AS BIGINT) AS label, CASE WHEN count(t.symbol) > 0 THEN count(t.symbol) END AS trades, round(avg(tradevol * tradepx), 6) AS trademoney_mean, round(stddev_samp(tradevol * tradepx), 2) AS trademoney_std, round(sum(tradevol * tradepx) / sum(tradevol), 4) AS tradevwapx,
        CASE WHEN count(t.symbol) > 0 THEN count(DISTINCT tradebuyid) END AS buyorders
 FROM s CROSS JOIN asked LEFT JOIN t ON t.symbol = s.symbol AND t.lab <= asked.label GROUP BY s.symbol, asked.label""",
 )
@@ -273,7 +273,7 @@ def d13(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = [c for c in bucket.columns if c not in ("symbol", "label")]
     so_far = bucket.select("symbol", "label", *[F.sum(c).over(w).alias(c) for c in sums]).join(factors.cumulative_distinct(t, "buy"), ["symbol", "label"], "left")
     out = factors.at_times(so_far, [*sums, "buyorders"])
-    return out.select("symbol", F.col("label").cast("long").alias("label"), F.col("count").alias("trades"), F.round(m.mean("trademoney"), 3).alias("trademoney_mean"), F.round(m.std("trademoney"), 2).alias("trademoney_std"), F.round(m.vwapx(), 4).alias("tradevwapx"), "buyorders")
+    return out.select("symbol", F.col("label").cast("long").alias("label"), F.col("count").alias("trades"), F.round(m.mean("trademoney"), 6).alias("trademoney_mean"), F.round(m.std("trademoney"), 2).alias("trademoney_std"), F.round(m.vwapx(), 4).alias("tradevwapx"), "buyorders")
 
 
 @query("d19_factor_sanity", "SELECT CAST(40 AS BIGINT) AS symbols, CAST(0 AS BIGINT) AS negative_counts, CAST(0 AS BIGINT) AS odd_prices")
