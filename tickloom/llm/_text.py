@@ -47,6 +47,12 @@ def power(kind: str, n: int) -> np.ndarray:
     return _powers[kind][:n]
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values. Sorting is many times faster here than the hash table of np.unique."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def window_hash(v: np.ndarray, length: int) -> np.ndarray:
     """Hash of v[i:i+length] for each i, by doubling; empty if v is shorter."""
     n = len(v) - length + 1

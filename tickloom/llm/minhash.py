@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._state import shared_dir
-from ._text import U64, Words, buffer, mix, pieces, tune, window_hash
+from ._text import U64, Words, buffer, distinct, mix, pieces, tune, window_hash
 from .components import components
 
 PERMUTATIONS, ROWS, BLOCK = 64, 4, 512
@@ -83,7 +83,7 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
                 for k in range(j - i):
                     if begin[k] == begin[k + 1]:
                         continue
-                    own = np.unique(gram[begin[k] : begin[k + 1]])
+                    own = distinct(gram[begin[k] : begin[k + 1]])
                     n[i + k] = len(own)
                     sums[i + k] = mix(own).sum(dtype=U64), mix(own ^ U64(0xA5A5A5A5)).sum(dtype=U64)
                     bands[i + k], sig[i + k] = keys[row].view(np.int64), low[row].tobytes()
@@ -103,7 +103,7 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
             sets = [b""] * batch.num_rows
             for i, j, gram, begin in shingle_sets(raw, at, size):
                 for k in range(j - i):
-                    sets[i + k] = np.unique(gram[begin[k] : begin[k + 1]]).tobytes()
+                    sets[i + k] = distinct(gram[begin[k] : begin[k + 1]]).tobytes()
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sets, pa.binary())], ["cluster", "blocks", "node", "sig", "set"])
 
     return rows.select("cluster", "blocks", "node", "sig", "text").mapInArrow(run, "cluster long, blocks int, node long, sig binary, set binary")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import BYTE_CODE, U64, Words, buffer, mix, pieces, power, tune
+from ._text import BYTE_CODE, U64, Words, buffer, distinct, mix, pieces, power, tune
 
 MAIL = "part long, shard int, body binary"
 #: Perfect difference covers, period to residues.
@@ -302,7 +302,7 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
     def sampled(table: pa.Table, inbox: pa.Table) -> pa.Table:
         shard, k = Shard(table, job), number(table)
         elsewhere, skip = _copies(shard, inbox, parts)
-        names = np.unique(_concat([n for n, _, _ in shard.samples(skip, bits)], U64))
+        names = distinct(_concat([n for n, _, _ in shard.samples(skip, bits)], U64))
         return _mail([(-1 - k, k, _flags(elsewhere, skip)), *_requests(k, names, parts, bits)])
 
     def deep(table: pa.Table, inbox: pa.Table) -> pa.Table:
@@ -317,7 +317,7 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
             maybe.append(shard.reach(where[shared[at : at + len(own)]], run))
             at += len(own)
         del runs, shared
-        names = np.unique(_concat([n for n, _, _ in shard.suffixes(skip, maybe)], U64))
+        names = distinct(_concat([n for n, _, _ in shard.suffixes(skip, maybe)], U64))
         lengths = np.array([len(shard.text), *map(len, maybe)], np.int64).tobytes()
         return _mail([(-1 - k, k, len(lengths).to_bytes(4, "big") + lengths + _flags(elsewhere, skip, *maybe)), *_requests(k, names, parts, 64)])
 
