@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("q_bars", "q_scalars", "q_orders", "q_relational")
+MODULES = ("q_bars", "q_scalars", "q_orders", "q_relational", "q_streaming")
 
 
 def load() -> None:

@@ -147,13 +147,13 @@ def a3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SCALE = {1: 1.0, 2: 1.0, 3: 1e3, 4: 1e6}
-POWERS = "count(value) AS value_n, " + ", ".join(f"round(sum(pow(value, {k})) / {SCALE[k]}, 3) AS value_s{k}" for k in (1, 2, 3, 4))
+POWERS = "count(value) AS value_n, " + ", ".join(f"round(sum(pow(value, {k})) / {SCALE[k]}, 4) AS value_s{k}" for k in (1, 2, 3, 4))
 
 
 @query("a4_power_sums", f"SELECT user_id, {POWERS} FROM events GROUP BY user_id")
 def a4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = events(spark, sf_dir).groupBy("user_id").agg(*m.power_sums(c("value"), "value"))
-    return out.select("user_id", "value_n", *[F.round(c(f"value_s{k}") / SCALE[k], 3).alias(f"value_s{k}") for k in (1, 2, 3, 4)])
+    return out.select("user_id", "value_n", *[F.round(c(f"value_s{k}") / SCALE[k], 4).alias(f"value_s{k}") for k in (1, 2, 3, 4)])
 
 
 BUCKETS_SQL = ", ".join(f"count(*) FILTER (WHERE {w}) AS count{t}, round(sum(vol) FILTER (WHERE {w}), 2) AS vol{t}, round(avg(value) FILTER (WHERE {w}), 9) AS mean{t}" for t, w in (("", "true"), ("_large", "vol >= 100000 OR value >= 1000000"), ("_small", "vol <= 10000 AND value <= 100000 OR vol <= 1000 AND value <= 500000")))
@@ -171,7 +171,7 @@ def a6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Moments of each day, merged."""
     daily = events(spark, sf_dir).groupBy("user_id", F.to_date("ts").alias("day")).agg(*m.power_sums(c("value"), "value"))
     out = daily.groupBy("user_id").agg(*m.merged("value"))
-    return out.select("user_id", "value_n", *[F.round(c(f"value_s{k}") / SCALE[k], 3).alias(f"value_s{k}") for k in (1, 2, 3, 4)])
+    return out.select("user_id", "value_n", *[F.round(c(f"value_s{k}") / SCALE[k], 4).alias(f"value_s{k}") for k in (1, 2, 3, 4)])
 
 
 STATS_SQL = "avg(value) AS mean, stddev_samp(value) AS std, count(value) AS n, sum(value) AS s1, sum(pow(value, 2)) AS s2, sum(pow(value, 3)) AS s3, sum(pow(value, 4)) AS s4"

@@ -27,3 +27,22 @@ def local_session(cpus: int | None = None, app: str = "tickloom") -> SparkSessio
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the provided tables. Spark's own reader takes any path that the cluster can read."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder for state that all machines share: in spark.checkpoint.dir, or where that is unset, as in tests, in the
+    system's temporary folder."""
+    import tempfile
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickloom-")
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def find_package(spark: SparkSession) -> None:
+    """Python workers on this machine find the package wherever the driver was started; a cluster gets it with the job."""
+    from pathlib import Path
+
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
