@@ -2,8 +2,8 @@
 
 Bytes are embedded; filters of width 2, 3 and 4 slide over windows of `WINDOW` bytes; the maximum of each filter over a
 window feeds a softmax. The network is trained in numpy (Adam, fixed seed) on windows spread over a bounded sample of
-labelled texts: at most `per_lang` rows of a language on average, chosen by a hash of doc_id, never a held-out one, and
-`max_rows` in all. A prediction reads every byte of a text in windows and averages their probabilities.
+labelled texts: at most `per_lang` rows of a language on average, chosen by a hash of doc_id, never a held-out one, of at
+most 1000 languages, and `max_rows` in all. A prediction reads every byte of a text in windows and averages their probabilities.
 
 Edge cases: a null text, or one without a letter, gets `und` and score 0; rows without labels are not learned from; with no
 labelled row at all every text is `und`; rows with equal or null doc_id are judged one by one (null is not held out and not

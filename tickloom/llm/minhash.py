@@ -74,7 +74,7 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
             sig: list[bytes | None] = [None] * batch.num_rows
             for i, j, gram, begin in shingle_sets(raw, at, size):
                 values = signatures(gram, begin)
-                groups = values.reshape(len(values), -1, ROWS)
+                groups = values.reshape(len(values), 2 * PERMUTATIONS // ROWS, ROWS)
                 keys = np.full(groups.shape[:2], 0x51, U64) + np.arange(groups.shape[1], dtype=U64)
                 for r in range(ROWS):
                     keys = mix(keys * U64(0x9E3779B97F4A7C15) + groups[:, :, r])
@@ -205,5 +205,5 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of the smallest doc_id of each group, with all their columns. Rows that repeat a doc_id stay or go together."""
-    gone = near_duplicates(docs, size, num, den).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, size, num, den).filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

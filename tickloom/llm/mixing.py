@@ -42,9 +42,9 @@ def plan(docs: DataFrame, entropy: float | None = None, repeats: float = 2.0, bu
 
     def bisected(good: str, up: bool) -> Column:
         """The end of [0, 1] towards which `good` fails, moved in: the largest good t if up, else the least."""
-        move = "if({0}, named_struct('lo', {1}, 'hi', s.hi), named_struct('lo', s.lo, 'hi', {1}))" if up else "if({0}, named_struct('lo', s.lo, 'hi', {1}), named_struct('lo', {1}, 'hi', s.hi))"
-        mid = "((s.lo + s.hi) / 2)"
-        return F.expr(f"aggregate(sequence(1, {STEPS}), named_struct('lo', 0D, 'hi', 1D), (s, i) -> {move.format(good.format(t=mid), mid)}, s -> s.{'lo' if up else 'hi'})")
+        move = "if({0}, named_struct('lo', {1}, 'hi', ends.hi), named_struct('lo', ends.lo, 'hi', {1}))" if up else "if({0}, named_struct('lo', ends.lo, 'hi', {1}), named_struct('lo', {1}, 'hi', ends.hi))"
+        mid = "((ends.lo + ends.hi) / 2)"
+        return F.expr(f"aggregate(sequence(1, {STEPS}), named_struct('lo', 0D, 'hi', 1D), (ends, i) -> {move.format(good.format(t=mid), mid)}, ends -> ends.{'lo' if up else 'hi'})")
 
     least = bisected(f"({worst}) <= {repeats}D", up=False)
     wide = bisected(f"({h}) >= {entropy}D * ln(size(p))", up=True) if entropy is not None else F.lit(0.0)
@@ -64,22 +64,25 @@ def _place(frame: DataFrame, epoch: Column, seed: int, block_tokens: int) -> Dat
 
 
 def realise(docs: DataFrame, weights: DataFrame, seed: int = 17, block_tokens: int = 2_000_000) -> DataFrame:
-    """The rows of docs, each as often as it is used, with epoch, block and order in it, and its source's weight."""
+    """The rows of docs, each as often as it is used, with mix_epoch, mix_block, mix_order (its place in the block) and
+    mix_weight (its source's weight). Columns of these names in docs give way."""
     own = weights.select(F.col("source").alias("_of"), F.col("tokens").alias("_source_tokens"), F.col("weight").alias("_weight"), F.floor("times").cast("long").alias("_whole"), (F.col("times") - F.floor("times")).alias("_part"))
     light = docs.select("doc_id", "source", tokens().alias("_n")).join(F.broadcast(own), F.col("source").eqNullSafe(F.col("_of")))
     light = _place(light, F.col("_whole"), seed, block_tokens).withColumn("_budget", F.floor(F.col("_part") * F.col("_source_tokens") + 1e-6))
     blocks = light.groupBy("_of", "_block").agg(F.sum("_n").alias("_sum"))
     ahead = F.sum("_sum").over(Window.partitionBy("_of").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
     blocks = blocks.select(F.col("_of").alias("_of2"), F.col("_block").alias("_block2"), F.coalesce(ahead, F.lit(0)).alias("_ahead"))
-    within = F.sum("_n").over(Window.partitionBy("_of", "_block").orderBy("_order"))
+    within = F.sum("_n").over(Window.partitionBy("_of", "_block").orderBy("_order"))  # rows of one doc_id are taken or left together
     taken = light.withColumn("_within", within).join(blocks, F.col("_of").eqNullSafe(F.col("_of2")) & (F.col("_block") == F.col("_block2"))).filter(F.col("_ahead") + F.col("_within") <= F.col("_budget"))
     cut = taken.groupBy("_of").agg(F.max(F.struct("_block", "_order")).alias("_cut")).select(F.col("_of").alias("_of3"), "_cut")
-    own = own.join(F.broadcast(cut), F.col("_of").eqNullSafe(F.col("_of3")), "left").drop("_of3")
-    rows = docs.join(F.broadcast(own), F.col("source").eqNullSafe(F.col("_of")))
+    own = own.join(F.broadcast(cut), F.col("_of").eqNullSafe(F.col("_of3")), "left").drop("_of3")  # a row for each source
+    rows = docs.select("doc_id", "source", F.struct("*").alias("_row")).join(F.broadcast(own), F.col("source").eqNullSafe(F.col("_of")))
     rows = _place(rows, F.col("_whole"), seed, block_tokens)
     more = (F.coalesce(F.struct("_block", "_order") <= F.col("_cut"), F.lit(False)) & (F.col("_part") > 0)).cast("long")
     rows = rows.withColumn("_copies", F.col("_whole") + more).filter("_copies > 0").withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
-    return _place(rows, F.col("_epoch"), seed, block_tokens).select(*docs.columns, "_epoch", "_block", "_order", "_weight")
+    made = {"mix_epoch": "_epoch", "mix_block": "_block", "mix_order": "_order", "mix_weight": "_weight"}
+    rows = _place(rows, F.col("_epoch"), seed, block_tokens)
+    return rows.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in made], *[F.col(c).alias(k) for k, c in made.items()])
 
 
 def mix(docs: DataFrame, entropy: float | None = None, repeats: float = 2.0, budget: int | None = None, seed: int = 17, block_tokens: int = 2_000_000) -> DataFrame:

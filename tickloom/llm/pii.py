@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -145,7 +144,7 @@ def _generated(rng: np.random.Generator, n: int) -> tuple[list[list[float]], lis
         if i == 7:
             return "ip", str(rng.choice(["version ", "section ", "ip "])), ".".join(str(x) for x in [*rng.integers(0, 20, 3), rng.integers(256, 9999)]), " ", 0
         if i == 8:
-            return "secret", str(rng.choice(['token = "', "api_key: ", "secret=", 'password = "'])), "".join(rng.choice(list("0123456789abcdefABCDEF"), int(rng.integers(16, 65)))), '"', 1
+            return "secret", str(rng.choice(['token = "', "api_key: ", "secret=", 'password = "'])), "".join(rng.choice(list(str(rng.choice(["0123456789abcdef", "0123456789ABCDEF", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]))), int(rng.integers(16, 65)))), str(rng.choice(['"', " ", ""])), 1
         return "secret", str(rng.choice(["token: ", "key = ", "secret: "])), word() + word() + word(), " " + word(), 0
 
     rows, labels, kinds = [], [], []
@@ -299,11 +298,14 @@ def redact(docs: DataFrame) -> DataFrame:
     """All rows and columns, with personal data in `text` replaced and `n_chars`, where it exists, counted anew."""
     tune(docs.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            frame["text"] = [redacted(t) for t in frame["text"]]
-            if "n_chars" in frame:
-                frame["n_chars"] = pd.array([len(t) if t is not None else None for t in frame["text"]], "Int64")
-            yield frame
+    at, n_chars = docs.columns.index("text"), docs.columns.index("n_chars") if dict(docs.dtypes).get("n_chars") in ("int", "bigint") else None
 
-    return docs.mapInPandas(run, docs.schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, texts = list(batch.columns), [redacted(t) for t in batch.column(at).to_pylist()]
+            columns[at] = pa.array(texts, columns[at].type)
+            if n_chars is not None:
+                columns[n_chars] = pa.array([None if t is None else len(t) for t in texts], columns[n_chars].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)

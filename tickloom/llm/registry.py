@@ -104,7 +104,7 @@ SELECT doc_id, source, CAST(epoch AS BIGINT) AS epoch, CAST('0x' || substr(h, 1,
 @_query("op8_source_mix", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_order").alias("place"), mixing.tokens().alias("n_tokens"), F.col("_weight").alias("weight"))
+    return mixed.select("doc_id", "source", F.col("mix_epoch").alias("epoch"), F.col("mix_block").alias("block"), F.col("mix_order").alias("place"), mixing.tokens().alias("n_tokens"), F.col("mix_weight").alias("weight"))
 
 
 @_query("op3_best_fit_pack")
