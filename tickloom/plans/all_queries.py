@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("q_bars", "q_scalars", "q_orders", "q_relational", "q_streaming")
+MODULES = ("q_bars", "q_scalars", "q_orders", "q_relational", "q_streaming", "q_io")
 
 
 def load() -> None:

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..functions import times
 from ..functions.values import changed, out_money
@@ -33,16 +34,21 @@ class Rules:
     extrema: str = "updates"
 
 
-ORD = F.struct("tm", "seq")
-DAY = Window.partitionBy(*KEY)
-IN_ORDER = DAY.orderBy("tm", "seq")
+def order() -> Column:
+    """What orders a code's ticks of a day."""
+    return F.struct("tm", "seq")
+
+
+def day() -> WindowSpec:
+    """A code's day."""
+    return Window.partitionBy(*KEY)
 
 
 def with_labels(ticks: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Adds the bar of each tick (null: none), whether it is carried back to a session's end, and whether the snapshot's
     high or low moved."""
     phase = times.bar_label(F.col("tm"), rules.boundary, rules.merge_auction)
-    ticks = ticks.withColumn("phase", phase).withColumns({"high_moved": changed(F.col("high"), F.lag("high").over(IN_ORDER)), "low_moved": changed(F.col("low"), F.lag("low").over(IN_ORDER))})
+    ticks = ticks.withColumn("phase", phase).withColumns({"high_moved": changed(F.col("high"), F.lag("high").over(day().orderBy("tm", "seq"))), "low_moved": changed(F.col("low"), F.lag("low").over(day().orderBy("tm", "seq")))})
     late = F.col("phase").isin(times.MIDDAY, times.CLOSE)
     first = F.row_number().over(Window.partitionBy(*KEY, "phase").orderBy("tm", "seq")) == 1
     ticks = ticks.withColumn("carried", late & first & F.lit(rules.carry))
@@ -52,8 +58,8 @@ def with_labels(ticks: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def with_price_flags(labelled: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Adds is_price: whether a tick takes part in open, high, low and close of its bar."""
-    order = Window.partitionBy(*KEY, F.col("bar").isNull()).orderBy("tm", "seq")
-    moved = changed(F.col("volume"), F.lag("volume").over(order)) | changed(F.col("money"), F.lag("money").over(order))
+    own = Window.partitionBy(*KEY, F.col("bar").isNull()).orderBy("tm", "seq")
+    moved = changed(F.col("volume"), F.lag("volume").over(own)) | changed(F.col("money"), F.lag("money").over(own))
     good = F.col("bar").isNotNull() & F.col("current").isNotNull()
     if rules.positive_only:
         good &= F.col("current") > 0
@@ -61,11 +67,11 @@ def with_price_flags(labelled: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def _first(x: str, where: Column) -> Column:
-    return F.min_by(x, F.when(where & F.col(x).isNotNull(), ORD))
+    return F.min_by(x, F.when(where & F.col(x).isNotNull(), order()))
 
 
 def _last(x: str, where: Column) -> Column:
-    return F.max_by(x, F.when(where & F.col(x).isNotNull(), ORD))
+    return F.max_by(x, F.when(where & F.col(x).isNotNull(), order()))
 
 
 def bar_aggregates(flagged: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -103,7 +109,7 @@ def with_auction_flags(flagged: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Adds the last valid tick before 15:00 of the code's day, and whether a tick may be the closing auction's: the first
     one from 15:00 on that traded since then, or that is at 15:00 sharp with another price."""
     valid = F.col("current") > 0
-    before = F.max_by(F.struct("current", "volume", "money"), F.when(valid & (F.col("tm") < 150_000_000), ORD)).over(DAY)
+    before = F.max_by(F.struct("current", "volume", "money"), F.when(valid & (F.col("tm") < 150_000_000), order())).over(day())
     out = flagged.withColumn("before_close", before)
     traded = (F.col("volume") > F.col("before_close.volume")) | (F.col("money") > F.col("before_close.money"))
     sharp = (F.col("tm") == 150_000_000) & (F.col("current") != F.col("before_close.current"))
@@ -113,18 +119,18 @@ def with_auction_flags(flagged: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def spine(bars: DataFrame) -> DataFrame:
     """All 240 labels of each code's day, with the aggregates of those that have ticks and the day's own values."""
     per_bar = ("cum_volume", "cum_money", "last_current", "p_open", "p_high", "p_low", "p_close", "noon_first", "noon_last", "noon_open")
-    day = bars.groupBy(*KEY).agg(
+    days = bars.groupBy(*KEY).agg(
         F.map_from_entries(F.collect_list(F.when(F.col("bar").isNotNull(), F.struct(F.col("bar").cast("int").alias("k"), F.struct(*per_bar).alias("v"))))).alias("at"),
         F.max("base_close").alias("base_close"), F.max("base_volume").alias("base_volume"), F.max("base_money").alias("base_money"),
         F.min("first_valid").alias("first_valid"), F.min("auction").alias("auction"), F.any_value("before_close", True).alias("before_close"),
     )
-    full = day.select(*KEY, "at", "base_close", "base_volume", "base_money", "first_valid", "auction", "before_close", F.explode(times.labels()).alias("label"))
+    full = days.select(*KEY, "at", "base_close", "base_volume", "base_money", "first_valid", "auction", "before_close", F.explode(times.labels()).alias("label"))
     return full.withColumn("v", F.try_element_at("at", F.col("label"))).select("*", *[F.col(f"v.{c}").alias(c) for c in per_bar]).drop("at", "v")
 
 
 def filled(rows: DataFrame) -> DataFrame:
     """Forward-filled prices, and volume and money as differences of the filled cumulative values."""
-    w = DAY.orderBy("label")
+    w = day().orderBy("label")
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     carry = lambda c: F.last(c, True).over(so_far)
     rows = rows.withColumns({"any_close": F.coalesce(carry("last_current"), F.col("base_close")), "trade_close": carry("p_close"), "cv": carry("cum_volume"), "cm": carry("cum_money")})

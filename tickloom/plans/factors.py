@@ -71,7 +71,7 @@ def distinct_orders(trades: DataFrame, which: str, sides: Mapping[str, int | Non
 
 
 def family_columns(family: str, prefix: str) -> list[Column]:
-    """Factors of a family from its sums, in their fixed order."""
+    """Factors of a family from its sums; the counts of distinct orders are not among them."""
     buckets, _, _, fields = FAMILIES[family]
     out = []
     for bucket in buckets():
@@ -80,8 +80,6 @@ def family_columns(family: str, prefix: str) -> list[Column]:
         out.append(m.vwapx(tail).alias(f"{prefix}_{family}vwapx{tail}"))
         for f in fields:
             out += [s.alias(f"{prefix}_{f}_{k}{tail}") for k, s in (("mean", m.mean(f"{f}{tail}")), ("std", m.std(f"{f}{tail}")), ("skew", m.skew(f"{f}{tail}")), ("kurt", m.kurt(f"{f}{tail}")))]
-        if family == "trade":
-            out += [F.coalesce(F.col(f"{prefix}_trade_{w}order_count{tail}"), F.lit(0)).cast("double").alias(f"{prefix}_trade_{w}order_count{tail}") for w in ("buy", "sell")]
     return out
 
 
@@ -99,22 +97,19 @@ def names() -> list[str]:
 
 
 def snapshot(life: Lifecycle) -> DataFrame:
-    """One row per symbol: symbol and the 492 factors."""
+    """One row per symbol: symbol and the 492 factors. Families are put under each other and meet in one aggregate, so
+    there is one shuffle of at most nine rows a symbol rather than a join for each."""
     own = {family: sums(rows, family) for family, rows in (("order", life.orders), ("withdraw", life.withdraws), ("trade", life.trades))}
     sides = {"both": None, **SIDES}
-    ids = [distinct_orders(life.trades, w, sides) for w in ("buy", "sell")]
-    parts = []
+    parts = [distinct_orders(life.trades, w, sides) for w in ("buy", "sell")]
     for family, prefix in [*((f, p) for f in ("order", "withdraw") for p in SIDES), *(("trade", p) for p in sides)]:
         one = merge(own[family], ["symbol"]) if prefix == "both" else own[family].filter(F.col("side") == SIDES[prefix])
-        if family == "trade":
-            for i in ids:
-                one = one.join(i, "symbol", "left")
         parts.append(one.select("symbol", *family_columns(family, prefix)))
-    out = parts[0]
+    every = parts[0]
     for p in parts[1:]:
-        out = out.join(p, "symbol", "full")
-    counts = [c for c in names() if "_count" in c]
-    return out.na.fill(0.0, counts).select("symbol", *names())
+        every = every.unionByName(p, allowMissingColumns=True)
+    shown = [F.expr(f"coalesce(double(max({c})), 0D) as {c}" if "_count" in c else f"max({c}) as {c}") for c in names()]
+    return every.groupBy("symbol").agg(*shown)
 
 
 def cumulative(rows: DataFrame, family: str, label: str = "label") -> DataFrame:

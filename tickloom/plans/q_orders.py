@@ -239,9 +239,10 @@ for _family in ("order", "withdraw", "trade"):
         life = shanghai(spark, sf_dir)
         rows = {"order": life.orders, "withdraw": life.withdraws, "trade": life.trades}[family]
         one = factors.sums(rows, family).filter(F.col("side") == codes.BUY)
+        one = one.select("symbol", *factors.family_columns(family, "buy"))
         if family == "trade":
             one = reduce(lambda a, w: a.join(factors.distinct_orders(rows, w, {"buy": codes.BUY}), "symbol", "left"), ("buy", "sell"), one)
-        return _rounded(one.select("symbol", *factors.family_columns(family, "buy")).select("symbol", *own))
+        return _rounded(one.select("symbol", *own))
 
     query(f"a13_buy_{_family}_factors", f"WITH {BASE_SQL}, {SH_SQL}, {RICH_SQL} SELECT symbol, {', '.join(_own)} FROM ({_family_sql(_family, 'buy')}) WHERE buy_{_family}_count > 0")(_one)
 

@@ -226,12 +226,15 @@ def a20(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- windows ---------------------------------------------------------------------------------------------------------
 
-BY_USER = Window.partitionBy("user_id").orderBy("ts", "event_id")
+
+def by_user():
+    """Each user's events in order."""
+    return Window.partitionBy("user_id").orderBy("ts", "event_id")
 
 
 @query("w1_f9_f10_lag", "SELECT event_id, lag(value) OVER w AS before, value IS DISTINCT FROM lag(value) OVER w AND value > 0 AS moved FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)")
 def w1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = F.lag("value").over(BY_USER)
+    before = F.lag("value").over(by_user())
     return events(spark, sf_dir).select("event_id", before.alias("before"), (values.changed(c("value"), before) & (c("value") > 0)).alias("moved"))
 
 
@@ -249,7 +252,7 @@ def w3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("w4_first_and_last_rows", "SELECT user_id, event_id, n = 1 AS is_first FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS n, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS r FROM events) WHERE n = 1 OR (r = 1 AND n > 1)")
 def w4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir).withColumns({"n": F.row_number().over(BY_USER), "r": F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id")))})
+    e = events(spark, sf_dir).withColumns({"n": F.row_number().over(by_user()), "r": F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id")))})
     return e.filter("n = 1 or r = 1").select("user_id", "event_id", (c("n") == 1).alias("is_first"))
 
 

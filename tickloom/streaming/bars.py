@@ -127,7 +127,7 @@ def keyed(stream: DataFrame) -> DataFrame:
 def keyed_in_batch(ticks: DataFrame) -> DataFrame:
     """What keyed() has emitted when all ticks have come: every bar of a code but its last."""
     rows = ticks.withColumn("bar", times.bar_label(F.col("tm"))).filter((F.col("bar") > 0) & (F.col("current") > 0))
-    one = rows.groupBy("code", "bar").agg(F.min_by("current", batch.ORD).alias("open"), F.max("current").alias("high"), F.min("current").alias("low"), F.max_by("current", batch.ORD).alias("close"), F.max_by("volume", batch.ORD).alias("cum"))
+    one = rows.groupBy("code", "bar").agg(F.min_by("current", batch.order()).alias("open"), F.max("current").alias("high"), F.min("current").alias("low"), F.max_by("current", batch.order()).alias("close"), F.max_by("volume", batch.order()).alias("cum"))
     w = Window.partitionBy("code").orderBy("bar")
     out = one.withColumns({"volume": F.col("cum") - F.coalesce(F.lag("cum").over(w), F.lit(0)), "next": F.lead("bar").over(w)})
     return out.filter("next is not null").select("code", "bar", "open", "high", "low", "close", "volume")
