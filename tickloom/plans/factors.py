@@ -1,8 +1,9 @@
 """Factors of order flow per symbol.
 
-Per (symbol, side) one wide aggregate of counts, sums and power sums, for each bucket; both sides together are the sum of
-these rows, not another pass. Distinct orders are counted in two steps, flags per order, then their sum, which needs no
-sets and no multiplied rows. The three families meet on symbol, of which there are some thousands.
+Per (symbol, side, bucket) one aggregate of counts, sums and power sums; both sides together are the sum of these rows, not
+another pass. Statistics are made per bucket, then spread out to columns, a row for each symbol, of which there are some
+thousands. Distinct orders are counted in two steps, flags per order, then their sum, which needs no sets. sums() has the
+buckets as columns instead, for increments that are added up.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ def trade_buckets() -> dict[str, Column | None]:
     return out
 
 
+#: Buckets of each family in their fixed order.
+BUCKETS = {"order": ("", "large", "small"), "withdraw": ("", "large", "small", "complete", "partial", "instant"), "trade": ("", "large", "small", "bolarge", "bosmall", "solarge", "sosmall")}
 FAMILIES = {
     "order": (order_buckets, "ordervol", "ordermoney", ("ordermoney",)),
     "withdraw": (withdraw_buckets, "withdrawvol", "withdrawmoney", ("withdrawmoney", "withdrawtmlag")),
@@ -70,26 +73,56 @@ def distinct_orders(trades: DataFrame, which: str, sides: Mapping[str, int | Non
     return per_order.groupBy("symbol").agg(*[F.sum(c).alias(c) for c in per_order.columns[3:]])
 
 
-def family_columns(family: str, prefix: str) -> list[Column]:
-    """Factors of a family from its sums; the counts of distinct orders are not among them."""
-    buckets, _, _, fields = FAMILIES[family]
-    out = []
-    for bucket in buckets():
-        tail = f"_{bucket}" if bucket else ""
-        out.append(F.coalesce(F.col(f"count{tail}"), F.lit(0)).cast("double").alias(f"{prefix}_{family}_count{tail}"))
-        out.append(m.vwapx(tail).alias(f"{prefix}_{family}vwapx{tail}"))
-        for f in fields:
-            out += [s.alias(f"{prefix}_{f}_{k}{tail}") for k, s in (("mean", m.mean(f"{f}{tail}")), ("std", m.std(f"{f}{tail}")), ("skew", m.skew(f"{f}{tail}")), ("kurt", m.kurt(f"{f}{tail}")))]
-    return out
+def bucket_sums(rows: DataFrame, family: str, by: Sequence[str] = ("symbol", "side")) -> DataFrame:
+    """The same sums with a row for each bucket. A row goes to the few buckets that it is in, and the aggregate has one set
+    of columns, small enough to be compiled whole, where the wide form has one for each bucket."""
+    buckets, vol, money, fields = FAMILIES[family]
+    inside = F.array_compact(F.array(*[F.lit(k) if where is None else F.when(where, F.lit(k)) for k, where in buckets().items()]))
+    own = rows.select(*by, F.col(vol).alias("vol"), F.col(money).alias("money"), *[F.col(f).alias(f"x_{f}") for f in fields], F.explode(inside).alias("bucket"))
+    power = [c for f in fields for c in m.power_sums(F.col(f"x_{f}"), f)]
+    return own.groupBy(*by, "bucket").agg(F.count("*").alias("count"), F.sum("vol").alias("vol"), F.sum("money").alias("money"), *power)
+
+
+def bucket_stats(sums_: DataFrame, family: str, prefix: Column) -> DataFrame:
+    """(symbol, key, stats): factors of each bucket in their fixed order; the key names side, family and bucket."""
+    fields = FAMILIES[family][3]
+    stats = [F.col("count").cast("double"), m.vwapx(), *(f(x) for x in fields for f in (m.mean, m.std, m.skew, m.kurt))]
+    return sums_.select("symbol", F.concat_ws("|", prefix, F.lit(family), F.col("bucket")).alias("key"), F.array(*stats).alias("stats"))
+
+
+def _side() -> Column:
+    return F.when(F.col("side") == SIDES["buy"], "buy").when(F.col("side") == SIDES["sell"], "sell").otherwise("neutral")
+
+
+def family_stats(rows: DataFrame, family: str) -> DataFrame:
+    """bucket_stats() of both sides, and for trades of all of them together: sums of the sides' sums."""
+    own = bucket_sums(rows, family)
+    out = bucket_stats(own, family, _side())
+    return out.unionByName(bucket_stats(merge(own, ["symbol", "bucket"]), family, F.lit("both"))) if family == "trade" else out
+
+
+def spread_out(stats: DataFrame, families: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row per symbol with a column for each factor of the (family, prefix) pairs: a map of at most 39 short arrays."""
+    one = stats.groupBy("symbol").agg(F.map_from_entries(F.collect_list(F.struct("key", "stats"))).alias("at"))
+    columns = []
+    for family, prefix in families:
+        fields = FAMILIES[family][3]
+        kinds = [f"{family}_count", f"{family}vwapx", *(f"{f}_{k}" for f in fields for k in ("mean", "std", "skew", "kurt"))]
+        for bucket in BUCKETS[family]:
+            for i, kind in enumerate(kinds):
+                name = f"{prefix}_{kind}{'_' + bucket if bucket else ''}"
+                found = f"try_element_at(at, '{prefix}|{family}|{bucket}')[{i}]"
+                columns.append(F.expr(f"coalesce({found}, 0D) as {name}" if "_count" in kind else f"{found} as {name}"))
+    return one.select("symbol", *columns)
 
 
 def names() -> list[str]:
     """All 492 factors in their fixed order: orders and withdrawals of both sides, then trades of all, buy and sell."""
     out = []
     for family, prefixes in (("order", ("buy", "sell")), ("withdraw", ("buy", "sell")), ("trade", ("both", "buy", "sell"))):
-        buckets, _, _, fields = FAMILIES[family]
+        fields = FAMILIES[family][3]
         for p in prefixes:
-            for bucket in ("", "large", "small", *{"order": (), "withdraw": ("complete", "partial", "instant"), "trade": ("bolarge", "bosmall", "solarge", "sosmall")}[family]):
+            for bucket in BUCKETS[family]:
                 tail = f"_{bucket}" if bucket else ""
                 out += [f"{p}_{family}_count{tail}", f"{p}_{family}vwapx{tail}", *(f"{p}_{f}_{k}{tail}" for f in fields for k in ("mean", "std", "skew", "kurt"))]
                 out += [f"{p}_trade_{w}order_count{tail}" for w in ("buy", "sell")] if family == "trade" else []
@@ -97,19 +130,15 @@ def names() -> list[str]:
 
 
 def snapshot(life: Lifecycle) -> DataFrame:
-    """One row per symbol: symbol and the 492 factors. Families are put under each other and meet in one aggregate, so
-    there is one shuffle of at most nine rows a symbol rather than a join for each."""
-    own = {family: sums(rows, family) for family, rows in (("order", life.orders), ("withdraw", life.withdraws), ("trade", life.trades))}
+    """One row per symbol: symbol and the 492 factors."""
+    stats = family_stats(life.orders, "order")
+    for family, rows in (("withdraw", life.withdraws), ("trade", life.trades)):
+        stats = stats.unionByName(family_stats(rows, family))
     sides = {"both": None, **SIDES}
-    parts = [distinct_orders(life.trades, w, sides) for w in ("buy", "sell")]
-    for family, prefix in [*((f, p) for f in ("order", "withdraw") for p in SIDES), *(("trade", p) for p in sides)]:
-        one = merge(own[family], ["symbol"]) if prefix == "both" else own[family].filter(F.col("side") == SIDES[prefix])
-        parts.append(one.select("symbol", *family_columns(family, prefix)))
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p, allowMissingColumns=True)
-    shown = [F.expr(f"coalesce(double(max({c})), 0D) as {c}" if "_count" in c else f"max({c}) as {c}") for c in names()]
-    return every.groupBy("symbol").agg(*shown)
+    wide = spread_out(stats, [*((f, p) for f in ("order", "withdraw") for p in SIDES), *(("trade", p) for p in sides)])
+    for w in ("buy", "sell"):
+        wide = wide.join(distinct_orders(life.trades, w, sides), "symbol", "left")
+    return wide.select("symbol", *[F.expr(f"coalesce(double({c}), 0D) as {c}") if "order_count" in c and "trade_" in c else F.col(c) for c in names()])
 
 
 def cumulative(rows: DataFrame, family: str, label: str = "label") -> DataFrame:

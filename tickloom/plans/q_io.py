@@ -54,7 +54,7 @@ def s5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards named by date; only the columns that bars take are read."""
     root = work_dir(spark, "shards")
-    writers.archive(messages(spark, sf_dir, "tick"), f"{root}/ht_2024-01-02_0", "tick")
+    writers.archive(messages(spark, sf_dir, "tick"), f"{root}/ticks_2024-01-02_0", "tick")
     return readers.tick_shards(spark, root, "2024-01-02").select("code", "tm", F.round("current", 9).alias("current"), "volume", "money")
 
 

@@ -238,8 +238,7 @@ for _family in ("order", "withdraw", "trade"):
     def _one(spark: SparkSession, sf_dir: str, family: str = _family, own: tuple[str, ...] = tuple(_own)) -> DataFrame:
         life = shanghai(spark, sf_dir)
         rows = {"order": life.orders, "withdraw": life.withdraws, "trade": life.trades}[family]
-        one = factors.sums(rows, family).filter(F.col("side") == codes.BUY)
-        one = one.select("symbol", *factors.family_columns(family, "buy"))
+        one = factors.spread_out(factors.bucket_stats(factors.bucket_sums(rows.filter(F.col("side") == codes.BUY), family), family, F.lit("buy")), [(family, "buy")])
         if family == "trade":
             one = reduce(lambda a, w: a.join(factors.distinct_orders(rows, w, {"buy": codes.BUY}), "symbol", "left"), ("buy", "sell"), one)
         return _rounded(one.select("symbol", *own))
