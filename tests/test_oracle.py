@@ -2,6 +2,8 @@
 
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pandas as pd
@@ -48,6 +50,13 @@ def test_matches_sql(spark, duck, name):
     assert [(a, b) for a, b in zip(got[1], want[1], strict=True) if a != b][:3] == []
 
 
+def test_queries_are_listed_without_a_session():
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    root = os.path.dirname(os.path.abspath(entry_module.__file__))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert int(out.stdout.split()[0]) == len(QUERIES)
+
+
 def test_every_oracle_has_a_query():
     assert set(SQL) <= set(QUERIES)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 _TICK_HEAD = "nano_timestamp BIGINT, exchange STRING, Symbol INT, Time INT, AccTurnover BIGINT, AccVolume BIGINT, AfterMatchItem INT, AfterPrice FLOAT, AfterTurnover BIGINT, AfterVolume INT, AskAvgPrice FLOAT"
 _TICK_TAIL = "High FLOAT, Low FLOAT, MatchItem INT, Open FLOAT, PreClose FLOAT, Price FLOAT, TotalAskVolume BIGINT, TotalBidVolume BIGINT, Turnover BIGINT, Volume INT, BizIndex INT"
@@ -12,8 +12,12 @@ def _levels(name: str, kind: str) -> str:
     return ", ".join(f"{name}{i} {kind}" for i in range(1, 11))
 
 
-def _ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
+_KINDS = {"BIGINT": T.LongType(), "INT": T.IntegerType(), "TINYINT": T.ByteType(), "FLOAT": T.FloatType(), "DOUBLE": T.DoubleType(), "STRING": T.StringType(), "TIMESTAMP_NTZ": T.TimestampNTZType()}
+
+
+def _ddl(text: str) -> T.StructType:
+    """Names and types, without asking a session."""
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in (f.split() for f in text.split(", "))])
 
 
 TICK = _ddl(f"{_TICK_HEAD}, {_levels('AskPx', 'FLOAT')}, {_levels('AskVol', 'DOUBLE')}, BSFlag TINYINT, BidAvgPrice FLOAT, {_levels('BidPx', 'FLOAT')}, {_levels('BidVol', 'DOUBLE')}, {_TICK_TAIL}")
