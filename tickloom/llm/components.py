@@ -24,6 +24,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         seen = mark
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = least.repartition(F.xxhash64("u"))  # so the join's own shuffles feed it, and a hub's long list can be split
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v")))

@@ -17,12 +17,12 @@ TM = "({ms} // 3600000 * 10000000 + {ms} // 60000 % 60 * 100000 + {ms} // 1000 %
 BASE_SQL = f"""
 o AS (
   SELECT 1 AS channelid, o_orderkey AS orderid, {TM.format(ms='(34200000 + o_orderkey * 7919 % 7000000)')} AS ordertm, o_orderkey % 40 AS symbol,
-         round(o_totalprice / 1000, 2) AS orderpx, (o_orderkey % 50 + 1) * 100 AS ordervol, CASE WHEN o_orderkey % 2 = 0 THEN 66 ELSE 83 END AS sideflag, o_orderkey AS seq
+         floor(o_totalprice / 10) / 100 AS orderpx, (o_orderkey % 50 + 1) * 100 AS ordervol, CASE WHEN o_orderkey % 2 = 0 THEN 66 ELSE 83 END AS sideflag, o_orderkey AS seq
   FROM orders),
 l AS (
   SELECT 1 AS channelid, CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey ELSE l_partkey * 2 END AS tradebuyid, CASE WHEN l_orderkey % 2 = 1 THEN l_orderkey ELSE l_partkey * 2 + 1 END AS tradesellid,
          {TM.format(ms='(34200000 + (l_orderkey * 31 + l_partkey * 17 + l_linenumber) % 7200000)')} AS tradetm, l_suppkey % 40 AS symbol,
-         round(l_extendedprice / l_quantity / 100, 2) AS tradepx, CAST(l_quantity AS BIGINT) * 100 AS tradevol, CASE l_linenumber % 3 WHEN 0 THEN 78 WHEN 1 THEN 66 ELSE 83 END AS sideflag,
+         floor(l_extendedprice / l_quantity) / 100 AS tradepx, CAST(l_quantity AS BIGINT) * 100 AS tradevol, CASE l_linenumber % 3 WHEN 0 THEN 78 WHEN 1 THEN 66 ELSE 83 END AS sideflag,
          (l_partkey * 1000 + l_linenumber) * 100000 + l_suppkey AS seq, l_linenumber
   FROM lineitem),
 sh_o AS (
@@ -84,11 +84,11 @@ def _tm(ms) -> F.Column:
 def raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Orders and trades before either exchange's rules."""
     key = F.col("o_orderkey")
-    o = table(spark, sf_dir, "orders").select(F.lit(1).alias("channelid"), key.alias("orderid"), _tm(key * 7919 % 7_000_000).alias("ordertm"), (key % 40).alias("symbol"), F.round(F.col("o_totalprice") / 1000, 2).alias("orderpx"), ((key % 50 + 1) * 100).cast("long").alias("ordervol"), F.when(key % 2 == 0, codes.BUY).otherwise(codes.SELL).cast("smallint").alias("sideflag"), key.alias("seq"))
+    o = table(spark, sf_dir, "orders").select(F.lit(1).alias("channelid"), key.alias("orderid"), _tm(key * 7919 % 7_000_000).alias("ordertm"), (key % 40).alias("symbol"), (F.floor(F.col("o_totalprice") / 10) / 100).alias("orderpx"), ((key % 50 + 1) * 100).cast("long").alias("ordervol"), F.when(key % 2 == 0, codes.BUY).otherwise(codes.SELL).cast("smallint").alias("sideflag"), key.alias("seq"))
     k, p, n = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     trades = table(spark, sf_dir, "lineitem").select(
         F.lit(1).alias("channelid"), F.when(k % 2 == 0, k).otherwise(p * 2).alias("tradebuyid"), F.when(k % 2 == 1, k).otherwise(p * 2 + 1).alias("tradesellid"), _tm((k * 31 + p * 17 + n) % 7_200_000).alias("tradetm"),
-        (F.col("l_suppkey") % 40).alias("symbol"), F.round(F.col("l_extendedprice") / F.col("l_quantity") / 100, 2).alias("tradepx"), (F.col("l_quantity").cast("long") * 100).alias("tradevol"),
+        (F.col("l_suppkey") % 40).alias("symbol"), (F.floor(F.col("l_extendedprice") / F.col("l_quantity")) / 100).alias("tradepx"), (F.col("l_quantity").cast("long") * 100).alias("tradevol"),
         F.when(n % 3 == 0, codes.NEUTRAL).when(n % 3 == 1, codes.BUY).otherwise(codes.SELL).cast("smallint").alias("sideflag"), ((p * 1000 + n) * 100_000 + F.col("l_suppkey")).alias("seq"), n.alias("n"),
     )
     return o, trades
