@@ -148,3 +148,9 @@ def test_windows_cover_every_byte():
         assert w.shape[1] == langid.WINDOW and len(w) == max(1, -(-n // langid.WINDOW))
         assert w[: n // 128].tobytes() == text[: n // 128 * 128] and w[-1].tobytes() == text[-128:].ljust(128, b"\0")
 
+
+
+def test_numbers_are_not_letters(spark):
+    docs = spark.createDataFrame([(i, t, lang, None, None) for i, (t, lang) in enumerate([("plain words " * 20, "en")] * 12 + [("\u00bd \u00b2 42 \u2167", None), ("42 \u00e9", None)])], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, langid.fit(docs)).collect()}
+    assert got[12] == "und" and got[13] == "en"

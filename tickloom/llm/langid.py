@@ -12,7 +12,6 @@ learned from); extra columns are left out.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +24,6 @@ from ._text import buffer, tune
 
 WINDOW, WIDTHS, EACH, DEPTH = 128, (2, 3, 4), 12, 8
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
@@ -149,7 +147,7 @@ def predict(docs: DataFrame, net: Network | None, keep: tuple[str, ...] = ("doc_
         for batch in batches:
             raw, at = buffer(batch.column(len(keep)))
             view, langs, scores = raw.tobytes(), [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
-            own = [i for i in range(batch.num_rows) if net is not None and at[i] < at[i + 1] and _LETTER.search(view[at[i] : at[i + 1]].decode())]
+            own = [i for i in range(batch.num_rows) if net is not None and at[i] < at[i + 1] and any(map(str.isalpha, view[at[i] : at[i + 1]].decode()))]
             first = 0
             while first < len(own):  # windows of some texts at a time, whatever their length
                 held, size, last = [], 0, first

@@ -115,7 +115,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = """
 WITH v AS (
   SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
-  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, q.r AS r, c.vec_id AS vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
   FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0)

@@ -6,9 +6,9 @@ q * max and q * min bounds every score in a block. First each block of queries s
 which gives a floor for its k-th scores. Then only pairs of query block and row block whose bound reaches a floor are
 scored, in descending order of bounds, and a block is skipped as soon as its bound falls below the k-th score.
 
-Edge cases: vectors that are null, or hold null or non-finite components, or integers of 2^53 or more, take no part;
-shorter vectors count as ending in zeros; rows that repeat a vec_id are rows of their own, and only the query's own row is
-no candidate; fewer than k candidates are all returned; an empty table gives none; extra columns are left out.
+Edge cases: vectors that are null, or hold null or non-finite components, or integers of 2^53 or more, and rows
+without a vec_id, take no part; shorter vectors count as ending in zeros; rows that repeat a vec_id are rows of their own,
+and only the query's own row is no candidate; fewer than k candidates are all returned; an empty table gives none; extra columns are left out.
 """
 
 from __future__ import annotations
