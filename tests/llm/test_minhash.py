@@ -64,6 +64,7 @@ def test_components_equal_those_of_all_pairs(spark, size, num):
 def test_large_groups_are_cut_into_units(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 8)
     rows = made(5)
+    rows.append((3, rows[40][1]))  # a doc_id with two texts is one node
     docs = spark.createDataFrame([(*r, None, None, None) for r in rows], DOCS)
     got = minhash.near_duplicates(docs, 3, 85).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute(rows, 3, 85)

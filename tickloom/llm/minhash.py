@@ -95,18 +95,23 @@ def _signed(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _sets(rows: DataFrame, size: int) -> DataFrame:
-    """(cluster, blocks, node, n, sig, set): the sorted shingle hashes of each row's text. One row of each class stays."""
+    """(cluster, blocks, node, sig, set): the sorted shingle hashes of each row's text. A doc_id may have several texts, so a
+    text counts only in the class whose sum (s1) it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, at = buffer(batch.column(4))
-            sets = [b""] * batch.num_rows
+            raw, at = buffer(batch.column(5))
+            sums = batch.column(4).to_pylist()
+            sets: list[bytes | None] = [None] * batch.num_rows
             for i, j, gram, begin in shingle_sets(raw, at, size):
                 for k in range(j - i):
-                    sets[i + k] = distinct(gram[begin[k] : begin[k + 1]]).tobytes()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sets, pa.binary())], ["cluster", "blocks", "node", "sig", "set"])
+                    own = distinct(gram[begin[k] : begin[k + 1]])
+                    if mix(own).sum(dtype=U64).astype(np.int64) == sums[i + k]:
+                        sets[i + k] = own.tobytes()
+            out = pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(sets, pa.binary())], ["cluster", "blocks", "node", "sig", "set"])
+            yield out.filter(out.column(4).is_valid())
 
-    return rows.select("cluster", "blocks", "node", "sig", "text").mapInArrow(run, "cluster long, blocks int, node long, sig binary, set binary")
+    return rows.select("cluster", "blocks", "node", "sig", "s1", "text").mapInArrow(run, "cluster long, blocks int, node long, sig binary, set binary")
 
 
 class _Joined:
@@ -160,7 +165,7 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
         held: list[dict] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            seen = {x["node"]: x for x in held}
+            seen = {(x["node"], x["set"]): x for x in held}
             rows = list(seen.values())
             if len(rows) > 1:
                 found = links_of_unit([x["node"] for x in rows], np.array([x["own"] for x in rows]), np.stack([np.frombuffer(x["sig"], np.uint16) for x in rows]), [np.frombuffer(x["set"], U64) for x in rows], rows[0]["i"] == rows[0]["j"], num, den)
@@ -194,7 +199,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     clusters = components(rough).withColumnRenamed("root", "cluster").checkpoint()
     sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     wanted = clusters.join(sizes, "cluster").join(classes.select("node", "sig", *own), "node")
-    texts = wanted.select("cluster", "blocks", "node", "sig").join(docs.select(F.col("doc_id").alias("node"), "text"), "node")
+    texts = wanted.select("cluster", "blocks", "node", "sig", "s1").join(docs.select(F.col("doc_id").alias("node"), "text"), "node")
     links = _links(_sets(texts, size), num, den)
     roots = components(links).withColumnRenamed("root", "component_id")
     named = classes.select(*own, "node").join(roots, "node", "left").select(*own, F.coalesce("component_id", "node").alias("component_id"))
