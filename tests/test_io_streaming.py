@@ -152,3 +152,21 @@ def test_sliding_deviation_starts_at_zero(spark):
     rows = spark.createDataFrame([("a", i, float(i)) for i in range(4)], "g string, t long, x double")
     got = windows.sliding(rows, ["g"], ["t"], "x", 2).orderBy("t").collect()
     assert [r.x_std for r in got] == pytest.approx([0.0, 0.5**0.5, 0.5**0.5, 0.5**0.5]) and [r.x_sum for r in got] == [0, 1, 3, 5]
+
+
+def test_a_batch_has_one_file_for_each_minute(spark, tmp_path):
+    rows = spark.range(800).select(*[(F.lit(1_704_160_000_000_000_000) + F.col("id") % 4 * 60_000_000_000 if f.name == "nano_timestamp" else F.lit(None)).cast(f.dataType).alias(f.name) for f in ORDER])
+    rows.repartition(8).write.parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    writers.minute_sink(readers.tail(spark, str(tmp_path / "in"), "order"), out, f"{out}-c").trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == 800
+    files = got.select("date", "file_hhmm", F.input_file_name().alias("file")).distinct()
+    assert files.count() == got.select("date", "file_hhmm").distinct().count() == 4
+
+
+def test_every_message_of_the_channel_reaches_a_minute_file(spark):
+    from tickloom.plans import q_io
+
+    sf = "/root/testdata/sf0.001"
+    assert q_io.k2_all(spark, sf).agg(F.sum("n")).first()[0] == q_io.messages(spark, sf, "order").count()

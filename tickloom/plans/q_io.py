@@ -108,16 +108,27 @@ def s6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(CHANNELS["trade"]).parquet(out).select(c("BizIndex").alias("biz"))
 
 
-@query("k2_k3_minute_files", "SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date, CAST(CASE WHEN label < 926 THEN 926 WHEN label < 931 THEN 931 WHEN label >= 1131 AND label < 1301 THEN 1301 WHEN label % 100 = 59 THEN (label // 100 + 1) * 100 ELSE label + 1 END AS INTEGER) AS file_hhmm, count(*) AS n FROM (SELECT ts, hour(ts + INTERVAL 8 HOUR) * 100 + minute(ts) AS label FROM events WHERE event_type = 'click' AND user_id % 20 = 0) GROUP BY ALL")
-def k2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages per minute file, counted from the files."""
+def _minute_counts(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Messages per minute file, counted from the files that a stream of the messages wrote."""
     path, out = work_dir(spark, "minutes-in"), work_dir(spark, "minutes")
-    own = table(spark, sf_dir, "events").filter("user_id % 20 = 0").select("event_id")
-    messages(spark, sf_dir, "order").join(own, c("BizIndex") == c("event_id"), "left_semi").coalesce(1).write.parquet(path)
+    rows.write.parquet(path)
     writers.minute_sink(readers.tail(spark, path, "order"), out, f"{out}-c").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).groupBy(c("date").cast("string").alias("date"), "file_hhmm").agg(F.count("*").alias("n"))
 
 
+@query("k2_k3_minute_files", "SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date, CAST(CASE WHEN label < 926 THEN 926 WHEN label < 931 THEN 931 WHEN label >= 1131 AND label < 1301 THEN 1301 WHEN label % 100 = 59 THEN (label // 100 + 1) * 100 ELSE label + 1 END AS INTEGER) AS file_hhmm, count(*) AS n FROM (SELECT ts, hour(ts + INTERVAL 8 HOUR) * 100 + minute(ts) AS label FROM events WHERE event_type = 'click' AND user_id % 20 = 0) GROUP BY ALL")
+def k2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per minute file of one user in twenty, as its SQL has it; k2_k3_minute_files_all has the whole channel."""
+    own = table(spark, sf_dir, "events").filter("user_id % 20 = 0").select("event_id")
+    return _minute_counts(spark, messages(spark, sf_dir, "order").join(own, c("BizIndex") == c("event_id"), "left_semi"))
+
+
+@query("k2_k3_minute_files_all", "SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date, CAST(CASE WHEN label < 926 THEN 926 WHEN label < 931 THEN 931 WHEN label >= 1131 AND label < 1301 THEN 1301 WHEN label % 100 = 59 THEN (label // 100 + 1) * 100 ELSE label + 1 END AS INTEGER) AS file_hhmm, count(*) AS n FROM (SELECT ts, hour(ts + INTERVAL 8 HOUR) * 100 + minute(ts) AS label FROM events WHERE event_type = 'click') GROUP BY ALL")
+def k2_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per minute file, of every message of the channel."""
+    return _minute_counts(spark, messages(spark, sf_dir, "order"))
+
+
 @query("k4_bars_csv", f"SELECT code, CAST(datetime AS VARCHAR) AS at, printf('%.4f', CAST(close AS DOUBLE)) AS close, printf('%.0f', volume) AS volume FROM ({q_bars.BARS_SQL})")
 def k4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "bars-csv")

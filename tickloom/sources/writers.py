@@ -24,8 +24,11 @@ def minute_files(rows: DataFrame) -> DataFrame:
 
 
 def minute_sink(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """A stream of messages as per-minute Parquet; each micro-batch commits, so nothing waits for a flush."""
-    return minute_files(stream).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("date", "file_hhmm")
+    """A stream of messages as per-minute Parquet; each micro-batch commits, so nothing waits for a flush. A
+    micro-batch has one file for each minute, however many tasks have read it. The number of tasks is given, as adaptive
+    execution would else write a small batch's many files in one."""
+    tasks = int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return minute_files(stream).repartition(tasks, "date", "file_hhmm").writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("date", "file_hhmm")
 
 
 def bars_csv(bars: DataFrame, path: str, version: bool = False) -> None:
