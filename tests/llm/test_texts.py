@@ -54,6 +54,20 @@ def test_the_method_leaves_clean_texts(text):
     assert pii.chooser().choose(text, pii.base_spans(text)) == []
 
 
+@pytest.mark.parametrize("n", [200, 256, 257, 600, 5000])
+def test_long_secrets_are_found_to_their_end(n):
+    secret = ("24be64439e3e49cf46b2d7c90f3602a3d0b907ff" * (n // 40 + 1))[:n]
+    text = f'token = "{secret}" x'
+    assert ("secret", 9, 9 + n) in pii.candidates(text)
+    assert pii.redacted(text) == 'token = "[SECRET]" x'
+
+
+@pytest.mark.parametrize(("local", "last"), [("anna", "com"), ("anna" * 40, "com"), ("anna", "com" * 40), ("anna", "a dot b dot c dot d dot e dot com")])
+def test_obfuscated_addresses_are_proposed_whole(local, last):
+    text = f"mail {local} at example dot {last} ."
+    assert ("email", 5, len(text) - 2) in pii.candidates(text)
+
+
 def test_trees_are_right_on_new_spans():
     import numpy as np
 
