@@ -89,3 +89,17 @@ def test_cumulative_distinct_counts_first_appearances(spark):
     t = spark.createDataFrame([(1, 1, 7, 931), (1, 1, 7, 932), (1, 1, 8, 932), (1, 1, 8, 935)], "symbol long, channelid int, tradebuyid long, label int")
     got = {r.label: r.buyorders for r in factors.cumulative_distinct(t, "buy").collect()}
     assert got == {931: 1, 932: 2}
+
+
+def test_cumulative_factors_have_all_families_at_all_times(spark):
+    from tickloom.plans import q_orders
+
+    sf = "/root/testdata/sf0.001"
+    got = q_orders.d13_all(spark, sf)
+    assert got.columns == ["symbol", "label", *factors.names()]
+    day = {r.symbol: r for r in q_orders.d14(spark, sf).collect()}
+    rows = got.collect()
+    assert len(rows) == 9 * len(day) and {r.label for r in rows} == set(factors.TIMES)
+    counts = [c for c in factors.names() if "_count" in c]
+    assert all(r[c] == day[r.symbol][c] for r in rows if r.label == 1500 for c in counts)
+    assert any(r[c] for r in rows if r.label == 1130 for c in counts if c.startswith("sell_withdraw"))

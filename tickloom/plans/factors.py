@@ -8,7 +8,8 @@ buckets as columns instead, for increments that are added up.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,11 +84,11 @@ def bucket_sums(rows: DataFrame, family: str, by: Sequence[str] = ("symbol", "si
     return own.groupBy(*by, "bucket").agg(F.count("*").alias("count"), F.sum("vol").alias("vol"), F.sum("money").alias("money"), *power)
 
 
-def bucket_stats(sums_: DataFrame, family: str, prefix: Column) -> DataFrame:
-    """(symbol, key, stats): factors of each bucket in their fixed order; the key names side, family and bucket."""
+def bucket_stats(sums_: DataFrame, family: str, prefix: Column, by: Sequence[str] = ("symbol",)) -> DataFrame:
+    """(*by, key, stats): factors of each bucket in their fixed order; the key names side, family and bucket."""
     fields = FAMILIES[family][3]
     stats = [F.col("count").cast("double"), m.vwapx(), *(f(x) for x in fields for f in (m.mean, m.std, m.skew, m.kurt))]
-    return sums_.select("symbol", F.concat_ws("|", prefix, F.lit(family), F.col("bucket")).alias("key"), F.array(*stats).alias("stats"))
+    return sums_.select(*by, F.concat_ws("|", prefix, F.lit(family), F.col("bucket")).alias("key"), F.array(*stats).alias("stats"))
 
 
 def _side() -> Column:
@@ -101,9 +102,9 @@ def family_stats(rows: DataFrame, family: str) -> DataFrame:
     return out.unionByName(bucket_stats(merge(own, ["symbol", "bucket"]), family, F.lit("both"))) if family == "trade" else out
 
 
-def spread_out(stats: DataFrame, families: Sequence[tuple[str, str]]) -> DataFrame:
-    """One row per symbol with a column for each factor of the (family, prefix) pairs: a map of at most 39 short arrays."""
-    one = stats.groupBy("symbol").agg(F.map_from_entries(F.collect_list(F.struct("key", "stats"))).alias("at"))
+def spread_out(stats: DataFrame, families: Sequence[tuple[str, str]], by: Sequence[str] = ("symbol",)) -> DataFrame:
+    """One row per symbol, or whatever `by` names, with a column for each factor of the (family, prefix) pairs: a map of at most 39 short arrays."""
+    one = stats.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("key", "stats"))).alias("at"))
     columns = []
     for family, prefix in families:
         fields = FAMILIES[family][3]
@@ -113,7 +114,7 @@ def spread_out(stats: DataFrame, families: Sequence[tuple[str, str]]) -> DataFra
                 name = f"{prefix}_{kind}{'_' + bucket if bucket else ''}"
                 found = f"try_element_at(at, '{prefix}|{family}|{bucket}')[{i}]"
                 columns.append(F.expr(f"coalesce({found}, 0D) as {name}" if "_count" in kind else f"{found} as {name}"))
-    return one.select("symbol", *columns)
+    return one.select(*by, *columns)
 
 
 def names() -> list[str]:
@@ -156,6 +157,48 @@ def cumulative_distinct(trades: DataFrame, which: str, label: str = "label") ->
     return new.select("symbol", label, F.sum("n").over(w).alias(f"{which}orders"))
 
 
+def _so_far(rows: DataFrame, by: Sequence[str], times: Sequence[int]) -> DataFrame:
+    """Sums per label, a row of which counts at each of the times that is not before it, added up at these times."""
+    own = rows.withColumn("label", F.explode(F.filter(F.array(*[F.lit(t).cast("long") for t in times]), lambda t: t >= F.col("label"))))
+    return own.groupBy(*by, "label").agg(*[F.sum(c).alias(c) for c in rows.columns if c not in (*by, "label")])
+
+
+def distinct_so_far(trades: DataFrame, which: str, sides: Mapping[str, int | None], times: Sequence[int] = TIMES) -> DataFrame:
+    """distinct_orders() of the trades up to each time: an order counts in a bucket from its first trade there on."""
+    names_, firsts = [], []
+    for prefix, code in sides.items():
+        on = F.lit(True) if code is None else F.col("side") == code
+        for bucket, where in trade_buckets().items():
+            names_.append(f"{prefix}_trade_{which}order_count{'_' + bucket if bucket else ''}")
+            firsts.append(F.min(F.when(on if where is None else on & where, F.col("label"))).alias(names_[-1]))
+    per_order = trades.filter(F.col(f"trade{which}id") != 0).groupBy("symbol", "channelid", f"trade{which}id").agg(*firsts)
+    new = per_order.select("symbol", F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("label")) for k in names_])).alias("at")).select("symbol", "at.*")
+    counts = _so_far(new.filter("label is not null").groupBy("symbol", "key", "label").agg(F.count("*").alias("n")), ["symbol", "key"], times)
+    return counts.groupBy("symbol", "label").agg(*[F.sum(F.when(F.col("key") == k, F.col("n"))).alias(k) for k in names_])
+
+
+def snapshots_so_far(life: Lifecycle, label: Callable[[Column], Column], times: Sequence[int] = TIMES) -> DataFrame:
+    """snapshot() as of several times of the day: one row per symbol and time, with all 492 factors of what was ordered,
+    withdrawn and traded up to then. label() makes the minute (HHMM) of a time; sums are taken once per minute, then added
+    up. What an order is worth is what the whole day's lifecycle says of it."""
+    by, sides = ("symbol", "label"), {"both": None, **SIDES}
+    frames = {"order": (life.orders, "ordertm"), "withdraw": (life.withdraws, "withdrawtm"), "trade": (life.trades, "tradetm")}
+    labelled = {k: rows.withColumn("label", label(F.col(tm)).cast("long")) for k, (rows, tm) in frames.items()}
+    stats = []
+    for family, rows in labelled.items():
+        own = _so_far(bucket_sums(rows, family, ("symbol", "side", "label")), ("symbol", "side", "bucket"), times)
+        stats.append(bucket_stats(own, family, _side(), by))
+        if family == "trade":
+            both = own.groupBy(*by, "bucket").agg(*[F.sum(c).alias(c) for c in own.columns if c not in (*by, "side", "bucket")])
+            stats.append(bucket_stats(both, family, F.lit("both"), by))
+    wide = spread_out(reduce(DataFrame.unionByName, stats), [*((f, p) for f in ("order", "withdraw") for p in SIDES), *(("trade", p) for p in sides)], by)
+    symbols = reduce(DataFrame.union, [rows.select("symbol") for rows in labelled.values()]).distinct()
+    out = symbols.withColumn("label", F.explode(F.array(*[F.lit(t).cast("long") for t in times]))).join(wide, list(by), "left")
+    for w in ("buy", "sell"):
+        out = out.join(distinct_so_far(labelled["trade"], w, sides, times), list(by), "left")
+    return out.select(*by, *[F.expr(f"coalesce(double({c}), 0D) as {c}") if "_count" in c else F.col(c) for c in names()])
+
+
 def at_times(rows: DataFrame, columns: Sequence[str], label: str = "label", times: Sequence[int] = TIMES) -> DataFrame:
     """Cumulative rows as of each of a few times of the day."""
     wanted = rows.select("symbol").distinct().withColumn(label, F.explode(F.array(*map(F.lit, times))))

@@ -262,7 +262,7 @@ SELECT s.symbol, CAST(asked.label AS BIGINT) AS label, CASE WHEN count(t.symbol)
 FROM s CROSS JOIN asked LEFT JOIN t ON t.symbol = s.symbol AND t.lab <= asked.label GROUP BY s.symbol, asked.label""",
 )
 def d13(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Moments and distinct orders of all trades so far, at nine times of the day."""
+    """Moments and distinct orders of all trades so far, at nine times of the day; d13_cumulative_factors_all has all factors."""
     from ..functions import moments as m
 
     t = _labelled(spark, sf_dir)
@@ -276,6 +276,26 @@ def d13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("symbol", F.col("label").cast("long").alias("label"), F.col("count").alias("trades"), F.round(m.mean("trademoney"), 6).alias("trademoney_mean"), F.round(m.std("trademoney"), 2).alias("trademoney_std"), F.round(m.vwapx(), 4).alias("tradevwapx"), "buyorders")
 
 
+def _so_far_sql() -> str:
+    """_snapshot_sql() as of each of the nine times."""
+    head = f"WITH {BASE_SQL}, {SH_SQL}, {RICH_SQL}, asked AS (SELECT CAST(unnest([{', '.join(map(str, factors.TIMES))}]) AS BIGINT) AS label)"
+    parts = ["(SELECT symbol, label FROM (SELECT symbol FROM rich_o UNION SELECT symbol FROM rich_w UNION SELECT symbol FROM rich_t) CROSS JOIN asked) rack"]
+    for family, tm in (("order", "ordertm"), ("withdraw", "withdrawtm"), ("trade", "tradetm")):
+        head += f", {family}_so_far AS (SELECT x.*, asked.label FROM rich_{family[0]} x JOIN asked ON {LABEL_SQL.replace('tradetm', f'x.{tm}')} <= asked.label)"
+    for family, prefix in ALL_FAMILIES:
+        one = _family_sql(family, prefix).replace("SELECT symbol,", "SELECT symbol, label,").replace(f"FROM rich_{family[0]} GROUP BY symbol", f"FROM {family}_so_far GROUP BY symbol, label")
+        parts.append(f"({one}) {family}_{prefix} USING (symbol, label)")
+    shown = ", ".join(f"coalesce({c}, 0.0) AS {c}" if "_count" in c else c for c in factors.names())
+    return f"{head} SELECT symbol, label, {shown} FROM {' LEFT JOIN '.join(parts)}"
+
+
+@query("d13_cumulative_factors_all", _so_far_sql())
+def d13_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 492 factors of every symbol so far, at nine times of the day."""
+    out = factors.snapshots_so_far(shanghai(spark, sf_dir), lambda tm: times.next_minute(times.div(tm, 100_000)))
+    return out.select("symbol", "label", *[F.col(c) if "_count" in c else F.round(c, 3).alias(c) for c in factors.names()])
+
+
 @query("d19_factor_sanity", "SELECT CAST(40 AS BIGINT) AS symbols, CAST(0 AS BIGINT) AS negative_counts, CAST(0 AS BIGINT) AS odd_prices")
 def d19(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts are never negative, prices stay within (0, 5000]."""
