@@ -6,9 +6,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tickloom.llm import repeats, substrings, suffixes
+from tickloom.llm import _ranges, repeats, substrings, suffixes
 
 from .conftest import DOCS
 
@@ -93,6 +94,52 @@ def test_words(spark, shard_bytes):
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_words(rows)
 
 
+def packed(rows):
+    """Rows of one shard as one chunk."""
+    body = np.array([[d or 0 for d, _ in rows], [d is None for d, _ in rows], [len(t) for _, t in rows]], np.int64)
+    raw = b"".join(t for _, t in rows)
+    return {"shard": 0, "bytes": len(raw), "ids": body.tobytes(), "texts": pa.compress(raw, codec="zstd", asbytes=True)}
+
+
+@pytest.mark.parametrize("words", [False, True])
+def test_a_shard_is_the_same_however_its_rows_arrive(words):
+    rows = [(7, b"a" * 60), (7, b"b" * 5), (7, b"a" * 70), (None, b"y x"), (None, b"x y"), (3, b""), (7, b"b" * 5)]
+    job = repeats.Job(words, 50, 21, True, True)
+    seen = set()
+    for order in itertools.islice(itertools.permutations(rows), 0, 5040, 97):
+        table = pa.Table.from_pylist([packed(order[:3]), packed(order[3:])])
+        shard = repeats.Shard(table, job)
+        seen.add((tuple(shard.text), tuple(shard.id.tolist()), tuple(shard.null.tolist())))
+    assert len(seen) == 1
+
+
+@pytest.mark.parametrize("coarse", [2048, 4])
+def test_a_doc_id_of_many_texts_is_many_shards(spark, monkeypatch, coarse):
+    monkeypatch.setattr(_ranges, "COARSE", coarse)
+    rows = made(3)
+    rows += [(30, t) for _, t in rows[:40]] + [(31, t) for _, t in rows[:5]]
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], DOCS)
+    own = docs.filter("doc_id is not null")
+    ranges = _ranges.split(own, "doc_id", _ranges.F.lit(1), len(rows), 4)
+    assert (np.diff(ranges.rank) >= 0).all() and len(set(ranges.place(np.full(50, 30), np.arange(50)).tolist())) > 3
+    ids = np.sort([r[0] for r in rows if r[0] is not None])
+    at = ranges.place(ids, np.zeros(len(ids), int))
+    assert (np.diff(ranges.rank[at]) >= 0).all()
+    got = suffixes.remove_repeats(docs, shard_bytes=1200).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_bytes(rows)
+
+
+def test_merged_answers():
+    lists = [[1, 5, 9], [5, 7], [5, 9]]
+    rank = np.array([0, 1, 1])
+    out = list(repeats.merged(0, [(k, repeats.pack_names(np.array(x, np.uint64), 0)) for k, x in enumerate(lists)], 1, 8, rank, True))
+    table = pa.table({"part": [p for p, _, _ in out], "body": [b for _, _, b in out]})
+    got = [repeats._bits(table.slice(k, 1), [len(x)], True) for k, x in enumerate(lists)]
+    assert [g[0].tolist() for g in got] == [[False, True, True], [True, False], [True, True]]
+    assert [g[1].tolist() for g in got] == [[False, False, False], [True, False], [True, True]]
+    assert got[0][2][1] == got[1][2][0] == got[2][2][0] and got[0][2][2] == got[2][2][1] and got[0][2][0] == 0
+
+
 def test_messy(spark, messy):
     rows = [(r.doc_id, r.text) for r in messy.select("doc_id", "text").collect()]
     a = suffixes.remove_repeats(messy).collect()

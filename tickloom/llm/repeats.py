@@ -4,17 +4,26 @@ Units are bytes or words. A window is `window` units of one document. A differen
 for any two residues a shift that takes both into the cover. So two equal windows share, at some shift below the period, two
 positions that are both sampled, and the `window - period + 1` units from there are equal.
 
-Rounds, over shards of the documents (ranges of doc_id, about `shard_bytes` each):
+Rounds, over shards of the documents (about `shard_bytes` each):
 0. Whole texts: of exact copies only the smallest doc_id goes on.
-1. Sampled prefixes, at cover positions only. Their names (hashes) are sorted, and equal neighbours mark what is shared.
-2. Every suffix that can reach a shared sample, which is all that can repeat, is named to the full depth of the window.
-   Names are sorted and merged across shards; equal neighbours are equal windows.
-In each round a shard sends its distinct names, sorted and delta-coded, in parts by range of names. A part merges the lists
-of all shards and answers with two bits a name: held by another shard; held by a smaller shard. So no name's occurrences are
-ever gathered: a passage that a third of all documents hold is one name a shard. Rows are few and large, and what is shuffled
-is the texts once (compressed), about three bytes a sample and six a suffix of the last round.
-
-Names of the last round have 64 bits. Two different windows of n get one name with a chance of about n^2 / 2^65.
+1. Sampled prefixes, at cover positions only. They are sorted by their keys, equal neighbours get one name, a number; what
+   has no equal is out.
+2. Only if a job is `deeper`: recursion. The names at i, i + period and i + 2 periods are a triple, which stands for
+   2 periods more than a sample; triples are sorted and named like samples. Windows inside such a prefix that a smaller
+   document has too are settled, and are not looked at again.
+3. Every other suffix that can reach a shared sample is named to the full depth of the window. Names are sorted and merged
+   across shards; equal neighbours are equal windows.
+In each round a shard sends its distinct keys, sorted and delta-coded, in slices by range of keys. A part merges the slices
+of all shards and answers with two bits a key, held by another shard and held by a smaller document's shard, and in round 1
+with the names. So no key's occurrences are ever gathered: a passage that a third of all documents hold is one key a shard.
+A part holds about PART_BYTES of keys, so a round has shards x parts rows while slices are long, and never more rows
+than keys.
+
+Shards are ranges of doc_id where order counts, cut by bytes; a doc_id that alone holds more than a shard is several shards
+of the same rank. Elsewhere they are dealt by a hash of doc_id and text. Within a shard rows are ordered by (null, doc_id, text),
+whatever order they arrive in, so every round sees the same shard, also after a lost task.
+
+Keys of rounds 2 and 3 have 64 bits. Two different windows of n get one key with a chance of about n^2 / 2^65.
 """
 
 from __future__ import annotations
@@ -28,21 +37,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._ranges import Ranges, split
 from ._text import BYTE_CODE, U64, Words, buffer, distinct, mix, pieces, power, tune
 
 MAIL = "part long, shard int, body binary"
 #: Perfect difference covers, period to residues.
 COVERS = {21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
+PART_BYTES = 64 << 20
+EARLIER = 1 << 40  # added to the part of answers of an earlier round
+_TRIPLE, _LOCAL = U64(0x9E3779B97F4A7C15), U64(1 << 63)
 
 
 @dataclass(frozen=True)
 class Job:
-    """What repeats: the units, the window and the cover's period; by_order: only windows that a smaller document has."""
+    """What repeats: the units, the window and the cover's period; by_order: only windows that a smaller document has;
+    deeper: triples of names settle what they can."""
 
     words: bool
     window: int
     period: int
     by_order: bool
+    deeper: bool = False
 
     @property
     def sample(self) -> int:
@@ -82,55 +97,65 @@ def _mail(rows: list[tuple[int, int, bytes]]) -> pa.Table:
     return pa.table([pa.array(part, pa.int64()), pa.array(shard, pa.int32()), pa.array(body, pa.binary())], ["part", "shard", "body"])
 
 
-def _answers(mail: DataFrame, parts: int, bits: int) -> DataFrame:
-    """For each request, in its order: packed bits held elsewhere, then packed bits held by a smaller shard. Mail of
-    negative part passes through: it is what a shard keeps for its next round."""
-
-    def merged(part: int, got: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, bytes]]:
-        got.sort()
-        base = _edges(parts, bits)[part]
-        lists = [unpack_names(body, base) for _, body in got]
-        names = np.concatenate(lists)
-        order = np.argsort(names, kind="stable")  # equal names stay in the order of shards
-        names = names[order]
-        same = names[1:] == names[:-1]
-        lower, other = np.zeros(len(names), bool), np.zeros(len(names), bool)
-        lower[order[1:]] = same
-        other[order[1:]] = same
-        other[order[:-1]] |= same
-        at = 0
-        for (shard, _), own in zip(got, lists, strict=True):
-            end = at + len(own)
-            yield part, shard, np.packbits(other[at:end]).tobytes() + np.packbits(lower[at:end]).tobytes()
-            at = end
+def merged(part: int, got: list[tuple[int, bytes]], parts: int, bits: int, rank: np.ndarray, named: bool) -> Iterator[tuple[int, int, bytes]]:
+    """The answers of one part to all its requests (shard, body): packed bits held by another shard, packed bits held by
+    one of smaller rank, and if named, the names of what is held by another."""
+    got.sort()
+    base = _edges(parts, bits)[part]
+    lists = [unpack_names(body, base) for _, body in got]
+    keys = np.concatenate(lists)
+    order = np.argsort(keys, kind="stable")  # equal keys stay in the order of shards, whose ranks ascend
+    keys, own = keys[order], np.repeat(rank[[k for k, _ in got]], [len(x) for x in lists])[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    length = np.diff(np.append(first, len(keys)))
+    other, lower, name = np.zeros(len(keys), bool), np.zeros(len(keys), bool), np.zeros(len(keys), U64)
+    other[order] = np.repeat(length > 1, length)
+    lower[order] = own > np.repeat(own[first], length)
+    if named:
+        name[order] = np.repeat(np.cumsum(length > 1), length)
+    at = 0
+    for (shard, _), mine in zip(got, lists, strict=True):
+        end = at + len(mine)
+        bits_ = np.packbits(other[at:end]).tobytes() + np.packbits(lower[at:end]).tobytes()
+        yield part, shard, bits_ + (pack_names(name[at:end][other[at:end]], 0) if named else b"")
+        at = end
+
+
+def _answers(mail: DataFrame, parts: int, bits: int, rank: np.ndarray, named: bool = False) -> DataFrame:
+    """merged() for every part. Mail of negative part passes through: it is what a shard keeps for its next round."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[int, bytes]]] = {}
+        now, held = -1, []
         for batch in batches:
-            kept = []
             for part, shard, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if part < 0:
-                    kept.append((part, shard, body))
-                else:
-                    held.setdefault(part, []).append((shard, body))
-            if kept:
-                yield from _mail(kept).to_batches()
-        for part in sorted(held):
-            yield from _mail(list(merged(part, held.pop(part)))).to_batches()
-
-    return mail.repartition(max(parts, 1), "part").mapInArrow(run, MAIL)
-
-
-def _bits(inbox: pa.Table, names: int, counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Both answers for all names sent, in order. counts: names sent to each part."""
-    other, lower, at = np.zeros(names, bool), np.zeros(names, bool), np.cumsum([0, *counts])
+                    yield from _mail([(part, shard, body)]).to_batches()
+                    continue
+                if part != now and held:
+                    yield from _mail(list(merged(now, held, parts, bits, rank, named))).to_batches()
+                    held = []
+                now = part
+                held.append((shard, body))
+        if held:
+            yield from _mail(list(merged(now, held, parts, bits, rank, named))).to_batches()
+
+    return mail.repartition(max(parts, 1), "part").sortWithinPartitions("part").mapInArrow(run, MAIL)
+
+
+def _bits(inbox: pa.Table, counts: list[int], named: bool = False, offset: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Both answers for all keys sent, in order, and their names (0: none). counts: keys sent to each part."""
+    n = sum(counts)
+    other, lower, name, at = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n if named else 0, U64), np.cumsum([0, *counts])
     for part, body in zip(inbox["part"].to_pylist(), inbox["body"].to_pylist(), strict=True):
-        if part >= 0:
-            n = counts[part]
+        k = part - offset
+        if part >= 0 and 0 <= k < len(counts):
+            n = counts[k]
             size = -(-n // 8)
-            other[at[part] : at[part + 1]] = np.unpackbits(np.frombuffer(body, np.uint8, size), count=n)
-            lower[at[part] : at[part + 1]] = np.unpackbits(np.frombuffer(body, np.uint8, size, size), count=n)
-    return other, lower
+            other[at[k] : at[k + 1]] = np.unpackbits(np.frombuffer(body, np.uint8, size), count=n)
+            lower[at[k] : at[k + 1]] = np.unpackbits(np.frombuffer(body, np.uint8, size, size), count=n)
+            if named:
+                name[at[k] : at[k + 1]][other[at[k] : at[k + 1]]] = unpack_names(body[2 * size :], 0) + (U64(k) << U64(36))
+    return other, lower, name
 
 
 def _kept(inbox: pa.Table) -> bytes:
@@ -160,7 +185,7 @@ class Run:
 
 
 class Shard:
-    """The documents of one shard, by doc_id, nulls last."""
+    """The documents of one shard by doc_id, nulls last, ties by text: the same in every round, however its rows arrive."""
 
     def __init__(self, table: pa.Table, job: Job):
         ids, texts = [], []
@@ -170,7 +195,7 @@ class Shard:
             at = np.cumsum([0, *rows[2]])
             ids += zip(rows[1].tolist(), rows[0].tolist(), strict=True)
             texts += [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-        order = sorted(range(len(ids)), key=ids.__getitem__)
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
         self.null = np.array([bool(ids[i][0]) for i in order], bool)
         self.id = np.array([ids[i][1] for i in order], np.int64)
         self.text = [texts[i] for i in order]
@@ -211,6 +236,25 @@ class Shard:
             at = np.flatnonzero(open_)
             yield run.names(at, self.job.window), at, run
 
+    def triples(self, runs: list[tuple[np.ndarray, np.ndarray, Run]], shared: np.ndarray, name: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each run: keys of the triples of shared names a period apart, their units, and their documents' indices."""
+        step, begin = len(COVERS[self.job.period]), 0
+        for own, at, run in runs:
+            open_, mine = shared[begin : begin + len(own)], name[begin : begin + len(own)]
+            begin += len(own)
+            doc = run.docs_at(at)
+            n = max(0, len(at) - 2 * step)
+            k = np.flatnonzero(open_[:n] & open_[step : step + n] & open_[2 * step :][:n] & (doc[:n] == doc[2 * step :][:n]))
+            key = mix(mix(mix(mine[k]) * _TRIPLE + mine[k + step]) * _TRIPLE + mine[k + 2 * step])
+            yield key, at[k], doc[k].astype(np.int32)
+
+    def settled(self, hit: np.ndarray, run: Run) -> np.ndarray:
+        """The units of a run from which a whole window lies within one of the triples' prefixes."""
+        change = np.zeros(len(run) + 1, np.int32)
+        np.add.at(change, hit, 1)
+        np.add.at(change, hit + 2 * self.job.period + self.job.sample - self.job.window + 1, -1)
+        return np.cumsum(change[:-1]) > 0
+
     def reach(self, hit: np.ndarray, run: Run) -> np.ndarray:
         """The units of a run from which a whole window takes in one of the sampled units."""
         change = np.zeros(len(run) + 1, np.int32)
@@ -229,7 +273,7 @@ def _sent(names: np.ndarray, parts: int, bits: int) -> list[int]:
 def _copies(shard: Shard, inbox: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """For each document: whether its text occurs elsewhere, and whether in a smaller document or an earlier row."""
     names, which, count = shard.text_names()
-    other, lower = _bits(inbox, len(names), _sent(names, parts, 64))
+    other, lower, _ = _bits(inbox, _sent(names, parts, 64))
     first = np.full(len(names), -1)
     first[which[::-1]] = np.arange(len(which))[::-1]
     return (other | (count > 1))[which], lower[which] | (first[which] != np.arange(len(which)))
@@ -250,18 +294,30 @@ def _concat(arrays: list[np.ndarray], kind: type) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, kind)
 
 
+def _shared(shard: Shard, k: int, skip: np.ndarray, inbox: pa.Table, parts: int, bits: int, offset: int = 0) -> tuple[list, np.ndarray, np.ndarray]:
+    """The samples of a shard's runs, which of them are shared, and the shared ones' names."""
+    named = shard.job.deeper
+    runs = list(shard.samples(skip, bits))
+    keys, which, count = np.unique(_concat([n for n, _, _ in runs], U64), return_inverse=True, return_counts=True)
+    other, _, name = _bits(inbox, _sent(keys, parts, bits), named, offset)
+    if named:  # what only this shard has twice gets a name that only this shard uses
+        name = np.where(other, name, _LOCAL | U64(k) << U64(32) | np.arange(len(keys), dtype=U64))[which]
+    return runs, (other | (count > 1))[which], name
+
+
 def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndarray, list], pa.Table], fields: str, shard_bytes: int = 16 << 20) -> DataFrame:
     """finish(shard, elsewhere, skip, marks) makes a shard's result. elsewhere: texts that occur elsewhere; skip: exact
     copies of a smaller document (or, with equal ids, of an earlier row); marks: for each run of the other documents, as
     Shard.runs() gives them, the units at which a repeated window starts. A run's sums are not kept from round to round."""
     spark = docs.sparkSession
     tune(spark)
-    size = docs.agg(F.sum(F.octet_length("text")).alias("n"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).first()
-    shards = max(1, -(-(size["n"] or 0) // shard_bytes))
-    ends = docs.filter("doc_id is not null").agg(F.percentile_approx("doc_id", [k / shards for k in range(1, shards)], 10_000).alias("e")).first()["e"] if shards > 1 else []
-    ends = np.array(sorted(set(ends or [])), np.int64)  # a number for each shard
-    parts = max(64, shards)
-    units = max(1, size["n"] or 1)
+    units = max(1, docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 1)
+    if job.by_order:
+        ranges = split(docs.filter("doc_id is not null"), "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)), units, shard_bytes)
+    else:
+        ranges = Ranges.unordered(-(-units // shard_bytes))
+    shards, rank = ranges.shards, ranges.rank
+    parts = max(64, units * 8 // (24 if job.words else 4) // PART_BYTES)  # a key of 8 bytes for about 24, or 4, bytes of text
     bits = min(64, units.bit_length() - 2 + 11)  # a sample meets a stranger with a chance of about 2^-11
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,8 +332,8 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
         for batch in batches:
             ids = batch.column(0).to_pylist()
             raw, at = buffer(batch.column(1))
-            view = raw.tobytes()
-            where = np.searchsorted(ends, np.array([i or 0 for i in ids], np.int64), "left")
+            view, salt = raw.tobytes(), batch.column(2).to_numpy(zero_copy_only=False)
+            where = ranges.place(np.array([i or 0 for i in ids], np.int64), salt) if job.by_order else salt % shards
             for i, k in enumerate(where.tolist()):
                 mine = held.setdefault(k, [0, []])
                 mine[1].append((ids[i], view[at[i] : at[i + 1]]))
@@ -290,7 +346,8 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
         for k in list(held):
             yield flush(k)
 
-    dealt = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(deal, "shard int, bytes long, ids binary, texts binary").repartition(shards, "shard")
+    salt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
+    dealt = docs.select(F.col("doc_id").cast("long"), "text", salt).mapInArrow(deal, "shard int, bytes long, ids binary, texts binary").repartition(shards, "shard")
 
     def number(table: pa.Table) -> int:
         return table["shard"][0].as_py()
@@ -305,39 +362,54 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
         names = distinct(_concat([n for n, _, _ in shard.samples(skip, bits)], U64))
         return _mail([(-1 - k, k, _flags(elsewhere, skip)), *_requests(k, names, parts, bits)])
 
+    def tripled(table: pa.Table, inbox: pa.Table) -> pa.Table:
+        shard, k = Shard(table, job), number(table)
+        _, skip = _unflag(_kept(inbox), len(shard.text), len(shard.text))
+        keys = distinct(_concat([x for x, _, _ in shard.triples(*_shared(shard, k, skip, inbox, parts, bits))], U64))
+        return _mail([(-1 - k, k, _kept(inbox)), *_requests(k, keys, parts, 64)])
+
     def deep(table: pa.Table, inbox: pa.Table) -> pa.Table:
         shard, k = Shard(table, job), number(table)
         elsewhere, skip = _unflag(_kept(inbox), len(shard.text), len(shard.text))
-        runs = list(shard.samples(skip, bits))
-        names, which, count = np.unique(_concat([n for n, _, _ in runs], U64), return_inverse=True, return_counts=True)
-        shared = (_bits(inbox, len(names), _sent(names, parts, bits))[0] | (count > 1))[which]
-        del which, count, names
-        maybe, at = [], 0
-        for own, where, run in runs:
-            maybe.append(shard.reach(where[shared[at : at + len(own)]], run))
+        runs, shared, name = _shared(shard, k, skip, inbox, parts, bits, EARLIER if job.deeper else 0)
+        maybe, settled, at = [], [], 0
+        if job.deeper:
+            triples = list(shard.triples(runs, shared, name))
+            keys, first, which = np.unique(_concat([x for x, _, _ in triples], U64), return_index=True, return_inverse=True)
+            doc = shard.id[_concat([d for _, _, d in triples], np.int32)]
+            hit = _bits(inbox, _sent(keys, parts, 64))[1][which] | (doc > doc[first][which])
+            for (own, where, _), (_, _, run) in zip(triples, runs, strict=True):
+                settled.append(shard.settled(where[hit[at : at + len(own)]], run))
+                at += len(own)
+            del triples, keys, first, which, doc, hit
+        at = 0
+        for i, (own, where, run) in enumerate(runs):
+            open_ = shard.reach(where[shared[at : at + len(own)]], run)
+            maybe.append(open_ & ~settled[i] if job.deeper else open_)
             at += len(own)
-        del runs, shared
+        del runs, shared, name
         names = distinct(_concat([n for n, _, _ in shard.suffixes(skip, maybe)], U64))
         lengths = np.array([len(shard.text), *map(len, maybe)], np.int64).tobytes()
-        return _mail([(-1 - k, k, len(lengths).to_bytes(4, "big") + lengths + _flags(elsewhere, skip, *maybe)), *_requests(k, names, parts, 64)])
+        return _mail([(-1 - k, k, len(lengths).to_bytes(4, "big") + lengths + _flags(elsewhere, skip, *maybe, *settled)), *_requests(k, names, parts, 64)])
 
     def last(table: pa.Table, inbox: pa.Table) -> pa.Table:
         shard = Shard(table, job)
         body = _kept(inbox)
         size = int.from_bytes(body[:4], "big")
         n, *lengths = np.frombuffer(body, np.int64, size // 8, 4).tolist()
-        elsewhere, skip, *maybe = _unflag(body[4 + size :], n, n, *lengths)
+        elsewhere, skip, *rest = _unflag(body[4 + size :], n, n, *lengths, *(lengths if job.deeper else []))
+        maybe, settled = rest[: len(lengths)], rest[len(lengths) :]
         runs = [(own, at, run.docs_at(at).astype(np.int32)) for own, at, run in shard.suffixes(skip, maybe)]
         names, first, which, count = np.unique(_concat([x for x, _, _ in runs], U64), return_index=True, return_inverse=True, return_counts=True)
-        other, lower = _bits(inbox, len(names), _sent(names, parts, 64))
+        other, lower, _ = _bits(inbox, _sent(names, parts, 64))
         if job.by_order:
             doc = shard.id[_concat([d for _, _, d in runs], np.int32)]
             hit = lower[which] | (doc > doc[first][which])
         else:
             hit = (other | (count > 1))[which]
         marks, at = [], 0
-        for (own, where, _), open_ in zip(runs, maybe, strict=True):
-            mark = np.zeros(len(open_), bool)
+        for i, ((own, where, _), open_) in enumerate(zip(runs, maybe, strict=True)):
+            mark = settled[i] if job.deeper else np.zeros(len(open_), bool)
             mark[where[hit[at : at + len(own)]]] = True
             at += len(own)
             marks.append(mark)
@@ -346,9 +418,12 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
     def turn(answers: DataFrame, f: Callable, out: str) -> DataFrame:
         return dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(f, out)
 
-    answers = _answers(dealt.groupBy("shard").applyInArrow(whole_texts, MAIL), parts, 64)
-    answers = _answers(turn(answers, sampled, MAIL), parts, bits)
-    answers = _answers(turn(answers, deep, MAIL), parts, 64)
+    answers = _answers(dealt.groupBy("shard").applyInArrow(whole_texts, MAIL), parts, 64, rank)
+    answers = _answers(turn(answers, sampled, MAIL), parts, bits, rank, job.deeper)
+    if job.deeper:
+        again = answers.filter("part >= 0").withColumn("part", F.col("part") + EARLIER)
+        answers = _answers(turn(answers, tripled, MAIL), parts, 64, rank).unionByName(again)
+    answers = _answers(turn(answers, deep, MAIL), parts, 64, rank)
     return turn(answers, last, fields)
 
 

@@ -1,10 +1,11 @@
-"""Suffix-array dedup of bytes, to the depth that the removal needs.
+"""Suffix-array dedup of bytes with a difference cover, to the depth that the removal needs.
 
-A byte goes if it is covered by a string of 50 bytes that also starts in a document with a smaller doc_id. That needs no
-more of the suffix array than the order of suffixes by their first 50 bytes, up to equality: the suffixes at positions of a
-difference cover are sorted and named first; names of the remaining suffixes are made to full depth where a sampled
-neighbour is shared, merged with the rest, and adjacent equal names compared (see repeats). The names are hashes, so equal
-prefixes are neighbours, but unequal ones are not in alphabetical order, which nothing here asks for.
+A byte goes if it is covered by a string of 50 bytes that also starts in a document with a smaller doc_id. That needs the
+suffix array no deeper than 50 bytes. Suffixes at cover positions modulo 21 are sorted by their first 30 bytes and named;
+triples of names 21 bytes apart are sorted and named in turn, which is one step of recursion and stands for 72 bytes; the
+remaining suffixes, which no longer prefix has settled, are merged by their first 50 bytes, and adjacent ones with equal
+prefixes compared (see repeats). Sort keys are hashes of the prefixes, so equal prefixes are neighbours, but unequal ones are
+not in alphabetical order, which nothing here asks for.
 
 Edge cases: a null or empty text has no bytes; a null doc_id is smaller than none and larger than none, so its text neither
 loses bytes nor takes any; rows that repeat a doc_id leave each other alone; a text below 50 bytes stays; very long texts are
@@ -28,7 +29,7 @@ TYPES = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 st
 
 def remove_repeats(docs: DataFrame, with_bytes: bool = True, shard_bytes: int = 8 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes); kept_bytes is null unless with_bytes."""
-    job = Job(words=False, window=50, period=31, by_order=True)
+    job = Job(words=False, window=50, period=21, by_order=True, deeper=True)
 
     def finish(shard: Shard, elsewhere: np.ndarray, skip: np.ndarray, marks: list) -> pa.Table:
         gone: dict[int, np.ndarray] = {}
