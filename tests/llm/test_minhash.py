@@ -70,6 +70,38 @@ def test_large_groups_are_cut_into_units(spark, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute(rows, 3, 85)
 
 
+def test_chains_of_unlike_texts_are_taken_apart(spark, monkeypatch):
+    """Pages whose common part is less than half: one rough cluster, whose links are few."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rng = random.Random(8)
+    common = [f"c{k}" for k in range(40)]
+    pages = [[*common, *(f"p{i}w{k}" for k in range(45))] for i in range(200)]
+    rows = [" ".join(p) for p in pages] + [" ".join([*p[:-1], "other"]) for p in pages[::5]]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], DOCS)
+    seen = {}
+    plain = minhash.refined
+
+    def watched(clusters, *rest):
+        out = plain(clusters, *rest)
+        seen["rough"], seen["fine"] = (max([r["count"] for r in x.groupBy("cluster").count().collect()]) for x in (clusters, out))
+        return out
+
+    monkeypatch.setattr(minhash, "refined", watched)
+    got = minhash.near_duplicates(docs, 3, 85).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute(rows, 3, 85)
+    assert seen["rough"] > 100 and seen["fine"] < 20, seen
+
+
+def test_texts_come_without_a_broadcast_too(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "SMALL", 0)
+    rows = made(6, 40)
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], DOCS)
+    got = minhash.near_duplicates(docs, 3, 85).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute(rows, 3, 85)
+
+
 def test_a_unit_joins_what_is_similar_only():
     sets = [np.arange(0, 100, dtype=np.uint64), np.arange(5, 105, dtype=np.uint64), np.arange(60, 160, dtype=np.uint64)]
     sig = np.concatenate([minhash.mix(minhash.signatures(s, np.array([0, len(s)]))).astype(np.uint16) for s in sets])

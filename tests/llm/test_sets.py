@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -48,6 +49,20 @@ def test_long_threads_take_few_joins(spark):
     assert r.n_turns == 150 and r.loss_chars == sum(len(f"t{i}") for i in range(1, 150, 2))
 
 
+def test_replies_in_a_circle_raise(spark):
+    kind = "tree string, node long, parent long, role string, text string, score double"
+    for rows in ([(1, 2), (2, 1), (3, 1)], [(1, 1)], [(1, 2), (2, 3), (3, 1), (4, None)]):
+        with pytest.raises(ValueError, match="lead back"):
+            chat.format_chats(spark.createDataFrame([("t", n, p, "user", "x", 0.0) for n, p in rows], kind))
+
+
+def test_repeated_messages_and_extra_columns(spark):
+    rows = [("t", 1, None, "user", "a", 0.5, 1), ("t", 1, None, "user", "a", 0.5, 1), ("t", 1, None, "user", "b", 0.5, 1), ("t", 2, 1, "assistant", None, None, 2), ("t", None, 1, "user", "x", 0.0, 3), (None, 1, None, "user", "x", 0.0, 4), ("t", 2, 1, "assistant", "z", None, 2)]
+    df = spark.createDataFrame(rows, "tree string, node long, parent long, role string, text string, score double, leaf int").withColumn("depth", chat.F.lit("clash"))
+    got = chat.format_chats(df, branches=5).collect()
+    assert [(r.tree, r.leaf, r.formatted) for r in got] == [("t", 2, "<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n")]
+
+
 def test_no_chats(spark):
     assert chat.format_chats(chat.threads(spark.createDataFrame([], CONV))).count() == 0
 
@@ -87,8 +102,71 @@ def test_packing_keeps_all_bytes_and_conflicts(spark):
 
 def test_the_tightest_compatible_bin():
     bins, free = packing.best_fit([(7, 1, 1), (6, 2, 1), (3, 1, 1), (3, 0, 2), (2, 0, 1)], 10, {1: 2, 2: 1})
-    assert bins == [[0], [1, 2], [3], [4]] or bins == [[0, 4], [1, 2], [3]]
-    assert all(f >= 0 for f in free)
+    assert bins == [[0, 4], [1, 2], [3]] and free == [1, 1, 7]
+
+
+def plain_best_fit(items, capacity, conflicts):
+    """Looks at every bin for every item."""
+    bins = []
+    for k, (size, cluster, source) in enumerate(items):
+        against = conflicts.get(source, 0)
+        fits = [(capacity - sum(items[i][0] for i in b), j) for j, b in enumerate(bins) if capacity - sum(items[i][0] for i in b) >= size and not any(items[i][1] & cluster or items[i][2] & against for i in b)]
+        if fits:
+            bins[min(fits)[1]].append(k)
+        else:
+            bins.append([k])
+    return bins
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_best_fit_equals_a_plain_search(seed):
+    rng = np.random.default_rng(seed)
+    items = sorted(((int(rng.integers(0, 60)), int(rng.choice([0, 0, 1, 2, 4])), int(rng.choice([0, 1, 2, 4]))) for _ in range(120)), reverse=True)
+    conflicts = {1: 2, 2: 5, 4: 2}
+    bins, free = packing.best_fit(items, 100, conflicts)
+    assert bins == plain_best_fit(items, 100, conflicts) and free == [100 - sum(items[i][0] for i in b) for b in bins]
+
+
+def test_packing_equals_a_plain_packing(spark):
+    """The whole query, in one shard, against the plain search over all documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = packing.pack(docs, 2048, (("src1", "src2"),)).collect()
+    held = sorted(((d.doc_id, (d.text or "").encode(), d.source) for d in docs.collect()), key=lambda d: (-(len(d[1]) % 2048), d[0]))
+    rest = [d for d in held if len(d[1]) % 2048 or not d[1]]
+    copies = Counter(d[1] for d in held)
+    cluster = {t: 1 << i for i, t in enumerate(t for t, n in copies.items() if n > 1)}
+    source = {s: 1 << i for i, s in enumerate(sorted({d[2] for d in held if d[2]}))}
+    a, b = source["src1"], source["src2"]
+    want = plain_best_fit([(len(t) % 2048, cluster.get(t, 0), source.get(s, 0)) for _, t, s in rest], 2048, {a: b, b: a})
+    got = defaultdict(list)
+    for r in sorted((r for r in rows if r.n_bytes < 2048), key=lambda r: r.slot):
+        got[r.bin_id].append(r.doc_id)
+    assert Counter(map(tuple, got.values())) == Counter(tuple(rest[i][0] for i in own) for own in want)
+    assert sum(r.n_bytes == 2048 for r in rows) == sum(len(d[1]) // 2048 for d in held)
+
+
+def test_named_clusters_never_share_a_bin(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", None, i // 3 if i < 9 else None) for i in range(15)], "doc_id long, text string, source string, component_id long")
+    rows = packing.pack(docs, 1000, cluster="component_id").collect()
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.bin_id].append(r.doc_id)
+    assert all(Counter(i // 3 for i in own if i < 9).most_common(1)[0][1] == 1 for own in bins.values() if min(own) < 9) and len(bins) == 3
+
+
+def test_a_very_long_text_is_cut_once(spark):
+    text = "0123456789abcdef" * (1 << 20)
+    t = time.time()
+    rows = list(packing._shard(0, [(1, "a", len(text), 5, text.encode())], 8192, ()))
+    assert len(rows) == 2048 and time.time() - t < 1
+    out = packing.pack(spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string"), with_text=True).collect()
+    assert b"".join(bytes(r.piece) for r in sorted(out, key=lambda r: r.start)) == text.encode()
+
+
+def test_rows_that_repeat_in_full_are_dealt_out(spark):
+    docs = spark.createDataFrame([(1, "same", "a")] * 400, "doc_id long, text string, source string").repartition(8)
+    rows = packing.pack(docs, 100, shard_rows=50).collect()
+    assert len(rows) == 400 and len({r.bin_id for r in rows}) == 400 and len({r.bin_id.split("-")[0] for r in rows}) > 3
 
 
 def test_packing_messy(messy, empty):
@@ -145,11 +223,12 @@ def test_mixing_messy(messy, empty):
 
 
 def brute_search(rows, k=20, every=20):
-    good = [(i, v, np.floor(64 * np.array(e, float)).astype(int)) for i, (v, e) in enumerate(rows) if e is not None and v is not None and all(x is not None and math.isfinite(x) for x in e)]
+    whole = lambda x: 64 * int(x) if abs(x) > 2**53 else math.floor(64 * x)
+    good = [(i, v, [whole(float(x)) for x in e]) for i, (v, e) in enumerate(rows) if e is not None and v is not None and all(x is not None and math.isfinite(x) for x in e)]
     out = []
     for i, v, q in good:
         if v % every == 0:
-            scores = sorted((-int(np.dot(q[: min(len(q), len(e))], e[: min(len(q), len(e))])), w) for j, w, e in good if j != i)
+            scores = sorted((-sum(a * b for a, b in zip(q, e, strict=False)), w) for j, w, e in good if j != i)
             out += [(v, r + 1, w, -s) for r, (s, w) in enumerate(scores[:k])]
     return Counter(out)
 
@@ -176,6 +255,26 @@ def test_large_components_are_exact(spark):
     assert [(r.vec_id, r.score) for r in topk.search(df).orderBy("rank").collect()] == [(2, a * a + 64 * 192), (1, a * a + 64 * 128)]
 
 
+def test_any_finite_vector_takes_part(spark):
+    """Components of 2^47 and far beyond, whose scores fit a long, and whose products alone do not."""
+    rows = [(20, [0.5, 1.0]), (21, [1e15, 1.0]), (22, [3.0, 2.0]), (41, [1e15, 1e15 - 1]), (43, [-(2.0**50), 7.0]), (44, [2.0**57, -(2.0**56)]), (45, [0.01])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.search(df).collect()) == brute_search(rows)
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.search(df, every=41).collect()
+    far = spark.createDataFrame([(20, [1.0]), (21, [-1e308]), (23, [2.0])], "vec_id long, embedding array<double>")
+    assert [r.vec_id for r in topk.search(far, k=1).collect()] == [23]  # what is too low to show is no error
+
+
+def test_skewed_ids_and_extra_columns(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(v), [float(x) for x in rng.normal(0, 1, 6)]) for v in [*range(60), *[7] * 60, 10**15, -(10**15)]]
+    df = spark.createDataFrame([(*r, 1, "x", 2, 3.0) for r in rows], "vec_id long, embedding array<double>, block int, rank string, q int, score double")
+    got = topk.search(df, rows=8)
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == brute_search(rows)
+    assert topk.blocks(df, 20, 8).count() >= 15  # the id that half of the rows have is many blocks
+
+
 # --- pipeline --------------------------------------------------------------------------------------------------------
 
 

@@ -44,12 +44,12 @@ def test_base_spans_on_documents(spark):
         assert pii.base_spans(r.text or "") == plain_spans(r.text or "")
 
 
-@pytest.mark.parametrize(("text", "kind"), [("mail anna at example dot com .", "email"), ("phone (555) 123-4567 now", "phone"), ('token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" x', "secret")])
+@pytest.mark.parametrize(("text", "kind"), [("iban DE89 3704 0044 0532 0130 00 .", "iban"), ("host 2001:0db8:85a3::8a2e:0370:7334 is up", "ip"), ("ssn 078-05-1120 x", "id"), ("mail anna at example dot com .", "email"), ("phone (555) 123-4567 now", "phone"), ('token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" x', "secret")])
 def test_the_method_adds(text, kind):
     assert kind in {s[0] for s in pii.chooser().choose(text, pii.base_spans(text))}
 
 
-@pytest.mark.parametrize("text", ["he looked at the dot in the book", "on 2024-01-02 we sold 300 units", "see section 3.4.5 and version 12.4.1", "the token was old and the key: rusty"])
+@pytest.mark.parametrize("text", ["he looked at the dot in the book", "on 2024-01-02 we sold 300 units", "see section 3.4.5 and version 12.4.1", "the token was old and the key: rusty", "at 12:30:45 the ratio was 1:2:3 in std::vector", "iban DE00370400440532013000", "part 123-45-6789 is sold out"])
 def test_the_method_leaves_clean_texts(text):
     assert pii.chooser().choose(text, pii.base_spans(text)) == []
 
@@ -68,12 +68,42 @@ def test_obfuscated_addresses_are_proposed_whole(local, last):
     assert ("email", 5, len(text) - 2) in pii.candidates(text)
 
 
-def test_trees_are_right_on_new_spans():
+@pytest.mark.parametrize("half", [0, 1])
+def test_trees_are_right_on_new_spans(half):
+    """New spans in the forms that the trees have seen, and in forms that they have not."""
     import numpy as np
 
-    x, y, _ = pii._generated(np.random.default_rng(99), 1500)
+    x, y, kinds = (np.array(v) for v in pii._generated(np.random.default_rng(99), 3000, half))
     c = pii.chooser()
-    assert ((c._calibrated(c.trees.margin(np.array(x))) > 0.5) == np.array(y, bool)).mean() > 0.95
+    taken = c._calibrated(c.trees.margin(x)) >= np.array([c.least[k] for k in kinds])
+    assert y[taken].mean() > 0.95 and taken[y == 1].mean() > 0.95
+
+
+def test_what_is_added_to_documents_is_planted(spark):
+    """Every added span of the documents is one of the planted secrets."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    added = [r.text[a:b] for r in rows if r.text for k, a, b in pii.chooser().choose(r.text, pii.base_spans(r.text)) if (k, a, b) not in pii.base_spans(r.text)]
+    assert added and all(re.fullmatch("[0-9a-f]{40}", s) for s in added)
+
+
+def test_many_spans_take_no_more_than_their_number():
+    import time
+
+    def seconds(n):
+        text = " ".join(f"a{i}@b.co call 555-123-{1000 + i}" for i in range(n))
+        t = time.time()
+        spans = pii.chooser().choose(text, pii.base_spans(text))
+        assert len(spans) >= n
+        return time.time() - t
+
+    seconds(100)
+    assert seconds(8000) < 8 * seconds(2000)
+
+
+def test_spans_that_overlap():
+    taken = [(0, 5), (10, 12), (20, 30)]
+    plain = lambda a, b: any(x < b and y > a for x, y in taken)
+    assert all(pii._overlaps(taken, a, b) == plain(a, b) for a in range(35) for b in range(a + 1, 36))
 
 
 def test_pii_messy(spark, messy, empty):
@@ -120,6 +150,31 @@ def test_quality_on_documents(spark):
     assert sum(good) / len(good) > 0.97 and sum(bad) / len(bad) < 0.3
 
 
+def test_scores_and_verdicts_equal_a_plain_sum(spark):
+    """Score and `kept` of each document from the words themselves, with the cells' ratios taken as given."""
+    import numpy as np
+
+    from tickloom.llm._text import Words
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    half = len(model.ratio) // 2
+
+    def name(words):  # of one or two words, as the hash that cells are made of
+        raw = b" ".join(words)
+        w = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        return int(w.hash[0]) if len(words) == 1 else int(w.grams(2)[0][0])
+
+    got = {r.doc_id: r for r in quality.judge(docs, model).collect()}
+    for r in docs.filter("length(text) < 3000").orderBy("doc_id").limit(60).collect():
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (r.text or "").encode())
+        cells = [name([x]) % half * 2 for x in w] + [name([a, b]) % half * 2 + 1 for a, b in zip(w, w[1:], strict=False)]
+        score = sum(float(model.ratio[c]) for c in cells) / (len(cells) + model.prior)
+        assert got[r.doc_id].score == pytest.approx(score, abs=1e-5)
+        if abs(score - model.threshold) > 1e-5:
+            assert got[r.doc_id].kept == (not plain_quality(r.text)[-1] and score >= model.threshold)
+
+
 def test_quality_messy(spark, messy, empty):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 1, None), (None, 1, 0), (4, 1, 0), (9, None, None), (1, 1, 0)], "doc_id long, quality int, toxic int")
     model = quality.fit(messy, labels)
@@ -155,6 +210,42 @@ def test_languages_messy(spark, messy, empty):
     assert held == {k: zlib.crc32(str(k).encode()) % 4 == 2 for k in held}
 
 
+def plain_probabilities(net, window):
+    """One window by the definition: each filter at each place, the largest value, softmax."""
+    import math
+
+    width, span = max(langid.WIDTHS), langid.WINDOW - max(langid.WIDTHS) + 1
+    pooled = [0.0] * net.conv.shape[1]
+    for at in range(span):
+        cell = [float(x) for b in window[at : at + width] for x in net.embed[b]]
+        for f in range(len(pooled)):
+            pooled[f] = max(pooled[f], sum(x * float(w) for x, w in zip(cell, net.conv[:, f], strict=True)))
+    z = [sum(p * float(w) for p, w in zip(pooled, net.dense[:-1, k], strict=True)) + float(net.dense[-1, k]) for k in range(len(net.langs))]
+    e = [math.exp(x - max(z)) for x in z]
+    return [x / sum(e) for x in e]
+
+
+def test_predictions_equal_a_plain_network(spark):
+    import numpy as np
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    net = langid.fit(docs)
+    some = docs.orderBy("doc_id").filter("length(text) between 1 and 1500").limit(6)
+    got = {r.doc_id: r for r in langid.predict(some, net).collect()}
+    for r in some.collect():
+        w = langid.windows(r.text.encode())
+        mean = np.mean([plain_probabilities(net, x.tolist()) for x in w], 0)
+        assert got[r.doc_id].score == pytest.approx(mean.max(), abs=1e-4) and got[r.doc_id].lang_pred == net.langs[int(mean.argmax())]
+
+
+def test_no_language_is_left_out(spark):
+    """2000 languages whose rows run by doc_id, more than the sample has room for at per_lang rows each."""
+    docs = spark.range(6000).selectExpr("id as doc_id", "concat('text of language ', int(id / 3)) as text", "concat('l', int(id / 3)) as lang")
+    labelled = {r.lang for r in docs.filter(~langid.held_out(F.col("doc_id"))).select("lang").distinct().collect()}
+    net = langid.fit(docs, per_lang=800, max_rows=2500, per_doc=1)
+    assert set(net.langs) == labelled and len(labelled) > 1900
+
+
 def test_windows_cover_every_byte():
     for n in (0, 1, 127, 128, 129, 1000):
         text = bytes(i % 251 for i in range(n))

@@ -10,8 +10,9 @@ marker can only come from the template, and the way back is exact. The loss mask
 points over the escaped text of each assistant turn.
 
 Edge cases: null text and null role are empty; messages without a tree or node belong to no conversation; a message whose
-parent is missing is a root; equal (tree, node) rows should be numbered apart first, as `threads` does; an empty table
-gives none; extra columns are left out.
+parent is missing is a root; of rows that repeat (tree, node) the least by (parent, role, text, score), nulls first, is the
+message, and the others are no turns (`threads` numbers turns apart, so none repeats); replies that lead back to themselves
+raise an error before any path is enumerated; an empty table gives none; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -52,29 +53,41 @@ def threads(rows: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataF
 def paths(messages: DataFrame) -> DataFrame:
     """(tree, leaf, node, depth from the root) for every leaf and every message on its path."""
     shared_dir(messages.sparkSession)
-    nodes = messages.select("tree", "node", "parent").filter(F.col("tree").isNotNull() & F.col("node").isNotNull())
+    nodes = messages.filter(F.col("tree").isNotNull() & F.col("node").isNotNull()).groupBy("tree", "node").agg(F.min("parent").alias("parent"))
     known = nodes.select("tree", F.col("node").alias("parent")).distinct()
     up = nodes.join(known, ["tree", "parent"], "left_semi").select("tree", "node", F.col("parent").alias("to")).distinct()
     heads = up.select("tree", F.col("to").alias("node")).distinct()
     found = nodes.join(heads, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("height"))
-    step, jump = 1, up
-    while True:
+    most = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    step, jump, jumps = 1, up, []
+    while True:  # a row for each message at most, and none after log2 of the longest thread
         jump = jump.checkpoint()
         if jump.isEmpty():
             break
-        if step > 1 << 40:
+        if step >= most:
             raise ValueError("the replies of a message lead back to it")
-        more = found.join(jump, ["tree", "node"]).select("tree", "leaf", F.col("to").alias("node"), (F.col("height") + step).alias("height"))
-        found = found.unionByName(more).checkpoint()
+        jumps.append((step, jump))
         far = jump.select("tree", F.col("node").alias("to"), F.col("to").alias("beyond"))
         jump = jump.join(far, ["tree", "to"]).select("tree", "node", F.col("beyond").alias("to"))
         step *= 2
+    for step, jump in jumps:
+        more = found.join(jump, ["tree", "node"]).select("tree", "leaf", F.col("to").alias("node"), (F.col("height") + step).alias("height"))
+        found = found.unionByName(more).checkpoint()
     top = found.groupBy("tree", "leaf").agg(F.max("height").alias("_top"))
     return found.join(top, ["tree", "leaf"]).select("tree", "leaf", "node", (F.col("_top") - F.col("height")).alias("depth"))
 
 
-def format_chats(messages: DataFrame, branches: int = 1) -> DataFrame:
-    """(tree, leaf, rank, score, formatted, loss): one row for each of the best branches of each tree."""
+def unique(messages: DataFrame) -> DataFrame:
+    """One row for each (tree, node)."""
+    own = messages.filter(F.col("tree").isNotNull() & F.col("node").isNotNull())
+    least = own.groupBy("tree", "node").agg(F.min(F.struct("parent", "role", "text", "score")).alias("m"))
+    return least.select("tree", "node", "m.parent", "m.role", "m.text", "m.score")
+
+
+def format_chats(messages: DataFrame, branches: int = 1, numbered: bool = False) -> DataFrame:
+    """(tree, leaf, rank, score, formatted, loss): one row for each of the best branches of each tree. numbered: no (tree,
+    node) repeats, as threads() sees to."""
+    messages = messages if numbered else unique(messages)
     full = paths(messages).join(messages.select("tree", "node", "role", "text", "score"), ["tree", "node"])
     role, text = _escaped_role(F.coalesce("role", F.lit(""))), escape(F.coalesce("text", F.lit("")))
     full = full.select("tree", "leaf", "depth", "score", role.alias("role"), text.alias("text"))

@@ -2,8 +2,9 @@
 
 Bytes are embedded; filters of width 2, 3 and 4 slide over windows of `WINDOW` bytes; the maximum of each filter over a
 window feeds a softmax. The network is trained in numpy (Adam, fixed seed) on windows spread over a bounded sample of
-labelled texts: at most `per_lang` rows of a language on average, chosen by a hash of doc_id, never a held-out one, of at
-most 1000 languages, and `max_rows` in all. A prediction reads every byte of a text in windows and averages their probabilities.
+labelled texts: of each language the same number of rows at most, `per_lang`, or less where languages are so many that this
+would pass `max_rows` in all (but one at least), the first by a hash of doc_id, never a held-out one. No language is left out.
+A prediction reads every byte of a text in windows and averages their probabilities.
 
 Edge cases: a null text, or one without a letter, gets `und` and score 0; rows without labels are not learned from; with no
 labelled row at all every text is `und`; rows with equal or null doc_id are judged one by one (null is not held out and not
@@ -17,9 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._state import shared_dir
 from ._text import buffer, tune
 
 WINDOW, WIDTHS, EACH, DEPTH = 128, (2, 3, 4), 12, 8
@@ -115,9 +117,16 @@ def train(x: np.ndarray, y: np.ndarray, langs: tuple[str, ...], epochs: int = 6,
 def fit(docs: DataFrame, per_lang: int = 800, max_rows: int = 20_000, per_doc: int = 4) -> Network | None:
     """Train on the bounded sample; None if no row has a label."""
     tune(docs.sparkSession)
+    shared_dir(docs.sparkSession)
     usable = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
-    rates = usable.groupBy("lang").agg((F.lit(per_lang * 1e6) / F.count("*")).alias("_rate"))
-    drawn = usable.join(F.broadcast(rates.orderBy("lang").limit(1000)), "lang").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("_rate"))
+    counts = usable.groupBy("lang").agg(F.count("*").alias("_n")).checkpoint()
+    langs = counts.count()
+    each = max(1, min(per_lang, max_rows // max(1, langs)))
+    order = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    # about twice as many rows as are wanted and 50 more come to the sort, so that it is small
+    near = usable.join(F.broadcast(counts) if langs <= 100_000 else counts, "lang").filter(order * F.col("_n") <= F.lit((2 * each + 50) * float(1 << 40)))
+    best = Window.partitionBy("lang").orderBy(order, "doc_id", "text")
+    drawn = near.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= each)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,12 +138,14 @@ def fit(docs: DataFrame, per_lang: int = 800, max_rows: int = 20_000, per_doc: i
             if kept:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept, strict=True), (pa.int64(), pa.int32(), pa.string(), pa.binary()), strict=True)], ["doc_id", "k", "lang", "window"])
 
-    rows = drawn.select(F.col("doc_id").cast("long"), "text", "lang").mapInArrow(spread, "doc_id long, k int, lang string, window binary").orderBy("doc_id", "k", "lang", "window").limit(max_rows * per_doc).collect()
+    rows = drawn.select(F.col("doc_id").cast("long"), "text", "lang").mapInArrow(spread, "doc_id long, k int, lang string, window binary").collect()
     if not rows:
         return None
+    rows.sort(key=lambda r: (r["doc_id"], r["k"], r["lang"], r["window"]))
     langs = tuple(sorted({r["lang"] for r in rows}))
     x = np.frombuffer(b"".join(bytes(r["window"]) for r in rows), np.uint8).reshape(-1, WINDOW)
-    return train(x, np.array([langs.index(r["lang"]) for r in rows]), langs)
+    number = {lang: i for i, lang in enumerate(langs)}
+    return train(x, np.array([number[r["lang"]] for r in rows]), langs)
 
 
 def predict(docs: DataFrame, net: Network | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

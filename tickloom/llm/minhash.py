@@ -6,7 +6,9 @@ signature values. Bands of four minima, and bands of four maxima, of different p
 a similarity of 0.85 all 32 bands miss once in 10^10 pairs.
 
 Documents with equal sets are one class, carried on by its smallest doc_id. Classes that share a bucket are first gathered
-into rough clusters through the smallest of each bucket (a superset of all links). Inside a cluster every pair counts: the
+into rough clusters through the smallest of each bucket (a superset of all links). A cluster of more than one block whose
+buckets have fewer pairs than all its members is a chain of unlike texts rather than one group: there the pairs of each bucket are
+checked by signature, and what these leave connected are its clusters. Inside a cluster every pair counts: the
 members are cut into blocks, each pair of blocks is one unit of work of bounded size, and in it a pair is compared unless
 its two sides are joined already: first by signature (seven deviations below the wanted similarity), then exactly, on full
 sets. A unit takes the member nearest to all others first, so in a group of near copies of one text almost all pairs are
@@ -31,6 +33,7 @@ from ._text import U64, Words, buffer, distinct, mix, pieces, tune, window_hash
 from .components import components
 
 PERMUTATIONS, ROWS, BLOCK = 64, 4, 512
+SMALL = 1_000_000  # ids that a broadcast may hold, of 8 bytes
 _SEEDS = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
 FACTORS, SHIFTS = _SEEDS[:PERMUTATIONS] | U64(1), _SEEDS[PERMUTATIONS:]
 
@@ -130,11 +133,12 @@ class _Joined:
         self.up[self.root(x)] = self.root(y)
 
 
-def links_of_unit(nodes: list[int], side: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], alone: bool, num: int, den: int) -> list[tuple[int, int]]:
-    """Links that join what is similar in one unit; only pairs across sides unless the unit is a block with itself."""
+def links_of_unit(nodes: list[int], side: np.ndarray, sig: np.ndarray, sets: list[np.ndarray] | None, alone: bool, num: int, den: int) -> list[tuple[int, int]]:
+    """Links that join what is similar in one unit; only pairs across sides unless the unit is a block with itself. Without
+    sets, what may be similar by signature."""
     share = num / den
     least = int(sig.shape[1] * (share - 7 * np.sqrt(share * (1 - share) / PERMUTATIONS)))
-    sizes = np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets]) if sets else np.ones(len(nodes), np.int64)
     alike = np.stack([(sig == s).sum(1, dtype=np.int32) for s in sig])
     joined, found = _Joined(len(nodes)), []
     for x in np.argsort(-alike.sum(1), kind="stable"):
@@ -145,6 +149,10 @@ def links_of_unit(nodes: list[int], side: np.ndarray, sig: np.ndarray, sets: lis
         for y in np.flatnonzero(able):
             if joined.root(x) == joined.root(y):
                 continue
+            if sets is None:
+                joined.join(x, y)
+                found.append((nodes[x], nodes[y]))
+                continue
             a, b = (sets[x], sets[y]) if len(sets[x]) < len(sets[y]) else (sets[y], sets[x])
             at = np.searchsorted(b, a)
             both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
@@ -155,7 +163,8 @@ def links_of_unit(nodes: list[int], side: np.ndarray, sig: np.ndarray, sets: lis
 
 
 def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): enough links to join all that are joined by similar pairs of one cluster."""
+    """(a, b): enough links to join all that are joined by similar pairs of one cluster; where `set` is null, by pairs whose
+    signatures are."""
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     units = sets.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = units.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other", "blocks")
@@ -168,7 +177,7 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
             seen = {(x["node"], x["set"]): x for x in held}
             rows = list(seen.values())
             if len(rows) > 1:
-                found = links_of_unit([x["node"] for x in rows], np.array([x["own"] for x in rows]), np.stack([np.frombuffer(x["sig"], np.uint16) for x in rows]), [np.frombuffer(x["set"], U64) for x in rows], rows[0]["i"] == rows[0]["j"], num, den)
+                found = links_of_unit([x["node"] for x in rows], np.array([x["own"] for x in rows]), np.stack([np.frombuffer(x["sig"], np.uint16) for x in rows]), [np.frombuffer(x["set"], U64) for x in rows] if rows[0]["set"] is not None else None, rows[0]["i"] == rows[0]["j"], num, den)
                 if found:
                     a, b = zip(*found, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -184,6 +193,26 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
     return units.mapInArrow(run, "a long, b long")
 
 
+def _blocks(members: DataFrame, by: str) -> DataFrame:
+    """How many blocks each group's members are."""
+    return members.groupBy(by).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+
+
+def refined(clusters: DataFrame, members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Rough clusters (node, cluster), with chains of unlike texts taken apart: pairs of one bucket are checked by signature,
+    and what they leave connected is a cluster. Every pair that shares a bucket and may be similar stays in one cluster."""
+    m = F.col("m").cast("double")
+    large = clusters.groupBy("cluster").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK)
+    buckets = members.join(clusters.join(large, "cluster"), "node").groupBy("cluster", "m", "key").agg(F.count("*").cast("double").alias("b"))
+    chains = buckets.groupBy("cluster", "m").agg(F.sum(F.col("b") * F.col("b")).alias("pairs")).filter(F.col("pairs") < m * m).select("cluster").checkpoint()
+    if chains.isEmpty():
+        return clusters
+    loose = members.join(clusters.join(chains, "cluster"), "node").select("node", F.col("key").alias("cluster"))
+    loose = loose.join(_blocks(loose, "cluster"), "cluster").join(classes.select("node", "sig"), "node").withColumn("set", F.lit(None).cast("binary"))
+    apart = components(_links(loose, num, den)).select("node", F.col("root").alias("cluster"))
+    return clusters.join(chains, "cluster", "left_anti").select("node", "cluster").unionByName(apart).checkpoint()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): documents linked if den * common >= num * all distinct shingles."""
     spark = docs.sparkSession
@@ -196,14 +225,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     heads = members.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").select("key", "head")
     rough = members.join(heads, "key").filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     # two sets of one doc_id are one node, and are linked whatever their similarity
-    clusters = components(rough).withColumnRenamed("root", "cluster").checkpoint()
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    wanted = clusters.join(sizes, "cluster").join(classes.select("node", "sig", *own), "node")
-    texts = wanted.select("cluster", "blocks", "node", "sig", "s1").join(docs.select(F.col("doc_id").alias("node"), "text"), "node")
+    clusters = refined(components(rough).withColumnRenamed("root", "cluster").checkpoint(), members, classes, num, den)
+    wanted = clusters.join(_blocks(clusters, "cluster"), "cluster").join(classes.select("node", "sig", *own), "node").checkpoint()
+    ids = wanted.select("node").distinct()
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(F.broadcast(ids) if wanted.count() <= SMALL else ids, "node", "left_semi")
+    texts = wanted.select("cluster", "blocks", "node", "sig", "s1").join(texts, "node")
     links = _links(_sets(texts, size), num, den)
     roots = components(links).withColumnRenamed("root", "component_id")
     named = classes.select(*own, "node").join(roots, "node", "left").select(*own, F.coalesce("component_id", "node").alias("component_id"))
-    out = signed.select("doc_id", *own).join(named, own, "left")
+    full = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()  # all that have no set would be one key
+    out = signed.filter(full).select("doc_id", *own).join(named, own, "left")
+    out = out.unionByName(signed.filter(~full).select("doc_id", *own, F.lit(None).cast("long").alias("component_id")))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

@@ -85,6 +85,6 @@ def realise(docs: DataFrame, weights: DataFrame, seed: int = 17, block_tokens: i
     return rows.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in made], *[F.col(c).alias(k) for k, c in made.items()])
 
 
-def mix(docs: DataFrame, entropy: float | None = None, repeats: float = 2.0, budget: int | None = None, seed: int = 17, block_tokens: int = 2_000_000) -> DataFrame:
+def mix(docs: DataFrame, entropy: float | None = None, repeats: float = 2.0, budget: int | None = None, seed: int = 17, block_tokens: int = 2_000_000, max_sources: int = 10_000) -> DataFrame:
     """plan() and realise() in one."""
-    return realise(docs, plan(docs, entropy, repeats, budget), seed, block_tokens)
+    return realise(docs, plan(docs, entropy, repeats, budget, max_sources), seed, block_tokens)

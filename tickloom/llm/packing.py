@@ -1,12 +1,15 @@
 """Best-fit packing under conflicts.
 
 A document is its bytes. Whole runs of `capacity` bytes fill bins of their own; what is left of each document is packed,
-longest first, into bins ordered by what they have left. A bin carries two bitmaps: its sources, and its clusters of exact
-copies. The search starts at the tightest bin with room and goes on to the next until one has neither the document's
-cluster nor a source that conflicts with its own; else a bin is opened.
+longest first, into bins ordered by what they have left. A bin carries two bitmaps: its sources, and its clusters of
+duplicates. The search starts at the tightest bin with room and goes on to the next until one has neither the document's
+cluster nor a source that conflicts with its own; else a bin is opened. Clusters are those of the column `cluster`, such as a
+component of near copies, and where that is null or not named, exact copies.
 
-Documents are dealt by a hash into shards of about `shard_rows`, each packed on its own, so a shard is the most that one
-task holds, whatever the size of a source or of a group of copies. Bitmaps number the clusters within a shard.
+Documents are dealt by a hash into shards of about `shard_rows`, or with text of about `shard_bytes` if these are more, each
+packed on its own, one after the other, so a shard is the most that a task holds, whatever the size of a source or of a group
+of copies. The hash takes in the partition that a row comes from, so that rows which repeat in full are dealt out too; the
+same files give the same bins. Bitmaps number the clusters within a shard.
 
 Edge cases: null or empty texts take 0 bytes and still get a place; rows that repeat a doc_id conflict through their text;
 a null source conflicts with none; an empty table gives no bins; other columns are left out.
@@ -54,8 +57,8 @@ def best_fit(items: list[tuple[int, int, int]], capacity: int, conflicts: dict[i
 
 
 def _shard(shard: int, rows: list[tuple], capacity: int, pairs: tuple[tuple[str, str], ...]) -> Iterator[tuple]:
-    """Rows of the result for one shard. rows: (doc_id, source, bytes, hash of the text, text or None)."""
-    rows.sort(key=lambda r: (-(r[2] % capacity), r[0] is None, r[0] or 0, r[3]))
+    """Rows of the result for one shard. rows: (doc_id, source, length, cluster, bytes of the text or None)."""
+    rows.sort(key=lambda r: (-(r[2] % capacity), r[0] is None, r[0] or 0, r[3], r[1] or "", r[4] or b""))
     copies = Counter(r[3] for r in rows)
     bit = {h: 1 << i for i, h in enumerate(sorted(h for h, n in copies.items() if n > 1))}
     source = {s: 1 << i for i, s in enumerate(sorted({r[1] for r in rows if r[1] is not None}))}
@@ -77,25 +80,24 @@ def _shard(shard: int, rows: list[tuple], capacity: int, pairs: tuple[tuple[str,
             yield f"{shard}-{b}", slot, doc_id, n - n % capacity, n % capacity, free[b], text
 
 
-def pack(docs: DataFrame, capacity: int = 8192, source_conflicts: tuple[tuple[str, str], ...] = (), shard_rows: int = 10_000, with_text: bool = False) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = 8192, source_conflicts: tuple[tuple[str, str], ...] = (), shard_rows: int = 10_000, with_text: bool = False, cluster: str | None = None, shard_bytes: int = 64 << 20) -> DataFrame:
     """One row per piece: its bin, slot, document, first byte and length, and the bytes that its bin has left. with_text
     adds the piece's own bytes."""
     tune(docs.sparkSession)
-    shards = max(1, -(-docs.count() // shard_rows))
-    text = F.col("text") if with_text else F.lit(None).cast("string")
-    rows = docs.select("doc_id", "source", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), text.alias("text"))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "n", "h"), F.lit(shards)).cast("int")).repartition(shards, "shard")
+    length = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    size = docs.agg(F.count("*").alias("rows"), F.sum(length).alias("bytes")).first()
+    shards = max(1, -(-size["rows"] // shard_rows), -(-(size["bytes"] or 0) // shard_bytes) if with_text else 0)
+    text = F.coalesce("text", F.lit("")).cast("binary") if with_text else F.lit(None).cast("binary")
+    copies = F.xxhash64(F.coalesce("text", F.lit("")))
+    group = copies if cluster is None else F.when(F.col(cluster).isNull(), copies).otherwise(F.xxhash64(F.lit("cluster"), F.col(cluster)))
+    shard = F.pmod(F.xxhash64("doc_id", length, copies, F.spark_partition_id()), F.lit(shards)).cast("int")
+    rows = docs.select("doc_id", "source", length.alias("n"), group.alias("h"), text.alias("text"), shard.alias("shard")).repartition(shards, "shard").sortWithinPartitions("shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple]] = {}
-        for batch in batches:
-            doc_id, source, n, h, body, shard = (c.to_pylist() for c in batch.columns)
-            for k, *row in zip(shard, doc_id, source, n, h, body, strict=True):
-                held.setdefault(k, []).append(tuple(row))
-        for k in sorted(held):
+        def packed(k: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
             out, size = [], 0
-            for row in _shard(k, held[k], capacity, source_conflicts):
-                piece = row[6].encode()[row[3] : row[3] + row[4]] if row[6] is not None else b"" if with_text else None
+            for row in _shard(k, held, capacity, source_conflicts):
+                piece = row[6][row[3] : row[3] + row[4]] if with_text else None
                 out.append((*row[:6], piece))
                 size += 64 + len(piece or b"")
                 if size > 4 << 20:
@@ -104,6 +106,18 @@ def pack(docs: DataFrame, capacity: int = 8192, source_conflicts: tuple[tuple[st
             if out:
                 yield batch_of(out)
 
+        now, held = -1, []
+        for batch in batches:
+            doc_id, source, n, h, body, shard = (c.to_pylist() for c in batch.columns)
+            for k, *row in zip(shard, doc_id, source, n, h, body, strict=True):
+                if k != now and held:
+                    yield from packed(now, held)
+                    held = []
+                now = k
+                held.append(tuple(row))
+        if held:
+            yield from packed(now, held)
+
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True))[: 7 if with_text else 6]
         kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]

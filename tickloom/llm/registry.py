@@ -67,7 +67,7 @@ FROM shown GROUP BY conv_id
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL).alias("text"))
-    return chat.digest(chat.format_chats(chat.threads(rows.unionByName(more))))
+    return chat.digest(chat.format_chats(chat.threads(rows.unionByName(more)), numbered=True))
 
 
 OP8_SQL = """

@@ -2,17 +2,22 @@
 
 Vectors become integers, floor(64 x). Rows are cut into blocks by ranges of vec_id; a block is stored as a matrix (its
 forward index) with the largest and least value of each dimension. For a query the sum over dimensions of the larger of
-q * max and q * min bounds every score in a block. First each block of queries scores the block with the largest bounds,
-which gives a floor for its k-th scores. Then only pairs of query block and row block whose bound reaches a floor are
-scored, in descending order of bounds, and a block is skipped as soon as its bound falls below the k-th score.
+q * max and q * min bounds every score in a block. Outlines of blocks (only these bounds) lie on shelves of SHELF blocks, and
+each pack of queries meets each shelf once: first to find each query's block with the largest bound, whose k-th score is the
+query's floor; then to name the blocks whose bound reaches the floor. Per query these are scored in descending order of
+bounds, until bounds fall below its k-th score.
 
-Edge cases: vectors that are null, or hold null or non-finite components, or integers of 2^53 or more, and rows
-without a vec_id, take no part; shorter vectors count as ending in zeros; rows that repeat a vec_id are rows of their own,
-and only the query's own row is no candidate; fewer than k candidates are all returned; an empty table gives none; extra columns are left out.
+Vectors with a component that a 64-bit product cannot take are in blocks of their own, and are scored with Python's integers.
+
+Edge cases: vectors that are null, or hold null or non-finite components, and rows without a vec_id, take no part; any other
+vector does, and a score among the k best that no long can hold raises an error; shorter vectors count as ending in zeros;
+rows that repeat a vec_id are rows of their own, and only the query's own row is no candidate; fewer than k candidates are
+all returned; an empty table gives none; extra columns are left out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,186 +25,257 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._ranges import split
 from ._state import shared_dir
 from ._text import tune
 
 BLOCK = "block long, dim int, ids binary, rows binary, high binary, low binary, queries binary"
-PAIRS = 16
+PAIRS, SHELF, PACK, PART = 16, 256, 256, 16
+WIDE = 2.0**57  # 64 x of less than this in every component is an exact 64-bit integer
 
 
 def _record(columns: list[list], kinds: list[pa.DataType], names: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names.split())
 
 
-def quantized(vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Integer rows (short ones padded with 0) of the usable vectors, and which these are."""
+def usable(vectors: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+    """The vectors that take part, and which these are."""
     lists = [None if v is None else np.array([np.nan if x is None else x for x in v], float) for v in vectors.to_pylist()]
-    good = [i for i, v in enumerate(lists) if v is not None and np.isfinite(v).all() and (np.abs(v) < 2.0**47).all()]
-    dim = max((len(lists[i]) for i in good), default=0)
-    out = np.zeros((len(good), dim), np.int64)
-    for r, i in enumerate(good):
-        out[r, : len(lists[i])] = np.floor(64.0 * lists[i])
-    return out, np.array(good, int)
+    good = [i for i, v in enumerate(lists) if v is not None and np.isfinite(v).all()]
+    return [lists[i] for i in good], np.array(good, int)
+
+
+def _floats(m: np.ndarray) -> np.ndarray:
+    """Integers as floats; what is past their range is infinite."""
+    if m.dtype != object:
+        return m.astype(float)
+    most = 1 << 1023
+    return np.array([float(x) if -most < x < most else (math.inf if x > 0 else -math.inf) for x in m.ravel().tolist()]).reshape(m.shape)
+
+
+def _padded(vectors: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros((len(vectors), max(map(len, vectors), default=0)))
+    for r, v in enumerate(vectors):
+        out[r, : len(v)] = v
+    return out
 
 
-def _pack(m: np.ndarray) -> bytes:
-    """Rows as 16-bit integers if these hold them, with a first byte that says so."""
-    small = not m.size or np.abs(m).max() < 1 << 15
-    return (b"\2" if small else b"\x08") + m.astype(np.int16 if small else np.int64).tobytes()
+def pack(m: np.ndarray) -> bytes:
+    """Rows of doubles as their integers of 2 or 8 bytes, or where these overflow as they are; a first byte says which."""
+    if m.size and np.abs(m).max() >= WIDE:
+        return b"\xff" + m.tobytes()
+    whole = np.floor(64.0 * m)
+    small = not m.size or np.abs(whole).max() < 1 << 15
+    return (b"\2" if small else b"\x08") + whole.astype(np.int16 if small else np.int64).tobytes()
 
 
-def _unpack(b: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(b, np.int16 if b[0] == 2 else np.int64, offset=1).reshape(-1, dim) if dim else np.zeros((0, 0), np.int64)
+def unpack(b: bytes, dim: int, rows: int) -> np.ndarray:
+    """The integers of pack(); Python's own where 64 bits do not hold them."""
+    if b[0] != 0xFF:
+        return np.frombuffer(b, np.int16 if b[0] == 2 else np.int64, offset=1).reshape(rows, dim)
+    exact = [int(x) * 64 if abs(x) >= 2.0**53 else math.floor(64.0 * x) for x in np.frombuffer(b, offset=1).tolist()]
+    return np.array(exact, object).reshape(rows, dim)
 
 
 def blocks(table: DataFrame, every: int, rows: int) -> DataFrame:
     """One row per block of at most `rows` vectors from one range of vec_id; `queries` has the positions of its queries."""
-    found = table.select("vec_id", "embedding").filter(F.col("embedding").isNotNull() & F.col("vec_id").isNotNull())
-    ends = found.agg(F.min("vec_id").alias("a"), F.max("vec_id").alias("b"), F.count("*").alias("n")).first()
-    ranges = max(1, -(-ends["n"] // rows))
-    width = max(1, -(-((ends["b"] or 0) - (ends["a"] or 0) + 1) // ranges))
-    found = found.withColumn("range", F.floor((F.col("vec_id") - (ends["a"] or 0)) / width).cast("long")).repartition(ranges, "range")
+    found = table.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter(F.col("embedding").isNotNull() & F.col("vec_id").isNotNull())
+    ranges = split(found, "vec_id", F.lit(0), found.count(), rows)
+    salt = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(1 << 40))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            where = ranges.place(batch.column(0).to_numpy(), batch.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(where, pa.int64())], ["vec_id", "embedding", "range"])
+
+    own = f"vec_id long, embedding {found.schema['embedding'].dataType.simpleString()}, range long"
+    dealt = found.select("vec_id", "embedding", salt).mapInArrow(placed, own).repartition(ranges.shards, "range").sortWithinPartitions("range", "vec_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[tuple[int, bool], list[tuple[int, np.ndarray]]] = {}
         made: dict[int, int] = {}
 
-        def flush(k: int) -> pa.RecordBatch:
-            dim = max(m.shape[1] for _, m in held[k])
-            ids = np.concatenate([i for i, _ in held[k]])
-            m = np.concatenate([np.pad(m, ((0, 0), (0, dim - m.shape[1]))) for _, m in held[k]])
-            del held[k]
-            made[k] = made.get(k, -1) + 1
+        def flush(key: tuple[int, bool]) -> pa.RecordBatch:
+            own = held.pop(key)
+            m = _padded([v for _, v in own])
+            ids = np.array([i for i, _ in own], np.int64)
+            made[key[0]] = made.get(key[0], -1) + 1
+            exact = unpack(pack(m), m.shape[1], len(m))
             asked = np.flatnonzero(ids % every == 0)
-            columns = [[k * 1_000_000 + made[k]], [dim], [ids.tobytes()], [_pack(m)], [m.max(0).astype(float).tobytes()], [m.min(0).astype(float).tobytes()], [asked.tobytes()]]
+            edge = lambda v, up: np.nextafter(_floats(v), up)
+            columns = [[key[0] * 1_000_000 + made[key[0]]], [m.shape[1]], [ids.tobytes()], [pack(m)], [edge(exact.max(0), np.inf).tobytes()], [edge(exact.min(0), -np.inf).tobytes()], [asked.tobytes()]]
             return _record(columns, [pa.int64(), pa.int32(), *[pa.binary()] * 5], "block dim ids rows high low queries")
 
         for batch in batches:
-            m, good = quantized(batch.column(1))
+            vectors, good = usable(batch.column(1))
             ids, at = (np.array(batch.column(i).to_pylist(), np.int64)[good] for i in (0, 2))
-            for k in np.unique(at):
-                own = at == k
-                held.setdefault(int(k), []).append((ids[own], m[own]))
-                if sum(len(i) for i, _ in held[int(k)]) >= rows:
-                    yield flush(int(k))
-        for k in sorted(held):
-            yield flush(k)
+            for v, i, k in zip(vectors, ids.tolist(), at.tolist(), strict=True):
+                key = (k, bool(len(v) and np.abs(v).max() >= WIDE))
+                held.setdefault(key, []).append((i, v))
+                if len(held[key]) >= rows:
+                    yield flush(key)
+            for key in [x for x in held if len(at) and x[0] < at[-1]]:  # rows come in order of ranges
+                yield flush(key)
+        for key in sorted(held):
+            yield flush(key)
 
-    return found.mapInArrow(run, BLOCK)
+    return dealt.mapInArrow(run, BLOCK)
 
 
 def _scores(q: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Exact integer products: by floats where these are exact, else by integers."""
+    """Exact integer products: by floats or 64-bit integers where these are exact, else by Python's integers."""
     dim = min(q.shape[1], m.shape[1])
     q, m = q[:, :dim], m[:, :dim]
-    largest = float(np.abs(q).max(initial=0)) * float(np.abs(m).max(initial=0)) * max(dim, 1)
-    return (q.astype(float) @ m.T.astype(float)).astype(np.int64) if largest < 2.0**53 else q.astype(np.int64) @ m.T.astype(np.int64)
+    largest = float(np.abs(_floats(q)).max(initial=0)) * float(np.abs(_floats(m)).max(initial=0)) * max(dim, 1)
+    if largest < 2.0**53:
+        return (q.astype(float) @ m.T.astype(float)).astype(np.int64)
+    kind = np.int64 if largest < 2.0**62 else object
+    return q.astype(kind) @ m.T.astype(kind) if dim else np.zeros((len(q), len(m)), np.int64)
 
 
 def _bounds(q: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    dim = min(q.shape[1], len(high))
-    q = q[:, :dim].astype(float)
-    return np.maximum(q, 0) @ high[:dim] + np.minimum(q, 0) @ low[:dim] + 0.5
+    """For queries and blocks (a row each) what no score passes, with room for what floats round."""
+    dim = min(q.shape[1], high.shape[1])
+    q = _floats(q[:, :dim])
+    up, down = np.maximum(q, 0), np.minimum(q, 0)
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = up @ high[:, :dim].T + down @ low[:, :dim].T
+        room = up @ np.abs(high[:, :dim]).T - down @ np.abs(low[:, :dim]).T
+        out = out + room * 1e-12 + 0.5
+    return np.where(np.isnan(out), np.inf, out)
 
 
-def _best(score: np.ndarray, ids: np.ndarray, least: float, k: int) -> np.ndarray:
-    """Positions of the k highest scores of at least `least`, ties by id."""
-    own = np.flatnonzero(score >= least)
-    if len(own) > k:
-        own = own[score[own] >= np.partition(score[own], -k)[-k]]
-    return own[np.lexsort((ids[own], -score[own]))[:k]]
+def _below(x: np.ndarray) -> np.ndarray:
+    """Floats that are not above some integers."""
+    f = _floats(x)
+    return np.where(np.isfinite(f), f - np.abs(f) * 2.0**-50, np.where(f > 0, 1e308, f))
 
 
-def search(table: DataFrame, every: int = 20, k: int = 20, rows: int = 4096) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k best rows. Queries are the rows whose vec_id `every` divides."""
-    spark = table.sparkSession
-    shared_dir(spark)
-    tune(spark, PAIRS)
-    stored = blocks(table, every, rows).checkpoint()
-    n = max(1, stored.count())
+def _best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k highest scores, ties by id."""
+    own = np.arange(len(score))
+    if len(own) > k and score.dtype != object:
+        own = np.flatnonzero(score >= np.partition(score, -k)[-k])
+    return np.array(sorted(own.tolist(), key=lambda i: (-score[i], ids[i])), int)[:k] if score.dtype == object else own[np.lexsort((ids[own], -score[own]))[:k]]
+
+
+def _stack(rows: list[bytes]) -> np.ndarray:
+    return _padded([np.frombuffer(r) for r in rows])
+
+
+def candidates(stored: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Packs of queries, and (pack, block, bounds, floors): the pairs in which some query's bound reaches its floor."""
 
-    def queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in batch.to_pylist():
                 asked = np.frombuffer(x["queries"], np.int64)
-                if len(asked):
-                    q = _unpack(x["rows"], x["dim"])[asked] if x["dim"] else np.zeros((len(asked), 0), np.int64)
-                    yield _record([[x["block"]], [x["dim"]], [asked.tobytes()], [np.frombuffer(x["ids"], np.int64)[asked].tobytes()], [_pack(q)]], [pa.int64(), pa.int32(), *[pa.binary()] * 3], "q qdim qat qids qrows")
+                ids = np.frombuffer(x["ids"], np.int64)
+                width = {2: 2, 8: 8, 255: 8}[x["rows"][0]] * x["dim"]
+                for a in range(0, len(asked), PACK):
+                    own = asked[a : a + PACK]
+                    body = x["rows"][:1] + b"".join(x["rows"][1 + width * i : 1 + width * (i + 1)] for i in own.tolist())
+                    yield _record([[x["block"] * 4096 + a // PACK], [x["block"]], [x["dim"]], [own.tobytes()], [ids[own].tobytes()], [body]], [pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 3], "q home qdim qat qids qrows")
+
+    asked = stored.select("block", "dim", "ids", "rows", "queries").mapInArrow(packs, "q long, home long, qdim int, qat binary, qids binary, qrows binary").checkpoint()
+    shelves = max(1, -(-stored.count() // SHELF))
+    outlines = stored.select(F.pmod(F.xxhash64("block"), F.lit(shelves)).alias("shelf"), "block", "high", "low")
+    outlines = outlines.groupBy("shelf").agg(F.collect_list(F.struct("block", "high", "low")).alias("outlines"))  # about SHELF of them
+    meet = asked.withColumn("shelf", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shelves - 1).cast("long")))).join(outlines, "shelf")
+
+    def queries(x: dict) -> np.ndarray:
+        return unpack(x["qrows"], x["qdim"], len(x["qids"]) // 8)
 
-    asked = stored.mapInArrow(queries, "q long, qdim int, qat binary, qids binary, qrows binary").checkpoint()
-    outlines = stored.select("block", "high", "low")
-    names = asked.select("q").collect()  # one number for each block of queries
-    pairs = outlines.withColumn("q", F.explode(F.array(*[F.lit(r["q"]) for r in names]) if names else F.expr("cast(array() as array<bigint>)")))
+    def shelf_bounds(x: dict) -> np.ndarray:
+        return _bounds(queries(x), _stack([o["high"] for o in x["outlines"]]), _stack([o["low"] for o in x["outlines"]]))
 
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def highest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
             for x in batch.to_pylist():
-                b = _bounds(_unpack(x["qrows"], x["qdim"]) if x["qdim"] else np.zeros((len(x["qids"]) // 8, 0)), np.frombuffer(x["high"]), np.frombuffer(x["low"]))
-                out.append((x["q"], x["block"], float(b.sum()), b.tobytes()))
-            if out:
-                yield _record([list(c) for c in zip(*out, strict=True)], [pa.int64(), pa.int64(), pa.float64(), pa.binary()], "q block total bounds")
-
-    bounds = pairs.join(asked.select("q", "qdim", "qids", "qrows"), "q").mapInArrow(bound, "q long, block long, total double, bounds binary").checkpoint()
+                b = shelf_bounds(x)
+                at = b.argmax(1)
+                n = len(b)
+                yield _record([[x["q"]] * n, list(range(n)), [x["outlines"][j]["block"] for j in at.tolist()], b[np.arange(n), at].tolist()], [pa.int64(), pa.int32(), pa.int64(), pa.float64()], "q i block bound")
 
-    def floor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in batch.to_pylist():
-                m, q = _unpack(x["rows"], x["dim"]), _unpack(x["qrows"], x["qdim"])
-                if not (x["dim"] and x["qdim"]):
-                    continue
-                s = _scores(q, m).astype(float)
-                if x["q"] == x["block"]:
-                    s[np.arange(len(s)), np.frombuffer(x["qat"], np.int64)] = -np.inf
-                least = np.partition(s, -k, 1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
-                yield _record([[x["q"]], [least.tobytes()]], [pa.int64(), pa.binary()], "q floors")
-
-    first = bounds.groupBy("q").agg(F.max_by("block", F.struct("total", "block")).alias("block"))
-    floors = first.join(asked, "q").join(stored.select("block", "dim", "rows"), "block").mapInArrow(floor, "q long, floors binary")
+                own = np.array(x["own"])
+                m = unpack(x["rows"], x["dim"], len(x["ids"]) // 8)
+                s = _scores(queries(x)[own], m)
+                at, out = np.frombuffer(x["qat"], np.int64)[own], []
+                for row, mine in zip(s, at.tolist(), strict=True):
+                    row = np.delete(row, mine) if x["home"] == x["block"] else row
+                    out.append(-np.inf if len(row) < k else float(_below(np.sort(row)[-k : len(row) - k + 1])[0]))
+                yield _record([[x["q"]] * len(own), own.tolist(), out], [pa.int64(), pa.int32(), pa.float64()], "q i floor")
+
+    first = meet.mapInArrow(highest, "q long, i int, block long, bound double").groupBy("q", "i").agg(F.max_by("block", F.struct("bound", "block")).alias("block"))
+    first = first.groupBy("q", "block").agg(F.collect_list("i").alias("own"))  # PACK of them at most
+    least = first.join(asked, "q").join(stored.select("block", "dim", "ids", "rows"), "block").mapInArrow(floors, "q long, i int, floor double")
+    least = least.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("i", "floor"))).alias("floors"))
 
     def reaches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([f is None or bool((np.frombuffer(b) >= np.frombuffer(f)).any()) for b, f in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)], pa.bool_()))
+            for x in batch.to_pylist():
+                b, floor = shelf_bounds(x), np.array([f["floor"] for f in x["floors"]])
+                own = np.flatnonzero((b >= floor[:, None]).any(0))
+                if len(own):
+                    yield _record([[x["q"]] * len(own), [x["outlines"][j]["block"] for j in own.tolist()], [b[:, j].tobytes() for j in own.tolist()], [floor.tobytes()] * len(own)], [pa.int64(), pa.int64(), pa.binary(), pa.binary()], "q block bounds floors")
 
-    kept = bounds.join(floors, "q", "left").mapInArrow(reaches, "q long, block long, total double, bounds binary, floors binary")
-    full = kept.join(asked, "q").join(stored.select("block", "dim", "ids", "rows"), "block")
-    parts = max(1, n // 8)
-    full = full.withColumn("part", F.pmod(F.hash("block"), F.lit(parts))).repartition("q", "part").sortWithinPartitions("q", "part", F.desc("total"), "block")
+    return asked, meet.join(least, "q").mapInArrow(reaches, "q long, block long, bounds binary, floors binary")
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, best, least, qids = None, [], np.zeros(0), np.zeros(0, np.int64)
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            own = [(int(qids[i]), key[0], i, int(v), int(s)) for i, (ids, scores) in enumerate(best) for v, s in zip(ids, scores, strict=True)]
-            if own:
-                yield _record([list(c) for c in zip(*own, strict=True)], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()], "query_id q i vec_id score")
+def search(table: DataFrame, every: int = 20, k: int = 20, rows: int = 4096) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query's k best rows. Queries are the rows whose vec_id `every` divides."""
+    spark = table.sparkSession
+    shared_dir(spark)
+    tune(spark, PAIRS)
+    stored = blocks(table, every, rows).checkpoint()
+    asked, kept = candidates(stored, k)
+    parts = max(1, -(-stored.count() // PART))
+    full = kept.withColumn("part", F.pmod(F.hash("block"), F.lit(parts))).join(asked, "q").join(stored.select("block", "dim", "ids", "rows"), "block")
+    full = full.repartition("q", "part").sortWithinPartitions("q", "part", "block")
 
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(held: list[dict]) -> Iterator[pa.RecordBatch]:
+            one = held[0]
+            qids, qat = np.frombuffer(one["qids"], np.int64), np.frombuffer(one["qat"], np.int64)
+            q, floor = unpack(one["qrows"], one["qdim"], len(qids)), np.frombuffer(one["floors"])
+            matrix = [unpack(x["rows"], x["dim"], len(x["ids"]) // 8) for x in held]
+            ids, bounds = [np.frombuffer(x["ids"], np.int64) for x in held], np.stack([np.frombuffer(x["bounds"]) for x in held])
+            out: list[tuple] = []
+            for i in range(len(qids)):
+                best, names, least = np.zeros(0, np.int64), np.zeros(0, np.int64), floor[i]
+                for j in np.argsort(-bounds[:, i], kind="stable").tolist():
+                    if bounds[j, i] < least:
+                        break
+                    s, own = _scores(q[i : i + 1], matrix[j])[0], ids[j]
+                    if held[j]["block"] == one["home"]:
+                        s, own = np.delete(s, qat[i]), np.delete(own, qat[i])
+                    best, names = np.concatenate([best, s]), np.concatenate([names, own])
+                    top = _best(best, names, k)
+                    best, names = best[top], names[top]
+                    if len(best) == k:
+                        least = max(least, float(_below(best[-1:])[0]))
+                for s, own in zip(best.tolist(), names.tolist(), strict=True):
+                    fits = -(2**63) <= s < 2**63
+                    out.append((int(qids[i]), one["q"], i, own, s if fits else None, None if fits else float(s > 0)))
+            if out:
+                yield _record([list(c) for c in zip(*out, strict=True)], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64()], "query_id q i vec_id score over")
+
+        key, held = None, []
         for batch in batches:
             for x in batch.to_pylist():
                 if key != (x["q"], x["part"]):
-                    if key:
-                        yield from flush()
-                    key, qids = (x["q"], x["part"]), np.frombuffer(x["qids"], np.int64)
-                    best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in qids]
-                    least = np.frombuffer(x["floors"]).copy() if x["floors"] is not None else np.full(len(qids), -np.inf)
-                open_ = np.flatnonzero(np.frombuffer(x["bounds"]) >= least)
-                if not len(open_):
-                    continue
-                ids = np.frombuffer(x["ids"], np.int64)
-                q = _unpack(x["qrows"], x["qdim"]) if x["qdim"] else np.zeros((len(qids), 0), np.int64)
-                m = _unpack(x["rows"], x["dim"]) if x["dim"] else np.zeros((len(ids), 0), np.int64)
-                s, at = _scores(q[open_], m), np.frombuffer(x["qat"], np.int64)
-                for row, i in zip(s, open_, strict=True):
-                    use = np.delete(np.arange(len(ids)), at[i]) if x["q"] == x["block"] else slice(None)
-                    new = _best(row[use], ids[use], least[i], k)
-                    all_ids, all_scores = np.concatenate([best[i][0], ids[use][new]]), np.concatenate([best[i][1], row[use][new]])
-                    top = np.lexsort((all_ids, -all_scores))[:k]
-                    best[i] = (all_ids[top], all_scores[top])
-                    if len(top) == k:
-                        least[i] = max(least[i], float(all_scores[top[-1]]))
-        if key:
-            yield from flush()
-
-    found = full.mapInArrow(score, "query_id long, q long, i int, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("q", "i").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                    if held:
+                        yield from flush(held)
+                    key, held = (x["q"], x["part"]), []
+                held.append(x)
+        if held:
+            yield from flush(held)
+
+    found = full.mapInArrow(score, "query_id long, q long, i int, vec_id long, score long, over double")
+    # what no long can hold sorts before or after all that one can; among the k best it is an error
+    rank = F.row_number().over(Window.partitionBy("q", "i").orderBy(F.desc(F.coalesce(F.col("over") * 2 - 1, F.lit(0.0))), F.desc("score"), "vec_id"))
+    value = F.when(F.col("over").isNull(), F.col("score")).otherwise(F.raise_error(F.lit("a score does not fit a long")).cast("long"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", value.alias("score"))
