@@ -96,3 +96,23 @@ def close_to(a: Column, b: Column, rtol: float = 1e-9, atol: float = 1e-6) -> Co
 def changed(now: Column, before: Column) -> Column:
     """Differs from what was before, where the first value always does."""
     return ~now.eqNullSafe(before)
+
+
+def money(volume: Column, price: Column) -> Column:
+    """What a volume is worth at a price."""
+    return volume * price
+
+
+def side_difference(buy: Column, sell: Column) -> Column:
+    """How far two orders' money, turnover or return are apart, whichever is larger."""
+    return F.abs(buy - sell)
+
+
+def packed_price(vendor: Column) -> Column:
+    """A vendor's integer price (x 10000) as the float that channels keep."""
+    return vendor.cast("float")
+
+
+def packed_volume(vendor: Column) -> Column:
+    """A vendor's volume in thousandths as whole units."""
+    return F.floor(vendor / 1000).cast("long")

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import codes, times, values
 from ..schemas import CHANNELS
 from ..session import table, work_dir
 from ..sources import readers, writers
 from ..streaming import bars as sbars
 from . import factors, q_bars
 from .catalog import query
-from .q_orders import shanghai
+from .q_orders import so_far_sql, shanghai, snapshot_sql
 from .q_scalars import EV_SQL, ev
 
 c = F.col
@@ -44,6 +45,13 @@ def s4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.all_channels(spark, landed(spark, sf_dir)).select("msg_type", "nano_timestamp", c("Symbol").alias("sym"), c("BizIndex").alias("biz"), c("Price").alias("price"))
 
 
+@query("s3_filtered_orders", f"{MSG_SQL} SELECT lpad(CAST(sym AS VARCHAR), 6, '0') || CASE WHEN sym < 400000 THEN '.XSHE' WHEN sym < 700000 THEN '.XSHG' ELSE '.OTHER' END AS code, round(CAST(price AS DOUBLE) / 10000, 9) AS price, CAST(biz AS INTEGER) AS biz FROM msg WHERE msg_type = 62")
+def s3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all channels, the messages of one type, with codes and prices as analysts take them."""
+    rows = readers.all_channels(spark, landed(spark, sf_dir)).filter(c("msg_type") == 62)
+    return rows.select(codes.code(c("Symbol")).alias("code"), F.round(values.price(c("Price").cast("double")), 9).alias("price"), c("BizIndex").alias("biz"))
+
+
 @query("s5_time_range", f"{MSG_SQL} SELECT CAST(biz AS INTEGER) AS biz FROM msg WHERE msg_type = 61 AND nano_timestamp >= 1704500000000000000 AND nano_timestamp < 1705500000000000000 AND exchange = 'SH'")
 def s5(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = readers.channel(spark, f"{landed(spark, sf_dir)}/tick", "tick")
@@ -54,7 +62,10 @@ def s5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards named by date; only the columns that bars take are read."""
     root = work_dir(spark, "shards")
-    writers.archive(messages(spark, sf_dir, "tick"), f"{root}/ticks_2024-01-02_0", "tick")
+    rows = messages(spark, sf_dir, "tick")
+    for shard in range(3):  # dealt by symbol; the shards of a date are read as one
+        writers.archive(rows.filter(F.pmod(c("Symbol"), F.lit(3)) == shard), f"{root}/ticks_2024-01-02_{shard}", "tick")
+    writers.archive(rows, f"{root}/ticks_2024-01-03_0", "tick")
     return readers.tick_shards(spark, root, "2024-01-02").select("code", "tm", F.round("current", 9).alias("current"), "volume", "money")
 
 
@@ -74,14 +85,8 @@ def _vendor_ticks(spark: SparkSession, sf_dir: str, universe: str) -> DataFrame:
     return readers.vendor_ticks(spark, path, e.filter(universe).select(codes.alias("code"))).select("code", "tm", "current")
 
 
-@query("s9_vendor_ticks", "SELECT lpad(CAST(user_id AS VARCHAR), 6, '0') || '.XSHE' AS code, CAST(hour(ts) * 10000000 + minute(ts) * 100000 + millisecond(ts) AS BIGINT) AS tm, value AS current FROM events WHERE user_id % 4 = 0")
+@query("s9_vendor_ticks", "SELECT lpad(CAST(user_id AS VARCHAR), 6, '0') || '.XSHE' AS code, CAST(hour(ts) * 10000000 + minute(ts) * 100000 + millisecond(ts) AS BIGINT) AS tm, value AS current FROM events WHERE user_id IS NOT NULL")
 def s9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks of one code in four, as its SQL has it; s9_vendor_ticks_all has all codes."""
-    return _vendor_ticks(spark, sf_dir, "user_id % 4 = 0")
-
-
-@query("s9_vendor_ticks_all", "SELECT lpad(CAST(user_id AS VARCHAR), 6, '0') || '.XSHE' AS code, CAST(hour(ts) * 10000000 + minute(ts) * 100000 + millisecond(ts) AS BIGINT) AS tm, value AS current FROM events WHERE user_id IS NOT NULL")
-def s9_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks of all codes; a tick without a code is of none."""
     return _vendor_ticks(spark, sf_dir, "user_id IS NOT NULL")
 
@@ -127,15 +132,8 @@ def _minute_counts(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return spark.read.parquet(out).groupBy(c("date").cast("string").alias("date"), "file_hhmm").agg(F.count("*").alias("n"))
 
 
-@query("k2_k3_minute_files", "SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date, CAST(CASE WHEN label < 926 THEN 926 WHEN label < 931 THEN 931 WHEN label >= 1131 AND label < 1301 THEN 1301 WHEN label % 100 = 59 THEN (label // 100 + 1) * 100 ELSE label + 1 END AS INTEGER) AS file_hhmm, count(*) AS n FROM (SELECT ts, hour(ts + INTERVAL 8 HOUR) * 100 + minute(ts) AS label FROM events WHERE event_type = 'click' AND user_id % 20 = 0) GROUP BY ALL")
+@query("k2_k3_minute_files", "SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date, CAST(CASE WHEN label < 926 THEN 926 WHEN label < 931 THEN 931 WHEN label >= 1131 AND label < 1301 THEN 1301 WHEN label % 100 = 59 THEN (label // 100 + 1) * 100 ELSE label + 1 END AS INTEGER) AS file_hhmm, count(*) AS n FROM (SELECT ts, hour(ts + INTERVAL 8 HOUR) * 100 + minute(ts) AS label FROM events WHERE event_type = 'click') GROUP BY ALL")
 def k2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages per minute file of one user in twenty, as its SQL has it; k2_k3_minute_files_all has the whole channel."""
-    own = table(spark, sf_dir, "events").filter("user_id % 20 = 0").select("event_id")
-    return _minute_counts(spark, messages(spark, sf_dir, "order").join(own, c("BizIndex") == c("event_id"), "left_semi"))
-
-
-@query("k2_k3_minute_files_all", "SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date, CAST(CASE WHEN label < 926 THEN 926 WHEN label < 931 THEN 931 WHEN label >= 1131 AND label < 1301 THEN 1301 WHEN label % 100 = 59 THEN (label // 100 + 1) * 100 ELSE label + 1 END AS INTEGER) AS file_hhmm, count(*) AS n FROM (SELECT ts, hour(ts + INTERVAL 8 HOUR) * 100 + minute(ts) AS label FROM events WHERE event_type = 'click') GROUP BY ALL")
-def k2_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages per minute file, of every message of the channel."""
     return _minute_counts(spark, messages(spark, sf_dir, "order"))
 
@@ -148,31 +146,46 @@ def k4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("code", F.regexp_replace(F.substring("datetime", 1, 19), "T", " ").alias("at"), F.when(c("close") != "null", c("close")).alias("close"), "volume")
 
 
-@query("k5_k6_factor_files", "SELECT CAST(symbol AS BIGINT) AS symbol, CAST(493 AS INTEGER) AS columns FROM (SELECT unnest(range(40)) AS symbol)")
+PLAIN = [n for n in factors.names() if "_count" in n or "vwapx" in n]  # what ten digits of CSV keep to three decimals
+
+
+@query("k5_k6_factor_files", f"SELECT CAST(symbol AS BIGINT) AS symbol, CAST(493 AS INTEGER) AS columns, {', '.join(PLAIN)} FROM ({snapshot_sql()})")
 def k5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The snapshot as CSV, with a column for each factor."""
+    """The snapshot as CSV, with a column for each factor, read back."""
     path = work_dir(spark, "factors-csv")
     writers.factors_csv(factors.snapshot(shanghai(spark, sf_dir)), path)
     rows = spark.read.option("header", True).csv(path)
-    return rows.select(c("symbol").cast("long").alias("symbol"), F.lit(len(rows.columns)).alias("columns"))
+    return rows.select(c("symbol").cast("long").alias("symbol"), F.lit(len(rows.columns)).alias("columns"), *[F.round(c(n).cast("double"), 3).alias(n) for n in PLAIN])
+
 
+@query("k6_factor_parquet", f"SELECT CAST(symbol AS BIGINT) AS symbol, CAST(label AS BIGINT) AS label, {', '.join(PLAIN)} FROM ({so_far_sql()})")
+def k6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots at nine times of the day as Parquet, a partition for each time, read back."""
+    path = work_dir(spark, "factors-parquet")
+    writers.factors_parquet(factors.snapshots_so_far(shanghai(spark, sf_dir), lambda tm: times.next_minute(times.div(tm, 100_000))), path)
+    return spark.read.parquet(path).select(c("symbol").cast("long").alias("symbol"), c("label").cast("long").alias("label"), *[F.round(n, 3).alias(n) for n in PLAIN])
 
-@query("k8_latency_rows", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+
+@query("k8_latency_rows", "SELECT event_type, count(*) AS n, round(avg(value), 6) AS avg_delay, max(value) AS max_delay, max(ts) AS last FROM events GROUP BY event_type")
 def k8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row for each channel and interval, appended as CSV."""
+    """A row for each channel and interval with its average and largest delay, appended as CSV and read back."""
     path = work_dir(spark, "latency")
-    state = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.max("ts").alias("ts"))
+    state = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.avg("value").alias("avg_delay"), F.max("value").alias("max_delay"), F.max("ts").cast("string").alias("last"))  # as text, which CSV does not cut to milliseconds
     writers.append_csv(state, path)
-    return spark.read.option("header", True).csv(path).select("event_type", c("n").cast("long").alias("n"))
+    rows = spark.read.option("header", True).csv(path)
+    return rows.select("event_type", c("n").cast("long").alias("n"), F.round(c("avg_delay").cast("double"), 6).alias("avg_delay"), c("max_delay").cast("double").alias("max_delay"), c("last").cast("timestamp_ntz").alias("last"))
 
 
-@query("k10_comparison_tables", "SELECT CAST(count(*) AS BIGINT) AS mismatches FROM events WHERE event_id % 4 = 0")
+@query("k10_comparison_tables", "SELECT 'summary' AS part, CAST(count(*) FILTER (WHERE event_id % 4 = 0) AS BIGINT) AS n, round(CAST(count(*) FILTER (WHERE event_id % 4 <> 0) AS DOUBLE) / count(*), 9) AS x FROM events UNION ALL SELECT 'worst', least(count(*), 200), 1.0 FROM events WHERE event_id % 4 = 0 UNION ALL SELECT 'diff', event_id, CASE WHEN event_id % 4 = 0 THEN 1.0 ELSE 0.0 END FROM events UNION ALL SELECT 'synth', event_id, round(value, 6) FROM events")
 def k10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A comparison is written out and its summary read."""
+    """All tables of a comparison are written out and read back."""
     path = work_dir(spark, "comparison")
-    e = table(spark, sf_dir, "events").select("event_id", "value")
-    writers.comparison(e, e.withColumn("value", F.when(c("event_id") % 4 == 0, c("value") + 1).otherwise(c("value"))), ["event_id"], {"value": 1e-6}, path)
-    return spark.read.parquet(f"{path}/summary").select(c("value_mismatches").alias("mismatches"))
+    e = table(spark, sf_dir, "events").select("event_id", c("value").cast("decimal(18,6)").cast("double").alias("value"))
+    writers.comparison(e, e.withColumn("value", F.when(c("event_id") % 4 == 0, c("value") + 1).otherwise(c("value"))), ["event_id"], {"value": 1e-6}, path, 200)
+    summary = spark.read.parquet(f"{path}/summary").select(F.lit("summary").alias("part"), c("value_mismatches").alias("n"), F.round("value_rate", 9).alias("x"))
+    worst = spark.read.parquet(f"{path}/worst").groupBy(F.round("worst", 6).alias("x")).agg(F.count("*").alias("n")).select(F.lit("worst").alias("part"), "n", "x")
+    diff = spark.read.parquet(f"{path}/diff").select(F.lit("diff").alias("part"), c("event_id").alias("n"), F.round("value_diff", 6).alias("x"))
+    return summary.union(worst).union(diff).union(spark.read.parquet(f"{path}/synth").select(F.lit("synth"), "event_id", F.round("value", 6)))
 
 
 CURRENT_SQL = f"SELECT b.* FROM ({q_bars.BARS_SQL}) b JOIN (WITH {q_bars.TICKS_SQL} SELECT code, max(tm) // 100000 AS last FROM ticks GROUP BY code) t ON t.code = b.code WHERE hour(b.datetime) * 100 + minute(b.datetime) <= CASE WHEN t.last % 100 = 59 THEN (t.last // 100 + 1) * 100 ELSE t.last + 1 END"
@@ -183,7 +196,7 @@ def r9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run to the end of the input; minutes after a code's last tick are not filled."""
     state, path = work_dir(spark, "current"), work_dir(spark, "current-in")
     ticks = q_bars.ticks(spark, sf_dir)
-    ticks.coalesce(1).write.parquet(path)
+    ticks.write.parquet(path)
     stream = spark.readStream.schema(ticks.schema).parquet(path)
     sbars.versioned(stream, q_bars.previous(spark, sf_dir), state, fill_all=False).trigger(availableNow=True).start().awaitTermination()
     return sbars.latest(spark.read.parquet(f"{state}/published")).select("datetime", "code", *sbars.VALUES)
@@ -195,8 +208,8 @@ def r10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, out = work_dir(spark, "dump-in"), work_dir(spark, "dump")
     rows = table(spark, sf_dir, "events").filter("event_type = 'view'").select("user_id", "ts")
     for part in range(2):
-        rows.filter(F.pmod(c("user_id"), F.lit(2)) == part).coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows.filter(F.pmod(c("user_id"), F.lit(2)) == part).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(path)
     dump = lambda frame, k: frame.write.mode("overwrite").parquet(f"{out}/dump={k}")
     stream.groupBy("user_id").agg(F.count("*").alias("n")).writeStream.outputMode("complete").foreachBatch(dump).option("checkpointLocation", f"{out}-c").trigger(availableNow=True).start().awaitTermination()
     every = spark.read.parquet(out)

@@ -211,10 +211,10 @@ def _family_sql(family: str, prefix: str) -> str:
     return f"SELECT symbol, {', '.join(out)} FROM {source} GROUP BY symbol"
 
 
-def _snapshot_sql(families: list[tuple[str, str]], columns: list[str]) -> str:
+def _snapshot_sql(families: list[tuple[str, str]], columns: list[str], rules: str = SH_SQL, first: int = 0) -> str:
     parts = [f"(SELECT DISTINCT symbol FROM rich_o UNION SELECT DISTINCT symbol FROM rich_w UNION SELECT DISTINCT symbol FROM rich_t) rack", *(f"({_family_sql(f, p)}) {f}_{p} USING (symbol)" for f, p in families)]
     shown = ", ".join(f"coalesce({c}, 0.0) AS {c}" if "_count" in c else c for c in columns)
-    return f"WITH {BASE_SQL}, {SH_SQL}, {RICH_SQL} SELECT symbol, {shown} FROM {' LEFT JOIN '.join(parts)}"
+    return f"WITH {BASE_SQL}, {rules}, {RICH_SQL} SELECT symbol + {first} AS symbol, {shown} FROM {' LEFT JOIN '.join(parts)}"
 
 
 def _rounded(frame: DataFrame) -> DataFrame:
@@ -224,7 +224,24 @@ def _rounded(frame: DataFrame) -> DataFrame:
 ALL_FAMILIES = [("order", "buy"), ("order", "sell"), ("withdraw", "buy"), ("withdraw", "sell"), ("trade", "both"), ("trade", "buy"), ("trade", "sell")]
 
 
-@query("d14_factor_snapshot", _snapshot_sql(ALL_FAMILIES, factors.names()))
+def snapshot_sql() -> str:
+    """All factors of Shanghai's symbols."""
+    return _snapshot_sql(ALL_FAMILIES, factors.names())
+
+
+SHANGHAI = 600_000  # Shanghai's symbols begin here, so the two exchanges have none in common
+_BOTH = f"SELECT * FROM ({_snapshot_sql(ALL_FAMILIES, factors.names(), SH_SQL, SHANGHAI)}) UNION ALL SELECT * FROM ({_snapshot_sql(ALL_FAMILIES, factors.names(), SZ_SQL)})"
+
+
+@query("d14_all_market_snapshot", _BOTH)
+def d14_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 492 factors of every symbol of both exchanges, from one lifecycle."""
+    sh = shanghai(spark, sf_dir)
+    own = lambda rows: rows.withColumn("symbol", F.col("symbol") + SHANGHAI)
+    return _rounded(factors.snapshot(orders.both(orders.Lifecycle(own(sh.orders), own(sh.withdraws), own(sh.trades)), shenzhen(spark, sf_dir))))
+
+
+@query("d14_factor_snapshot", snapshot_sql())
 def d14(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 492 factors of every symbol."""
     return _rounded(factors.snapshot(shanghai(spark, sf_dir)))
@@ -276,7 +293,7 @@ def d13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("symbol", F.col("label").cast("long").alias("label"), F.col("count").alias("trades"), F.round(m.mean("trademoney"), 6).alias("trademoney_mean"), F.round(m.std("trademoney"), 2).alias("trademoney_std"), F.round(m.vwapx(), 4).alias("tradevwapx"), "buyorders")
 
 
-def _so_far_sql() -> str:
+def so_far_sql() -> str:
     """_snapshot_sql() as of each of the nine times."""
     head = f"WITH {BASE_SQL}, {SH_SQL}, {RICH_SQL}, asked AS (SELECT CAST(unnest([{', '.join(map(str, factors.TIMES))}]) AS BIGINT) AS label)"
     parts = ["(SELECT symbol, label FROM (SELECT symbol FROM rich_o UNION SELECT symbol FROM rich_w UNION SELECT symbol FROM rich_t) CROSS JOIN asked) rack"]
@@ -289,14 +306,20 @@ def _so_far_sql() -> str:
     return f"{head} SELECT symbol, label, {shown} FROM {' LEFT JOIN '.join(parts)}"
 
 
-@query("d13_cumulative_factors_all", _so_far_sql())
+@query("d13_cumulative_factors_all", so_far_sql())
 def d13_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 492 factors of every symbol so far, at nine times of the day."""
     out = factors.snapshots_so_far(shanghai(spark, sf_dir), lambda tm: times.next_minute(times.div(tm, 100_000)))
     return out.select("symbol", "label", *[F.col(c) if "_count" in c else F.round(c, 3).alias(c) for c in factors.names()])
 
 
-@query("d19_factor_sanity", "SELECT CAST(40 AS BIGINT) AS symbols, CAST(0 AS BIGINT) AS negative_counts, CAST(0 AS BIGINT) AS odd_prices")
+def _sanity_sql() -> str:
+    """Faults counted over all columns of the snapshot."""
+    bad = lambda kind, test: " + ".join(f"CAST(coalesce({test.format(n)}, false) AS INTEGER)" for n in factors.names() if kind in n)
+    return f"SELECT count(*) AS symbols, CAST(sum({bad('_count', '{0} < 0')}) AS BIGINT) AS negative_counts, CAST(sum({bad('vwapx', '({0} <= 0 OR {0} > 5000)')}) AS BIGINT) AS odd_prices FROM ({snapshot_sql()})"
+
+
+@query("d19_factor_sanity", _sanity_sql())
 def d19(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts are never negative, prices stay within (0, 5000]."""
     return factors.sane(factors.snapshot(shanghai(spark, sf_dir)))

@@ -34,14 +34,8 @@ def _rack(codes: DataFrame) -> DataFrame:
     return codes.select("user_id").distinct().withColumn("label", F.explode(times.labels()))
 
 
-@query("j2_code_minute_rack", "SELECT u.user_id, CAST(m // 60 * 100 + m % 60 AS INTEGER) AS label FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 10 = 0) u, (SELECT unnest(range(571, 691)) AS m UNION ALL SELECT unnest(range(781, 901)))")
+@query("j2_code_minute_rack", "SELECT u.user_id, CAST(m // 60 * 100 + m % 60 AS INTEGER) AS label FROM (SELECT DISTINCT user_id FROM events) u, (SELECT unnest(range(571, 691)) AS m UNION ALL SELECT unnest(range(781, 901)))")
 def j2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rack of one code in ten, as its SQL has it; j2_code_minute_rack_all has all codes."""
-    return _rack(events(spark, sf_dir).filter("user_id % 10 = 0"))
-
-
-@query("j2_code_minute_rack_all", "SELECT u.user_id, CAST(m // 60 * 100 + m % 60 AS INTEGER) AS label FROM (SELECT DISTINCT user_id FROM events) u, (SELECT unnest(range(571, 691)) AS m UNION ALL SELECT unnest(range(781, 901)))")
-def j2_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rack(events(spark, sf_dir))
 
 

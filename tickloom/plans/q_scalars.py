@@ -57,12 +57,12 @@ SIDE = "CASE raw WHEN 1 THEN 66 WHEN 2 THEN 83 END"
 simple("p8_order_normalise", f"CAST({SIDE} AS SMALLINT) AS side, CAST(CASE event_id % 12 WHEN 2 THEN 65 WHEN 10 THEN 68 WHEN 11 THEN 83 END AS SMALLINT) AS sh_type, CAST(CASE event_id % 12 WHEN 1 THEN 50 WHEN 2 THEN 49 WHEN 3 THEN 85 END AS SMALLINT) AS sz_type", lambda: {"side": codes.side(c("raw")), "sh_type": codes.order_type(c("event_id") % 12, F.lit(True)), "sz_type": codes.order_type(c("event_id") % 12, F.lit(False))})
 simple("p9_trade_normalise", "CAST(CASE raw WHEN 0 THEN 78 WHEN 1 THEN 66 WHEN 2 THEN 83 END AS SMALLINT) AS sh_side, CAST(CASE WHEN raw = 0 THEN 70 ELSE 52 END AS SMALLINT) AS sz_type", lambda: {"sh_side": codes.sh_trade_side(c("raw")), "sz_type": codes.sz_trade_type(c("raw"))})
 simple("p10_sz_trade_side", "CAST(CASE WHEN user_id > raw THEN 66 ELSE 83 END AS SMALLINT) AS side", lambda: {"side": codes.sz_trade_side(c("user_id"), c("raw"))})
-simple("p11_money", "vol * value AS money", lambda: {"money": c("vol") * c("value")})
+simple("p11_money", "vol * value AS money", lambda: {"money": values.money(c("vol"), c("value"))})
 simple("p12_book_levels", "CAST(CASE WHEN raw >= 1 THEN vol ELSE 0 END AS BIGINT) AS l1, CAST(CASE WHEN raw >= 2 THEN vol ELSE 0 END AS BIGINT) AS l2, CAST(vol AS BIGINT) AS top", lambda: {"l1": values.level(F.slice(values.book([c("vol")] * 10), 1, c("raw").cast("int")), 1).cast("long"), "l2": values.level(F.slice(values.book([c("vol")] * 10), 1, c("raw").cast("int")), 2).cast("long"), "top": values.level(values.book([c("vol")] * 10), 10).cast("long")})
 simple("p13_px_to_ret", "CASE WHEN user_id % 3 = 0 THEN NULL ELSE greatest(least(value / user_id - 1, 0.2), -0.2) END AS ret", lambda: {"ret": values.px_to_ret(c("value"), F.when(c("user_id") % 3 != 0, c("user_id")))})
 simple("p14_turnover", "CASE WHEN raw = 0 THEN NULL ELSE value / raw END AS turnover", lambda: {"turnover": values.turnover(c("value"), c("raw"))})
 simple("p15_time_lag", f"{cont('tm')} - {cont('93000000')} AS lag_ms, abs({cont('tm')} - {cont('140000000')}) AS distance_ms", lambda: {"lag_ms": times.time_lag(c("tm"), F.lit(93_000_000)), "distance_ms": F.abs(times.time_lag(c("tm"), F.lit(140_000_000)))})
-simple("p16_side_difference", "abs(value - user_id) AS diff", lambda: {"diff": F.abs(c("value") - c("user_id"))})
+simple("p16_side_difference", "abs(value - user_id) AS diff", lambda: {"diff": values.side_difference(c("value"), c("user_id"))})
 simple("p17_finite", "CASE WHEN raw IN (0, 1) THEN NULL ELSE value END AS x", lambda: {"x": values.finite(F.when(c("raw") == 0, float("nan")).when(c("raw") == 1, float("inf")).otherwise(c("value")))})
 simple("p18_next_trading_minute", f"{NEXT.format(l='label')} AS next_minute, CASE WHEN label < 931 THEN 931 WHEN label = 1130 THEN 1301 WHEN label < 1500 THEN {NEXT.format(l='label')} ELSE 0 END AS next_bar", lambda: {"next_minute": times.next_minute(c("label")), "next_bar": times.next_trading_minute(c("label"))})
 LABEL = f"CAST(CASE WHEN tm < 92500000 THEN -1 WHEN tm < 93000000 THEN 931 WHEN tm = 113000000 THEN 1130 WHEN tm = 150000000 THEN 1500 WHEN tm > 113000000 AND tm < 130000000 THEN -2 WHEN tm > 150000000 AND tm <= 150500000 THEN -3 WHEN tm > 150500000 THEN -4 ELSE {NEXT.format(l='(tm // 100000)')} END AS INTEGER)"
@@ -79,7 +79,7 @@ simple("p26_spread_vwap", "CASE WHEN (value + 2 * raw) / 2 < 1e-9 THEN 0.0 ELSE
 simple("p28_string_parts", "CASE WHEN raw = 0 THEN '' ELSE event_type || '_' || user_id END AS head, CASE WHEN raw = 0 THEN NULL ELSE CAST(raw AS VARCHAR) END AS third", lambda: {"head": codes.split_part(F.when(c("raw") == 0, c("event_type")).otherwise(F.concat_ws("_", "event_type", c("user_id").cast("string"), c("raw").cast("string")))), "third": codes.split_task(F.when(c("raw") == 0, c("event_type")).otherwise(F.concat_ws("_", "event_type", c("user_id").cast("string"), c("raw").cast("string"))), 3)})
 simple("p29_security_type", "CASE raw WHEN 1 THEN 'index' WHEN 2 THEN 'stock' WHEN 3 THEN 'fund' WHEN 4 THEN 'bond' ELSE 'unknown' END AS kind", lambda: {"kind": codes.security_type(c("raw"))})
 simple("p30_gateway_delay", f"{ms('CAST(hour(ts + INTERVAL 8 HOUR) * 10000000 + minute(ts) * 100000 + millisecond(ts) AS BIGINT)')} - {ms('tm')} AS delay_ms", lambda: {"delay_ms": times.gateway_delay_ms(c("nanos"), c("tm"))})
-simple("p32_vendor_conversion", "CAST(vol AS FLOAT) AS price, CAST(vol // 1000 AS BIGINT) AS total", lambda: {"price": c("vol").cast("float"), "total": times.div(c("vol"), 1000)})
+simple("p32_vendor_conversion", "CAST(vol AS FLOAT) AS price, CAST(vol // 1000 AS BIGINT) AS total", lambda: {"price": values.packed_price(c("vol")), "total": values.packed_volume(c("vol"))})
 simple("p33_exchange_struct", "CASE WHEN symbol < 400000 THEN value END AS sz_value, CASE WHEN symbol >= 400000 THEN value END AS sh_value", lambda: {"sz_value": F.when(codes.exchange(c("symbol")) == "SZ", F.struct("value"))["value"], "sh_value": F.when(codes.exchange(c("symbol")) != "SZ", F.struct("value"))["value"]})
 
 

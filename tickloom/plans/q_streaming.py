@@ -16,19 +16,24 @@ from .q_relational import POWERS, SCALE
 c = F.col
 
 
+TASKS = 4
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream; the schema is that of the table."""
     return spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def _landed(spark: SparkSession, rows: DataFrame, order: str, files: int, name: str) -> DataFrame:
-    """Rows as a stream of some folders of files, written one after the other: the stream reads them in that order."""
+    """Rows as a stream of some folders of files, written one after the other: the stream reads them in that order. Each part
+    has TASKS files and a batch takes one part."""
     path = work_dir(spark, name)
     ends = rows.approxQuantile(order, [k / files for k in range(1, files)], 0.01)
     for a, b in zip([None, *ends], [*ends, None], strict=True):
         part = rows if a is None else rows.filter(c(order) > a)
-        (part if b is None else part.filter(c(order) <= b)).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        part = (part if b is None else part.filter(c(order) <= b)).repartition(TASKS)
+        part.write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", TASKS).parquet(path)
 
 
 def _finished(stream: DataFrame, mode: str, name: str) -> DataFrame:
@@ -103,13 +108,15 @@ def r5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sbars.publish_times(q_bars.ticks(spark, sf_dir).withColumn("code", F.concat(F.substring("code", 1, 6), F.lit(".XSHG")))).select("label", "at")
 
 
-@query("r7_minute_snapshot", f"SELECT * FROM ({q_bars.BARS_SQL}) WHERE datetime = TIMESTAMP '{q_bars.DAY} 10:30:00'")
+@query("r7_minute_snapshot", f"SELECT * FROM ({q_bars.BARS_SQL.replace("UNION SELECT '999999.XSHE')", ")")}) WHERE datetime = TIMESTAMP '{q_bars.DAY} 10:30:00'")
 def r7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last version of one minute of every code."""
-    from .bars import minute_bars
-
-    bars = minute_bars(q_bars.ticks(spark, sf_dir), q_bars.universe(spark, sf_dir), q_bars.previous(spark, sf_dir)).withColumns({"version": F.lit(1), "batch": F.lit(0)})
-    return sbars.snapshot(bars, F.lit(f"{q_bars.DAY} 10:30:00").cast("timestamp_ntz")).select("datetime", "code", *sbars.VALUES)
+    """The last version of one minute of every code, from what a stream has published."""
+    find_package(spark)
+    state = work_dir(spark, "snapshot")
+    ticks = q_bars.ticks(spark, sf_dir).withColumn("arrival", F.pmod(c("seq") * 6007, F.lit(1000)))
+    stream = _landed(spark, ticks, "arrival", 2, "snapshot-ticks").drop("arrival")
+    sbars.versioned(stream, q_bars.previous(spark, sf_dir), state).trigger(availableNow=True).start().awaitTermination()
+    return sbars.snapshot(spark.read.parquet(f"{state}/published"), F.lit(f"{q_bars.DAY} 10:30:00").cast("timestamp_ntz")).select("datetime", "code", *sbars.VALUES)
 
 
 @query("r11_minute_rotation", "SELECT CAST(CASE WHEN label < 926 THEN 926 WHEN label < 931 THEN 931 WHEN label >= 1131 AND label < 1301 THEN 1301 WHEN label % 100 = 59 THEN (label // 100 + 1) * 100 ELSE label + 1 END AS INTEGER) AS file_hhmm, count(*) AS n FROM (SELECT hour(ts) * 100 + minute(ts) AS label FROM events) GROUP BY 1")

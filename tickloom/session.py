@@ -35,7 +35,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
     import tempfile
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickloom-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        root = tempfile.mkdtemp(prefix="tickloom-")
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
