@@ -73,6 +73,7 @@ def test_large_groups_are_cut_into_units(spark, monkeypatch):
 def test_chains_of_unlike_texts_are_taken_apart(spark, monkeypatch):
     """Pages whose common part is less than half: one rough cluster, whose links are few."""
     monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "FEWER", 1)
     rng = random.Random(8)
     common = [f"c{k}" for k in range(40)]
     pages = [[*common, *(f"p{i}w{k}" for k in range(45))] for i in range(200)]

@@ -7,8 +7,8 @@ a similarity of 0.85 all 32 bands miss once in 10^10 pairs.
 
 Documents with equal sets are one class, carried on by its smallest doc_id. Classes that share a bucket are first gathered
 into rough clusters through the smallest of each bucket (a superset of all links). A cluster of more than one block whose
-buckets have fewer pairs than all its members is a chain of unlike texts rather than one group: there the pairs of each bucket are
-checked by signature, and what these leave connected are its clusters. Inside a cluster every pair counts: the
+buckets have far fewer pairs than all its members is a chain of unlike texts rather than one group: there the pairs of each
+bucket are checked by signature, and what these leave connected are its clusters. Inside a cluster every pair counts: the
 members are cut into blocks, each pair of blocks is one unit of work of bounded size, and in it a pair is compared unless
 its two sides are joined already: first by signature (seven deviations below the wanted similarity), then exactly, on full
 sets. A unit takes the member nearest to all others first, so in a group of near copies of one text almost all pairs are
@@ -33,6 +33,7 @@ from ._text import U64, Words, buffer, distinct, mix, pieces, tune, window_hash
 from .components import components
 
 PERMUTATIONS, ROWS, BLOCK = 64, 4, 512
+FEWER = 16  # pairs of buckets come with more rows than those of a cluster, so they must be this much fewer
 SMALL = 1_000_000  # ids that a broadcast may hold, of 8 bytes
 _SEEDS = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
 FACTORS, SHIFTS = _SEEDS[:PERMUTATIONS] | U64(1), _SEEDS[PERMUTATIONS:]
@@ -198,13 +199,15 @@ def _blocks(members: DataFrame, by: str) -> DataFrame:
     return members.groupBy(by).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
 
 
-def refined(clusters: DataFrame, members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+def refined(clusters: DataFrame, heads: DataFrame, members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """Rough clusters (node, cluster), with chains of unlike texts taken apart: pairs of one bucket are checked by signature,
     and what they leave connected is a cluster. Every pair that shares a bucket and may be similar stays in one cluster."""
-    m = F.col("m").cast("double")
-    large = clusters.groupBy("cluster").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK)
-    buckets = members.join(clusters.join(large, "cluster"), "node").groupBy("cluster", "m", "key").agg(F.count("*").cast("double").alias("b"))
-    chains = buckets.groupBy("cluster", "m").agg(F.sum(F.col("b") * F.col("b")).alias("pairs")).filter(F.col("pairs") < m * m).select("cluster").checkpoint()
+    large = clusters.groupBy("cluster").agg(F.count("*").cast("double").alias("m")).filter(F.col("m") > BLOCK).checkpoint()
+    if large.isEmpty():
+        return clusters
+    n = F.col("n").cast("double")
+    buckets = heads.join(clusters, F.col("head") == F.col("node")).groupBy("cluster").agg(F.sum(n * n).alias("pairs"))
+    chains = buckets.join(large, "cluster").filter(FEWER * F.col("pairs") < F.col("m") * F.col("m")).select("cluster").checkpoint()
     if chains.isEmpty():
         return clusters
     loose = members.join(clusters.join(chains, "cluster"), "node").select("node", F.col("key").alias("cluster"))
@@ -222,10 +225,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     own = ["n_shingles", "s1", "s2"]
     classes = signed.filter("n_shingles > 0 and doc_id is not null").groupBy(*own).agg(F.min("doc_id").alias("node"), F.min_by(F.struct("bands", "sig"), "doc_id").alias("x")).select(*own, "node", "x.bands", "x.sig").checkpoint()
     members = classes.select("node", F.explode("bands").alias("key"))
-    heads = members.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").select("key", "head")
+    heads = members.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").checkpoint()
     rough = members.join(heads, "key").filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     # two sets of one doc_id are one node, and are linked whatever their similarity
-    clusters = refined(components(rough).withColumnRenamed("root", "cluster").checkpoint(), members, classes, num, den)
+    clusters = refined(components(rough).withColumnRenamed("root", "cluster").checkpoint(), heads, members, classes, num, den)
     wanted = clusters.join(_blocks(clusters, "cluster"), "cluster").join(classes.select("node", "sig", *own), "node").checkpoint()
     ids = wanted.select("node").distinct()
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(F.broadcast(ids) if wanted.count() <= SMALL else ids, "node", "left_semi")
