@@ -169,7 +169,7 @@ def test_every_message_of_the_channel_reaches_a_minute_file(spark):
     from tickloom.plans import q_io
 
     sf = "/root/testdata/sf0.001"
-    assert q_io.k2_all(spark, sf).agg(F.sum("n")).first()[0] == q_io.messages(spark, sf, "order").count()
+    assert q_io.k2(spark, sf).agg(F.sum("n")).first()[0] == q_io.messages(spark, sf, "order").count()
 
 
 def test_the_rack_and_the_vendor_ticks_have_all_codes(spark):
@@ -177,5 +177,5 @@ def test_the_rack_and_the_vendor_ticks_have_all_codes(spark):
 
     sf = "/root/testdata/sf0.001"
     e = spark.read.parquet(f"{sf}/events.parquet")
-    assert q_relational.j2_all(spark, sf).count() == 240 * e.select("user_id").distinct().count()
-    assert q_io.s9_all(spark, sf).count() == e.filter("user_id is not null").count()
+    assert q_relational.j2(spark, sf).count() == 240 * e.select("user_id").distinct().count()
+    assert q_io.s9(spark, sf).count() == e.filter("user_id is not null").count()
