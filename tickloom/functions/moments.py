@@ -85,3 +85,8 @@ def vwapx(tail: str = "") -> Column:
     """Mean price of a bucket, null if its volume is not positive."""
     v = F.col(f"vol{tail}")
     return F.when(v > 0, F.col(f"money{tail}") / F.when(v > 0, v))
+
+
+def ratio_of_means(money: str) -> Column:
+    """Mean amount over mean volume, each over the rows that have one; null if the volume is not positive."""
+    return F.expr(f"if(vol > 0, ({money}_s1 / nullif({money}_n, 0)) / (vol / nullif(vol_n, 0)), null)")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,16 +45,34 @@ def trade_buckets() -> dict[str, Column | None]:
 
 #: Buckets of each family in their fixed order.
 BUCKETS = {"order": ("", "large", "small"), "withdraw": ("", "large", "small", "complete", "partial", "instant"), "trade": ("", "large", "small", "bolarge", "bosmall", "solarge", "sosmall")}
+class Family(NamedTuple):
+    """What a family's rows are put into, their volume and amount, the fields that moments are taken of, and whether the mean
+    price is a ratio of means."""
+
+    buckets: Callable[[], dict[str, Column | None]]
+    vol: str
+    money: str
+    fields: tuple[str, ...]
+    by_means: bool = False
+
+
 FAMILIES = {
-    "order": (order_buckets, "ordervol", "ordermoney", ("ordermoney",)),
-    "withdraw": (withdraw_buckets, "withdrawvol", "withdrawmoney", ("withdrawmoney", "withdrawtmlag")),
-    "trade": (trade_buckets, "tradevol", "trademoney", ("trademoney", "ordertmlag", "ordermoneydiff")),
+    "order": Family(order_buckets, "ordervol", "ordermoney", ("ordermoney",)),
+    "withdraw": Family(withdraw_buckets, "withdrawvol", "withdrawmoney", ("withdrawmoney", "withdrawtmlag")),
+    "trade": Family(trade_buckets, "tradevol", "trademoney", ("trademoney", "ordertmlag", "ordermoneydiff")),
+}
+#: The families with returns and turnovers, for lifecycles that have them.
+RELATIVE = {
+    "order": Family(order_buckets, "ordervol", "ordermoney", ("ordermoney", "orderret", "orderturnover"), True),
+    "withdraw": Family(withdraw_buckets, "withdrawvol", "withdrawmoney", ("withdrawmoney", "withdrawret", "withdrawtmlag", "withdrawturnover"), True),
+    "trade": Family(trade_buckets, "tradevol", "trademoney", ("trademoney", "traderet", "ordertmlag", "orderretdiff", "tradeturnover", "orderturnoverdiff"), True),
 }
+Families = Mapping[str, Family]
 
 
 def sums(rows: DataFrame, family: str, by: Sequence[str] = ("symbol", "side")) -> DataFrame:
     """Counts, sums and power sums of a family's buckets; every column can be added up."""
-    buckets, vol, money, fields = FAMILIES[family]
+    buckets, vol, money, fields, _ = FAMILIES[family]
     return rows.groupBy(*by).agg(*m.bucketed(F.col(vol), F.col(money), {f: F.col(f) for f in fields}, buckets()))
 
 
@@ -74,20 +93,22 @@ def distinct_orders(trades: DataFrame, which: str, sides: Mapping[str, int | Non
     return per_order.groupBy("symbol").agg(*[F.sum(c).alias(c) for c in per_order.columns[3:]])
 
 
-def bucket_sums(rows: DataFrame, family: str, by: Sequence[str] = ("symbol", "side")) -> DataFrame:
+def bucket_sums(rows: DataFrame, family: str, by: Sequence[str] = ("symbol", "side"), families: Families = FAMILIES) -> DataFrame:
     """The same sums with a row for each bucket. A row goes to the few buckets that it is in, and the aggregate has one set
     of columns, small enough to be compiled whole, where the wide form has one for each bucket."""
-    buckets, vol, money, fields = FAMILIES[family]
+    buckets, vol, money, fields, by_means = families[family]
     inside = F.array_compact(F.array(*[F.lit(k) if where is None else F.when(where, F.lit(k)) for k, where in buckets().items()]))
     own = rows.select(*by, F.col(vol).alias("vol"), F.col(money).alias("money"), *[F.col(f).alias(f"x_{f}") for f in fields], F.explode(inside).alias("bucket"))
     power = [c for f in fields for c in m.power_sums(F.col(f"x_{f}"), f)]
+    power += [F.count("vol").alias("vol_n")] if by_means else []
     return own.groupBy(*by, "bucket").agg(F.count("*").alias("count"), F.sum("vol").alias("vol"), F.sum("money").alias("money"), *power)
 
 
-def bucket_stats(sums_: DataFrame, family: str, prefix: Column, by: Sequence[str] = ("symbol",)) -> DataFrame:
+def bucket_stats(sums_: DataFrame, family: str, prefix: Column, by: Sequence[str] = ("symbol",), families: Families = FAMILIES) -> DataFrame:
     """(*by, key, stats): factors of each bucket in their fixed order; the key names side, family and bucket."""
-    fields = FAMILIES[family][3]
-    stats = [F.col("count").cast("double"), m.vwapx(), *(f(x) for x in fields for f in (m.mean, m.std, m.skew, m.kurt))]
+    own = families[family]
+    fields, price = own.fields, m.ratio_of_means(own.money) if own.by_means else m.vwapx()
+    stats = [F.col("count").cast("double"), price, *(f(x) for x in fields for f in (m.mean, m.std, m.skew, m.kurt))]
     return sums_.select(*by, F.concat_ws("|", prefix, F.lit(family), F.col("bucket")).alias("key"), F.array(*stats).alias("stats"))
 
 
@@ -102,12 +123,12 @@ def family_stats(rows: DataFrame, family: str) -> DataFrame:
     return out.unionByName(bucket_stats(merge(own, ["symbol", "bucket"]), family, F.lit("both"))) if family == "trade" else out
 
 
-def spread_out(stats: DataFrame, families: Sequence[tuple[str, str]], by: Sequence[str] = ("symbol",)) -> DataFrame:
+def spread_out(stats: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str] = ("symbol",), families: Families = FAMILIES) -> DataFrame:
     """One row per symbol, or whatever `by` names, with a column for each factor of the (family, prefix) pairs: a map of at most 39 short arrays."""
     one = stats.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("key", "stats"))).alias("at"))
     columns = []
-    for family, prefix in families:
-        fields = FAMILIES[family][3]
+    for family, prefix in pairs:
+        fields = families[family].fields
         kinds = [f"{family}_count", f"{family}vwapx", *(f"{f}_{k}" for f in fields for k in ("mean", "std", "skew", "kurt"))]
         for bucket in BUCKETS[family]:
             for i, kind in enumerate(kinds):
@@ -117,11 +138,11 @@ def spread_out(stats: DataFrame, families: Sequence[tuple[str, str]], by: Sequen
     return one.select(*by, *columns)
 
 
-def names() -> list[str]:
-    """All 492 factors in their fixed order: orders and withdrawals of both sides, then trades of all, buy and sell."""
+def names(families: Families = FAMILIES) -> list[str]:
+    """All 492 factors (888 with returns and turnovers) in their fixed order: orders and withdrawals of both sides, then trades of all, buy and sell."""
     out = []
     for family, prefixes in (("order", ("buy", "sell")), ("withdraw", ("buy", "sell")), ("trade", ("both", "buy", "sell"))):
-        fields = FAMILIES[family][3]
+        fields = families[family].fields
         for p in prefixes:
             for bucket in BUCKETS[family]:
                 tail = f"_{bucket}" if bucket else ""
@@ -177,8 +198,8 @@ def distinct_so_far(trades: DataFrame, which: str, sides: Mapping[str, int | Non
     return counts.groupBy("symbol", "label").agg(*[F.sum(F.when(F.col("key") == k, F.col("n"))).alias(k) for k in names_])
 
 
-def snapshots_so_far(life: Lifecycle, label: Callable[[Column], Column], times: Sequence[int] = TIMES) -> DataFrame:
-    """snapshot() as of several times of the day: one row per symbol and time, with all 492 factors of what was ordered,
+def snapshots_so_far(life: Lifecycle, label: Callable[[Column], Column], times: Sequence[int] = TIMES, families: Families = FAMILIES) -> DataFrame:
+    """snapshot() as of several times of the day: one row per symbol and time, with all factors of what was ordered,
     withdrawn and traded up to then. label() makes the minute (HHMM) of a time; sums are taken once per minute, then added
     up. What an order is worth is what the whole day's lifecycle says of it."""
     by, sides = ("symbol", "label"), {"both": None, **SIDES}
@@ -186,17 +207,17 @@ def snapshots_so_far(life: Lifecycle, label: Callable[[Column], Column], times:
     labelled = {k: rows.withColumn("label", label(F.col(tm)).cast("long")) for k, (rows, tm) in frames.items()}
     stats = []
     for family, rows in labelled.items():
-        own = _so_far(bucket_sums(rows, family, ("symbol", "side", "label")), ("symbol", "side", "bucket"), times)
-        stats.append(bucket_stats(own, family, _side(), by))
+        own = _so_far(bucket_sums(rows, family, ("symbol", "side", "label"), families), ("symbol", "side", "bucket"), times)
+        stats.append(bucket_stats(own, family, _side(), by, families))
         if family == "trade":
             both = own.groupBy(*by, "bucket").agg(*[F.sum(c).alias(c) for c in own.columns if c not in (*by, "side", "bucket")])
-            stats.append(bucket_stats(both, family, F.lit("both"), by))
-    wide = spread_out(reduce(DataFrame.unionByName, stats), [*((f, p) for f in ("order", "withdraw") for p in SIDES), *(("trade", p) for p in sides)], by)
+            stats.append(bucket_stats(both, family, F.lit("both"), by, families))
+    wide = spread_out(reduce(DataFrame.unionByName, stats), [*((f, p) for f in ("order", "withdraw") for p in SIDES), *(("trade", p) for p in sides)], by, families)
     symbols = reduce(DataFrame.union, [rows.select("symbol") for rows in labelled.values()]).distinct()
     out = symbols.withColumn("label", F.explode(F.array(*[F.lit(t).cast("long") for t in times]))).join(wide, list(by), "left")
     for w in ("buy", "sell"):
         out = out.join(distinct_so_far(labelled["trade"], w, sides, times), list(by), "left")
-    return out.select(*by, *[F.expr(f"coalesce(double({c}), 0D) as {c}") if "_count" in c else F.col(c) for c in names()])
+    return out.select(*by, *[F.expr(f"coalesce(double({c}), 0D) as {c}") if "_count" in c else F.col(c) for c in names(families)])
 
 
 def at_times(rows: DataFrame, columns: Sequence[str], label: str = "label", times: Sequence[int] = TIMES) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..functions.times import time_lag
-from ..functions.values import px_to_ret, turnover
+from ..functions.values import px_to_ret, side_difference, turnover
 from ..operators.joins import as_of_backward
 
 ID = ("channelid", "orderid", "side")
@@ -96,24 +96,32 @@ def enrich_trades(trades: DataFrame, orders: DataFrame) -> DataFrame:
     """Trades with both orders; unknown orders leave nulls in what needs them."""
 
     def of(side: int, name: str) -> DataFrame:
-        return orders.filter(F.col("side") == side).select("channelid", F.col("orderid").alias(f"trade{name}id"), F.col("ordertm").alias(f"ordertm_{name}"), F.col("ordervol").alias(f"ordervol_{name}"), F.col("ordermoney").alias(f"ordermoney_{name}"))
+        return orders.filter(F.col("side") == side).select("channelid", F.col("orderid").alias(f"trade{name}id"), F.col("ordertm").alias(f"ordertm_{name}"), F.col("ordervol").alias(f"ordervol_{name}"), F.col("ordermoney").alias(f"ordermoney_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in ("orderret", "orderturnover") if c in orders.columns])
 
     out = trades.join(of(codes.BUY, "buy"), ["channelid", "tradebuyid"], "left").join(of(codes.SELL, "sell"), ["channelid", "tradesellid"], "left")
     return out.withColumns({"trademoney": F.col("tradevol") * F.col("tradepx"), "ordertmlag": F.abs(time_lag(F.col("ordertm_buy"), F.col("ordertm_sell"))), "ordermoneydiff": F.abs(F.col("ordermoney_buy") - F.col("ordermoney_sell"))})
 
 
-def sh_lifecycle(orders: DataFrame, trades: DataFrame) -> Lifecycle:
-    """Shanghai: withdrawals are in the order stream, and what traded on arrival is not."""
+def _matched(known: DataFrame, withdraws: DataFrame, trades: DataFrame, days: DataFrame | None) -> Lifecycle:
+    if days is None:
+        return Lifecycle(known, enrich_withdraws(withdraws, known), enrich_trades(trades, known))
+    known = relative(known, days, "orderpx", "ordermoney", "orderret", "orderturnover")
+    gone = relative(enrich_withdraws(withdraws, known), days, "withdrawpx", "withdrawmoney", "withdrawret", "withdrawturnover")
+    done = relative(enrich_trades(trades, known), days, "tradepx", "trademoney", "traderet", "tradeturnover")
+    return Lifecycle(known, gone, done.withColumns({f"order{k}diff": side_difference(F.col(f"order{k}_buy"), F.col(f"order{k}_sell")) for k in ("ret", "turnover")}))
+
+
+def sh_lifecycle(orders: DataFrame, trades: DataFrame, days: DataFrame | None = None) -> Lifecycle:
+    """Shanghai: withdrawals are in the order stream, and what traded on arrival is not. With days (symbol, pre_close, cap:
+    a row for each symbol) returns and turnovers are added to all three."""
     own = sh_trades(trades)
-    known = sh_orders(orders, own)
-    return Lifecycle(known, enrich_withdraws(sh_withdraws(orders), known), enrich_trades(own, known))
+    return _matched(sh_orders(orders, own), sh_withdraws(orders), own, days)
 
 
-def sz_lifecycle(orders: DataFrame, trades: DataFrame) -> Lifecycle:
-    """Shenzhen: all orders are in the order stream, withdrawals in the trade stream."""
+def sz_lifecycle(orders: DataFrame, trades: DataFrame, days: DataFrame | None = None) -> Lifecycle:
+    """Shenzhen: all orders are in the order stream, withdrawals in the trade stream. days as for Shanghai."""
     own = sz_trades(trades)
-    known = sz_orders(orders, own)
-    return Lifecycle(known, enrich_withdraws(sz_withdraws(trades), known), enrich_trades(own, known))
+    return _matched(sz_orders(orders, own), sz_withdraws(trades), own, days)
 
 
 def both(a: Lifecycle, b: Lifecycle) -> Lifecycle:

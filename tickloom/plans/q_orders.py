@@ -94,12 +94,12 @@ def raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return o, trades
 
 
-def shanghai(spark: SparkSession, sf_dir: str) -> orders.Lifecycle:
+def shanghai(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> orders.Lifecycle:
     """Orders as Shanghai would report them: one in ten is only known by its trades, one in seven is withdrawn."""
     o, t = raw(spark, sf_dir)
     new = o.filter("orderid % 10 <> 9").withColumn("ordertype", F.lit(codes.SH_ADD))
     gone = o.filter("orderid % 7 = 0").withColumns({"ordertype": F.lit(codes.SH_CANCEL), "ordertm": F.col("ordertm") + 10_000_000, "ordervol": F.when(F.col("orderid") % 2 == 0, F.col("ordervol")).otherwise(times.div(F.col("ordervol"), 2))})
-    return orders.sh_lifecycle(new.unionByName(gone), t)
+    return orders.sh_lifecycle(new.unionByName(gone), t, days)
 
 
 def shenzhen(spark: SparkSession, sf_dir: str) -> orders.Lifecycle:
@@ -184,6 +184,11 @@ def _conditions(family: str) -> dict[str, str]:
     return out
 
 
+def _digits(name: str) -> int:
+    """Decimals at which a factor is compared: means of returns and turnovers are small."""
+    return 3 if "_skew" in name or "_kurt" in name else 9 if "turnover" in name else 6 if "ret" in name else 3
+
+
 def _moment_sql(x: str, where: str, name: str) -> list[str]:
     f = f"FILTER (WHERE {where})"
     n, s = f"count({x}) {f}", [f"sum(pow(CAST({x} AS DOUBLE), {k})) {f}" for k in (1, 2, 3, 4)]
@@ -192,23 +197,22 @@ def _moment_sql(x: str, where: str, name: str) -> list[str]:
     m3 = f"({s[2]} / {n} - 3 * {mu} * {s[1]} / {n} + 2 * {mu} * {mu} * {mu})"
     m4 = f"({s[3]} / {n} - 4 * {mu} * {s[2]} / {n} + 6 * {mu} * {mu} * {s[1]} / {n} - 3 * {mu} * {mu} * {mu} * {mu})"
     ok = f"{m2} > 0.0009765625 * {mu} * {mu}"
-    return [f"CASE WHEN {n} > 0 THEN round({mu}, 3) END AS {name.format('mean')}", f"CASE WHEN {n} >= 2 THEN round(sqrt(greatest(({s[1]} - {s[0]} * {s[0]} / {n}) / ({n} - 1), 0)), 3) END AS {name.format('std')}", f"CASE WHEN {n} >= 3 AND {ok} THEN round({m3} / pow({m2}, 1.5), 3) END AS {name.format('skew')}", f"CASE WHEN {n} >= 4 AND {ok} THEN round({m4} / ({m2} * {m2}) - 3, 3) END AS {name.format('kurt')}"]
+    return [f"CASE WHEN {n} > 0 THEN round({mu}, {_digits(name)}) END AS {name.format('mean')}", f"CASE WHEN {n} >= 2 THEN round(sqrt(greatest(({s[1]} - {s[0]} * {s[0]} / {n}) / ({n} - 1), 0)), {_digits(name)}) END AS {name.format('std')}", f"CASE WHEN {n} >= 3 AND {ok} THEN round({m3} / pow({m2}, 1.5), 3) END AS {name.format('skew')}", f"CASE WHEN {n} >= 4 AND {ok} THEN round({m4} / ({m2} * {m2}) - 3, 3) END AS {name.format('kurt')}"]
 
 
-def _family_sql(family: str, prefix: str) -> str:
-    vol, money, fields = {"order": ("ordervol", "ordermoney", ["ordermoney"]), "withdraw": ("withdrawvol", "withdrawmoney", ["withdrawmoney", "withdrawtmlag"]), "trade": ("tradevol", "trademoney", ["trademoney", "ordertmlag", "ordermoneydiff"])}[family]
+def _family_sql(family: str, prefix: str, families: factors.Families = factors.FAMILIES, source: str = "rich") -> str:
+    _, vol, money, fields, by_means = families[family]
     side = {"buy": "side = 66", "sell": "side = 83", "both": "true"}[prefix]
-    out = []
+    out, price = [], "avg" if by_means else "sum"
     for bucket, condition in _conditions(family).items():
         where, tail = f"{side} AND coalesce({condition}, false)", f"_{bucket}" if bucket else ""
         out.append(f"CAST(count(*) FILTER (WHERE {where}) AS DOUBLE) AS {prefix}_{family}_count{tail}")
-        out.append(f"CASE WHEN sum({vol}) FILTER (WHERE {where}) > 0 THEN round(sum({money}) FILTER (WHERE {where}) / sum({vol}) FILTER (WHERE {where}), 3) END AS {prefix}_{family}vwapx{tail}")
+        out.append(f"CASE WHEN sum({vol}) FILTER (WHERE {where}) > 0 THEN round({price}({money}) FILTER (WHERE {where}) / {price}({vol}) FILTER (WHERE {where}), 3) END AS {prefix}_{family}vwapx{tail}")
         for f in fields:
             out += _moment_sql(f, where, f"{prefix}_{f}_{{}}{tail}")
         if family == "trade":
             out += [f"CAST(count(DISTINCT trade{w}id) FILTER (WHERE {where}) AS DOUBLE) AS {prefix}_trade_{w}order_count{tail}" for w in ("buy", "sell")]
-    source = {"order": "rich_o", "withdraw": "rich_w", "trade": "rich_t"}[family]
-    return f"SELECT symbol, {', '.join(out)} FROM {source} GROUP BY symbol"
+    return f"SELECT symbol, {', '.join(out)} FROM {source}_{family[0]} GROUP BY symbol"
 
 
 def _snapshot_sql(families: list[tuple[str, str]], columns: list[str], rules: str = SH_SQL, first: int = 0) -> str:
@@ -293,26 +297,56 @@ def d13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("symbol", F.col("label").cast("long").alias("label"), F.col("count").alias("trades"), F.round(m.mean("trademoney"), 6).alias("trademoney_mean"), F.round(m.std("trademoney"), 2).alias("trademoney_std"), F.round(m.vwapx(), 4).alias("tradevwapx"), "buyorders")
 
 
-def so_far_sql() -> str:
+def so_far_sql(families: factors.Families = factors.FAMILIES, source: str = "rich", more: str = "", tail: str = "") -> str:
     """_snapshot_sql() as of each of the nine times."""
-    head = f"WITH {BASE_SQL}, {SH_SQL}, {RICH_SQL}, asked AS (SELECT CAST(unnest([{', '.join(map(str, factors.TIMES))}]) AS BIGINT) AS label)"
+    head = f"WITH {BASE_SQL}, {SH_SQL}, {RICH_SQL}{more}, asked AS (SELECT CAST(unnest([{', '.join(map(str, factors.TIMES))}]) AS BIGINT) AS label)"
     parts = ["(SELECT symbol, label FROM (SELECT symbol FROM rich_o UNION SELECT symbol FROM rich_w UNION SELECT symbol FROM rich_t) CROSS JOIN asked) rack"]
     for family, tm in (("order", "ordertm"), ("withdraw", "withdrawtm"), ("trade", "tradetm")):
-        head += f", {family}_so_far AS (SELECT x.*, asked.label FROM rich_{family[0]} x JOIN asked ON {LABEL_SQL.replace('tradetm', f'x.{tm}')} <= asked.label)"
+        head += f", {family}_so_far AS (SELECT x.*, asked.label FROM {source}_{family[0]} x JOIN asked ON {LABEL_SQL.replace('tradetm', f'x.{tm}')} <= asked.label)"
     for family, prefix in ALL_FAMILIES:
-        one = _family_sql(family, prefix).replace("SELECT symbol,", "SELECT symbol, label,").replace(f"FROM rich_{family[0]} GROUP BY symbol", f"FROM {family}_so_far GROUP BY symbol, label")
+        one = _family_sql(family, prefix, families, source).replace("SELECT symbol,", "SELECT symbol, label,").replace(f"FROM {source}_{family[0]} GROUP BY symbol", f"FROM {family}_so_far GROUP BY symbol, label")
         parts.append(f"({one}) {family}_{prefix} USING (symbol, label)")
-    shown = ", ".join(f"coalesce({c}, 0.0) AS {c}" if "_count" in c else c for c in factors.names())
+    shown = ", ".join(f"coalesce({c}, 0.0) AS {c}{tail}" if "_count" in c else f"{c} AS {c}{tail}" for c in factors.names(families))
     return f"{head} SELECT symbol, label, {shown} FROM {' LEFT JOIN '.join(parts)}"
 
 
 @query("d13_cumulative_factors_all", so_far_sql())
 def d13_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 492 factors of every symbol so far, at nine times of the day."""
-    out = factors.snapshots_so_far(shanghai(spark, sf_dir), lambda tm: times.next_minute(times.div(tm, 100_000)))
+    out = factors.snapshots_so_far(shanghai(spark, sf_dir), _minute)
     return out.select("symbol", "label", *[F.col(c) if "_count" in c else F.round(c, 3).alias(c) for c in factors.names()])
 
 
+def _minute(tm: F.Column) -> F.Column:
+    return times.next_minute(times.div(tm, 100_000))
+
+
+def _ret_sql(px: str) -> str:
+    return f"CASE WHEN {px} / nullif(pre_close, 0) IS NOT NULL THEN greatest(least({px} / nullif(pre_close, 0) - 1, 0.2), -0.2) END"
+
+
+DAYS_SQL = "days AS (SELECT c_custkey % 40 AS symbol, CASE WHEN c_custkey % 40 <> 5 THEN 10 + max(CAST(c_acctbal AS DOUBLE)) / 1000 END AS pre_close, count(*) * 97654321.0::DOUBLE AS cap FROM customer WHERE c_custkey % 40 <> 7 GROUP BY c_custkey % 40)"
+RELATIVE_SQL = f""", {DAYS_SQL},
+rel_o AS (SELECT o.*, {_ret_sql('orderpx')} AS orderret, ordermoney / cap AS orderturnover FROM rich_o o LEFT JOIN days USING (symbol)),
+rel_w AS (SELECT w.*, {_ret_sql('withdrawpx')} AS withdrawret, withdrawmoney / cap AS withdrawturnover FROM rich_w w LEFT JOIN days USING (symbol)),
+rel_t AS (
+  SELECT t.*, {_ret_sql('tradepx')} AS traderet, trademoney / cap AS tradeturnover, abs(b.orderret - s.orderret) AS orderretdiff, abs(b.orderturnover - s.orderturnover) AS orderturnoverdiff
+  FROM rich_t t LEFT JOIN days USING (symbol) LEFT JOIN rel_o b ON b.channelid = t.channelid AND b.orderid = t.tradebuyid AND b.side = 66 LEFT JOIN rel_o s ON s.channelid = t.channelid AND s.orderid = t.tradesellid AND s.side = 83)"""
+
+
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Previous close and market value by symbol; symbol 5 has no close, symbol 7 neither."""
+    own = table(spark, sf_dir, "customer").groupBy((F.col("c_custkey") % 40).alias("symbol")).agg((F.max(F.col("c_acctbal").cast("double")) / 1000 + 10).alias("pre_close"), (F.count("*") * 97_654_321.0).alias("cap"))
+    return own.filter("symbol <> 7").withColumn("pre_close", F.when(F.col("symbol") != 5, F.col("pre_close")))
+
+
+@query("d13_relative_factors", so_far_sql(factors.RELATIVE, "rel", RELATIVE_SQL, "_cat1"))
+def d13_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 888 factors with returns and turnovers, at nine times of the day."""
+    out = factors.snapshots_so_far(shanghai(spark, sf_dir, _days(spark, sf_dir)), _minute, families=factors.RELATIVE)
+    return out.select("symbol", "label", *[(F.col(c) if "_count" in c else F.round(c, _digits(c))).alias(f"{c}_cat1") for c in factors.names(factors.RELATIVE)])
+
+
 def _sanity_sql() -> str:
     """Faults counted over all columns of the snapshot."""
     bad = lambda kind, test: " + ".join(f"CAST(coalesce({test.format(n)}, false) AS INTEGER)" for n in factors.names() if kind in n)
