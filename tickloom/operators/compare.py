@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import close_to
+from ..functions.values import close_to, level
 from .joins import with_presence
 
 
@@ -50,3 +50,19 @@ def report(a: DataFrame, b: DataFrame, keys: Sequence[str], tolerance: Mapping[s
     """The set of a comparison's tables: all differences, the summary, and the worst mismatches."""
     diff = differences(a, b, keys, tolerance)
     return {"diff": diff, "summary": summary(diff, list(tolerance)), "worst": worst(diff, keys, list(tolerance), n)}
+
+
+def book_fields(rows: DataFrame, sides: Mapping[str, tuple[str, str]], levels: int = 5) -> DataFrame:
+    """Adds columns {side}{i}_p and {side}{i}_v for the first levels of a book; sides names the arrays of prices and volumes.
+    A level that is missing is 0, as books are padded."""
+    return rows.withColumns({f"{side}{i}_{k}": level(F.col(c), i) for side, arrays in sides.items() for k, c in zip("pv", arrays, strict=True) for i in range(1, levels + 1)})
+
+
+def field_matches(a: DataFrame, b: DataFrame, keys: Sequence[str], below: Mapping[str, float]) -> DataFrame:
+    """One row per field: rows that both sides have, how many of them differ by less than the field's bound, the share, and
+    the largest difference. A missing value matches nothing. One join and one aggregate, whatever the number of fields."""
+    pair = a.select(*keys, *below).alias("a").join(b.select(*keys, *below).alias("b"), list(keys))
+    gap = {c: F.abs(F.col(f"a.{c}").cast("double") - F.col(f"b.{c}").cast("double")) for c in below}
+    one = pair.agg(F.count("*").alias("total"), *[F.count_if(gap[c] < t).alias(f"{c}_n") for c, t in below.items()], *[F.max(gap[c]).alias(f"{c}_d") for c in below])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"{c}_n").alias("matches"), F.col(f"{c}_d").alias("max_diff")) for c in below]))
+    return one.select("total", rows.alias("x")).select("x.field", "total", "x.matches", "x.max_diff", F.try_divide("x.matches", "total").alias("rate"))

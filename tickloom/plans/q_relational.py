@@ -355,6 +355,45 @@ def u4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.key_coverage(e.filter("event_id % 3 <> 0"), e.filter("event_id % 5 <> 0"), ["period"], ["user_id"]).withColumn("coverage", F.round("coverage", 9))
 
 
+BOOK = 5
+_PRICES = ("price", *(f"{s}{i}_p" for s in "ab" for i in range(1, BOOK + 1)))
+_AMOUNTS = ("volume", *(f"{s}{i}_v" for s in "ab" for i in range(1, BOOK + 1)))
+#: Differences below these count as equal.
+TICK_BOUNDS = {**{k: 0.005 for k in _PRICES}, **{k: 1.0 for k in _AMOUNTS}}
+
+
+def _tick_fields_sql() -> str:
+    a = {"price": "round(value, 2)", "volume": "event_id % 1000"}
+    b = {"price": "round(value, 2) + CASE WHEN event_id % 11 = 0 THEN 0.01 ELSE 0 END", "volume": "event_id % 1000 + CASE WHEN event_id % 13 = 0 THEN 100 ELSE 0 END"}
+    for i in range(1, BOOK + 1):
+        for side, sign in (("a", "+"), ("b", "-")):
+            a |= {f"{side}{i}_p": f"round(value, 2) {sign} {i} * 0.01", f"{side}{i}_v": f"event_id % {100 + i}"}
+            short = f"event_id % 7 = 0 AND {i} > 3"
+            b |= {f"{side}{i}_p": f"CASE WHEN {short} THEN 0 ELSE round(value, 2) {sign} {i} * 0.01 END", f"{side}{i}_v": f"CASE WHEN {short} THEN 0 ELSE event_id % {100 + i} END"}
+    show = lambda x: ", ".join(f"{v} AS {k}" for k, v in x.items())
+    rows = " UNION ALL ".join(
+        f"SELECT '{k}' AS field, count(*) AS total, count(*) FILTER (WHERE abs(va.{k} - vb.{k}) < {t}) AS matches, round(max(abs(va.{k} - vb.{k})), 6)::DOUBLE AS max_diff, round(count(*) FILTER (WHERE abs(va.{k} - vb.{k}) < {t}) / nullif(count(*), 0), 9) AS rate FROM va JOIN vb USING (event_id)"
+        for k, t in TICK_BOUNDS.items()
+    )
+    return f"WITH va AS (SELECT event_id, {show(a)} FROM events WHERE event_id % 17 <> 0), vb AS (SELECT event_id, {show(b)} FROM events WHERE event_id % 19 <> 0) {rows}"
+
+
+@query("d15_tick_fields", _tick_fields_sql())
+def d15(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks of two vendors by field, five levels of both sides of the book too. Each vendor lacks some ticks; the second one
+    now and then has another price or volume, or a book of three levels."""
+    e, i = events(spark, sf_dir), c("event_id")
+    price, steps = F.round("value", 2), [F.lit(k) for k in range(1, BOOK + 1)]
+    volumes = F.transform(F.array(*steps), lambda k: i % (k + 100))
+    books = {"ap": F.transform(F.array(*steps), lambda k: price + k * 0.01), "bp": F.transform(F.array(*steps), lambda k: price - k * 0.01), "av": volumes, "bv": volumes}
+    first = e.filter("event_id % 17 <> 0").select(i, price.alias("price"), (i % 1000).alias("volume"), *[v.alias(k) for k, v in books.items()])
+    depth = F.when(i % 7 == 0, 3).otherwise(BOOK)
+    second = e.filter("event_id % 19 <> 0").select(i, (price + F.when(i % 11 == 0, 0.01).otherwise(0.0)).alias("price"), (i % 1000 + F.when(i % 13 == 0, 100).otherwise(0)).alias("volume"), *[F.slice(v, F.lit(1), depth).alias(k) for k, v in books.items()])
+    sides = {"a": ("ap", "av"), "b": ("bp", "bv")}
+    out = compare.field_matches(compare.book_fields(first, sides), compare.book_fields(second, sides), ["event_id"], TICK_BOUNDS)
+    return out.withColumns({"max_diff": F.round("max_diff", 6), "rate": F.round("rate", 9)})
+
+
 @query("d17_latency_state", "SELECT event_type, max(ts) AS last_ts, arg_max(event_id, ts) AS last_id, count(*) AS n FROM events GROUP BY event_type")
 def d17(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).groupBy("event_type").agg(F.max("ts").alias("last_ts"), F.max_by("event_id", F.struct("ts", "event_id")).alias("last_id"), F.count("*").alias("n"))
