@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import times
+from ..operators import compare
 from ..session import find_package, table, work_dir
 from ..streaming import bars as sbars
 from ..streaming import flow
-from . import q_bars
+from . import bars, q_bars
 from .catalog import query
 from .q_relational import POWERS, SCALE
 
@@ -72,6 +73,22 @@ def r2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sbars.latest(spark.read.parquet(f"{state}/published")).select("datetime", "code", *sbars.VALUES)
 
 
+@query(
+    "d10_incremental_bars",
+    f"""WITH whole AS ({q_bars.BARS_SQL.replace("UNION SELECT '999999.XSHE')", ")")})
+SELECT count(*) AS "both", 0::BIGINT AS left_only, 0::BIGINT AS right_only, {', '.join(f'0::BIGINT AS {v}_mismatches' for v in sbars.VALUES)} FROM whole""",
+)
+def d10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars that grew in four increments against the synthesis of the whole day: no bar is missing and no value differs."""
+    find_package(spark)
+    ticks, prev = q_bars.ticks(spark, sf_dir), q_bars.previous(spark, sf_dir)
+    state = work_dir(spark, "incremental")
+    sbars.versioned(_landed(spark, ticks, "tm", 4, "increments"), prev, state).trigger(availableNow=True).start().awaitTermination()
+    whole = bars.minute_bars(ticks, ticks.select("code", "date").distinct(), prev)
+    diff = compare.differences(sbars.latest(spark.read.parquet(f"{state}/published")), whole, ["code", "datetime"], {v: 1e-6 for v in sbars.VALUES})
+    return compare.summary(diff, sbars.VALUES).select("both", "left_only", "right_only", *[f"{v}_mismatches" for v in sbars.VALUES])
+
+
 KEYED_SQL = f"""WITH {q_bars.TICKS_SQL},
 placed AS (SELECT *, CASE WHEN tm < 92500000 THEN -1 WHEN tm < 93000000 THEN 931 WHEN tm = 113000000 THEN 1130 WHEN tm = 150000000 THEN 1500 WHEN tm > 113000000 AND tm < 130000000 THEN -2 WHEN tm > 150000000 THEN -3
                      WHEN tm // 100000 % 100 = 59 THEN (tm // 10000000 + 1) * 100 ELSE tm // 100000 + 1 END AS bar FROM ticks WHERE current > 0),

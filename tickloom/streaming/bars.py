@@ -3,14 +3,16 @@
 versioned(): every micro-batch is landed, the days of the codes in it are synthesised anew from all that has landed, and
 what differs from the last publication is published with the next version. So ticks may come in any order and arbitrarily
 late within their day, nothing depends on watermarks, and the last versions equal the batch synthesis. What a batch lands or
-publishes goes to a folder of its own, so a batch that is run again replaces its own output.
+publishes goes to folders of its own, by date, so a batch that is run again replaces its own output and a batch reads only
+the days that it touches.
 
 keyed(): a small accumulator per code for ticks that come in order; it emits a bar when the next one begins.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -25,13 +27,21 @@ from ..plans.bars import Rules, minute_bars
 VALUES = ("open", "close", "high", "low", "money", "volume")
 
 
-def _folder(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    """What earlier batches have written."""
-    try:
-        rows = spark.read.parquet(path)
-    except AnalysisException:
-        return None
-    return rows.filter(F.col("batch") < before)
+def _days_of(spark: SparkSession, root: str, days: Sequence[object]) -> DataFrame | None:
+    """What has been written of some days; other days' folders are not even listed."""
+    found = []
+    for d in days:
+        try:
+            found.append(spark.read.option("basePath", root).parquet(f"{root}/date={d}"))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # a day's first batch; anything else is a fault
+                raise
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), found) if found else None
+
+
+def _put(rows: DataFrame, root: str, batch_id: int) -> None:
+    """Writes a batch's rows to date=.../batch=... below root, in place of what an earlier run of the batch wrote there."""
+    rows.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch").parquet(root)
 
 
 def latest(published: DataFrame) -> DataFrame:
@@ -62,21 +72,24 @@ def shown(rows: DataFrame, fill_all: bool, ticks: DataFrame) -> DataFrame:
 
 
 def publisher(prev: DataFrame, state: str, rules: Rules = Rules(), fill_all: bool = True) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: lands the batch in state/landed and publishes versions in state/published."""
+    """A foreachBatch function: lands the batch in state/landed and publishes versions in state/published, both by date and
+    batch. A batch reads the days that its own ticks are of and no others. Ticks without a date are of no day and left out."""
 
     def publish(ticks: DataFrame, batch_id: int) -> None:
         spark = ticks.sparkSession
-        ticks.write.mode("overwrite").parquet(f"{state}/landed/batch={batch_id}")
-        mine = spark.read.parquet(f"{state}/landed/batch={batch_id}")
-        touched = mine.select("code", "date").distinct()
-        earlier = _folder(spark, f"{state}/landed", batch_id)
-        every = mine if earlier is None else mine.unionByName(earlier.select(*mine.columns))
-        every = every.join(touched, ["code", "date"], "left_semi")
+        _put(ticks.filter("date is not null"), f"{state}/landed", batch_id)
+        days = [r[0] for r in ticks.select("date").filter("date is not null").distinct().collect()]  # as many as a batch has days
+        landed = _days_of(spark, f"{state}/landed", days)
+        if landed is None:
+            return
+        landed = landed.filter(F.col("batch") <= batch_id)
+        touched = landed.filter(F.col("batch") == batch_id).select("code", "date").distinct()
+        every = landed.select(*ticks.columns).join(touched, ["code", "date"], "left_semi")
         new = shown(minute_bars(every, touched, prev, rules), fill_all, every)
-        old = _folder(spark, f"{state}/published", batch_id)
+        old = _days_of(spark, f"{state}/published", days)
         if old is not None:
-            old = latest(old.join(touched.select("code").distinct(), "code", "left_semi"))
-        changes(new, old).write.mode("overwrite").parquet(f"{state}/published/batch={batch_id}")
+            old = latest(old.filter(F.col("batch") < batch_id).join(touched.select("code").distinct(), "code", "left_semi"))
+        _put(changes(new, old).withColumn("date", F.to_date("datetime")), f"{state}/published", batch_id)
 
     return publish
 
