@@ -102,6 +102,36 @@ def test_a_late_tick_gives_a_new_version_of_what_it_changes(spark, tmp_path):
     assert sbars.snapshot(published, F.lit("2026-03-17 09:31:00").cast("timestamp_ntz")).first().version == 2
 
 
+def test_a_batch_run_again_replaces_its_own_rows_and_reads_only_its_days(spark, tmp_path):
+    state = str(tmp_path / "state")
+    prev = spark.createDataFrame([("X", 9.0)], "code string, prev_day_close double")
+    publish = sbars.publisher(prev, state)
+    day1 = ticks(spark, list(enumerate([(93_010_000, 10.0, 100), (93_110_000, 11.0, 150)])))
+    day2 = day1.withColumn("date", F.date_add("date", 1))
+    publish(day1, 0)
+    publish(day2.unionByName(day2.withColumn("date", F.lit(None).cast("date"))), 1)
+    publish(day2, 1)
+    published = spark.read.parquet(f"{state}/published")
+    assert {(r.batch, r.version): r["count"] for r in published.groupBy("batch", "version").count().collect()} == {(0, 1): 240, (1, 1): 240}
+    assert published.select("date").distinct().count() == 2 and spark.read.parquet(f"{state}/landed").count() == 4
+    for f in (tmp_path / "state" / "landed").glob(f"date={DAY}/batch=0/*.parquet"):
+        f.write_bytes(b"no parquet")
+    late = ticks(spark, [(5, (93_040_000, 12.0, 120))]).withColumn("date", F.date_add("date", 1))
+    publish(late, 2)
+    assert {r.datetime.strftime("%H%M") for r in spark.read.parquet(f"{state}/published").filter("batch = 2 and version = 2").collect()} == {"0931", "0932"}
+    publish(late.limit(0), 3)
+    assert spark.read.parquet(f"{state}/published").agg(F.max("batch")).first()[0] == 2
+
+
+def test_fields_match_below_their_bounds(spark):
+    a = spark.createDataFrame([(1, 1.0, [5.0, 6.0]), (2, 2.0, [5.0]), (3, None, None), (4, 4.0, [])], "k long, v double, p array<double>")
+    b = spark.createDataFrame([(1, 1.0, [5.0, 6.5]), (2, 2.5, [5.0, 0.0]), (3, None, [0.0, 0.0]), (5, 4.0, [])], "k long, v double, p array<double>")
+    sides = {"a": ("p", "p")}
+    got = compare.field_matches(compare.book_fields(a, sides, 2), compare.book_fields(b, sides, 2), ["k"], {"v": 0.5, "a1_p": 0.1, "a2_p": 0.1})
+    assert {r.field: (r.total, r.matches, r.max_diff) for r in got.collect()} == {"v": (3, 1, 0.5), "a1_p": (3, 3, 0.0), "a2_p": (3, 2, 0.5)}
+    assert compare.field_matches(a.limit(0), b, ["k"], {"v": 0.5}).first().rate is None
+
+
 def test_only_current_minutes(spark, tmp_path):
     path, state = str(tmp_path / "in"), str(tmp_path / "state")
     ticks(spark, list(enumerate([(93_210_000, 10.0, 100)]))).coalesce(1).write.parquet(path)

@@ -163,13 +163,6 @@ def snapshot(life: Lifecycle) -> DataFrame:
     return wide.select("symbol", *[F.expr(f"coalesce(double({c}), 0D) as {c}") if "order_count" in c and "trade_" in c else F.col(c) for c in names()])
 
 
-def cumulative(rows: DataFrame, family: str, label: str = "label") -> DataFrame:
-    """A family's sums per symbol up to each label that has rows: one aggregate per label, then running sums."""
-    per_label = sums(rows, family, ("symbol", label))
-    w = Window.partitionBy("symbol").orderBy(label).rowsBetween(Window.unboundedPreceding, 0)
-    return per_label.select("symbol", label, *[F.sum(c).over(w).alias(c) for c in per_label.columns if c not in ("symbol", label)])
-
-
 def cumulative_distinct(trades: DataFrame, which: str, label: str = "label") -> DataFrame:
     """Per symbol and label, how many different orders have traded so far: orders are counted where they appear first."""
     first = trades.groupBy("symbol", "channelid", f"trade{which}id").agg(F.min(label).alias(label))
