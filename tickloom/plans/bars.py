@@ -2,8 +2,9 @@
 
 Input ticks: code, date, tm (HHMMSSmmm), seq (breaks ties of tm), current, high, low, and volume and money since the start
 of the day. The whole plan is keyed by (code, date): ticks and the universe are shuffled once by it, and windows, the
-aggregate of each bar, the spine of 240 labels and the forward fill all reuse that partitioning. What a group holds is one
-code's day.
+aggregate of each bar, the spine of 240 labels and the forward fill all reuse that partitioning. Windows over ticks share one
+sort, which numbers the ticks of a day; by that number the aggregate of each bar finds first and last values, so that its
+buffers have a fixed width and it hashes instead of sorting again. What a group holds is one code's day.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from ..functions.values import changed, out_money
 
 KEY = ("code", "date")
 PRICES = ("open", "high", "low", "close")
+TRADED = ("current", "volume", "money")
 
 
 @dataclass(frozen=True)
@@ -44,34 +46,42 @@ def day() -> WindowSpec:
     return Window.partitionBy(*KEY)
 
 
+def in_order() -> WindowSpec:
+    """A code's day, tick by tick."""
+    return day().orderBy("tm", "seq")
+
+
 def with_labels(ticks: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Adds the bar of each tick (null: none), whether it is carried back to a session's end, and whether the snapshot's
-    high or low moved."""
-    phase = times.bar_label(F.col("tm"), rules.boundary, rules.merge_auction)
-    ticks = ticks.withColumn("phase", phase).withColumns({"high_moved": changed(F.col("high"), F.lag("high").over(day().orderBy("tm", "seq"))), "low_moved": changed(F.col("low"), F.lag("low").over(day().orderBy("tm", "seq")))})
-    late = F.col("phase").isin(times.MIDDAY, times.CLOSE)
-    first = F.row_number().over(Window.partitionBy(*KEY, "phase").orderBy("tm", "seq")) == 1
-    ticks = ticks.withColumn("carried", late & first & F.lit(rules.carry))
+    """Adds the bar of each tick (null: none), its number in the day, whether it is carried back to a session's end, and
+    whether the snapshot's high or low moved. Of ticks after a session's end, which follow one another, the first is carried."""
+    phase, w = times.bar_label(F.col("tm"), rules.boundary, rules.merge_auction), in_order()
+    ticks = ticks.withColumn("phase", phase)
+    ticks = ticks.withColumns({
+        "pos": F.row_number().over(w), "high_moved": changed(F.col("high"), F.lag("high").over(w)), "low_moved": changed(F.col("low"), F.lag("low").over(w)),
+        "carried": F.col("phase").isin(times.MIDDAY, times.CLOSE) & changed(F.col("phase"), F.lag("phase").over(w)) & F.lit(rules.carry),
+    })
     label = F.when(F.col("phase") > 0, F.col("phase")).when(F.col("carried") & (F.col("phase") == times.MIDDAY), 1130).when(F.col("carried") & (F.col("phase") == times.CLOSE), 1500)
     return ticks.withColumn("bar", label)
 
 
 def with_price_flags(labelled: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Adds is_price: whether a tick takes part in open, high, low and close of its bar."""
-    own = Window.partitionBy(*KEY, F.col("bar").isNull()).orderBy("tm", "seq")
-    moved = changed(F.col("volume"), F.lag("volume").over(own)) | changed(F.col("money"), F.lag("money").over(own))
+    earlier = in_order().rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.when(F.col("bar").isNotNull(), F.struct("volume", "money")), True).over(earlier)  # of ticks in bars
+    labelled = labelled.withColumn("_last", last)
+    moved = changed(F.col("volume"), F.col("_last.volume")) | changed(F.col("money"), F.col("_last.money"))
     good = F.col("bar").isNotNull() & F.col("current").isNotNull()
     if rules.positive_only:
         good &= F.col("current") > 0
-    return labelled.withColumn("is_price", good & (moved if rules.prices == "trade" else F.lit(True)))
+    return labelled.withColumn("is_price", good & (moved if rules.prices == "trade" else F.lit(True))).drop("_last")
 
 
 def _first(x: str, where: Column) -> Column:
-    return F.min_by(x, F.when(where & F.col(x).isNotNull(), order()))
+    return F.min_by(x, F.when(where & F.col(x).isNotNull(), F.col("pos")))
 
 
 def _last(x: str, where: Column) -> Column:
-    return F.max_by(x, F.when(where & F.col(x).isNotNull(), order()))
+    return F.max_by(x, F.when(where & F.col(x).isNotNull(), F.col("pos")))
 
 
 def bar_aggregates(flagged: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -94,8 +104,9 @@ def bar_aggregates(flagged: DataFrame, rules: Rules = Rules()) -> DataFrame:
         _first("volume", before_noon).alias("noon_first"), _last("volume", before_noon).alias("noon_last"), _first("current", before_noon).alias("noon_open"),
         _last("current", before_open).alias("base_close"), _last("volume", before_open).alias("base_volume"), _last("money", before_open).alias("base_money"),
         F.min(F.when((F.col("current") > 0) | (F.col("volume") > 0) | (F.col("money") > 0), F.col("tm"))).alias("first_valid"),
-        F.min(F.when(F.col("is_auction"), F.struct("tm", "seq", "current", "volume", "money"))).alias("auction"),
-        F.any_value("before_close", True).alias("before_close"),
+        F.min(F.when(F.col("is_auction"), F.col("pos"))).alias("auction_pos"),
+        *[F.min_by(x, F.when(F.col("is_auction"), F.col("pos"))).alias(f"auction_{x}") for x in TRADED],
+        *[F.max(f"before_{x}").alias(f"before_{x}") for x in TRADED],
     )
     if rules.prices == "trade":
         hang = F.col("has_carried") & ~F.col("has_in_time") & F.col("anchor").isNotNull()
@@ -106,13 +117,13 @@ def bar_aggregates(flagged: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def with_auction_flags(flagged: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Adds the last valid tick before 15:00 of the code's day, and whether a tick may be the closing auction's: the first
-    one from 15:00 on that traded since then, or that is at 15:00 sharp with another price."""
+    """Adds what the last valid tick before 15:00 of the code's day shows, and whether a tick may be the closing auction's:
+    the first one from 15:00 on that traded since then, or that is at 15:00 sharp with another price."""
     valid = F.col("current") > 0
-    before = F.max_by(F.struct("current", "volume", "money"), F.when(valid & (F.col("tm") < 150_000_000), order())).over(day())
-    out = flagged.withColumn("before_close", before)
-    traded = (F.col("volume") > F.col("before_close.volume")) | (F.col("money") > F.col("before_close.money"))
-    sharp = (F.col("tm") == 150_000_000) & (F.col("current") != F.col("before_close.current"))
+    before = F.max_by(F.struct(*TRADED), F.when(valid & (F.col("tm") < 150_000_000), F.col("pos"))).over(day())
+    out = flagged.withColumn("_before", before).withColumns({f"before_{x}": F.col(f"_before.{x}") for x in TRADED}).drop("_before")
+    traded = (F.col("volume") > F.col("before_volume")) | (F.col("money") > F.col("before_money"))
+    sharp = (F.col("tm") == 150_000_000) & (F.col("current") != F.col("before_current"))
     return out.withColumn("is_auction", F.coalesce(valid & F.col("tm").between(150_000_000, 150_500_000) & (F.coalesce(traded, F.lit(False)) | sharp), F.lit(False)))
 
 
@@ -122,9 +133,10 @@ def spine(bars: DataFrame) -> DataFrame:
     days = bars.groupBy(*KEY).agg(
         F.map_from_entries(F.collect_list(F.when(F.col("bar").isNotNull(), F.struct(F.col("bar").cast("int").alias("k"), F.struct(*per_bar).alias("v"))))).alias("at"),
         F.max("base_close").alias("base_close"), F.max("base_volume").alias("base_volume"), F.max("base_money").alias("base_money"),
-        F.min("first_valid").alias("first_valid"), F.min("auction").alias("auction"), F.any_value("before_close", True).alias("before_close"),
+        F.min("first_valid").alias("first_valid"), F.min("auction_pos").alias("auction_pos"), *[F.min_by(f"auction_{x}", "auction_pos").alias(f"auction_{x}") for x in TRADED], *[F.max(f"before_{x}").alias(f"before_{x}") for x in TRADED],
     )
-    full = days.select(*KEY, "at", "base_close", "base_volume", "base_money", "first_valid", "auction", "before_close", F.explode(times.labels()).alias("label"))
+    own = [f"{k}_{x}" for k in ("auction", "before") for x in TRADED]
+    full = days.select(*KEY, "at", "base_close", "base_volume", "base_money", "first_valid", "auction_pos", *own, F.explode(times.labels()).alias("label"))
     return full.withColumn("v", F.try_element_at("at", F.col("label"))).select("*", *[F.col(f"v.{c}").alias(c) for c in per_bar]).drop("at", "v")
 
 
@@ -152,9 +164,9 @@ def morning_end(rows: DataFrame) -> DataFrame:
 
 def close_auction(rows: DataFrame) -> DataFrame:
     """15:00: from the last price before the auction to the auction's own."""
-    use = (F.col("label") == 1500) & F.col("auction").isNotNull()
-    a, b = F.col("before_close.current"), F.col("auction.current")
-    over = {"open": a, "close": b, "high": F.greatest(a, b), "low": F.least(a, b), "volume": F.greatest(F.col("auction.volume") - F.col("before_close.volume"), F.lit(0)), "money": F.greatest(F.col("auction.money") - F.col("before_close.money"), F.lit(0))}
+    use = (F.col("label") == 1500) & F.col("auction_pos").isNotNull()
+    a, b = F.col("before_current"), F.col("auction_current")
+    over = {"open": a, "close": b, "high": F.greatest(a, b), "low": F.least(a, b), "volume": F.greatest(F.col("auction_volume") - F.col("before_volume"), F.lit(0)), "money": F.greatest(F.col("auction_money") - F.col("before_money"), F.lit(0))}
     return rows.withColumns({c: F.when(use, F.coalesce(x, F.col(c))).otherwise(F.col(c)) for c, x in over.items()})
 
 
