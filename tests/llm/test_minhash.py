@@ -127,3 +127,14 @@ def test_messy(messy):
 
 def test_empty(empty):
     assert minhash.near_duplicates(empty).count() == 0 and minhash.keep_one(empty).count() == 0
+
+
+def test_long_words_that_polynomials_confuse(spark):
+    from .test_repeats import thue_morse
+
+    for n in (1024, 2048, 4096):
+        a, b = thue_morse(n)
+        rows = [(1, f"{a} q r"), (2, f"{b} q r"), (3, f"{a} Q R"), (4, f"{a} {b} q r"), (5, f"{b} {a} q r")]
+        docs = spark.createDataFrame([(*r, None, None, None) for r in rows], DOCS)
+        got = minhash.near_duplicates(docs, 3, 85).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute(rows, 3, 85)

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -132,12 +133,36 @@ def test_a_doc_id_of_many_texts_is_many_shards(spark, monkeypatch, coarse):
 def test_merged_answers():
     lists = [[1, 5, 9], [5, 7], [5, 9]]
     rank = np.array([0, 1, 1])
-    out = list(repeats.merged(0, [(k, repeats.pack_names(np.array(x, np.uint64), 0)) for k, x in enumerate(lists)], 1, 8, rank, True))
+    out = list(repeats.merged(0, [(k, repeats.pack_names(np.array(x, np.uint64), 0)) for k, x in enumerate(lists)], 1, 8, rank))
     table = pa.table({"part": [p for p, _, _ in out], "body": [b for _, _, b in out]})
-    got = [repeats._bits(table.slice(k, 1), [len(x)], True) for k, x in enumerate(lists)]
+    got = [repeats._bits(table.slice(k, 1), [len(x)]) for k, x in enumerate(lists)]
     assert [g[0].tolist() for g in got] == [[False, True, True], [True, False], [True, True]]
     assert [g[1].tolist() for g in got] == [[False, False, False], [True, False], [True, True]]
-    assert got[0][2][1] == got[1][2][0] == got[2][2][0] and got[0][2][2] == got[2][2][1] and got[0][2][0] == 0
+
+
+def test_a_passage_that_very_many_documents_hold(spark):
+    """Two first samples are common to all; what differs is in the third. Cut keys would take some for equal."""
+    passage = "the passage which every one of these documents has, 60 bytes "[:60]
+    rows = [(i, passage + hashlib.sha256(str(i).encode()).hexdigest()[:44]) for i in range(300_000)]
+    docs = spark.createDataFrame(pd.DataFrame(rows, columns=["doc_id", "text"]))
+    got = suffixes.remove_repeats(docs, with_bytes=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").toPandas()
+    assert Counter(got.itertuples(index=False, name=None)) == brute_bytes(rows)
+
+
+def thue_morse(n):
+    """The word of n letters and its complement; polynomial hashes modulo 2^64 take them for equal from 1,024 letters on."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [16, 31, 32, 64, 1024, 2048, 4096])
+def test_long_words_that_polynomials_confuse(spark, n):
+    a, b = thue_morse(n)
+    same = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{same} {a}"), (2, f"{same} {b}"), (3, f"{a} {same}"), (4, f"x {b} {same} y"), (5, f"x {b} {same} z")]
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], DOCS)
+    got = substrings.remove_repeats(docs).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_words(rows)
 
 
 def test_messy(spark, messy):

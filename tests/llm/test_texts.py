@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import langid, pii, quality
 
+from .conftest import DOCS
+
 
 SF = "/root/testdata/sf0.001"
 
@@ -150,6 +152,17 @@ def test_quality_on_documents(spark):
     assert sum(good) / len(good) > 0.97 and sum(bad) / len(bad) < 0.3
 
 
+def test_long_words_that_polynomials_confuse(spark, messy):
+    from .test_repeats import thue_morse
+
+    a, b = thue_morse(2048)
+    eight = " ".join(f"w{i}" for i in range(7))
+    rows = [(1, f"{eight} {a} {eight} {b}"), (2, f"{eight} {a} {eight} {a}"), (3, f"{b} {eight} {a} {eight}")]
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], DOCS)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    check_base(quality.judge(docs, quality.fit(docs, labels)).collect(), docs.select("doc_id", "text").collect())
+
+
 def test_scores_and_verdicts_equal_a_plain_sum(spark):
     """Score and `kept` of each document from the words themselves, with the cells' ratios taken as given."""
     import numpy as np

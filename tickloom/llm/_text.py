@@ -6,6 +6,7 @@ character, so splitting bytes equals splitting characters.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -16,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 U64 = np.uint64
+LONG = 32  # bytes from which a word is hashed as a whole
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -102,7 +104,9 @@ def pieces(at: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
 
 
 class Words:
-    """The words of some texts: start, end (bytes), text index, hash; `first` has where each text's words begin."""
+    """The words of some texts: start, end (bytes), text index, hash; `first` has where each text's words begin. A short word's
+    hash is a polynomial modulo 2^64 in an odd step. That is zero for differences of some patterns however the bytes are coded
+    (from about 1 KB on), so words of LONG bytes and more are hashed by BLAKE2b."""
 
     def __init__(self, raw: np.ndarray, at: np.ndarray, lower: bool = False):
         if lower:
@@ -125,6 +129,9 @@ class Words:
         total = np.zeros(n + 1, U64)
         np.cumsum(BYTE_CODE[raw] * power("up", max(n, 1))[:n], out=total[1:])
         self.hash = mix((total[self.end] - total[self.start]) * power("down", max(n, 1))[self.start] + U64(1)) if n else np.zeros(0, U64)
+        view = memoryview(raw) if n else b""
+        for k in np.flatnonzero(self.end - self.start >= LONG).tolist():
+            self.hash[k] = int.from_bytes(hashlib.blake2b(view[self.start[k] : self.end[k]], digest_size=8).digest(), "little")
         self.first = np.searchsorted(self.text, np.arange(texts + 1))
         self.count = np.diff(self.first)
 

@@ -6,16 +6,15 @@ positions that are both sampled, and the `window - period + 1` units from there
 
 Rounds, over shards of the documents (about `shard_bytes` each):
 0. Whole texts: of exact copies only the smallest doc_id goes on.
-1. Sampled prefixes, at cover positions only. They are sorted by their keys, equal neighbours get one name, a number; what
-   has no equal is out.
+1. Sampled prefixes, at cover positions only. A prefix is named by its 64-bit key; keys are sorted and merged by their first
+   bits only, which is enough to put out what has no equal.
 2. Only if a job is `deeper`: recursion. The names at i, i + period and i + 2 periods are a triple, which stands for
-   2 periods more than a sample; triples are sorted and named like samples. Windows inside such a prefix that a smaller
-   document has too are settled, and are not looked at again.
+   2 periods more than a sample; triples are named by a key of the three full names, sorted and merged like samples. Windows
+   inside such a prefix that a smaller document has too are settled, and are not looked at again.
 3. Every other suffix that can reach a shared sample is named to the full depth of the window. Names are sorted and merged
    across shards; equal neighbours are equal windows.
 In each round a shard sends its distinct keys, sorted and delta-coded, in slices by range of keys. A part merges the slices
-of all shards and answers with two bits a key, held by another shard and held by a smaller document's shard, and in round 1
-with the names. So no key's occurrences are ever gathered: a passage that a third of all documents hold is one key a shard.
+of all shards and answers with two bits a key, held by another shard and held by a smaller document's shard. So no key's occurrences are ever gathered: a passage that a third of all documents hold is one key a shard.
 A part holds about PART_BYTES of keys, so a round has shards x parts rows while slices are long, and never more rows
 than keys.
 
@@ -23,7 +22,9 @@ Shards are ranges of doc_id where order counts, cut by bytes; a doc_id that alon
 of the same rank. Elsewhere they are dealt by a hash of doc_id and text. Within a shard rows are ordered by (null, doc_id, text),
 whatever order they arrive in, so every round sees the same shard, also after a lost task.
 
-Keys of rounds 2 and 3 have 64 bits. Two different windows of n get one key with a chance of about n^2 / 2^65.
+What is taken for equal has equal keys of 64 bits: windows in round 3, and in round 2 triples of names, each of which is a key
+of 64 bits. The cut keys of round 1 are never proof, they only let more windows through than need be. Two different strings
+among n get one key with a chance of about n^2 / 2^65, and a triple has four keys that may fail so, three names and its own.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ MAIL = "part long, shard int, body binary"
 COVERS = {21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
 PART_BYTES = 64 << 20
 EARLIER = 1 << 40  # added to the part of answers of an earlier round
-_TRIPLE, _LOCAL = U64(0x9E3779B97F4A7C15), U64(1 << 63)
+_TRIPLE = U64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
@@ -97,9 +98,9 @@ def _mail(rows: list[tuple[int, int, bytes]]) -> pa.Table:
     return pa.table([pa.array(part, pa.int64()), pa.array(shard, pa.int32()), pa.array(body, pa.binary())], ["part", "shard", "body"])
 
 
-def merged(part: int, got: list[tuple[int, bytes]], parts: int, bits: int, rank: np.ndarray, named: bool) -> Iterator[tuple[int, int, bytes]]:
-    """The answers of one part to all its requests (shard, body): packed bits held by another shard, packed bits held by
-    one of smaller rank, and if named, the names of what is held by another."""
+def merged(part: int, got: list[tuple[int, bytes]], parts: int, bits: int, rank: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """The answers of one part to all its requests (shard, body): packed bits held by another shard, and held by
+    one of smaller rank."""
     got.sort()
     base = _edges(parts, bits)[part]
     lists = [unpack_names(body, base) for _, body in got]
@@ -108,20 +109,17 @@ def merged(part: int, got: list[tuple[int, bytes]], parts: int, bits: int, rank:
     keys, own = keys[order], np.repeat(rank[[k for k, _ in got]], [len(x) for x in lists])[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     length = np.diff(np.append(first, len(keys)))
-    other, lower, name = np.zeros(len(keys), bool), np.zeros(len(keys), bool), np.zeros(len(keys), U64)
+    other, lower = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
     other[order] = np.repeat(length > 1, length)
     lower[order] = own > np.repeat(own[first], length)
-    if named:
-        name[order] = np.repeat(np.cumsum(length > 1), length)
     at = 0
     for (shard, _), mine in zip(got, lists, strict=True):
         end = at + len(mine)
-        bits_ = np.packbits(other[at:end]).tobytes() + np.packbits(lower[at:end]).tobytes()
-        yield part, shard, bits_ + (pack_names(name[at:end][other[at:end]], 0) if named else b"")
+        yield part, shard, np.packbits(other[at:end]).tobytes() + np.packbits(lower[at:end]).tobytes()
         at = end
 
 
-def _answers(mail: DataFrame, parts: int, bits: int, rank: np.ndarray, named: bool = False) -> DataFrame:
+def _answers(mail: DataFrame, parts: int, bits: int, rank: np.ndarray) -> DataFrame:
     """merged() for every part. Mail of negative part passes through: it is what a shard keeps for its next round."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,20 +130,20 @@ def _answers(mail: DataFrame, parts: int, bits: int, rank: np.ndarray, named: bo
                     yield from _mail([(part, shard, body)]).to_batches()
                     continue
                 if part != now and held:
-                    yield from _mail(list(merged(now, held, parts, bits, rank, named))).to_batches()
+                    yield from _mail(list(merged(now, held, parts, bits, rank))).to_batches()
                     held = []
                 now = part
                 held.append((shard, body))
         if held:
-            yield from _mail(list(merged(now, held, parts, bits, rank, named))).to_batches()
+            yield from _mail(list(merged(now, held, parts, bits, rank))).to_batches()
 
     return mail.repartition(max(parts, 1), "part").sortWithinPartitions("part").mapInArrow(run, MAIL)
 
 
-def _bits(inbox: pa.Table, counts: list[int], named: bool = False, offset: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Both answers for all keys sent, in order, and their names (0: none). counts: keys sent to each part."""
+def _bits(inbox: pa.Table, counts: list[int], offset: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Both answers for all keys sent, in order. counts: keys sent to each part."""
     n = sum(counts)
-    other, lower, name, at = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n if named else 0, U64), np.cumsum([0, *counts])
+    other, lower, at = np.zeros(n, bool), np.zeros(n, bool), np.cumsum([0, *counts])
     for part, body in zip(inbox["part"].to_pylist(), inbox["body"].to_pylist(), strict=True):
         k = part - offset
         if part >= 0 and 0 <= k < len(counts):
@@ -153,9 +151,7 @@ def _bits(inbox: pa.Table, counts: list[int], named: bool = False, offset: int =
             size = -(-n // 8)
             other[at[k] : at[k + 1]] = np.unpackbits(np.frombuffer(body, np.uint8, size), count=n)
             lower[at[k] : at[k + 1]] = np.unpackbits(np.frombuffer(body, np.uint8, size, size), count=n)
-            if named:
-                name[at[k] : at[k + 1]][other[at[k] : at[k + 1]]] = unpack_names(body[2 * size :], 0) + (U64(k) << U64(36))
-    return other, lower, name
+    return other, lower
 
 
 def _kept(inbox: pa.Table) -> bytes:
@@ -218,7 +214,7 @@ class Shard:
             else:
                 yield Run(own[a:b], at[a : b + 1] - at[a], BYTE_CODE[raw])
 
-    def samples(self, skip: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, Run]]:
+    def samples(self, skip: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, Run]]:
         """For each run: names of the samples, and the units at which they are."""
         cover = np.array(COVERS[self.job.period])
         grid = cover
@@ -228,7 +224,7 @@ class Shard:
                 grid = (np.arange(longest // self.job.period + 2)[:, None] * self.job.period + cover).ravel()
             k = np.searchsorted(grid, run.count - self.job.sample, "right")
             at = np.concatenate([np.zeros(0, np.int64), *(grid[:n] + a for a, n in zip(run.first.tolist(), k.tolist(), strict=False))])
-            yield run.names(at, self.job.sample) >> U64(64 - bits), at, run
+            yield run.names(at, self.job.sample), at, run
 
     def suffixes(self, skip: np.ndarray, maybe: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, Run]]:
         """For each run: names of the windows that may repeat, and their units."""
@@ -236,12 +232,12 @@ class Shard:
             at = np.flatnonzero(open_)
             yield run.names(at, self.job.window), at, run
 
-    def triples(self, runs: list[tuple[np.ndarray, np.ndarray, Run]], shared: np.ndarray, name: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each run: keys of the triples of shared names a period apart, their units, and their documents' indices."""
+    def triples(self, runs: list[tuple[np.ndarray, np.ndarray, Run]], shared: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each run: keys of the triples of shared samples' names a period apart, their units, and their documents' indices."""
         step, begin = len(COVERS[self.job.period]), 0
-        for own, at, run in runs:
-            open_, mine = shared[begin : begin + len(own)], name[begin : begin + len(own)]
-            begin += len(own)
+        for mine, at, run in runs:
+            open_ = shared[begin : begin + len(mine)]
+            begin += len(mine)
             doc = run.docs_at(at)
             n = max(0, len(at) - 2 * step)
             k = np.flatnonzero(open_[:n] & open_[step : step + n] & open_[2 * step :][:n] & (doc[:n] == doc[2 * step :][:n]))
@@ -273,7 +269,7 @@ def _sent(names: np.ndarray, parts: int, bits: int) -> list[int]:
 def _copies(shard: Shard, inbox: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """For each document: whether its text occurs elsewhere, and whether in a smaller document or an earlier row."""
     names, which, count = shard.text_names()
-    other, lower, _ = _bits(inbox, _sent(names, parts, 64))
+    other, lower = _bits(inbox, _sent(names, parts, 64))
     first = np.full(len(names), -1)
     first[which[::-1]] = np.arange(len(which))[::-1]
     return (other | (count > 1))[which], lower[which] | (first[which] != np.arange(len(which)))
@@ -294,15 +290,12 @@ def _concat(arrays: list[np.ndarray], kind: type) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, kind)
 
 
-def _shared(shard: Shard, k: int, skip: np.ndarray, inbox: pa.Table, parts: int, bits: int, offset: int = 0) -> tuple[list, np.ndarray, np.ndarray]:
-    """The samples of a shard's runs, which of them are shared, and the shared ones' names."""
-    named = shard.job.deeper
-    runs = list(shard.samples(skip, bits))
-    keys, which, count = np.unique(_concat([n for n, _, _ in runs], U64), return_inverse=True, return_counts=True)
-    other, _, name = _bits(inbox, _sent(keys, parts, bits), named, offset)
-    if named:  # what only this shard has twice gets a name that only this shard uses
-        name = np.where(other, name, _LOCAL | U64(k) << U64(32) | np.arange(len(keys), dtype=U64))[which]
-    return runs, (other | (count > 1))[which], name
+def _shared(shard: Shard, skip: np.ndarray, inbox: pa.Table, parts: int, bits: int, offset: int = 0) -> tuple[list, np.ndarray]:
+    """The samples of a shard's runs, and which of them may be shared."""
+    runs = list(shard.samples(skip))
+    keys, which, count = np.unique(_concat([n for n, _, _ in runs], U64) >> U64(64 - bits), return_inverse=True, return_counts=True)
+    other, _ = _bits(inbox, _sent(keys, parts, bits), offset)
+    return runs, (other | (count > 1))[which]
 
 
 def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndarray, list], pa.Table], fields: str, shard_bytes: int = 16 << 20) -> DataFrame:
@@ -359,22 +352,22 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
     def sampled(table: pa.Table, inbox: pa.Table) -> pa.Table:
         shard, k = Shard(table, job), number(table)
         elsewhere, skip = _copies(shard, inbox, parts)
-        names = distinct(_concat([n for n, _, _ in shard.samples(skip, bits)], U64))
+        names = distinct(_concat([distinct(n >> U64(64 - bits)) for n, _, _ in shard.samples(skip)], U64))
         return _mail([(-1 - k, k, _flags(elsewhere, skip)), *_requests(k, names, parts, bits)])
 
     def tripled(table: pa.Table, inbox: pa.Table) -> pa.Table:
         shard, k = Shard(table, job), number(table)
         _, skip = _unflag(_kept(inbox), len(shard.text), len(shard.text))
-        keys = distinct(_concat([x for x, _, _ in shard.triples(*_shared(shard, k, skip, inbox, parts, bits))], U64))
+        keys = distinct(_concat([x for x, _, _ in shard.triples(*_shared(shard, skip, inbox, parts, bits))], U64))
         return _mail([(-1 - k, k, _kept(inbox)), *_requests(k, keys, parts, 64)])
 
     def deep(table: pa.Table, inbox: pa.Table) -> pa.Table:
         shard, k = Shard(table, job), number(table)
         elsewhere, skip = _unflag(_kept(inbox), len(shard.text), len(shard.text))
-        runs, shared, name = _shared(shard, k, skip, inbox, parts, bits, EARLIER if job.deeper else 0)
+        runs, shared = _shared(shard, skip, inbox, parts, bits, EARLIER if job.deeper else 0)
         maybe, settled, at = [], [], 0
         if job.deeper:
-            triples = list(shard.triples(runs, shared, name))
+            triples = list(shard.triples(runs, shared))
             keys, first, which = np.unique(_concat([x for x, _, _ in triples], U64), return_index=True, return_inverse=True)
             doc = shard.id[_concat([d for _, _, d in triples], np.int32)]
             hit = _bits(inbox, _sent(keys, parts, 64))[1][which] | (doc > doc[first][which])
@@ -387,7 +380,7 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
             open_ = shard.reach(where[shared[at : at + len(own)]], run)
             maybe.append(open_ & ~settled[i] if job.deeper else open_)
             at += len(own)
-        del runs, shared, name
+        del runs, shared
         names = distinct(_concat([n for n, _, _ in shard.suffixes(skip, maybe)], U64))
         lengths = np.array([len(shard.text), *map(len, maybe)], np.int64).tobytes()
         return _mail([(-1 - k, k, len(lengths).to_bytes(4, "big") + lengths + _flags(elsewhere, skip, *maybe, *settled)), *_requests(k, names, parts, 64)])
@@ -401,7 +394,7 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
         maybe, settled = rest[: len(lengths)], rest[len(lengths) :]
         runs = [(own, at, run.docs_at(at).astype(np.int32)) for own, at, run in shard.suffixes(skip, maybe)]
         names, first, which, count = np.unique(_concat([x for x, _, _ in runs], U64), return_index=True, return_inverse=True, return_counts=True)
-        other, lower, _ = _bits(inbox, _sent(names, parts, 64))
+        other, lower = _bits(inbox, _sent(names, parts, 64))
         if job.by_order:
             doc = shard.id[_concat([d for _, _, d in runs], np.int32)]
             hit = lower[which] | (doc > doc[first][which])
@@ -419,7 +412,7 @@ def find(docs: DataFrame, job: Job, finish: Callable[[Shard, np.ndarray, np.ndar
         return dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(f, out)
 
     answers = _answers(dealt.groupBy("shard").applyInArrow(whole_texts, MAIL), parts, 64, rank)
-    answers = _answers(turn(answers, sampled, MAIL), parts, bits, rank, job.deeper)
+    answers = _answers(turn(answers, sampled, MAIL), parts, bits, rank)
     if job.deeper:
         again = answers.filter("part >= 0").withColumn("part", F.col("part") + EARLIER)
         answers = _answers(turn(answers, tripled, MAIL), parts, 64, rank).unionByName(again)
