@@ -1,4 +1,4 @@
-"""Queries of the ten operators over whole tables, with SQL where SQL can express them."""
+"""Queries of the operators over whole tables, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, langid, minhash, mixing, packing, pii, quality, substrings, suffixes, topk
+from . import chat, langid, minhash, mixing, packing, pii, quality, sentencepieces, substrings, suffixes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -150,4 +150,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), with_bytes=False).drop("kept_bytes")
 
 
+@_query("op11_sentencepiece")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.digest(sentencepieces.encode(_table(spark, sf_dir, "documents")))
+
+
 _query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
