@@ -106,13 +106,13 @@ def pieces(at: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
 class Words:
     """The words of some texts: start, end (bytes), text index, hash; `first` has where each text's words begin. A short word's
     hash is a polynomial modulo 2^64 in an odd step. That is zero for differences of some patterns however the bytes are coded
-    (from about 1 KB on), so words of LONG bytes and more are hashed by BLAKE2b."""
+    (from about 1 KB on), so words of LONG bytes and more are hashed by BLAKE2b. `space` has the bytes between words."""
 
-    def __init__(self, raw: np.ndarray, at: np.ndarray, lower: bool = False):
+    def __init__(self, raw: np.ndarray, at: np.ndarray, lower: bool = False, space: np.ndarray = SPACE):
         if lower:
             raw = LOWER[raw]
         n, texts = len(raw), len(at) - 1
-        inside = ~SPACE[raw]
+        inside = ~space[raw]
         edge = np.zeros(n + 1, bool)
         edge[at] = True
         before = np.empty(n, bool)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, langid, minhash, mixing, packing, pii, quality, sentencepieces, substrings, suffixes, topk
+from . import chat, collocations, langid, minhash, mixing, packing, pii, quality, sentencepieces, substrings, suffixes, topk, treaps
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -155,4 +155,53 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.digest(sentencepieces.encode(_table(spark, sf_dir, "documents")))
 
 
+OP12_SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+sizes AS (SELECT r, doc_id, len(w) AS n FROM docs WHERE len(w) > 0),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM docs) GROUP BY ALL),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM held SEMI JOIN asked USING (term) GROUP BY term), whole),
+scored AS (
+  SELECT item_id, r, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN weighed USING (term) JOIN held USING (term) JOIN sizes USING (r), whole GROUP BY item_id, r)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored JOIN sizes USING (r) WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@_query("op12_lexical_search", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treaps.search(treaps.build(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = """
+WITH RECURSIVE pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+own AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w, count(*) AS c FROM pieces GROUP BY ALL HAVING len(w) > 0),
+total AS (SELECT lang, CAST(sum(c * len(w)) AS BIGINT) AS n FROM own GROUP BY lang),
+grams AS (SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, c FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS i FROM own, (SELECT unnest([1, 2, 3, 4, 5]) AS m))),
+counted AS (SELECT lang, m, phrase, CAST(sum(c) AS BIGINT) AS f FROM grams GROUP BY ALL HAVING sum(c) >= 100),
+candidate AS (SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE m > 1),
+cut AS (SELECT *, array_to_string(w[1:k], ' ') AS a_part, array_to_string(w[k + 1:], ' ') AS b_part FROM (SELECT *, unnest(range(1, m)) AS k FROM candidate)),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.f AS a, x.f AS l, y.f AS r, n, CAST(CAST(1000 AS HUGEINT) * cut.f * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score, k
+  FROM cut JOIN counted x ON x.lang = cut.lang AND x.phrase = a_part JOIN counted y ON y.lang = cut.lang AND y.phrase = b_part JOIN total ON total.lang = cut.lang),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (SELECT DISTINCT lang, f, array_to_string(w[i : i + s - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM candidate, (SELECT unnest([2, 3, 4]) AS s) WHERE s < m)),
+kept AS (SELECT * FROM weakest v WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = v.lang AND i.phrase = v.phrase AND 100 * i.f >= 100 * v.a))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept QUALIFY rank <= 2000
+"""
+
+
+@_query("op13_collocations", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
 _query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
