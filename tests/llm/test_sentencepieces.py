@@ -37,7 +37,7 @@ def test_chunks_have_the_pieces_of_the_text(text):
     assert [i for ids in model.ids(chunks) for i in ids] == LIBRARY.encode(text)
 
 
-@pytest.mark.parametrize("shard_bytes", [16 << 20, 1500])
+@pytest.mark.parametrize("shard_bytes", [6 << 20, 1500])
 def test_texts_equal_the_library(spark, shard_bytes):
     rng = random.Random(4)
     words = ["the", "  ", "\n", "\n\n", "</s>", "<s>", "<0x41>", "▁", "日本語", "naïve", "ﬁ", "x" * 300, "\t\r\n", "😀", "don't", "3.14159", ""]

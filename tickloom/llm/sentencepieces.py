@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -103,7 +105,7 @@ def _listed(counts: np.ndarray, flat: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat, pa.int32()))
 
 
-def encode(docs: DataFrame, model: bytes | None = None, shard_bytes: int = 16 << 20) -> DataFrame:
+def encode(docs: DataFrame, model: bytes | None = None, shard_bytes: int = 6 << 20) -> DataFrame:
     """(doc_id, ids): what the library gives for each whole text, without begin or end."""
     tune(docs.sparkSession)
     body = model or read_model()
@@ -126,15 +128,16 @@ def encode(docs: DataFrame, model: bytes | None = None, shard_bytes: int = 16 <<
                 now, table = part, {}
             chunks = _unstring(asked)
             new = [c for c in chunks if c not in table]
-            table.update(zip(new, (np.array(x, np.int32) for x in m.ids(new)), strict=True))
+            table.update(zip(new, (array("i", x).tobytes() for x in m.ids(new)), strict=True))
             got = [table[c] for c in chunks]
-            yield part, shard, squeezed(np.array([len(x) for x in got], np.int32), np.concatenate(got))
+            yield part, shard, squeezed(np.array([len(x) for x in got], np.int32) // 4, np.frombuffer(b"".join(got), np.int32))
 
     def join(blocks: pa.Table, inbox: pa.Table) -> pa.Table:
-        m, place, rows = opened_model(body), {}, rows_of(blocks)
+        m, place, rows = opened_model(body), defaultdict(), rows_of(blocks)
+        place.default_factory = place.__len__  # a new chunk's place is the number of those before it
         if not rows.num_rows:
             return pa.table({"doc_id": rows["doc_id"], "ids": _listed(np.zeros(0, np.int64), np.zeros(0, np.int32))})
-        at = [np.fromiter((place.setdefault(c, len(place)) for c in m.chunks(text)), np.int64) for text in rows["text"].to_pylist()]
+        at = [np.fromiter(map(place.__getitem__, m.chunks(text)), np.int32) for text in rows["text"].to_pylist()]
         bodies = dict(zip(inbox["part"].to_pylist(), inbox["body"].to_pylist(), strict=True))
         counts, flat, own = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], []
         for part, chunks in _slices(list(place), parts):
@@ -168,7 +171,9 @@ def decode(encoded: DataFrame, model: bytes | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = opened_model(body).decoder
         for batch in batches:
-            texts = [decoder.decode(ids) if ids else "" for ids in batch.column(names.index("ids")).to_pylist()]
+            ids = batch.column(names.index("ids")).fill_null([])
+            edges, flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+            texts = [decoder.decode(flat[a:b].tolist()) if a < b else "" for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, "text"])
 
     return encoded.mapInArrow(run, fields)
