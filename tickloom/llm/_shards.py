@@ -37,6 +37,19 @@ def mail(rows: list[tuple[int, int, bytes]]) -> pa.Table:
     return pa.table([pa.array(part, pa.int64()), pa.array(shard, pa.int32()), pa.array(body, pa.binary())], ["part", "shard", "body"])
 
 
+def packed(rows: pa.Table) -> bytes:
+    """Rows as one compressed block."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(block: pa.Buffer) -> pa.Table:
+    """What packed() was given."""
+    return pa.ipc.open_stream(block).read_all()
+
+
 def deal(rows: DataFrame, salt: Column, shards: int) -> DataFrame:
     """(shard, block): rows by a salt, in compressed blocks; a task hands out blocks whenever it has gathered HELD bytes."""
     names = rows.columns
@@ -51,10 +64,7 @@ def deal(rows: DataFrame, salt: Column, shards: int) -> DataFrame:
             every, own = every.select(names).take(pa.array(order)), own[order]
             edges = np.flatnonzero(np.diff(own, prepend=-1, append=-1))
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, every.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                    out.write_table(every.slice(a, b - a))
-                yield pa.RecordBatch.from_arrays([pa.array([own[a]], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["shard", "block"])
+                yield pa.RecordBatch.from_arrays([pa.array([own[a]], pa.int32()), pa.array([packed(every.slice(a, b - a))], pa.binary())], ["shard", "block"])
 
         for batch in batches:
             held.append(batch)
@@ -70,7 +80,7 @@ def deal(rows: DataFrame, salt: Column, shards: int) -> DataFrame:
 
 def rows_of(blocks: pa.Table) -> pa.Table:
     """The rows of one shard, in no certain order."""
-    return pa.concat_tables([pa.ipc.open_stream(b.as_buffer()).read_all() for b in blocks["block"].combine_chunks()]).combine_chunks()
+    return pa.concat_tables([unpacked(b.as_buffer()) for b in blocks["block"].combine_chunks()]).combine_chunks()
 
 
 def shard_of(blocks: pa.Table) -> int:

@@ -4,8 +4,8 @@ Texts are split into pieces, and identical pieces become one with a multiplicity
 sorts the hashes of its n-grams, cut to so many bits that there are several cells for each n-gram of the corpus, adds up the
 multiplicities of equal ones and sends them to the parts that own these cells. A part adds up all shards' cells and answers
 with a bit a cell: could a frequent phrase be in here? No phrase is lost by that, as a cell's total is at least that of each
-phrase in it. What is in such a cell is then counted by its full text: shards send each phrase once with its local count,
-dealt to hash buckets, and a bucket's task counts them in duckdb, which goes to disk beyond `memory`. Cuts and the phrases
+phrase in it. What is in such a cell is then counted by its full text: shards send each phrase once with its local count, in
+one block for each hash bucket, and a bucket's task counts them in duckdb, which goes to disk beyond `memory`. Cuts and the phrases
 inside longer ones are lookups by phrase, as shuffled joins. So memory is bounded by shards and parts, whose number grows with
 the corpus, and a word or phrase that is everywhere is one row a shard. (N-grams are told apart in a shard by 64-bit hashes.)
 
@@ -20,8 +20,10 @@ left out.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import string
 import tempfile
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shards import MAIL, answered, deal, mail, opened, rows_of, shard_of, squeezed
+from ._shards import MAIL, answered, deal, mail, opened, packed, rows_of, shard_of, squeezed, unpacked
 from ._state import shared_dir
 from ._text import U64, Words, buffer, mix, pieces as runs_of, tune
 from .repeats import _edges, pack_names, unpack_names
@@ -90,6 +92,12 @@ def _cells(grams: Grams, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return added(np.concatenate([k for k, _ in one] or [np.zeros(0, U64)]), np.concatenate([w for _, w in one] or [np.zeros(0, np.int64)]))
 
 
+def counted(rows: list[tuple]) -> pa.Table:
+    """Rows of COUNTS."""
+    kinds = {"lang": pa.string(), "words": pa.int32(), "phrase": pa.string(), "f": pa.int64()}
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)], list(kinds))
+
+
 def _cut(keys: np.ndarray, parts: int, bits: int) -> list[int]:
     return [*np.searchsorted(keys, np.array(_edges(parts, bits)[:-1], U64)).tolist(), len(keys)]
 
@@ -131,7 +139,7 @@ def counts(docs: DataFrame, least: int = 100, shard_bytes: int = 8 << 20, memory
 
     def tell(blocks: pa.Table, inbox: pa.Table) -> pa.Table:
         grams, bodies = Grams(blocks), dict(zip(inbox["part"].to_pylist(), inbox["body"].to_pylist(), strict=True))
-        out = [(lang, 0, None, total) for lang, total in grams.totals()]
+        out = [(zlib.crc32(lang.encode()) % parts, lang, 0, None, total) for lang, total in grams.totals()]
         for n in range(1, LONGEST + 1):
             keys, _ = _cells(grams, n, bits)
             cut, often = _cut(keys, parts, bits), np.zeros(len(keys), bool)
@@ -147,12 +155,13 @@ def counts(docs: DataFrame, least: int = 100, shard_bytes: int = 8 << 20, memory
             head = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]])) if len(h) else np.zeros(0, np.int64)
             sums = np.add.reduceat(w[order], head) if len(head) else w
             names = grams.langs.dictionary.to_pylist()
-            for i, f in zip(order[head].tolist(), sums.tolist(), strict=True):
+            to = (h[order[head]] % U64(parts)).tolist()
+            for k_, i, f in zip(to, order[head].tolist(), sums.tolist(), strict=True):
                 a, own, words, _, _ = grams.runs[run[i]]
                 k = first[i]
-                out.append((names[grams.lang[a + words.text[k]]], n, own[words.start[k] : words.end[k + n - 1]].tobytes().decode(), f))
-        lang, size, phrase, f = zip(*out, strict=True)
-        return pa.table([pa.array(lang, pa.string()), pa.array(size, pa.int32()), pa.array(phrase, pa.string()), pa.array(f, pa.int64())], ["lang", "words", "phrase", "f"])
+                out.append((k_, names[grams.lang[a + words.text[k]]], n, own[words.start[k] : words.end[k + n - 1]].tobytes().decode(), f))
+        out.sort(key=lambda row: row[0])
+        return mail([(part, shard_of(blocks), packed(counted([row[1:] for row in own]))) for part, own in itertools.groupby(out, lambda row: row[0])])
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import duckdb
@@ -160,15 +169,16 @@ def counts(docs: DataFrame, least: int = 100, shard_bytes: int = 8 << 20, memory
         with tempfile.TemporaryDirectory() as scratch, duckdb.connect(f"{scratch}/counts.db", config={"threads": 1, "memory_limit": memory, "temp_directory": scratch}) as db:
             db.execute("CREATE TABLE t (lang VARCHAR, words INTEGER, phrase VARCHAR, f BIGINT)")
             for batch in batches:
-                own = pa.Table.from_batches([batch])  # noqa: F841  duckdb reads it by its name
-                db.execute("INSERT INTO t SELECT * FROM own")
+                for block in batch.column(2):
+                    own = unpacked(block.as_buffer())  # noqa: F841  duckdb reads it by its name
+                    db.execute("INSERT INTO t SELECT * FROM own")
             found = db.execute(f"SELECT lang, words, phrase, CAST(sum(f) AS BIGINT) AS f FROM t GROUP BY ALL HAVING sum(f) >= {int(least)} OR words = 0")
             while rows := found.fetchmany(10_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.string(), pa.int32(), pa.string(), pa.int64()), strict=True)], ["lang", "words", "phrase", "f"])
+                yield from counted(rows).to_batches()
 
     requests = dealt.groupBy("shard").applyInArrow(ask, MAIL)
-    told = dealt.groupBy("shard").cogroup(answered(requests, LONGEST * parts, answer).groupBy("shard")).applyInArrow(tell, COUNTS)
-    return told.repartition(parts, "lang", "phrase").mapInArrow(bucket, COUNTS)
+    told = dealt.groupBy("shard").cogroup(answered(requests, LONGEST * parts, answer).groupBy("shard")).applyInArrow(tell, MAIL)
+    return told.repartition(parts, "part").mapInArrow(bucket, COUNTS)
 
 
 def score(a: str, n: str, parts: str) -> str:
