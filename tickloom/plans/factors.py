@@ -1,9 +1,10 @@
 """Factors of order flow per symbol.
 
-Per (symbol, side, bucket) one aggregate of counts, sums and power sums; both sides together are the sum of these rows, not
-another pass. Statistics are made per bucket, then spread out to columns, a row for each symbol, of which there are some
-thousands. Distinct orders are counted in two steps, flags per order, then their sum, which needs no sets. sums() has the
-buckets as columns instead, for increments that are added up.
+Orders, withdrawals and trades are stacked to one table of (symbol, family, side, buckets, values), which is written once and
+aggregated once, per (symbol, family, side, bucket, time): counts, sums and power sums. Both sides together are sums of these
+rows, and so are factors of all that was before a time. Distinct orders are counted in two steps, the first time of an order
+in each bucket, then how many there are, which needs no sets. Statistics stay arrays in the fixed order of factors until one
+projection names them, for some thousands of symbols. sums() has the buckets as columns instead.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ def trade_buckets() -> dict[str, Column | None]:
     return out
 
 
+NEVER = 1 << 40  # a label after all times
 #: Buckets of each family in their fixed order.
 BUCKETS = {"order": ("", "large", "small"), "withdraw": ("", "large", "small", "complete", "partial", "instant"), "trade": ("", "large", "small", "bolarge", "bosmall", "solarge", "sosmall")}
 class Family(NamedTuple):
@@ -81,86 +83,123 @@ def merge(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     return rows.groupBy(*by).agg(*[F.sum(c).alias(c) for c in rows.columns if c not in ("symbol", "side", "label", *by)])
 
 
-def distinct_orders(trades: DataFrame, which: str, sides: Mapping[str, int | None]) -> DataFrame:
-    """Per symbol, how many different orders on one side of the book traded in each bucket, by the trades' side."""
-    flags = []
-    for prefix, code in sides.items():
-        on = F.lit(True) if code is None else F.col("side") == code
-        for bucket, where in trade_buckets().items():
-            hit = on if where is None else on & where
-            flags.append(F.max(F.coalesce(hit, F.lit(False)).cast("int")).alias(f"{prefix}_trade_{which}order_count{'_' + bucket if bucket else ''}"))
-    per_order = trades.filter(F.col(f"trade{which}id") != 0).groupBy("symbol", "channelid", f"trade{which}id").agg(*flags)
-    return per_order.groupBy("symbol").agg(*[F.sum(c).alias(c) for c in per_order.columns[3:]])
-
-
-def bucket_sums(rows: DataFrame, family: str, by: Sequence[str] = ("symbol", "side"), families: Families = FAMILIES) -> DataFrame:
-    """The same sums with a row for each bucket. A row goes to the few buckets that it is in, and the aggregate has one set
-    of columns, small enough to be compiled whole, where the wide form has one for each bucket."""
-    buckets, vol, money, fields, by_means = families[family]
-    inside = F.array_compact(F.array(*[F.lit(k) if where is None else F.when(where, F.lit(k)) for k, where in buckets().items()]))
-    own = rows.select(*by, F.col(vol).alias("vol"), F.col(money).alias("money"), *[F.col(f).alias(f"x_{f}") for f in fields], F.explode(inside).alias("bucket"))
-    power = [c for f in fields for c in m.power_sums(F.col(f"x_{f}"), f)]
-    power += [F.count("vol").alias("vol_n")] if by_means else []
-    return own.groupBy(*by, "bucket").agg(F.count("*").alias("count"), F.sum("vol").alias("vol"), F.sum("money").alias("money"), *power)
-
-
-def bucket_stats(sums_: DataFrame, family: str, prefix: Column, by: Sequence[str] = ("symbol",), families: Families = FAMILIES) -> DataFrame:
-    """(*by, key, stats): factors of each bucket in their fixed order; the key names side, family and bucket."""
-    own = families[family]
-    fields, price = own.fields, m.ratio_of_means(own.money) if own.by_means else m.vwapx()
-    stats = [F.col("count").cast("double"), price, *(f(x) for x in fields for f in (m.mean, m.std, m.skew, m.kurt))]
-    return sums_.select(*by, F.concat_ws("|", prefix, F.lit(family), F.col("bucket")).alias("key"), F.array(*stats).alias("stats"))
-
-
-def _side() -> Column:
+def _prefix() -> Column:
     return F.when(F.col("side") == SIDES["buy"], "buy").when(F.col("side") == SIDES["sell"], "sell").otherwise("neutral")
 
 
-def family_stats(rows: DataFrame, family: str) -> DataFrame:
-    """bucket_stats() of both sides, and for trades of all of them together: sums of the sides' sums."""
-    own = bucket_sums(rows, family)
-    out = bucket_stats(own, family, _side())
-    return out.unionByName(bucket_stats(merge(own, ["symbol", "bucket"]), family, F.lit("both"))) if family == "trade" else out
+def _width(families: Families) -> int:
+    return max(len(f.fields) for f in families.values())
 
 
-def spread_out(stats: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str] = ("symbol",), families: Families = FAMILIES) -> DataFrame:
-    """One row per symbol, or whatever `by` names, with a column for each factor of the (family, prefix) pairs: a map of at most 39 short arrays."""
-    one = stats.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("key", "stats"))).alias("at"))
-    columns = []
-    for family, prefix in pairs:
-        fields = families[family].fields
-        kinds = [f"{family}_count", f"{family}vwapx", *(f"{f}_{k}" for f in fields for k in ("mean", "std", "skew", "kurt"))]
-        for bucket in BUCKETS[family]:
-            for i, kind in enumerate(kinds):
-                name = f"{prefix}_{kind}{'_' + bucket if bucket else ''}"
-                found = f"try_element_at(at, '{prefix}|{family}|{bucket}')[{i}]"
-                columns.append(F.expr(f"coalesce({found}, 0D) as {name}" if "_count" in kind else f"{found} as {name}"))
-    return one.select(*by, *columns)
+def stacked(life: Lifecycle, label: Mapping[str, Column], families: Families = FAMILIES) -> DataFrame:
+    """All rows of a lifecycle as one table; label has the time of each family that takes part."""
+    frames, out = {"order": life.orders, "withdraw": life.withdraws, "trade": life.trades}, []
+    for family, when in label.items():
+        own = families[family]
+        inside = F.array_compact(F.array(*[F.lit(k) if where is None else F.when(where, F.lit(k)) for k, where in own.buckets().items()]))
+        x = [F.col(own.fields[j]).cast("double") if j < len(own.fields) else F.lit(None).cast("double") for j in range(_width(families))]
+        key = [(F.col(c) if family == "trade" else F.lit(None)).cast("long").alias(c) for c in ("channelid", "tradebuyid", "tradesellid")]
+        out.append(frames[family].select(F.col("symbol").cast("long").alias("symbol"), F.lit(family).alias("family"), _prefix().alias("prefix"), when.cast("long").alias("label"), inside.alias("buckets"), F.col(own.vol).cast("long").alias("vol"), F.col(own.money).cast("double").alias("money"), *[c.alias(f"x{j}") for j, c in enumerate(x)], *key))
+    return reduce(DataFrame.unionByName, out)
 
 
-def names(families: Families = FAMILIES) -> list[str]:
-    """All 492 factors (888 with returns and turnovers) in their fixed order: orders and withdrawals of both sides, then trades of all, buy and sell."""
+def _so_far(rows: DataFrame, by: Sequence[str], times: Sequence[int]) -> DataFrame:
+    """Sums of all that was up to each time, from sums of what came between them (label: the first time that has it)."""
+    if len(times) == 1:
+        return rows
+    own = [c for c in rows.columns if c not in (*by, "label")]
+    w = Window.partitionBy(*by).orderBy("label")
+    run = rows.select(*by, *[F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(c) for c in own], "label", F.lead("label").over(w).alias("_next"))
+    until = F.filter(F.array(*[F.lit(t).cast("long") for t in times]), lambda t: (t >= F.col("label")) & (F.col("_next").isNull() | (t < F.col("_next"))))
+    return run.withColumn("label", F.explode(until)).drop("_next")
+
+
+def moments(rows: DataFrame, families: Families = FAMILIES) -> DataFrame:
+    """(symbol, family, prefix, bucket, label) with counts, sums and power sums; every column can be added up."""
+    power = [c for j in range(_width(families)) for c in m.power_sums(F.col(f"x{j}"), f"x{j}")]
+    own = rows.withColumn("bucket", F.explode("buckets"))
+    return own.groupBy("symbol", "family", "prefix", "bucket", "label").agg(F.count("*").alias("count"), F.sum("vol").alias("vol"), F.count("vol").alias("vol_n"), F.sum("money").alias("money"), *power)
+
+
+def added(sums_: DataFrame) -> DataFrame:
+    """Rows of moments() of several increments as one, and for trades both sides as a further prefix."""
+    by = ["symbol", "family", "prefix", "bucket", "label"]
+    prefix = F.when(F.col("family") == "trade", F.array("prefix", F.lit("both"))).otherwise(F.array("prefix"))
+    return sums_.withColumn("prefix", F.explode(prefix)).groupBy(*by).agg(*[F.sum(c).alias(c) for c in sums_.columns if c not in by])
+
+
+def distinct_orders(rows: DataFrame, times: Sequence[int]) -> DataFrame:
+    """(symbol, label, key, stats): how many different buy and sell orders had traded in each bucket up to each time. An order
+    counts in a bucket from its first trade there on."""
+    trades = rows.filter("family = 'trade'")
+    legs = trades.select("symbol", "prefix", "label", "buckets", "channelid", F.explode(F.array(F.struct(F.lit("buy").alias("which"), F.col("tradebuyid").alias("id")), F.struct(F.lit("sell").alias("which"), F.col("tradesellid").alias("id")))).alias("leg")).select("*", "leg.*").filter("id <> 0")
+    keys = {f"{p}|trade|{bucket}|orders": (F.lit(True) if p == "both" else F.col("prefix") == p) & F.array_contains("buckets", bucket) for p in ("both", *SIDES) for bucket in BUCKETS["trade"]}
+    first = legs.groupBy("symbol", "channelid", "which", "id").agg(*[F.min(F.when(hit, F.col("label"))).alias(k) for k, hit in keys.items()])
+    new = first.select("symbol", "which", F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"`{k}`").alias("label")) for k in keys])).alias("at")).select("symbol", "which", "at.*").filter("label is not null")
+    counts = new.groupBy("symbol", "key", "label").agg(F.count_if(F.col("which") == "buy").cast("double").alias("buy"), F.count_if(F.col("which") == "sell").cast("double").alias("sell"))
+    return _so_far(counts, ["symbol", "key"], times).select("symbol", "label", "key", F.array("buy", "sell").alias("stats"))
+
+
+def statistics(sums_: DataFrame, families: Families = FAMILIES) -> DataFrame:
+    """(symbol, label, key, stats): the factors of each bucket in their fixed order."""
+    by_means = F.col("family").isin([k for k, f in families.items() if f.by_means])
+    price = F.when(by_means, m.ratio_of_means("x0")).otherwise(m.vwapx())  # an amount is the first field of each family
+    every = F.array(F.col("count").cast("double"), price, *(f(f"x{j}") for j in range(_width(families)) for f in (m.mean, m.std, m.skew, m.kurt)))
+    size = reduce(lambda c, k: c.when(F.col("family") == k, 2 + 4 * len(families[k].fields)), families, F).otherwise(0)
+    return sums_.select("symbol", "label", F.concat_ws("|", "prefix", "family", "bucket").alias("key"), F.slice(every, 1, size).alias("stats"))
+
+
+def positions(families: Families = FAMILIES) -> list[tuple[str, list[str]]]:
+    """The keys of statistics in the fixed order of factors, with the factors of each."""
     out = []
     for family, prefixes in (("order", ("buy", "sell")), ("withdraw", ("buy", "sell")), ("trade", ("both", "buy", "sell"))):
-        fields = families[family].fields
         for p in prefixes:
             for bucket in BUCKETS[family]:
                 tail = f"_{bucket}" if bucket else ""
-                out += [f"{p}_{family}_count{tail}", f"{p}_{family}vwapx{tail}", *(f"{p}_{f}_{k}{tail}" for f in fields for k in ("mean", "std", "skew", "kurt"))]
-                out += [f"{p}_trade_{w}order_count{tail}" for w in ("buy", "sell")] if family == "trade" else []
+                out.append((f"{p}|{family}|{bucket}", [f"{p}_{family}_count{tail}", f"{p}_{family}vwapx{tail}", *(f"{p}_{f}_{k}{tail}" for f in families[family].fields for k in ("mean", "std", "skew", "kurt"))]))
+                if family == "trade":
+                    out.append((f"{p}|trade|{bucket}|orders", [f"{p}_trade_{w}order_count{tail}" for w in ("buy", "sell")]))
     return out
 
 
-def snapshot(life: Lifecycle) -> DataFrame:
-    """One row per symbol: symbol and the 492 factors."""
-    stats = family_stats(life.orders, "order")
-    for family, rows in (("withdraw", life.withdraws), ("trade", life.trades)):
-        stats = stats.unionByName(family_stats(rows, family))
-    sides = {"both": None, **SIDES}
-    wide = spread_out(stats, [*((f, p) for f in ("order", "withdraw") for p in SIDES), *(("trade", p) for p in sides)])
-    for w in ("buy", "sell"):
-        wide = wide.join(distinct_orders(life.trades, w, sides), "symbol", "left")
-    return wide.select("symbol", *[F.expr(f"coalesce(double({c}), 0D) as {c}") if "order_count" in c and "trade_" in c else F.col(c) for c in names()])
+def names(families: Families = FAMILIES) -> list[str]:
+    """All 492 factors (888 with returns and turnovers) in their fixed order: orders and withdrawals of both sides, then trades of all, buy and sell."""
+    return [name for _, own in positions(families) for name in own]
+
+
+def spread_out(stats: DataFrame, times: Sequence[int], families: Families = FAMILIES, digits: Callable[[str], int] | None = None, tail: str = "") -> DataFrame:
+    """(symbol, label, factors): a row for each symbol and time; counts are 0 where there is nothing. digits() rounds factors
+    other than counts."""
+    every = names(families)
+    kinds = [-1 if "_count" in n else digits(n) if digits else -2 for n in every]
+    rounded = " ".join(f"WHEN {k} THEN round(x, {k})" for k in sorted({k for k in kinds if k >= 0}))
+    wanted = ", ".join(f"named_struct('key', '{k}', 'n', {len(own)})" for k, own in positions(families))
+    one = stats.groupBy("symbol").agg(F.collect_list(F.struct("label", "key", "stats")).alias("all"))
+    one = one.select("symbol", F.explode(F.array(*[F.lit(t).cast("long") for t in times])).alias("label"), "all")
+    one = one.withColumn("at", F.expr("map_from_entries(transform(filter(all, e -> e.label = label), e -> struct(e.key, e.stats)))"))
+    flat = one.select("symbol", "label", F.expr(f"flatten(transform(array({wanted}), k -> coalesce(try_element_at(at, k.key), array_repeat(CAST(NULL AS DOUBLE), k.n))))").alias("v"))
+    case = f"CASE element_at(array({', '.join(map(str, kinds))}), i + 1) WHEN -1 THEN coalesce(x, 0D) {rounded} ELSE x END"
+    return flat.select("symbol", "label", F.expr(f"transform(v, (x, i) -> {case})").alias("v")).selectExpr("symbol", "label", *[f"v[{i}] AS {n}{tail}" for i, n in enumerate(every)])
+
+
+def of_rows(rows: DataFrame, times: Sequence[int], families: Families = FAMILIES, digits: Callable[[str], int] | None = None, tail: str = "") -> DataFrame:
+    """(symbol, label, factors) of stacked rows up to each time."""
+    later = F.filter(F.array(*[F.lit(t).cast("long") for t in (*times, NEVER)]), lambda t: t >= F.col("label"))
+    own = rows.withColumn("label", F.element_at(later, 1))
+    sums_ = _so_far(added(moments(own, families)), ["symbol", "family", "prefix", "bucket"], times)
+    return spread_out(statistics(sums_, families).unionByName(distinct_orders(own, times)), times, families, digits, tail)
+
+
+def snapshot(life: Lifecycle, digits: Callable[[str], int] | None = None, keep: Callable[[DataFrame], DataFrame] = lambda rows: rows, only: Sequence[str] = ("order", "withdraw", "trade")) -> DataFrame:
+    """One row per symbol: symbol and the 492 factors. keep() may write the stacked rows; only: families that take part."""
+    return of_rows(keep(stacked(life, {k: F.lit(0) for k in only})), (0,), digits=digits).drop("label")
+
+
+def snapshots_so_far(life: Lifecycle, times: Sequence[int] = TIMES, families: Families = FAMILIES, digits: Callable[[str], int] | None = None, tail: str = "", keep: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """snapshot() as of several times of the day: one row per symbol and time, with all factors of what was ordered,
+    withdrawn and traded in increments up to then. The lifecycle has the increment of each row (inc), and says of an order
+    what was known then (plans/increments)."""
+    return of_rows(keep(stacked(life, {k: F.col("inc") for k in ("order", "withdraw", "trade")}, families)), times, families, digits, tail)
 
 
 def cumulative_distinct(trades: DataFrame, which: str, label: str = "label") -> DataFrame:
@@ -171,48 +210,6 @@ def cumulative_distinct(trades: DataFrame, which: str, label: str = "label") ->
     return new.select("symbol", label, F.sum("n").over(w).alias(f"{which}orders"))
 
 
-def _so_far(rows: DataFrame, by: Sequence[str], times: Sequence[int]) -> DataFrame:
-    """Sums per label, a row of which counts at each of the times that is not before it, added up at these times."""
-    own = rows.withColumn("label", F.explode(F.filter(F.array(*[F.lit(t).cast("long") for t in times]), lambda t: t >= F.col("label"))))
-    return own.groupBy(*by, "label").agg(*[F.sum(c).alias(c) for c in rows.columns if c not in (*by, "label")])
-
-
-def distinct_so_far(trades: DataFrame, which: str, sides: Mapping[str, int | None], times: Sequence[int] = TIMES) -> DataFrame:
-    """distinct_orders() of the trades up to each time: an order counts in a bucket from its first trade there on."""
-    names_, firsts = [], []
-    for prefix, code in sides.items():
-        on = F.lit(True) if code is None else F.col("side") == code
-        for bucket, where in trade_buckets().items():
-            names_.append(f"{prefix}_trade_{which}order_count{'_' + bucket if bucket else ''}")
-            firsts.append(F.min(F.when(on if where is None else on & where, F.col("label"))).alias(names_[-1]))
-    per_order = trades.filter(F.col(f"trade{which}id") != 0).groupBy("symbol", "channelid", f"trade{which}id").agg(*firsts)
-    new = per_order.select("symbol", F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("label")) for k in names_])).alias("at")).select("symbol", "at.*")
-    counts = _so_far(new.filter("label is not null").groupBy("symbol", "key", "label").agg(F.count("*").alias("n")), ["symbol", "key"], times)
-    return counts.groupBy("symbol", "label").agg(*[F.sum(F.when(F.col("key") == k, F.col("n"))).alias(k) for k in names_])
-
-
-def snapshots_so_far(life: Lifecycle, label: Callable[[Column], Column], times: Sequence[int] = TIMES, families: Families = FAMILIES) -> DataFrame:
-    """snapshot() as of several times of the day: one row per symbol and time, with all factors of what was ordered,
-    withdrawn and traded up to then. label() makes the minute (HHMM) of a time; sums are taken once per minute, then added
-    up. What an order is worth is what the whole day's lifecycle says of it."""
-    by, sides = ("symbol", "label"), {"both": None, **SIDES}
-    frames = {"order": (life.orders, "ordertm"), "withdraw": (life.withdraws, "withdrawtm"), "trade": (life.trades, "tradetm")}
-    labelled = {k: rows.withColumn("label", label(F.col(tm)).cast("long")) for k, (rows, tm) in frames.items()}
-    stats = []
-    for family, rows in labelled.items():
-        own = _so_far(bucket_sums(rows, family, ("symbol", "side", "label"), families), ("symbol", "side", "bucket"), times)
-        stats.append(bucket_stats(own, family, _side(), by, families))
-        if family == "trade":
-            both = own.groupBy(*by, "bucket").agg(*[F.sum(c).alias(c) for c in own.columns if c not in (*by, "side", "bucket")])
-            stats.append(bucket_stats(both, family, F.lit("both"), by, families))
-    wide = spread_out(reduce(DataFrame.unionByName, stats), [*((f, p) for f in ("order", "withdraw") for p in SIDES), *(("trade", p) for p in sides)], by, families)
-    symbols = reduce(DataFrame.union, [rows.select("symbol") for rows in labelled.values()]).distinct()
-    out = symbols.withColumn("label", F.explode(F.array(*[F.lit(t).cast("long") for t in times]))).join(wide, list(by), "left")
-    for w in ("buy", "sell"):
-        out = out.join(distinct_so_far(labelled["trade"], w, sides, times), list(by), "left")
-    return out.select(*by, *[F.expr(f"coalesce(double({c}), 0D) as {c}") if "_count" in c else F.col(c) for c in names(families)])
-
-
 def at_times(rows: DataFrame, columns: Sequence[str], label: str = "label", times: Sequence[int] = TIMES) -> DataFrame:
     """Cumulative rows as of each of a few times of the day."""
     wanted = rows.select("symbol").distinct().withColumn(label, F.explode(F.array(*map(F.lit, times))))

@@ -8,6 +8,7 @@ and buy and sell are one table with a side, so each step is one join rather than
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,11 +43,15 @@ def _priced(orders: DataFrame) -> DataFrame:
     return orders.select(*ID, "symbol", "ordertm", "orderpx", "ordervol", (F.col("ordervol") * F.col("orderpx")).alias("ordermoney"))
 
 
+def sh_new(orders: DataFrame) -> DataFrame:
+    """Orders as sent."""
+    new = orders.filter((F.col("orderid") > 0) & (F.col("ordertype") == codes.SH_ADD) & F.col("sideflag").isin(codes.BUY, codes.SELL))
+    return new.select("channelid", "orderid", F.col("sideflag").alias("side"), "symbol", "ordertm", "orderpx", "ordervol")
+
+
 def sh_orders(orders: DataFrame, trades: DataFrame) -> DataFrame:
     """Orders as sent, with what they traded on arrival; orders that traded at once in full are known by trades alone."""
-    new = orders.filter((F.col("orderid") > 0) & (F.col("ordertype") == codes.SH_ADD) & F.col("sideflag").isin(codes.BUY, codes.SELL))
-    new = new.select("channelid", "orderid", F.col("sideflag").alias("side"), "symbol", "ordertm", "orderpx", "ordervol")
-    full = new.join(aggressive(trades), list(ID), "full")
+    full = sh_new(orders).join(aggressive(trades), list(ID), "full")
     zero = F.lit(0).cast("long")
     return _priced(full.select(*ID, F.coalesce("symbol", "t_symbol").alias("symbol"), F.coalesce("ordertm", "t_tm").alias("ordertm"), F.coalesce("orderpx", "t_px").alias("orderpx"), (F.coalesce("ordervol", zero) + F.coalesce("t_vol", zero)).alias("ordervol")))
 
@@ -86,42 +91,49 @@ def sz_withdraws(trades: DataFrame) -> DataFrame:
     return own.select("channelid", F.when(buy, F.col("tradebuyid")).otherwise(F.col("tradesellid")).alias("orderid"), F.when(buy, codes.BUY).otherwise(codes.SELL).cast("smallint").alias("side"), F.col("symbol").alias("w_symbol"), F.col("tradetm").alias("withdrawtm"), F.lit(None).cast("double").alias("withdrawpx"), F.col("tradevol").alias("withdrawvol"))
 
 
-def enrich_withdraws(withdraws: DataFrame, orders: DataFrame) -> DataFrame:
-    """Withdrawals with their orders; unknown orders leave nulls. A price of the withdrawal's own comes first."""
-    out = withdraws.join(orders.select(*ID, "ordertm", "ordervol", "orderpx"), list(ID), "left").withColumn("withdrawpx", F.coalesce("withdrawpx", "orderpx"))
-    return out.select(*ID, F.col("w_symbol").alias("symbol"), "withdrawtm", "withdrawpx", "withdrawvol", "ordertm", "ordervol", (F.col("withdrawvol") * F.col("withdrawpx")).alias("withdrawmoney"), time_lag(F.col("withdrawtm"), F.col("ordertm")).alias("withdrawtmlag"))
+def enrich_withdraws(withdraws: DataFrame, orders: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Withdrawals with their orders; unknown orders leave nulls. A price of the withdrawal's own comes first. also: more
+    columns that an order must have in common."""
+    out = withdraws.join(orders.select(*ID, *also, "ordertm", "ordervol", "orderpx"), [*ID, *also], "left").withColumn("withdrawpx", F.coalesce("withdrawpx", "orderpx"))
+    return out.select(*ID, *also, F.col("w_symbol").alias("symbol"), "withdrawtm", "withdrawpx", "withdrawvol", "ordertm", "ordervol", (F.col("withdrawvol") * F.col("withdrawpx")).alias("withdrawmoney"), time_lag(F.col("withdrawtm"), F.col("ordertm")).alias("withdrawtmlag"))
 
 
-def enrich_trades(trades: DataFrame, orders: DataFrame) -> DataFrame:
-    """Trades with both orders; unknown orders leave nulls in what needs them."""
+def enrich_trades(trades: DataFrame, orders: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Trades with both orders; unknown orders leave nulls in what needs them. also: as for withdrawals."""
 
     def of(side: int, name: str) -> DataFrame:
-        return orders.filter(F.col("side") == side).select("channelid", F.col("orderid").alias(f"trade{name}id"), F.col("ordertm").alias(f"ordertm_{name}"), F.col("ordervol").alias(f"ordervol_{name}"), F.col("ordermoney").alias(f"ordermoney_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in ("orderret", "orderturnover") if c in orders.columns])
+        return orders.filter(F.col("side") == side).select("channelid", *also, F.col("orderid").alias(f"trade{name}id"), F.col("ordertm").alias(f"ordertm_{name}"), F.col("ordervol").alias(f"ordervol_{name}"), F.col("ordermoney").alias(f"ordermoney_{name}"), *[F.col(c).alias(f"{c}_{name}") for c in ("orderret", "orderturnover") if c in orders.columns])
 
-    out = trades.join(of(codes.BUY, "buy"), ["channelid", "tradebuyid"], "left").join(of(codes.SELL, "sell"), ["channelid", "tradesellid"], "left")
+    out = trades.join(of(codes.BUY, "buy"), ["channelid", "tradebuyid", *also], "left").join(of(codes.SELL, "sell"), ["channelid", "tradesellid", *also], "left")
     return out.withColumns({"trademoney": F.col("tradevol") * F.col("tradepx"), "ordertmlag": F.abs(time_lag(F.col("ordertm_buy"), F.col("ordertm_sell"))), "ordermoneydiff": F.abs(F.col("ordermoney_buy") - F.col("ordermoney_sell"))})
 
 
-def _matched(known: DataFrame, withdraws: DataFrame, trades: DataFrame, days: DataFrame | None) -> Lifecycle:
+def _matched(known: DataFrame, withdraws: DataFrame, trades: DataFrame, days: DataFrame | None, keep: Callable[[DataFrame], DataFrame] | None) -> Lifecycle:
+    known = keep(known) if keep else known
     if days is None:
         return Lifecycle(known, enrich_withdraws(withdraws, known), enrich_trades(trades, known))
     known = relative(known, days, "orderpx", "ordermoney", "orderret", "orderturnover")
     gone = relative(enrich_withdraws(withdraws, known), days, "withdrawpx", "withdrawmoney", "withdrawret", "withdrawturnover")
     done = relative(enrich_trades(trades, known), days, "tradepx", "trademoney", "traderet", "tradeturnover")
-    return Lifecycle(known, gone, done.withColumns({f"order{k}diff": side_difference(F.col(f"order{k}_buy"), F.col(f"order{k}_sell")) for k in ("ret", "turnover")}))
+    return Lifecycle(known, gone, with_differences(done))
+
+
+def with_differences(trades: DataFrame) -> DataFrame:
+    """Adds how far both orders of a trade are apart in return and turnover."""
+    return trades.withColumns({f"order{k}diff": side_difference(F.col(f"order{k}_buy"), F.col(f"order{k}_sell")) for k in ("ret", "turnover")})
 
 
-def sh_lifecycle(orders: DataFrame, trades: DataFrame, days: DataFrame | None = None) -> Lifecycle:
+def sh_lifecycle(orders: DataFrame, trades: DataFrame, days: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> Lifecycle:
     """Shanghai: withdrawals are in the order stream, and what traded on arrival is not. With days (symbol, pre_close, cap:
-    a row for each symbol) returns and turnovers are added to all three."""
+    a row for each symbol) returns and turnovers are added to all three. keep() may write the orders, which all three use."""
     own = sh_trades(trades)
-    return _matched(sh_orders(orders, own), sh_withdraws(orders), own, days)
+    return _matched(sh_orders(orders, own), sh_withdraws(orders), own, days, keep)
 
 
-def sz_lifecycle(orders: DataFrame, trades: DataFrame, days: DataFrame | None = None) -> Lifecycle:
-    """Shenzhen: all orders are in the order stream, withdrawals in the trade stream. days as for Shanghai."""
+def sz_lifecycle(orders: DataFrame, trades: DataFrame, days: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> Lifecycle:
+    """Shenzhen: all orders are in the order stream, withdrawals in the trade stream. days and keep as for Shanghai."""
     own = sz_trades(trades)
-    return _matched(sz_orders(orders, own), sz_withdraws(trades), own, days)
+    return _matched(sz_orders(orders, own), sz_withdraws(trades), own, days, keep)
 
 
 def both(a: Lifecycle, b: Lifecycle) -> Lifecycle:

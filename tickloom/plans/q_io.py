@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, times, values
 from ..schemas import CHANNELS
-from ..session import table, work_dir
+from ..session import checkpointed, table, work_dir
 from ..sources import readers, writers
 from ..streaming import bars as sbars
 from . import factors, q_bars
 from .catalog import query
-from .q_orders import so_far_sql, shanghai, snapshot_sql
+from .q_orders import d13_all, shanghai, snapshot_sql, so_far_sql
 from .q_scalars import EV_SQL, ev
 
 c = F.col
@@ -153,17 +153,17 @@ PLAIN = [n for n in factors.names() if "_count" in n or "vwapx" in n]  # what te
 def k5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The snapshot as CSV, with a column for each factor, read back."""
     path = work_dir(spark, "factors-csv")
-    writers.factors_csv(factors.snapshot(shanghai(spark, sf_dir)), path)
+    writers.factors_csv(factors.snapshot(shanghai(spark, sf_dir, checkpointed), keep=checkpointed), path)
     rows = spark.read.option("header", True).csv(path)
     return rows.select(c("symbol").cast("long").alias("symbol"), F.lit(len(rows.columns)).alias("columns"), *[F.round(c(n).cast("double"), 3).alias(n) for n in PLAIN])
 
 
-@query("k6_factor_parquet", f"SELECT CAST(symbol AS BIGINT) AS symbol, CAST(label AS BIGINT) AS label, {', '.join(PLAIN)} FROM ({so_far_sql()})")
+@query("k6_factor_parquet", so_far_sql())
 def k6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots at nine times of the day as Parquet, a partition for each time, read back."""
     path = work_dir(spark, "factors-parquet")
-    writers.factors_parquet(factors.snapshots_so_far(shanghai(spark, sf_dir), lambda tm: times.next_minute(times.div(tm, 100_000))), path)
-    return spark.read.parquet(path).select(c("symbol").cast("long").alias("symbol"), c("label").cast("long").alias("label"), *[F.round(n, 3).alias(n) for n in PLAIN])
+    writers.factors_parquet(d13_all(spark, sf_dir), path)
+    return spark.read.parquet(path).select(c("symbol").cast("long").alias("symbol"), c("label").cast("long").alias("label"), *factors.names())
 
 
 @query("k8_latency_rows", "SELECT event_type, count(*) AS n, round(avg(value), 6) AS avg_delay, max(value) AS max_delay, max(ts) AS last FROM events GROUP BY event_type")

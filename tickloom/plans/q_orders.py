@@ -3,14 +3,14 @@ a counterpart of the other side."""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes, times
-from ..session import table
-from . import factors, orders
+from ..session import checkpointed, table
+from . import factors, increments, orders
 from .catalog import query
 
 TM = "({ms} // 3600000 * 10000000 + {ms} // 60000 % 60 * 100000 + {ms} // 1000 % 60 * 1000 + {ms} % 1000)"
@@ -94,21 +94,31 @@ def raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return o, trades
 
 
-def shanghai(spark: SparkSession, sf_dir: str, days: DataFrame | None = None) -> orders.Lifecycle:
-    """Orders as Shanghai would report them: one in ten is only known by its trades, one in seven is withdrawn."""
+def shanghai_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders and trades as Shanghai would report them: one order in ten is only known by its trades, one in seven is withdrawn."""
     o, t = raw(spark, sf_dir)
     new = o.filter("orderid % 10 <> 9").withColumn("ordertype", F.lit(codes.SH_ADD))
     gone = o.filter("orderid % 7 = 0").withColumns({"ordertype": F.lit(codes.SH_CANCEL), "ordertm": F.col("ordertm") + 10_000_000, "ordervol": F.when(F.col("orderid") % 2 == 0, F.col("ordervol")).otherwise(times.div(F.col("ordervol"), 2))})
-    return orders.sh_lifecycle(new.unionByName(gone), t, days)
+    return new.unionByName(gone), t
 
 
-def shenzhen(spark: SparkSession, sf_dir: str) -> orders.Lifecycle:
-    """Orders as Shenzhen would report them: some without a limit, withdrawals among the trades."""
+def shanghai(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFrame] | None = None) -> orders.Lifecycle:
+    """The lifecycle of Shanghai's messages."""
+    return orders.sh_lifecycle(*shanghai_messages(spark, sf_dir), keep=keep)
+
+
+def shenzhen_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders and trades as Shenzhen would report them: some without a limit, withdrawals among the trades."""
     o, t = raw(spark, sf_dir)
     kind = F.when(F.col("orderid") % 5 == 0, codes.SZ_MARKET).when(F.col("orderid") % 5 == 1, codes.SZ_BEST).otherwise(codes.SZ_LIMIT)
     late = F.col("n") >= 5
     t = t.withColumns({"tradebuyid": F.when(F.col("n") == 6, 0).otherwise(F.col("tradebuyid")), "tradesellid": F.when(F.col("n") == 5, 0).otherwise(F.col("tradesellid")), "tradepx": F.when(late, 0.0).otherwise(F.col("tradepx")), "tradetype": F.when(late, codes.SZ_WITHDRAW).otherwise(codes.SZ_TRADE)})
-    return orders.sz_lifecycle(o.withColumn("ordertype", kind), t)
+    return o.withColumn("ordertype", kind), t
+
+
+def shenzhen(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFrame] | None = None) -> orders.Lifecycle:
+    """The lifecycle of Shenzhen's messages."""
+    return orders.sz_lifecycle(*shenzhen_messages(spark, sf_dir), keep=keep)
 
 
 def _r(c: str, k: int = 6) -> F.Column:
@@ -215,16 +225,17 @@ def _family_sql(family: str, prefix: str, families: factors.Families = factors.F
     return f"SELECT symbol, {', '.join(out)} FROM {source}_{family[0]} GROUP BY symbol"
 
 
+def _three(name: str) -> int:
+    """Decimals at which the 492 factors are compared."""
+    return 3
+
+
 def _snapshot_sql(families: list[tuple[str, str]], columns: list[str], rules: str = SH_SQL, first: int = 0) -> str:
     parts = [f"(SELECT DISTINCT symbol FROM rich_o UNION SELECT DISTINCT symbol FROM rich_w UNION SELECT DISTINCT symbol FROM rich_t) rack", *(f"({_family_sql(f, p)}) {f}_{p} USING (symbol)" for f, p in families)]
     shown = ", ".join(f"coalesce({c}, 0.0) AS {c}" if "_count" in c else c for c in columns)
     return f"WITH {BASE_SQL}, {rules}, {RICH_SQL} SELECT symbol + {first} AS symbol, {shown} FROM {' LEFT JOIN '.join(parts)}"
 
 
-def _rounded(frame: DataFrame) -> DataFrame:
-    return frame.select("symbol", *[F.col(c) if "_count" in c else F.round(c, 3).alias(c) for c in frame.columns if c != "symbol"])
-
-
 ALL_FAMILIES = [("order", "buy"), ("order", "sell"), ("withdraw", "buy"), ("withdraw", "sell"), ("trade", "both"), ("trade", "buy"), ("trade", "sell")]
 
 
@@ -240,15 +251,16 @@ _BOTH = f"SELECT * FROM ({_snapshot_sql(ALL_FAMILIES, factors.names(), SH_SQL, S
 @query("d14_all_market_snapshot", _BOTH)
 def d14_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 492 factors of every symbol of both exchanges, from one lifecycle."""
-    sh = shanghai(spark, sf_dir)
+    sh = shanghai(spark, sf_dir, keep=checkpointed)
     own = lambda rows: rows.withColumn("symbol", F.col("symbol") + SHANGHAI)
-    return _rounded(factors.snapshot(orders.both(orders.Lifecycle(own(sh.orders), own(sh.withdraws), own(sh.trades)), shenzhen(spark, sf_dir))))
+    every = orders.both(orders.Lifecycle(own(sh.orders), own(sh.withdraws), own(sh.trades)), shenzhen(spark, sf_dir, checkpointed))
+    return factors.snapshot(every, _three, checkpointed)
 
 
 @query("d14_factor_snapshot", snapshot_sql())
 def d14(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 492 factors of every symbol."""
-    return _rounded(factors.snapshot(shanghai(spark, sf_dir)))
+    return factors.snapshot(shanghai(spark, sf_dir, keep=checkpointed), _three, checkpointed)
 
 
 for _family in ("order", "withdraw", "trade"):
@@ -258,11 +270,8 @@ for _family in ("order", "withdraw", "trade"):
 
     def _one(spark: SparkSession, sf_dir: str, family: str = _family, own: tuple[str, ...] = tuple(_own)) -> DataFrame:
         life = shanghai(spark, sf_dir)
-        rows = {"order": life.orders, "withdraw": life.withdraws, "trade": life.trades}[family]
-        one = factors.spread_out(factors.bucket_stats(factors.bucket_sums(rows.filter(F.col("side") == codes.BUY), family), family, F.lit("buy")), [(family, "buy")])
-        if family == "trade":
-            one = reduce(lambda a, w: a.join(factors.distinct_orders(rows, w, {"buy": codes.BUY}), "symbol", "left"), ("buy", "sell"), one)
-        return _rounded(one.select("symbol", *own))
+        buy = orders.Lifecycle(*[rows.filter(F.col("side") == codes.BUY) for rows in (life.orders, life.withdraws, life.trades)])
+        return factors.snapshot(buy, _three, checkpointed, [family]).select("symbol", *own)
 
     query(f"a13_buy_{_family}_factors", f"WITH {BASE_SQL}, {SH_SQL}, {RICH_SQL} SELECT symbol, {', '.join(_own)} FROM ({_family_sql(_family, 'buy')}) WHERE buy_{_family}_count > 0")(_one)
 
@@ -297,12 +306,58 @@ def d13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("symbol", F.col("label").cast("long").alias("label"), F.col("count").alias("trades"), F.round(m.mean("trademoney"), 6).alias("trademoney_mean"), F.round(m.std("trademoney"), 2).alias("trademoney_std"), F.round(m.vwapx(), 4).alias("tradevwapx"), "buyorders")
 
 
+INC = LABEL_SQL.replace("tradetm", "{tm}")
+
+
+def live_sql(legs: str) -> str:
+    """CTEs legs, steps and live: each increment's view of each order, by recursion over its increments."""
+    return f"""legs AS ({legs}),
+steps AS (
+  SELECT channelid, orderid, side, inc, min(tm) FILTER (kind = 'n') AS n_tm, min(px) FILTER (kind = 'n') AS n_px, sum(vol) FILTER (kind = 'n') AS n_vol,
+         coalesce(min(symbol) FILTER (kind = 'n'), arg_min(symbol, (tm, seq)) FILTER (own)) AS sym, min(tm) FILTER (own) AS a_tm, CASE WHEN side = 66 THEN max(px) FILTER (own) ELSE min(px) FILTER (own) END AS a_px,
+         sum(vol) FILTER (own) AS a_vol, coalesce(sum(vol) FILTER (kind = 't'), 0) AS t_vol, max(vol) FILTER (kind = 'w') AS w_vol,
+         row_number() OVER (PARTITION BY channelid, orderid, side ORDER BY inc) AS k FROM legs GROUP BY channelid, orderid, side, inc),
+live AS (
+  SELECT DISTINCT channelid, orderid, side, 0::BIGINT AS k, NULL::BIGINT AS inc, false AS fresh, NULL::BIGINT AS symbol, NULL::BIGINT AS ordertm, NULL::DOUBLE AS orderpx, NULL::BIGINT AS ordervol, 0::BIGINT AS traded, false AS open FROM steps
+  UNION ALL
+  SELECT channelid, orderid, side, k, inc, fresh, symbol, ordertm, orderpx, ordervol, traded, (fresh OR was) AND NOT (traded >= ordervol OR coalesce(w_vol >= ordervol, false)) AS open
+  FROM (
+    SELECT channelid, orderid, side, k, inc, fresh, was, w_vol, CASE WHEN fresh THEN sym WHEN was THEN symbol END AS symbol, CASE WHEN fresh THEN coalesce(n_tm, a_tm) WHEN was THEN ordertm END AS ordertm,
+           CASE WHEN fresh THEN coalesce(n_px, a_px) WHEN was THEN orderpx END AS orderpx, CAST(CASE WHEN fresh THEN coalesce(n_vol, 0) + coalesce(a_vol, 0) WHEN was THEN ordervol + coalesce(a_vol, 0) END AS BIGINT) AS ordervol,
+           CAST(CASE WHEN fresh THEN 0 ELSE traded END + t_vol AS BIGINT) AS traded
+    FROM (SELECT s.*, l.open AS was, l.symbol, l.ordertm, l.orderpx, l.ordervol, l.traded, (n_vol IS NOT NULL OR a_vol IS NOT NULL) AND (NOT l.open OR n_vol IS NOT NULL) AS fresh
+          FROM live l JOIN steps s ON s.channelid = l.channelid AND s.orderid = l.orderid AND s.side = l.side AND s.k = l.k + 1)))"""
+
+
+def as_of_sql(rules: str, grows: bool) -> str:
+    """CTEs up to rich_o, rich_w and rich_t with inc: the lifecycle as of each increment (minute)."""
+    own = "side = {}" if grows else "false"
+    orders_ = "SELECT channelid, orderid, sideflag AS side, ordertm, orderpx, ordervol, symbol FROM sh_o WHERE orderid > 0 AND ordertype = 65" if grows else "SELECT channelid, orderid, side, ordertm, orderpx, ordervol, symbol FROM known"
+    legs = f"""SELECT channelid, orderid, side, {INC.format(tm='ordertm')} AS inc, 'n' AS kind, ordertm AS tm, 0 AS seq, orderpx AS px, ordervol AS vol, symbol, false AS own FROM ({orders_})
+  UNION ALL SELECT channelid, orderid, side, {INC.format(tm='withdrawtm')}, 'w', withdrawtm, 0, NULL, withdrawvol, symbol, false FROM w
+  UNION ALL SELECT channelid, tradebuyid, 66, {INC.format(tm='tradetm')}, 't', tradetm, seq, tradepx, tradevol, symbol, {own.format(66)} FROM t
+  UNION ALL SELECT channelid, tradesellid, 83, {INC.format(tm='tradetm')}, 't', tradetm, seq, tradepx, tradevol, symbol, {own.format(83)} FROM t"""
+    return f"""WITH RECURSIVE {BASE_SQL}, {rules}, {live_sql(legs)},
+seen AS (SELECT *, ordervol * orderpx AS ordermoney FROM live WHERE k > 0),
+rich_o AS (SELECT * FROM seen WHERE fresh),
+rich_w AS (
+  SELECT channelid, orderid, side, w.symbol, withdrawtm, coalesce(withdrawpx, k.orderpx) AS withdrawpx, withdrawvol, k.ordertm, k.ordervol, withdrawvol * coalesce(withdrawpx, k.orderpx) AS withdrawmoney,
+         {_cont('withdrawtm')} - {_cont('k.ordertm')} AS withdrawtmlag, w.inc
+  FROM (SELECT *, {INC.format(tm='withdrawtm')} AS inc FROM w) w LEFT JOIN seen k USING (channelid, orderid, side, inc)),
+rich_t AS (
+  SELECT t.*, t.tradevol * t.tradepx AS trademoney, b.ordervol AS ordervol_buy, b.ordermoney AS ordermoney_buy, s.ordervol AS ordervol_sell, s.ordermoney AS ordermoney_sell,
+         abs({_cont('b.ordertm')} - {_cont('s.ordertm')}) AS ordertmlag, abs(b.ordermoney - s.ordermoney) AS ordermoneydiff
+  FROM (SELECT *, {INC.format(tm='tradetm')} AS inc FROM t) t
+  LEFT JOIN seen b ON b.channelid = t.channelid AND b.orderid = t.tradebuyid AND b.side = 66 AND b.inc = t.inc
+  LEFT JOIN seen s ON s.channelid = t.channelid AND s.orderid = t.tradesellid AND s.side = 83 AND s.inc = t.inc)"""
+
+
 def so_far_sql(families: factors.Families = factors.FAMILIES, source: str = "rich", more: str = "", tail: str = "") -> str:
     """_snapshot_sql() as of each of the nine times."""
-    head = f"WITH {BASE_SQL}, {SH_SQL}, {RICH_SQL}{more}, asked AS (SELECT CAST(unnest([{', '.join(map(str, factors.TIMES))}]) AS BIGINT) AS label)"
+    head = f"{as_of_sql(SH_SQL, True)}{more}, asked AS (SELECT CAST(unnest([{', '.join(map(str, factors.TIMES))}]) AS BIGINT) AS label)"
     parts = ["(SELECT symbol, label FROM (SELECT symbol FROM rich_o UNION SELECT symbol FROM rich_w UNION SELECT symbol FROM rich_t) CROSS JOIN asked) rack"]
-    for family, tm in (("order", "ordertm"), ("withdraw", "withdrawtm"), ("trade", "tradetm")):
-        head += f", {family}_so_far AS (SELECT x.*, asked.label FROM {source}_{family[0]} x JOIN asked ON {LABEL_SQL.replace('tradetm', f'x.{tm}')} <= asked.label)"
+    for family in ("order", "withdraw", "trade"):
+        head += f", {family}_so_far AS (SELECT x.*, asked.label FROM {source}_{family[0]} x JOIN asked ON x.inc <= asked.label)"
     for family, prefix in ALL_FAMILIES:
         one = _family_sql(family, prefix, families, source).replace("SELECT symbol,", "SELECT symbol, label,").replace(f"FROM {source}_{family[0]} GROUP BY symbol", f"FROM {family}_so_far GROUP BY symbol, label")
         parts.append(f"({one}) {family}_{prefix} USING (symbol, label)")
@@ -312,9 +367,9 @@ def so_far_sql(families: factors.Families = factors.FAMILIES, source: str = "ric
 
 @query("d13_cumulative_factors_all", so_far_sql())
 def d13_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 492 factors of every symbol so far, at nine times of the day."""
-    out = factors.snapshots_so_far(shanghai(spark, sf_dir), _minute)
-    return out.select("symbol", "label", *[F.col(c) if "_count" in c else F.round(c, 3).alias(c) for c in factors.names()])
+    """All 492 factors of every symbol so far, at nine times of the day, of what was known in each minute up to then."""
+    found = increments.as_of("SH", *shanghai_messages(spark, sf_dir), _minute, keep=checkpointed)
+    return factors.snapshots_so_far(found.life, digits=_three, keep=checkpointed)
 
 
 def _minute(tm: F.Column) -> F.Column:
@@ -329,9 +384,12 @@ DAYS_SQL = "days AS (SELECT c_custkey % 40 AS symbol, CASE WHEN c_custkey % 40 <
 RELATIVE_SQL = f""", {DAYS_SQL},
 rel_o AS (SELECT o.*, {_ret_sql('orderpx')} AS orderret, ordermoney / cap AS orderturnover FROM rich_o o LEFT JOIN days USING (symbol)),
 rel_w AS (SELECT w.*, {_ret_sql('withdrawpx')} AS withdrawret, withdrawmoney / cap AS withdrawturnover FROM rich_w w LEFT JOIN days USING (symbol)),
+rel_seen AS (SELECT o.*, {_ret_sql('orderpx')} AS orderret, ordermoney / cap AS orderturnover FROM seen o LEFT JOIN days USING (symbol)),
 rel_t AS (
   SELECT t.*, {_ret_sql('tradepx')} AS traderet, trademoney / cap AS tradeturnover, abs(b.orderret - s.orderret) AS orderretdiff, abs(b.orderturnover - s.orderturnover) AS orderturnoverdiff
-  FROM rich_t t LEFT JOIN days USING (symbol) LEFT JOIN rel_o b ON b.channelid = t.channelid AND b.orderid = t.tradebuyid AND b.side = 66 LEFT JOIN rel_o s ON s.channelid = t.channelid AND s.orderid = t.tradesellid AND s.side = 83)"""
+  FROM rich_t t LEFT JOIN days USING (symbol)
+  LEFT JOIN rel_seen b ON b.channelid = t.channelid AND b.orderid = t.tradebuyid AND b.side = 66 AND b.inc = t.inc
+  LEFT JOIN rel_seen s ON s.channelid = t.channelid AND s.orderid = t.tradesellid AND s.side = 83 AND s.inc = t.inc)"""
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,9 +400,9 @@ def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("d13_relative_factors", so_far_sql(factors.RELATIVE, "rel", RELATIVE_SQL, "_cat1"))
 def d13_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 888 factors with returns and turnovers, at nine times of the day."""
-    out = factors.snapshots_so_far(shanghai(spark, sf_dir, _days(spark, sf_dir)), _minute, families=factors.RELATIVE)
-    return out.select("symbol", "label", *[(F.col(c) if "_count" in c else F.round(c, _digits(c))).alias(f"{c}_cat1") for c in factors.names(factors.RELATIVE)])
+    """All 888 factors with returns and turnovers, at nine times of the day, of what was known in each minute up to then."""
+    found = increments.as_of("SH", *shanghai_messages(spark, sf_dir), _minute, _days(spark, sf_dir), keep=checkpointed)
+    return factors.snapshots_so_far(found.life, families=factors.RELATIVE, digits=_digits, tail="_cat1", keep=checkpointed)
 
 
 def _sanity_sql() -> str:
@@ -356,4 +414,4 @@ def _sanity_sql() -> str:
 @query("d19_factor_sanity", _sanity_sql())
 def d19(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts are never negative, prices stay within (0, 5000]."""
-    return factors.sane(factors.snapshot(shanghai(spark, sf_dir)))
+    return factors.sane(factors.snapshot(shanghai(spark, sf_dir, keep=checkpointed), keep=checkpointed))

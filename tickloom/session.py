@@ -43,6 +43,15 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
+def checkpointed(rows: DataFrame) -> DataFrame:
+    """Rows written to the checkpoint folder that the session names; only where none is named on one machine, as in tests, to
+    a folder of our own."""
+    context = rows.sparkSession.sparkContext
+    if rows.sparkSession.conf.get("spark.checkpoint.dir", None) is None and context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(work_dir(rows.sparkSession, "checkpoints"))
+    return rows.checkpoint()
+
+
 def find_package(spark: SparkSession) -> None:
     """Python workers on this machine find the package wherever the driver was started; a cluster gets it with the job."""
     from pathlib import Path
