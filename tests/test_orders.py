@@ -1,5 +1,7 @@
 """Cases of the order lifecycle and of the factors."""
 
+import datetime
+
 import pytest
 
 from tickloom.plans import factors, orders
@@ -72,15 +74,16 @@ def test_snapshot_has_492_factors_in_order(spark):
 
 def test_streaming_lifecycle(spark, tmp_path):
     rows = [
-        ("SH", 600000, 93_000_000, 0, "order", 83, 200, 0, 10.5, 500),
-        ("SH", 600000, 93_001_000, 1, "trade", 66, 300, 200, 10.5, 200),
-        ("SH", 600000, 93_002_000, 2, "withdraw", 83, 200, 0, 10.5, 300),
-        ("SH", 600000, 93_003_000, 3, "trade", 83, 400, 500, 10.4, 100),
+        ("SH", 600000, datetime.date(2024, 1, 2), 93_000_000, 0, "order", 83, 200, 0, 10.5, 500),
+        ("SH", 600000, datetime.date(2024, 1, 2), 93_001_000, 1, "trade", 66, 300, 200, 10.5, 200),
+        ("SH", 600000, datetime.date(2024, 1, 2), 93_002_000, 2, "withdraw", 83, 200, 0, 10.5, 300),
+        ("SH", 600000, datetime.date(2024, 1, 2), 93_003_000, 3, "trade", 83, 400, 500, 10.4, 100),
     ]
     for r in rows:
         spark.createDataFrame([r], flow.EVENTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(flow.EVENTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    flow.order_flow(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    with flow.keyed_state(spark):
+        flow.order_flow(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     got = spark.read.schema(flow.FLOW).parquet(str(tmp_path / "out")).orderBy("tm", "kind").collect()
     assert [(r.kind, r.id, r.lag_ms) for r in got] == [("order", 200, None), ("order", 300, None), ("trade", 300, 1000), ("withdraw", 200, 2000), ("order", 500, None), ("trade", 400, None)]
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import times
+from ..functions import codes, times
 from ..operators import compare
 from ..session import find_package, table, work_dir
 from ..streaming import bars as sbars
 from ..streaming import flow
-from . import bars, q_bars
+from . import bars, q_bars, q_orders
 from .catalog import query
 from .q_relational import POWERS, SCALE
 
@@ -104,16 +104,45 @@ def r1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(sbars.keyed(stream), "append", "keyed").select("code", "bar", "open", "high", "low", "close", "volume")
 
 
-@query("r3_order_state")
+FLOW_SQL = f"""WITH RECURSIVE {q_orders.BASE_SQL},
+m AS (
+  SELECT orderid % 40 AS symbol, ordertm AS tm, orderid AS seq, CASE WHEN ordertype = 65 THEN 'order' ELSE 'withdraw' END AS kind, sideflag AS side, orderid AS id, orderpx AS px, ordervol AS vol FROM sh_o),
+t AS (SELECT tradebuyid % 40 AS symbol, tradetm AS tm, seq, sideflag AS side, tradebuyid AS id, tradesellid AS other, tradepx AS px, tradevol AS vol, row_number() OVER () AS n FROM l),
+legs AS (
+  SELECT symbol, side AS leg, id AS own_id, tm, seq, kind, side, id, 0::BIGINT AS other, px, vol, false AS own, 0::BIGINT AS n FROM m
+  UNION ALL SELECT symbol, 66, id, tm, seq, 'trade', side, id, other, px, vol, side = 66, n FROM t
+  UNION ALL SELECT symbol, 83, other, tm, seq, 'trade', side, id, other, px, vol, side = 83, n FROM t),
+steps AS (SELECT *, row_number() OVER (PARTITION BY symbol, leg, own_id ORDER BY tm, seq, vol, px) AS k FROM legs),
+live AS (
+  SELECT DISTINCT symbol, leg, own_id, 0::BIGINT AS k, NULL::BIGINT AS tm, NULL::BIGINT AS seq, NULL::VARCHAR AS kind, NULL::INTEGER AS side, NULL::BIGINT AS id, NULL::BIGINT AS other, NULL::DOUBLE AS px, NULL::BIGINT AS vol, 0::BIGINT AS n,
+         false AS fresh, NULL::BIGINT AS o_vol, NULL::BIGINT AS o_tm, 0::BIGINT AS traded, false AS open FROM steps
+  UNION ALL
+  SELECT symbol, leg, own_id, k, tm, seq, kind, side, id, other, px, vol, n, fresh, o_vol, o_tm, CAST(now AS BIGINT),
+         CASE kind WHEN 'order' THEN true WHEN 'withdraw' THEN was AND NOT vol >= o_vol - now ELSE (was OR fresh) AND now < o_vol END
+  FROM (
+    SELECT symbol, leg, own_id, k, tm, seq, kind, side, id, other, px, vol, n, was, fresh, CAST(CASE WHEN fresh THEN vol WHEN was THEN o_vol + CASE WHEN own THEN vol ELSE 0 END END AS BIGINT) AS o_vol, CASE WHEN fresh THEN tm WHEN was THEN o_tm END AS o_tm,
+           CASE WHEN fresh THEN 0 ELSE traded END + CASE WHEN kind = 'trade' THEN vol ELSE 0 END AS now
+    FROM (SELECT s.*, l.open AS was, l.o_vol, l.o_tm, l.traded, s.kind = 'order' OR (s.own AND NOT l.open) AS fresh
+          FROM live l JOIN steps s ON s.symbol = l.symbol AND s.leg = l.leg AND s.own_id = l.own_id AND s.k = l.k + 1)))
+SELECT symbol, tm, seq, kind, side, id, 0::BIGINT AS other, px, vol, o_vol AS order_vol, o_tm AS order_tm, NULL::BIGINT AS other_vol, NULL::BIGINT AS other_tm,
+       CASE WHEN kind = 'withdraw' THEN {q_orders._cont('tm')} - {q_orders._cont('o_tm')} END AS lag_ms FROM live WHERE kind IN ('order', 'withdraw')
+UNION ALL SELECT symbol, tm, seq, 'order', leg, own_id, 0, px, vol, o_vol, o_tm, NULL, NULL, NULL FROM live WHERE kind = 'trade' AND fresh
+UNION ALL
+SELECT b.symbol, b.tm, b.seq, 'trade', b.side, b.id, b.other, b.px, b.vol, b.o_vol, b.o_tm, s.o_vol, s.o_tm, abs({q_orders._cont('b.o_tm')} - {q_orders._cont('s.o_tm')})
+FROM live b JOIN live s ON s.n = b.n AND b.leg = 66 AND s.leg = 83 WHERE b.kind = 'trade' AND s.kind = 'trade'"""
+
+
+@query("r3_order_state", FLOW_SQL)
 def r3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders and line items as one stream of order messages."""
+    """Shanghai's orders, withdrawals and trades as one stream of messages in the order of time, matched by keyed state."""
     find_package(spark)
-    from .q_orders import raw
-
-    o, t = raw(spark, sf_dir)
-    a = o.select(F.lit("SH").alias("exchange"), c("symbol").cast("long"), c("ordertm").alias("tm"), c("seq").cast("long"), F.lit("order").alias("kind"), c("sideflag").cast("int").alias("side"), c("orderid").alias("id"), F.lit(0).cast("long").alias("other"), c("orderpx").alias("px"), c("ordervol").alias("vol"))
-    b = t.select(F.lit("SH"), (c("tradebuyid") % 40).cast("long"), c("tradetm"), c("seq").cast("long"), F.lit("trade"), c("sideflag").cast("int"), c("tradebuyid"), c("tradesellid"), c("tradepx"), c("tradevol"))
-    return _finished(flow.order_flow(_landed(spark, a.union(b), "tm", 4, "flow")), "append", "flow").drop("batch")
+    o, t = q_orders.shanghai_messages(spark, sf_dir)
+    none, day = F.lit(0).cast("long"), F.lit(q_bars.DAY).cast("date").alias("date")
+    kind = F.when(c("ordertype") == codes.SH_ADD, "order").otherwise("withdraw")
+    a = o.select(F.lit("SH").alias("exchange"), (c("orderid") % 40).alias("symbol"), day, c("ordertm").alias("tm"), c("orderid").alias("seq"), kind.alias("kind"), c("sideflag").cast("int").alias("side"), c("orderid").alias("id"), none.alias("other"), c("orderpx").alias("px"), c("ordervol").alias("vol"))
+    b = t.select(F.lit("SH"), c("tradebuyid") % 40, day, c("tradetm"), c("seq").cast("long"), F.lit("trade"), c("sideflag").cast("int"), c("tradebuyid"), c("tradesellid"), c("tradepx"), c("tradevol"))
+    with flow.keyed_state(spark):
+        return _finished(flow.order_flow(_landed(spark, a.union(b), "tm", 4, "flow")), "append", "flow").drop("batch")
 
 
 @query(

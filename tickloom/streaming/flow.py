@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import codes
 from ..functions import moments as m
 
-EVENTS = "exchange string, symbol long, tm long, seq long, kind string, side int, id long, other long, px double, vol long"
+EVENTS = "exchange string, symbol long, date date, tm long, seq long, kind string, side int, id long, other long, px double, vol long"
 FLOW = "symbol long, tm long, seq long, kind string, side int, id long, other long, px double, vol long, order_vol long, order_tm long, other_vol long, other_tm long, lag_ms long"
 
 
@@ -32,48 +32,102 @@ def _session(tm: int) -> int:
     return ms + 300_000 if ms < 34_197_000 else ms - 5_400_000 if ms > 46_797_000 else ms
 
 
-def order_flow(stream: DataFrame) -> DataFrame:
-    """Orders, withdrawals and trades in order of arrival, with what was known of the orders then.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CLOSE_MS = 15 * 3_600_000 + 300_000  # of the day: when what is still open is forgotten
 
-    kind is order, withdraw or trade. An order is kept from its arrival until it is traded or withdrawn in full. In Shanghai
-    (SH) an order that trades on arrival first shows up in its trade: it is made from that trade, given out, and kept if
-    anything is left of it; one that is known already grows by the trade. State is a dictionary of active orders per symbol,
-    grouped by (exchange, symbol), to which all messages of an order belong.
-    """
 
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that start in here keep their state by key in RocksDB, as processors with map state need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKS)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
+class Orders(StatefulProcessor):
+    """The active orders of one (exchange, symbol) by (side, id), each with the volume, time and traded volume so far. A batch
+    reads and writes only the orders that its messages name. A timer clears what is left when the watermark has passed the
+    day's end."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.orders = handle.getMapState("orders", "side int, id long", "vol long, tm long, traded long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         exchange, symbol = key
-        active: dict[tuple[int, int], list[int]] = pickle.loads(state.get[0]) if state.exists else {}  # (side, id): vol, tm, traded
+        came = pd.concat(list(rows)).sort_values(["tm", "seq", "vol", "px"])
+        seen: dict[tuple[int, int], list[int] | None] = {}
+        before: dict[tuple[int, int], tuple[int, ...] | None] = {}
+
+        def known(k: tuple[int, int]) -> list[int] | None:
+            if k not in seen:
+                found = self.orders.getValue(k) if self.orders.exists() and self.orders.containsKey(k) else None
+                before[k] = tuple(map(int, found)) if found is not None else None
+                seen[k] = list(before[k]) if found is not None else None
+            return seen[k]
+
         out: list[tuple] = []
-        rows = pd.concat(list(frames)).sort_values(["tm", "seq"])
-        for tm, seq, kind, side, own, other, px, vol in rows[["tm", "seq", "kind", "side", "id", "other", "px", "vol"]].itertuples(index=False):
+        for tm, seq, kind, side, own, other, px, vol in came[["tm", "seq", "kind", "side", "id", "other", "px", "vol"]].itertuples(index=False):
             tm, side, own, other, vol = int(tm), int(side), int(own), int(other), int(vol)
             if kind == "order":
-                active[side, own] = [vol, tm, 0]
+                known((side, own))
+                seen[side, own] = [vol, tm, 0]
                 out.append((symbol, tm, seq, kind, side, own, 0, px, vol, vol, tm, None, None, None))
             elif kind == "withdraw":
-                known = active.get((side, own))
-                out.append((symbol, tm, seq, kind, side, own, 0, px, vol, known and known[0], known and known[1], None, None, known and _session(tm) - _session(known[1])))
-                if known and vol >= known[0] - known[2]:
-                    active.pop((side, own))
+                x = known((side, own))
+                out.append((symbol, tm, seq, kind, side, own, 0, px, vol, x and x[0], x and x[1], None, None, x and _session(tm) - _session(x[1])))
+                if x and vol >= x[0] - x[2]:
+                    seen[side, own] = None
             else:
                 buy, sell = (codes.BUY, own), (codes.SELL, other)
                 if exchange == "SH" and side in (codes.BUY, codes.SELL):
                     mine = buy if side == codes.BUY else sell
-                    if mine in active:
-                        active[mine][0] += vol
+                    if x := known(mine):
+                        x[0] += vol
                     else:
-                        active[mine] = [vol, tm, 0]
+                        seen[mine] = [vol, tm, 0]
                         out.append((symbol, tm, seq, "order", side, mine[1], 0, px, vol, vol, tm, None, None, None))
-                a, b = active.get(buy), active.get(sell)
+                a, b = known(buy), known(sell)
                 lag = abs(_session(a[1]) - _session(b[1])) if a and b else None
                 out.append((symbol, tm, seq, kind, side, own, other, px, vol, a and a[0], a and a[1], b and b[0], b and b[1], lag))
                 for k in (buy, sell):
-                    if k in active:
-                        active[k][2] += vol
-                        if active[k][2] >= active[k][0]:
-                            active.pop(k)
-        state.update((pickle.dumps(active),))
+                    if x := seen[k]:
+                        x[2] += vol
+                        if x[2] >= x[0]:
+                            seen[k] = None
+        for k, x in seen.items():
+            if x is None and before[k] is not None:
+                self.orders.removeKey(k)
+            elif x is not None and tuple(x) != before[k]:
+                self.orders.updateValue(k, tuple(x))
+        end = int(pd.Timestamp(came["date"].max()).value // 1_000_000) + CLOSE_MS
+        if end not in set(self.handle.listTimers()):
+            self.handle.registerTimer(end)
         yield pd.DataFrame(out, columns=[f.split()[0] for f in FLOW.split(", ")]).astype({c: "Int64" for c in ("order_vol", "order_tm", "other_vol", "other_tm", "lag_ms")})
 
-    return stream.groupBy("exchange", "symbol").applyInPandasWithState(update, FLOW, "active binary", "append", GroupStateTimeout.NoTimeout)
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.orders.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def order_flow(stream: DataFrame) -> DataFrame:
+    """Orders, withdrawals and trades in order of arrival, with what was known of the orders then.
+
+    kind is order, withdraw or trade. An order is kept from its arrival until it is traded or withdrawn in full, or until the
+    day's end. In Shanghai (SH) an order that trades on arrival first shows up in its trade: it is made from that trade, given
+    out, and kept if anything is left of it; one that is known already grows by the trade. State is a map of active orders per
+    (exchange, symbol), to which all messages of an order belong. Start it within keyed_state(). The watermark is the date of
+    what has come: messages of a day may be late within it, and end with the first batch after one that has the next day.
+    """
+    timed = stream.withColumn("_at", F.col("date").cast("timestamp")).withWatermark("_at", "0 seconds")
+    return timed.groupBy("exchange", "symbol").transformWithStateInPandas(Orders(), FLOW, "Append", "EventTime")
