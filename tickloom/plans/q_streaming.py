@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes, times
 from ..operators import compare
-from ..session import find_package, table, work_dir
+from ..session import checkpointed, find_package, table, work_dir
 from ..streaming import bars as sbars
-from ..streaming import flow
+from ..streaming import flow, live
 from . import bars, q_bars, q_orders
 from .catalog import query
 from .q_relational import POWERS, SCALE
@@ -17,24 +17,26 @@ from .q_relational import POWERS, SCALE
 c = F.col
 
 
-TASKS = 4
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream; the schema is that of the table."""
     return spark.readStream.schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
+def _parts(spark: SparkSession, rows: DataFrame, part: Column, parts: int, name: str) -> DataFrame:
+    """Rows as a stream of some parts, written one after the other: the stream reads them in that order, one a batch. What
+    makes the rows runs once."""
+    path, held = work_dir(spark, name), checkpointed(rows.withColumn("_part", part))
+    tasks = max(4, spark.sparkContext.defaultParallelism)
+    for k in range(parts):
+        held.filter(c("_part") == k).drop("_part").repartition(tasks).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", tasks).parquet(path)
+
+
 def _landed(spark: SparkSession, rows: DataFrame, order: str, files: int, name: str) -> DataFrame:
-    """Rows as a stream of some folders of files, written one after the other: the stream reads them in that order. Each part
-    has TASKS files and a batch takes one part."""
-    path = work_dir(spark, name)
-    ends = rows.approxQuantile(order, [k / files for k in range(1, files)], 0.01)
-    for a, b in zip([None, *ends], [*ends, None], strict=True):
-        part = rows if a is None else rows.filter(c(order) > a)
-        part = (part if b is None else part.filter(c(order) <= b)).repartition(TASKS)
-        part.write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", TASKS).parquet(path)
+    """_parts() by quantiles of a column."""
+    held = checkpointed(rows)
+    ends = held.approxQuantile(order, [k / files for k in range(1, files)], 0.01)
+    return _parts(spark, held, sum((F.when(c(order) > e, 1).otherwise(0) for e in ends), F.lit(0)), files, name)
 
 
 def _finished(stream: DataFrame, mode: str, name: str) -> DataFrame:
@@ -171,3 +173,59 @@ def r11(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = times.div(times.ms_to_tm(times.ms_of_day(c("ts"))), 100_000)
     return table(spark, sf_dir, "events").groupBy(times.file_minute(label).cast("int").alias("file_hhmm")).agg(F.count("*").alias("n"))
 
+
+def live_sql(ticks: str = "true", bars_: str = "true") -> str:
+    """Bars of all ticks for which one condition holds, where another one does for the bar."""
+    return f"""WITH {q_bars.TICKS_SQL},
+placed AS (SELECT *, CASE WHEN tm < 92500000 THEN -1 WHEN tm < 93000000 THEN 931 WHEN tm = 113000000 THEN 1130 WHEN tm = 150000000 THEN 1500 WHEN tm > 113000000 AND tm < 130000000 THEN -2 WHEN tm > 150000000 THEN -3
+                     WHEN tm // 100000 % 100 = 59 THEN (tm // 10000000 + 1) * 100 ELSE tm // 100000 + 1 END AS bar FROM ticks WHERE {ticks}),
+released AS (SELECT DISTINCT tm // 100000 AS bar FROM placed WHERE tm // 1000 % 100 = 1),
+one AS (SELECT code, bar, first(current ORDER BY tm, seq) AS open, max(current) AS high, min(current) AS low, last(current ORDER BY tm, seq) AS close, last(volume ORDER BY tm, seq) AS cum FROM placed WHERE bar > 0 AND current > 0 GROUP BY code, bar),
+bars AS (SELECT code[:6] || '.XSHG' AS code, CAST(bar AS INTEGER) AS bar, open, high, low, close, CAST(cum - coalesce(lag(cum) OVER w, 0) AS BIGINT) AS volume FROM one WINDOW w AS (PARTITION BY code ORDER BY bar))
+SELECT * FROM bars WHERE {bars_}"""
+
+
+def live_run(spark: SparkSession, ticks: DataFrame, part: Column, parts: int, name: str) -> str:
+    """Runs live bars with their publisher over parts of some ticks; returns the folder of state."""
+    find_package(spark)
+    state, stream = work_dir(spark, name), _parts(spark, ticks, part, parts, f"{name}-ticks")
+    with flow.keyed_state(spark):
+        live.live_bars(stream).writeStream.foreachBatch(live.publisher(state)).option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return state
+
+
+def _shanghai_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q_bars.ticks(spark, sf_dir).withColumn("code", F.concat(F.substring("code", 1, 6), F.lit(".XSHG")))
+
+
+def _hours(*edges: int) -> Column:
+    return sum((F.when(c("tm") >= e, 1).otherwise(0) for e in edges), F.lit(0))
+
+
+@query("r5_released_minutes", live_sql("tm < 145900000", "bar IN (SELECT bar FROM released)").replace("SELECT * FROM bars", "SELECT *, 1 AS version, 'insert' AS kind FROM bars"))
+def r5_released(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream in order publishes of each minute that a tick of second 01 has released."""
+    state = live_run(spark, _shanghai_ticks(spark, sf_dir).filter("tm < 145900000"), _hours(100_000_000, 130_000_000, 143_000_000), 4, "released")
+    return spark.read.parquet(f"{state}/published").select("code", "bar", *live.VALUES, "version", "kind")
+
+
+@query("r6_patched_bars", live_sql("tm < 150500000", "bar IN (SELECT bar FROM released)"))
+def r6_patched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks come in five batches out of order; the last versions of released minutes are the bars of all ticks."""
+    state = live_run(spark, _shanghai_ticks(spark, sf_dir).filter("tm < 150500000"), F.pmod(c("seq") * 7919, F.lit(5)), 5, "patched")
+    out = spark.read.parquet(f"{state}/published")
+    return out.groupBy("code", "bar").agg(*[F.max_by(x, "version").alias(x) for x in live.VALUES])
+
+
+@query("r7_bar_in_progress", live_sql("tm <= 103020000", "bar >= 1030"))
+def r7_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At 10:30:20: the minute before and the one in progress, read from a stream's state."""
+    state = live_run(spark, _shanghai_ticks(spark, sf_dir).filter("tm <= 103020000"), _hours(100_000_000), 2, "progress")
+    return live.in_progress(spark, f"{state}/checkpoint").filter("bar >= 1030").select("code", "bar", *live.VALUES)
+
+
+@query("r8_final_bars", live_sql())
+def r8_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is given out when the stream has seen 15:05: all bars of each code."""
+    state = live_run(spark, _shanghai_ticks(spark, sf_dir), _hours(113_000_000, 150_000_000), 3, "final")
+    return spark.read.parquet(f"{state}/bars").filter("kind = 'final'").select("code", "bar", *live.VALUES)
