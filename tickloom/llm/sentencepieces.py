@@ -61,6 +61,8 @@ class Model:
             raise ValueError("pieces of the model cross whitespace markers")
         lines = not any("\n" in p for p in words)
         self.find = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n" if lines else f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
+        self.kind = "H" if len(proto.pieces) <= 1 << 16 else "i"  # of an id on its way
+        self.width = array(self.kind).itemsize
         self.prefix = MARK if rules.add_dummy_prefix else ""
         self.decoder = SentencePieceProcessor(model_proto=body)
         rules.add_dummy_prefix = False
@@ -128,9 +130,9 @@ def encode(docs: DataFrame, model: bytes | None = None, shard_bytes: int = 6 <<
                 now, table = part, {}
             chunks = _unstring(asked)
             new = [c for c in chunks if c not in table]
-            table.update(zip(new, (array("i", x).tobytes() for x in m.ids(new)), strict=True))
+            table.update(zip(new, (array(m.kind, x).tobytes() for x in m.ids(new)), strict=True))
             got = [table[c] for c in chunks]
-            yield part, shard, squeezed(np.array([len(x) for x in got], np.int32) // 4, np.frombuffer(b"".join(got), np.int32))
+            yield part, shard, squeezed(np.array([len(x) for x in got], np.int32) // m.width, np.frombuffer(b"".join(got), np.uint8))
 
     def join(blocks: pa.Table, inbox: pa.Table) -> pa.Table:
         m, place, rows = opened_model(body), defaultdict(), rows_of(blocks)
@@ -141,9 +143,9 @@ def encode(docs: DataFrame, model: bytes | None = None, shard_bytes: int = 6 <<
         bodies = dict(zip(inbox["part"].to_pylist(), inbox["body"].to_pylist(), strict=True))
         counts, flat, own = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], []
         for part, chunks in _slices(list(place), parts):
-            n, x = (a.view(np.int32) for a in opened(bodies[part]))
-            counts.append(n)
-            flat.append(x)
+            n, x = opened(bodies[part])
+            counts.append(n.view(np.int32))
+            flat.append(x.view(m.kind).astype(np.int32))
             own += [place[c] for c in chunks]
         counts, flat = np.concatenate(counts), np.concatenate(flat)
         back = np.empty(len(own), np.int64)
