@@ -145,3 +145,11 @@ def nanos_to_tm(nanos: Column, offset_hours: int = 8) -> Column:
 def gateway_delay_ms(nanos: Column, tm: Column, offset_hours: int = 8) -> Column:
     """Milliseconds from the exchange's time to the journal's."""
     return tm_to_ms(nanos_to_tm(nanos, offset_hours)) - tm_to_ms(tm)
+
+
+def increment_bounds(label: Column) -> tuple[Column, Column]:
+    """Milliseconds of the day (start, end] of the increment that a minute's label closes: a minute, with five seconds more at
+    both ends of a session. The first one begins at 09:14:55."""
+    end = tm_to_ms(label.cast("long") * 100_000)
+    start = F.when(label == 925, 33_295_000).when(label.isin(931, 1301), end - 65_000).otherwise(end - 60_000)
+    return start, F.when(label.isin(925, 1130, 1500), end + 5_000).otherwise(end)

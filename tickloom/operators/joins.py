@@ -42,3 +42,13 @@ def anchor_rows(rows: DataFrame, groups: DataFrame, keys: Sequence[str], order:
     """The last row of each of the wanted groups."""
     w = Window.partitionBy(*keys).orderBy(order.desc())
     return rows.join(groups.select(*keys).distinct(), list(keys), "left_semi").withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+
+
+def interval_join(rows: DataFrame, intervals: DataFrame, at: str, start: str, end: str, width: int, by: Sequence[str] = ()) -> DataFrame:
+    """Each row with each interval (start, end] that it is in, as an equi-join on time buckets of a width, and `by`. Intervals
+    are repeated for the buckets that they touch, rows are not; a width of about an interval's length makes that two or three.
+    Nulls match nothing. Both sides must differ in their column names but for `by`."""
+    bucket = lambda c: F.floor(c / width).cast("long")
+    spread = intervals.withColumn("_bucket", F.explode(F.sequence(bucket(F.col(start)), bucket(F.col(end)))))
+    found = rows.withColumn("_bucket", bucket(F.col(at))).join(spread, [*by, "_bucket"])
+    return found.filter((F.col(at) > F.col(start)) & (F.col(at) <= F.col(end))).drop("_bucket")

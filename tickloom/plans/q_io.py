@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes, times, values
 from ..schemas import CHANNELS
 from ..session import checkpointed, table, work_dir
-from ..sources import readers, writers
+from ..sources import readers, records, writers
 from ..streaming import bars as sbars
+from ..streaming import latency
 from . import factors, q_bars
 from .catalog import query
 from .q_orders import d13_all, shanghai, snapshot_sql, so_far_sql
@@ -176,6 +179,51 @@ def k8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_type", c("n").cast("long").alias("n"), F.round(c("avg_delay").cast("double"), 6).alias("avg_delay"), c("max_delay").cast("double").alias("max_delay"), c("last").cast("timestamp_ntz").alias("last"))
 
 
+KINDS = {
+    "stock_tick": ("events", "event_id", "value", "user_id", "lastpx", "totalvolumetrade"), "index_tick": ("events", "event_id", "value", "user_id", "lastpx", "totalvolumetrade"),
+    "future_tick": ("events", "event_id", "value", "user_id", "lastpx", "totalvolumetrade"), "kline": ("events", "event_id", "value", "user_id", "closepx", "numtrades"),
+    "stock_order": ("orders", "o_orderkey", "o_totalprice", "o_custkey", "orderprice", "orderqty"), "stock_transaction": ("lineitem", "l_orderkey", "l_extendedprice", "l_partkey", "tradeprice", "tradeqty"),
+}
+
+
+def _record_sql(kind: str) -> str:
+    source, key, px, qty, _, _ = KINDS[kind]
+    one = f"SELECT '{kind}' AS kind, CAST({key} AS VARCHAR) AS id, CAST({key} % 240000 AS INTEGER) AS mdtime, CAST({px} AS DOUBLE) AS px, CAST({qty} AS BIGINT) AS qty FROM {source}"
+    again = f"{one} WHERE {key} % 2 = 0"
+    return f"{one} UNION ALL {again}" if records.RECORDS[kind].adds else again
+
+
+@query("k7_record_files", " UNION ALL ".join(f"({_record_sql(k)})" for k in KINDS))
+def k7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each kind of record is written twice, all rows and then half of them, and read back."""
+    out = []
+    for kind, (source, key, px, qty, px_name, qty_name) in KINDS.items():
+        path, price, amount = work_dir(spark, kind), c(px).cast("double").alias(px_name), c(qty).cast("long").alias(qty_name)
+        rows = table(spark, sf_dir, source).select(c(key).cast("string").alias("htscsecurityid"), (c(key) % 240_000).cast("int").alias("mdtime"), price, amount)
+        records.write(rows, kind, path)
+        records.write(rows.filter("cast(htscsecurityid as bigint) % 2 = 0"), kind, path)
+        out.append(records.read(spark, kind, path).select(F.lit(kind).alias("kind"), c("htscsecurityid").alias("id"), "mdtime", c(px_name).alias("px"), c(qty_name).alias("qty")))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query(
+    "k8_latency_intervals",
+    """WITH m AS (SELECT event_type AS channel, CAST(epoch_us(ts) AS BIGINT) // 1000 * 1000000 AS nano, event_id AS t, CAST(epoch_us(ts) AS BIGINT) // 3600000000 AS iv FROM events),
+i AS (SELECT DISTINCT iv FROM m), ch AS (SELECT DISTINCT channel FROM m)
+SELECT i.iv AS interval, ch.channel, max(nano) AS journal_nano, arg_max(t, (nano, t)) AS exchange_time FROM i CROSS JOIN ch LEFT JOIN m ON m.channel = ch.channel AND m.iv <= i.iv GROUP BY i.iv, ch.channel""",
+)
+def k8_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of messages in order, in four batches: hourly rows of all channels, appended as CSV and read back."""
+    from .q_streaming import _landed
+
+    path, nano = work_dir(spark, "latency-intervals"), times.epoch_ms(c("ts")) * 1_000_000
+    rows = table(spark, sf_dir, "events").select(c("event_type").alias("channel"), nano.alias("journal_nano"), c("event_id").cast("long").alias("exchange_time"))
+    names = [r[0] for r in rows.select("channel").distinct().collect()]  # a handful
+    latency_writer = latency.writer(path, names, 3_600_000_000_000)
+    _landed(spark, rows, "journal_nano", 4, "latency").writeStream.foreachBatch(latency_writer).option("checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return latency.read(spark, path)
+
+
 @query("k10_comparison_tables", "SELECT 'summary' AS part, CAST(count(*) FILTER (WHERE event_id % 4 = 0) AS BIGINT) AS n, round(CAST(count(*) FILTER (WHERE event_id % 4 <> 0) AS DOUBLE) / count(*), 9) AS x FROM events UNION ALL SELECT 'worst', least(count(*), 200), 1.0 FROM events WHERE event_id % 4 = 0 UNION ALL SELECT 'diff', event_id, CASE WHEN event_id % 4 = 0 THEN 1.0 ELSE 0.0 END FROM events UNION ALL SELECT 'synth', event_id, round(value, 6) FROM events")
 def k10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All tables of a comparison are written out and read back."""

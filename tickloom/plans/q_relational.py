@@ -201,6 +201,18 @@ def a12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.groupBy("l_suppkey").agg(*[F.sum(k).alias(k) for k in ("n", "n_large", "n_returned")])
 
 
+@query("a12_mergeable_orders", "WITH t AS (SELECT l_suppkey % 40 AS symbol, l_linenumber AS inc, l_orderkey, l_quantity >= 25 AS large FROM lineitem), i AS (SELECT DISTINCT symbol, inc FROM t) SELECT i.symbol, i.inc, count(DISTINCT l_orderkey) AS n, count(DISTINCT l_orderkey) FILTER (WHERE large) AS n_large FROM i JOIN t ON t.symbol = i.symbol AND t.inc <= i.inc GROUP BY i.symbol, i.inc")
+def a12_mergeable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different orders of each symbol up to each increment: exact sets per increment, merged without the trades."""
+    t = table(spark, sf_dir, "lineitem").select((c("l_suppkey") % 40).alias("symbol"), c("l_linenumber").alias("inc"), "l_orderkey", (c("l_quantity") >= 25).alias("large"))
+    rows = t.join(sets.numbered(t, ["symbol"], ["l_orderkey"]), ["symbol", "l_orderkey"])
+    each = sets.bitmaps(rows, ["symbol", "inc"]).withColumn("bucket", F.lit("n")).unionByName(sets.bitmaps(rows.filter("large"), ["symbol", "inc"]).withColumn("bucket", F.lit("n_large")))
+    asked = t.select("symbol", c("inc").alias("upto")).distinct()
+    so_far = sets.merged_bitmaps(each.join(asked, "symbol").filter("inc <= upto"), ["symbol", "upto", "bucket"])
+    n = sets.counted_bitmaps(so_far, ["symbol", "upto", "bucket"]).groupBy("symbol", c("upto").alias("inc"))
+    return n.agg(*[F.coalesce(F.sum(F.when(c("bucket") == k, c("n"))), F.lit(0)).alias(k) for k in ("n", "n_large")])
+
+
 @query("a15_latest_price", "SELECT user_id, event_type, arg_max(value, ts) AS price FROM events GROUP BY user_id, event_type")
 def a15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).groupBy("user_id", "event_type").agg(F.max_by("value", F.struct("ts", "event_id")).alias("price"))

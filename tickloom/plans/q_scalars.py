@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes, times, values
+from ..operators import joins
 from ..session import table
 from .catalog import query
 
@@ -128,6 +129,22 @@ def f12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.join(F.broadcast(seen), e.ts > seen.last).select("event_id")
 
 
-@query("b2_calendar", "SELECT CAST(m // 60 * 100 + m % 60 AS INTEGER) AS label FROM (SELECT 565 AS m UNION ALL SELECT unnest(range(571, 691)) UNION ALL SELECT unnest(range(781, 901)))")
+@query("b2_calendar", "SELECT user_id, CAST(m // 60 * 100 + m % 60 AS INTEGER) AS label FROM (SELECT DISTINCT user_id FROM events) CROSS JOIN (SELECT 565 AS m UNION ALL SELECT unnest(range(571, 691)) UNION ALL SELECT unnest(range(781, 901)))")
 def b2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(1).select(F.explode(times.schedule()).alias("label"))
+    """The schedule of a day for every code."""
+    return table(spark, sf_dir, "events").select("user_id").distinct().select("user_id", F.explode(times.schedule()).alias("label"))
+
+
+@query(
+    "f11_increments",
+    f"""WITH {EV_SQL},
+m AS (SELECT CAST(m // 60 * 100 + m % 60 AS INTEGER) AS label, m * 60000 AS e FROM (SELECT 565 AS m UNION ALL SELECT unnest(range(571, 691)) UNION ALL SELECT unnest(range(781, 901)))),
+s AS (SELECT label, CASE WHEN label = 925 THEN 33295000 WHEN label IN (931, 1301) THEN e - 65000 ELSE e - 60000 END AS a, CASE WHEN label IN (925, 1130, 1500) THEN e + 5000 ELSE e END AS b FROM m)
+SELECT event_id, s.label FROM ev JOIN s ON {ms('tm')} > a AND {ms('tm')} <= b""",
+)
+def f11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event with the increments that take it in; at the ends of sessions that may be two."""
+    start, end = times.increment_bounds(F.col("label"))
+    schedule = spark.range(1).select(F.explode(times.schedule()).alias("label")).withColumns({"start_ms": start, "end_ms": end})
+    rows = ev(spark, sf_dir).select("event_id", times.tm_to_ms(c("tm")).alias("ms"))
+    return joins.interval_join(rows, schedule, "ms", "start_ms", "end_ms", 60_000).select("event_id", "label")
