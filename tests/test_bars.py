@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from tickloom.plans.bars import Rules, minute_bars
+from tickloom.sources import writers
 
 DAY = dt.date(2026, 3, 17)
 SCHEMA = "code string, date date, tm long, seq long, current double, high double, low double, volume long, money long"
@@ -81,3 +82,33 @@ def test_days_and_codes_do_not_mix(spark):
     universe = spark.createDataFrame([("A", DAY), ("A", other)], "code string, date date")
     got = minute_bars(ticks, universe, spark.createDataFrame([], "code string, prev_day_close double")).filter("volume > 0").orderBy("datetime").collect()
     assert [(r.code, r.volume, r.close) for r in got] == [("A", 10.0, 1.0), ("A", 30.0, 2.0)]
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_ticks_are_shuffled_once_or_not_at_all(spark, tmp_path, broadcast):
+    rows = [(f"c{i % 7}", DAY, 93_000_000 + i * 1000, i, 10.0 + i % 3, 12.0, 9.0, i * 100, i * 1000) for i in range(50)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "ticks"))
+    plain, prev = spark.read.parquet(str(tmp_path / "ticks")), spark.createDataFrame([("c1", 3.0)], "code string, prev_day_close double")
+    universe = spark.createDataFrame([("c1", DAY), ("c2", DAY), ("none", DAY)], "code string, date date")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    writers.keyed_ticks(plain, "ticks_of_a_test", 8)
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        found = {name: minute_bars(ticks, universe, prev) for name, ticks in (("plain", plain), ("keyed", spark.table("ticks_of_a_test")))}
+        tick_side = {}
+        for name, bars_ in found.items():
+            lines = bars_._jdf.queryExecution().executedPlan().toString().split("\n")
+            scan = next(k for k, line in enumerate(lines) if "FileScan" in line and "current" in line)
+            depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+            at, above = depth(lines[scan]), []
+            for line in reversed(lines[:scan]):
+                if depth(line) < at:
+                    above.append(line)
+                    at = depth(line)
+            join = next(k for k, line in enumerate(above) if "Join" in line)
+            tick_side[name] = (sum("Exchange" in line for line in above[:join]), sum("Exchange hashpartitioning(code" in line and "date" in line for line in above))
+        assert tick_side["plain"] == (1, 1) and tick_side["keyed"] == (0, 0)
+        assert sorted(found["plain"].collect(), key=str) == sorted(found["keyed"].collect(), key=str) and found["plain"].count() == 3 * 240
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE IF EXISTS ticks_of_a_test")

@@ -1,8 +1,8 @@
 """One-minute bars from cumulative tick snapshots.
 
 Input ticks: code, date, tm (HHMMSSmmm), seq (breaks ties of tm), current, high, low, and volume and money since the start
-of the day. The whole plan is keyed by (code, date): ticks and the universe are shuffled once by it, and windows, the
-aggregate of each bar, the spine of 240 labels and the forward fill all reuse that partitioning. Windows over ticks share one
+of the day. The whole plan is keyed by (code, date): ticks and the universe are joined by it with one shuffle, a code of the
+universe without ticks is a row without a time, and windows, the aggregate of each bar, the spine of 240 labels and the forward fill all reuse that partitioning. Windows over ticks share one
 sort, which numbers the ticks of a day; by that number the aggregate of each bar finds first and last values, so that its
 buffers have a fixed width and it hashes instead of sorting again. What a group holds is one code's day.
 """
@@ -184,9 +184,8 @@ def previous_close(rows: DataFrame, prev: DataFrame) -> DataFrame:
 
 def minute_bars(ticks: DataFrame, universe: DataFrame, prev: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """(datetime, code, open, close, high, low, money, volume): 240 bars for each (code, date) of the universe. Ticks of
-    other codes are left out; prev has one row per code."""
-    marked = universe.select(*KEY).distinct().unionByName(ticks.join(universe.select(*KEY).distinct(), list(KEY), "left_semi"), allowMissingColumns=True)
-    marked = marked.repartition(*KEY)
+    other codes are left out; prev has one row per code. Ticks that are stored by key (writers.keyed_ticks) are not shuffled."""
+    marked = universe.select(*KEY).distinct().hint("shuffle_hash").join(ticks, list(KEY), "left")
     flagged = with_auction_flags(with_price_flags(with_labels(marked, rules), rules), rules)
     rows = close_auction(morning_end(filled(spine(bar_aggregates(flagged, rules)))))
     rows = previous_close(rows, prev)

@@ -3,11 +3,14 @@ into one trading day, 09:20 to 15:06."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes, times
 from ..session import table
+from ..sources import writers
 from . import bars
 from .catalog import query
 
@@ -130,6 +133,14 @@ def d8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.minute_bars(ticks(spark, sf_dir), universe(spark, sf_dir), previous(spark, sf_dir))
 
 
+@query("d8_keyed_bars", BARS_SQL)
+def d8_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from ticks that are stored by code and date, which are then not shuffled."""
+    name = f"ticks_{uuid.uuid4().hex}"
+    writers.keyed_ticks(ticks(spark, sf_dir), name, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return bars.minute_bars(spark.table(name), universe(spark, sf_dir), previous(spark, sf_dir))
+
+
 BODY = BARS_SQL.rsplit("SELECT TIMESTAMP", 1)[0]
 
 

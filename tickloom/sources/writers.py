@@ -49,6 +49,13 @@ def factors_parquet(snapshot: DataFrame, path: str) -> None:
     snapshot.write.mode("append").partitionBy("label").parquet(path)
 
 
+def keyed_ticks(ticks: DataFrame, name: str, buckets: int) -> None:
+    """Ticks as a table of the session's catalog, bucketed by (code, date) and sorted in their order, from which bars, their
+    comparison and streams' replays need no shuffle of ticks. Buckets should hold some 100 MB, and be as many as shuffle
+    partitions at least: Spark would else rather shuffle than run fewer tasks."""
+    ticks.repartition(buckets, "code", "date").write.bucketBy(buckets, "code", "date").sortBy("code", "date", "tm", "seq").mode("overwrite").saveAsTable(name)
+
+
 def append_csv(rows: DataFrame, path: str) -> None:
     """Records as CSV files with a header, added to those that are there."""
     rows.write.mode("append").option("header", True).csv(path)
