@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import time
 from collections import Counter, defaultdict
 
@@ -49,6 +50,24 @@ def test_long_threads_take_few_joins(spark):
     assert r.n_turns == 150 and r.loss_chars == sum(len(f"t{i}") for i in range(1, 150, 2))
 
 
+def test_a_thread_of_many_turns_comes_back(spark):
+    n = 20_000
+    rows = [(1, k, "user" if k % 2 else "assistant", f"é{k} <|im_end|> & " * (k % 3)) for k in range(n)]
+    got = chat.digest(chat.format_chats(chat.threads(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")), numbered=True)).first()
+    said = "".join(t for _, _, r, t in rows if r == "assistant")
+    assert got.n_turns == n and got.loss_chars == len(said) and got.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+    assert got.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in rows).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("texts", [["", "a", "x" * 1023], ["y" * 1024, "z" * 5000, ""], ["😀é" * 700, "<|" * 600]])
+def test_spans_are_cut_out_of_blocks(spark, texts):
+    text, spans = "".join(texts), []
+    for t in texts:
+        spans.append((sum(n for _, n in spans), len(t)))
+    row = spark.createDataFrame([(text, spans)], "t string, s array<struct<start:int,length:int>>")
+    assert row.select(chat.under_mask(row.t, row.s).alias("x")).first().x == texts
+
+
 def test_replies_in_a_circle_raise(spark):
     kind = "tree string, node long, parent long, role string, text string, score double"
     for rows in ([(1, 2), (2, 1), (3, 1)], [(1, 1)], [(1, 2), (2, 3), (3, 1), (4, None)]):
@@ -127,6 +146,22 @@ def test_best_fit_equals_a_plain_search(seed):
     assert bins == plain_best_fit(items, 100, conflicts) and free == [100 - sum(items[i][0] for i in b) for b in bins]
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_large_clusters_equal_a_plain_search(seed):
+    rng = random.Random(100 + seed)
+    items = sorted(((rng.randint(0, 60), rng.choice([0, 1, 1, 1, 2, 4]), rng.choice([0, 1, 1, 2, 4])) for _ in range(220)), reverse=True)
+    conflicts = {1: 2, 2: 1} if seed % 2 else {}
+    bins, free = packing.best_fit(items, 100, conflicts)
+    assert bins == plain_best_fit(items, 100, conflicts) and free == [100 - sum(items[i][0] for i in b) for b in bins]
+
+
+def test_one_cluster_does_not_walk_past_all_its_bins():
+    items = sorted(((300 + i % 500, 1, 0) for i in range(10_000)), reverse=True)
+    began = time.perf_counter()
+    bins, _ = packing.best_fit(items, 8192, {})
+    assert len(bins) == 10_000 and time.perf_counter() - began < 5  # a second at most when the machine is free
+
+
 def test_packing_equals_a_plain_packing(spark):
     """The whole query, in one shard, against the plain search over all documents."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")

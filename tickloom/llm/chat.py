@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ._state import shared_dir
 
 START, END = "<|im_start|>", "<|im_end|>"
+BLOCK = 1024  # code points
 
 
 def escape(c: Column) -> Column:
@@ -91,25 +92,37 @@ def format_chats(messages: DataFrame, branches: int = 1, numbered: bool = False)
     full = paths(messages).join(messages.select("tree", "node", "role", "text", "score"), ["tree", "node"])
     role, text = _escaped_role(F.coalesce("role", F.lit(""))), escape(F.coalesce("text", F.lit("")))
     full = full.select("tree", "leaf", "depth", "score", role.alias("role"), text.alias("text"))
-    turns = full.groupBy("tree", "leaf").agg(F.avg("score").alias("score"), F.sort_array(F.collect_list(F.struct("depth", "role", "text"))).alias("turns"))
+    before = F.sum(len(START) + len(END) + 2 + F.length("role") + F.length("text")).over(Window.partitionBy("tree", "leaf").orderBy("depth").rowsBetween(Window.unboundedPreceding, -1))
+    full = full.withColumn("at", F.coalesce(before, F.lit(0)).cast("int"))
+    turns = full.groupBy("tree", "leaf").agg(F.avg("score").alias("score"), F.sort_array(F.collect_list(F.struct("depth", "role", "text", "at"))).alias("turns"))
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc_nulls_last("score"), "leaf"))
     best = turns.withColumn("rank", rank).filter(F.col("rank") <= branches)
     shown = F.transform("turns", lambda t: F.concat(F.lit(START), t.role, F.lit("\n"), t.text, F.lit(END + "\n")))
-    over = len(START) + len(END) + 2
-    mask = F.expr(
-        f"aggregate(turns, named_struct('at', 0, 'spans', cast(array() as array<struct<start:int,length:int>>)), (s, t) -> named_struct("
-        f"'at', s.at + {over} + char_length(t.role) + char_length(t.text), 'spans', if(t.role = 'assistant', "
-        f"concat(s.spans, array(named_struct('start', s.at + {len(START) + 1} + char_length(t.role), 'length', char_length(t.text)))), s.spans)), s -> s.spans)"
-    )
+    begin = lambda t: (t["at"] + len(START) + 1 + F.length(t.role)).alias("start")
+    mask = F.transform(F.filter("turns", lambda t: t.role == "assistant"), lambda t: F.struct(begin(t), F.length(t.text).alias("length")))
     return best.select("tree", "leaf", "rank", "score", F.array_join(shown, "").alias("formatted"), mask.alias("loss"))
 
 
+def under_mask(text: Column, spans: Column) -> Column:
+    """The parts of a text in some spans. The text is cut into blocks once, as Spark finds a place in it by counting from its
+    beginning, and a span is cut out of its blocks."""
+
+    def part(blocks: Column, x: Column) -> Column:
+        first = x.start % BLOCK
+        own = F.slice(blocks, F.floor(x.start / BLOCK).cast("int") + 1, F.floor((first + x.length) / BLOCK).cast("int") + 1)
+        return F.substring(F.array_join(own, ""), first + 1, x.length)
+
+    # a lambda's variable is evaluated once, a column within a lambda once for each element
+    blocks = F.array(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
+    return F.element_at(F.transform(blocks, lambda b: F.transform(spans, lambda x: part(b, x))), 1)
+
+
 def digest(chats: DataFrame) -> DataFrame:
     """What can be read back from the formatted conversations, as counts and digests."""
     pieces = F.filter(F.split("formatted", r"<\|im_end\|>\n"), lambda p: p != "")
     bodies = F.transform(pieces, lambda p: F.substring(p, len(START) + 1, 1 << 30))
     turns = F.transform(bodies, lambda p: F.concat(_role(F.substring_index(p, "\n", 1)), F.lit("\n"), unescape(F.substring(p, F.length(F.substring_index(p, "\n", 1)) + 2, F.length(p))), F.lit("\n")))
-    masked = F.array_join(F.transform("loss", lambda x: unescape(F.substring(F.col("formatted"), x.start + 1, x.length))), "")
+    masked = F.array_join(F.transform(under_mask(F.col("formatted"), F.col("loss")), unescape), "")
     return chats.select(
         F.col("tree").alias("conv_id"),
         F.size(pieces).cast("long").alias("n_turns"),

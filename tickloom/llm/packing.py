@@ -1,9 +1,9 @@
 """Best-fit packing under conflicts.
 
 A document is its bytes. Whole runs of `capacity` bytes fill bins of their own; what is left of each document is packed,
-longest first, into bins ordered by what they have left. A bin carries two bitmaps: its sources, and its clusters of
+longest first, into bins ordered by what they have left. A bin carries a bitmap of its sources and its clusters of
 duplicates. The search starts at the tightest bin with room and goes on to the next until one has neither the document's
-cluster nor a source that conflicts with its own; else a bin is opened. Clusters are those of the column `cluster`, such as a
+cluster nor a source that conflicts with its own; else a bin is opened. Bins that the cluster is in are passed by bisection. Clusters are those of the column `cluster`, such as a
 component of near copies, and where that is null or not named, exact copies.
 
 Documents are dealt by a hash into shards of about `shard_rows`, or with text of about `shard_bytes` if these are more, each
@@ -31,27 +31,39 @@ FIELDS = "bin_id string, slot int, doc_id long, start long, n_bytes long, free l
 
 
 def best_fit(items: list[tuple[int, int, int]], capacity: int, conflicts: dict[int, int]) -> tuple[list[list[int]], list[int]]:
-    """Bins (indices into items) and what each has left. items: (bytes, cluster bitmap, source bitmap), the longest first."""
+    """Bins (indices into items) and what each has left. items: (bytes, cluster or 0, source bitmap), the longest first."""
     left: list[tuple[int, int]] = []  # (residual, bin), ascending
-    clusters: list[int] = []
+    having: dict[int, list[tuple[int, int]]] = {}  # the same of the bins that a cluster is in
+    clusters: list[list[int]] = []
     sources: list[int] = []
     bins: list[list[int]] = []
     for k, (size, cluster, source) in enumerate(items):
-        against = conflicts.get(source, 0)
+        against, own = conflicts.get(source, 0), having.get(cluster, [])
         i = bisect.bisect_left(left, (size, -1))
-        while i < len(left) and (clusters[left[i][1]] & cluster or sources[left[i][1]] & against):
+        while i < len(left):
+            # the bins that the cluster is in are some of these, in the same order: up to the first that it is not in, both
+            # lists are the same from here, and from there on they differ at each step
+            j = bisect.bisect_left(own, left[i])
+            i += bisect.bisect_left(range(min(len(own) - j, len(left) - i)), True, key=lambda d, i=i, j=j: own[j + d] != left[i + d])
+            if i < len(left) and not sources[left[i][1]] & against:
+                break
             i += 1
         if i < len(left):
             residual, b = left.pop(i)
+            for c in clusters[b]:
+                having[c].pop(bisect.bisect_left(having[c], (residual, b)))
         else:
             residual, b = capacity, len(bins)
             bins.append([])
-            clusters.append(0)
+            clusters.append([])
             sources.append(0)
         bins[b].append(k)
-        clusters[b] |= cluster
+        if cluster:
+            clusters[b].append(cluster)
         sources[b] |= source
         bisect.insort(left, (residual - size, b))
+        for c in clusters[b]:
+            bisect.insort(having.setdefault(c, []), (residual - size, b))
     free = dict((b, r) for r, b in left)
     return bins, [free[b] for b in range(len(bins))]
 
