@@ -229,6 +229,24 @@ def test_repetition_limit(spark):
     assert {r.doc_id for r in rows.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
 
 
+@pytest.mark.parametrize("how", [{}, {"repeats": 1.2}, {"entropy": 0.97, "repeats": 50.0}, {"budget": 60_000}, {"budget": 40_000, "entropy": 0.9}])
+def test_many_sources_have_the_plan_of_few(spark, how):
+    docs = spark.createDataFrame([(i, "x" * (1 + i * i % 97), f"s{i % 40}" if i % 41 else None) for i in range(900)] + [(1000, "", "none")], "doc_id long, text string, source string")
+    a, b = ({r.source: r for r in mixing.plan(docs, max_sources=m, **how).collect()} for m in (10_000, 3))
+    assert a.keys() == b.keys() and len(a) == 42
+    for k in a:
+        assert a[k].tokens == b[k].tokens and all(a[k][c] == pytest.approx(b[k][c], abs=2e-6, rel=1e-5) for c in ("exponent", "weight", "times"))
+
+
+def test_fifty_thousand_sources_are_mixed(spark):
+    docs = spark.range(100_000).selectExpr("id AS doc_id", "repeat('x', cast(1 + id % 7 AS int)) AS text", "concat('s', id % 50000) AS source")
+    rows = mixing.mix(docs)
+    few = mixing.mix(docs.filter("doc_id < 3"), max_sources=2)
+    assert few.select("doc_id").distinct().count() == 3
+    got = rows.groupBy("doc_id").agg(mixing.F.count("*").alias("n"))
+    assert got.count() == 100_000 and got.agg(mixing.F.max("n")).first()[0] <= 2
+
+
 def test_target_entropy(spark):
     docs = spark.createDataFrame([(i, "x" * n, s) for i, (n, s) in enumerate([(900, "a"), (90, "b"), (10, "c")])], "doc_id long, text string, source string")
     for share in (0.5, 0.9):
@@ -250,8 +268,8 @@ def test_mixing_messy(messy, empty):
     assert {r.doc_id for r in rows} == {r.doc_id for r in messy.collect()} and {r.source for r in rows} == {"a", "b", "c", None}
     assert mixing.mix(messy).columns == [c for c in messy.columns if c != "mix_epoch"] + ["mix_epoch", "mix_block", "mix_order", "mix_weight"]
     assert mixing.mix(empty).count() == 0
-    with pytest.raises(Exception, match="more than 2 sources"):
-        mixing.plan(messy, max_sources=2).collect()
+    few, many = ({r.source: r.tokens for r in mixing.plan(messy, max_sources=m).collect()} for m in (10_000, 2))
+    assert few == many and {r.doc_id for r in mixing.mix(messy, max_sources=2).collect()} == {r.doc_id for r in messy.collect()}
 
 
 # --- search ----------------------------------------------------------------------------------------------------------
