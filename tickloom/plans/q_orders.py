@@ -207,7 +207,7 @@ def _moment_sql(x: str, where: str, name: str) -> list[str]:
     m3 = f"({s[2]} / {n} - 3 * {mu} * {s[1]} / {n} + 2 * {mu} * {mu} * {mu})"
     m4 = f"({s[3]} / {n} - 4 * {mu} * {s[2]} / {n} + 6 * {mu} * {mu} * {s[1]} / {n} - 3 * {mu} * {mu} * {mu} * {mu})"
     ok = f"{m2} > 0.0009765625 * {mu} * {mu}"
-    return [f"CASE WHEN {n} > 0 THEN round({mu}, {_digits(name)}) END AS {name.format('mean')}", f"CASE WHEN {n} >= 2 THEN round(sqrt(greatest(({s[1]} - {s[0]} * {s[0]} / {n}) / ({n} - 1), 0)), {_digits(name)}) END AS {name.format('std')}", f"CASE WHEN {n} >= 3 AND {ok} THEN round({m3} / pow({m2}, 1.5), 3) END AS {name.format('skew')}", f"CASE WHEN {n} >= 4 AND {ok} THEN round({m4} / ({m2} * {m2}) - 3, 3) END AS {name.format('kurt')}"]
+    return [f"CASE WHEN {n} > 0 THEN round({mu}, {_digits(name)}) END AS {name.format('mean')}", f"CASE WHEN {n} >= 2 THEN round(sqrt(greatest(({s[1]} - {s[0]} * {s[0]} / {n}) / ({n} - 1), 0)), {_digits(name)}) END AS {name.format('std')}", f"CASE WHEN {n} >= 3 AND {ok} THEN round({m3} / pow({m2}, 1.5) + {factors.TIE}, 3) END AS {name.format('skew')}", f"CASE WHEN {n} >= 4 AND {ok} THEN round({m4} / ({m2} * {m2}) - 3 + {factors.TIE}, 3) END AS {name.format('kurt')}"]
 
 
 def _family_sql(family: str, prefix: str, families: factors.Families = factors.FAMILIES, source: str = "rich") -> str:
