@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom.llm import minhash, mixing, packing, pii, quality
 from tickloom.llm._state import shared_dir
 
-#: No SQL: the first three stages rest on fitted models and on hashing; tests hold the run against a plain version.
+#: No SQL: the first three stages rest on fitted models and on hashing; tests hold the run against its stages one by one, whose operators have tests of their own.
 ORACLE_SQL = None
 SOURCE_CONFLICTS = (("src1", "src2"),)
 
