@@ -4,10 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TICK_HEAD = "nano_timestamp BIGINT, exchange STRING, Symbol INT, Time INT, AccTurnover BIGINT, AccVolume BIGINT, AfterMatchItem INT, AfterPrice FLOAT, AfterTurnover BIGINT, AfterVolume INT, AskAvgPrice FLOAT"
-_TICK_TAIL = "High FLOAT, Low FLOAT, MatchItem INT, Open FLOAT, PreClose FLOAT, Price FLOAT, TotalAskVolume BIGINT, TotalBidVolume BIGINT, Turnover BIGINT, Volume INT, BizIndex INT"
-
-
 def _levels(name: str, kind: str) -> str:
     return ", ".join(f"{name}{i} {kind}" for i in range(1, 11))
 
@@ -20,7 +16,8 @@ def _ddl(text: str) -> T.StructType:
     return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in (f.split() for f in text.split(", "))])
 
 
-TICK = _ddl(f"{_TICK_HEAD}, {_levels('AskPx', 'FLOAT')}, {_levels('AskVol', 'DOUBLE')}, BSFlag TINYINT, BidAvgPrice FLOAT, {_levels('BidPx', 'FLOAT')}, {_levels('BidVol', 'DOUBLE')}, {_TICK_TAIL}")
+#: Names, kinds and order of the columns.
+TICK = _ddl(f"nano_timestamp BIGINT, exchange STRING, Symbol INT, Time INT, AccTurnover BIGINT, AccVolume BIGINT, AfterMatchItem INT, AfterPrice FLOAT, AfterTurnover BIGINT, AfterVolume INT, AskAvgPrice FLOAT, {_levels('AskPx', 'FLOAT')}, {_levels('AskVol', 'DOUBLE')}, BSFlag TINYINT, BidAvgPrice FLOAT, {_levels('BidPx', 'FLOAT')}, {_levels('BidVol', 'DOUBLE')}, High FLOAT, Low FLOAT, MatchItem INT, Open FLOAT, PreClose FLOAT, Price FLOAT, TotalAskVolume BIGINT, TotalBidVolume BIGINT, Turnover BIGINT, Volume INT, BizIndex INT")
 ORDER = _ddl("nano_timestamp BIGINT, exchange STRING, Symbol INT, BizIndex INT, Channel BIGINT, FunctionCode TINYINT, OrderKind TINYINT, OrderNumber INT, OrderOriNo INT, Price FLOAT, Time INT, Volume INT")
 TRADE = _ddl("nano_timestamp BIGINT, exchange STRING, Symbol INT, AskOrder INT, BSFlag TINYINT, BidOrder INT, BizIndex INT, Channel INT, FunctionCode TINYINT, Index INT, OrderKind TINYINT, Price FLOAT, Time INT, Volume INT")
 BAR = _ddl("datetime TIMESTAMP_NTZ, code STRING, open FLOAT, close FLOAT, high FLOAT, low FLOAT, money DOUBLE, volume DOUBLE")
