@@ -11,6 +11,7 @@ import pytest
 
 import corpus_pipeline
 from tickloom.llm import chat, minhash, mixing, packing, pii, quality, topk
+from tickloom.llm._state import shared_dir
 
 # --- chats -----------------------------------------------------------------------------------------------------------
 
@@ -296,6 +297,26 @@ def test_search_is_exact(spark, block):
     assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute_search(rows)
 
 
+def test_groups_of_vectors_are_pruned(spark):
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=(40, 32)) * 3
+    rows = [(i, (centre[int(rng.integers(0, 40))] + rng.normal(size=32) * 0.2).tolist()) for i in range(6000)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    shared_dir(spark)
+    stored = topk.blocks(table, 20, 64).checkpoint()
+    asked, kept = topk.candidates(stored, 20)
+    share = kept.count() / (asked.count() * stored.count())
+    assert share < 0.3  # of all pairs of queries' packs and blocks
+    whole = np.floor(64 * np.array([v for _, v in rows])).astype(int)
+    got = defaultdict(list)
+    for r in topk.search(table, 20, 20, 64).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    for q in range(0, 6000, 20):
+        s = whole @ whole[q]
+        want = [int(i) for i in np.lexsort((np.arange(6000), -s)) if i != q][:20]
+        assert sorted(got[q]) == [(k + 1, i, int(s[i])) for k, i in enumerate(want)]
+
+
 def test_fewer_candidates_than_k(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.search(df).collect()] == [(0, 1, 1, 8192)]

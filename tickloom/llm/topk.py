@@ -1,7 +1,8 @@
 """Exact top-k inner products by block-at-a-time pruning.
 
-Vectors become integers, floor(64 x). Rows are cut into blocks by ranges of vec_id; a block is stored as a matrix (its
-forward index) with the largest and least value of each dimension. For a query the sum over dimensions of the larger of
+Vectors become integers, floor(64 x). Rows are put in the order of the nearest of CENTRES sampled vectors, then of a hash, and
+cut into blocks by ranges of that order, so that a block's rows are alike where the vectors are in groups at all (the sample
+bears on the order only, never on what is found). A block is stored as a matrix (its forward index) with the largest and least value of each dimension. For a query the sum over dimensions of the larger of
 q * max and q * min bounds every score in a block. Outlines of blocks (only these bounds) lie on shelves of SHELF blocks, and
 each pack of queries meets each shelf once: first to find each query's block with the largest bound, whose k-th score is the
 query's floor; then to name the blocks whose bound reaches the floor. Per query these are scored in descending order of
@@ -31,6 +32,7 @@ from ._text import tune
 
 BLOCK = "block long, dim int, ids binary, rows binary, high binary, low binary, queries binary"
 PAIRS, SHELF, PACK, PART = 16, 256, 256, 16
+CENTRES = 256
 WIDE = 2.0**57  # 64 x of less than this in every component is an exact 64-bit integer
 
 
@@ -77,19 +79,51 @@ def unpack(b: bytes, dim: int, rows: int) -> np.ndarray:
     return np.array(exact, object).reshape(rows, dim)
 
 
+def _chained(centres: np.ndarray) -> np.ndarray:
+    """Centres in an order in which each is followed by the nearest of those that are left, so that neighbours are alike."""
+    left, out = list(range(len(centres))), []
+    while left:
+        apart = ((centres[left] - centres[out[-1]]) ** 2).sum(1) if out else np.zeros(len(left))
+        out.append(left.pop(int(np.argmin(apart))))
+    return centres[out]
+
+
+def _ordered(found: DataFrame) -> DataFrame:
+    """Adds key: the nearest centre's number, then 32 bits of a hash of vec_id. Centres are the rows of the least hashes."""
+    sample = found.orderBy(F.xxhash64("vec_id"), "vec_id").limit(CENTRES).select("embedding").collect()
+    centres = _padded(usable(pa.array([r[0] for r in sample], pa.list_(pa.float64())))[0])
+    with np.errstate(over="ignore", invalid="ignore"):
+        centres = _chained(centres)
+        half = (centres * centres).sum(1) / 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors, good = usable(batch.column(1))
+            m, nearest = _padded(vectors), np.zeros(batch.num_rows, np.int64)
+            dim = min(m.shape[1], centres.shape[1])
+            if len(good) and len(centres):
+                with np.errstate(over="ignore", invalid="ignore"):
+                    nearest[good] = (m[:, :dim] @ centres[:, :dim].T - half).argmax(1)
+            hashed = batch.column(0).to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((nearest << 32) + hashed.astype(np.int64))], ["vec_id", "embedding", "key"])
+
+    return found.mapInArrow(run, f"vec_id long, embedding {found.schema['embedding'].dataType.simpleString()}, key long")
+
+
 def blocks(table: DataFrame, every: int, rows: int) -> DataFrame:
-    """One row per block of at most `rows` vectors from one range of vec_id; `queries` has the positions of its queries."""
+    """One row per block of at most `rows` vectors from one range of the order; `queries` has the positions of its queries."""
     found = table.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter(F.col("embedding").isNotNull() & F.col("vec_id").isNotNull())
-    ranges = split(found, "vec_id", F.lit(0), found.count(), rows)
+    found = _ordered(found)
+    ranges = split(found, "key", F.lit(0), found.count(), rows)
     salt = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(1 << 40))
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            where = ranges.place(batch.column(0).to_numpy(), batch.column(2).to_numpy())
+            where = ranges.place(batch.column(2).to_numpy(), batch.column(3).to_numpy())
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(where, pa.int64())], ["vec_id", "embedding", "range"])
 
     own = f"vec_id long, embedding {found.schema['embedding'].dataType.simpleString()}, range long"
-    dealt = found.select("vec_id", "embedding", salt).mapInArrow(placed, own).repartition(ranges.shards, "range").sortWithinPartitions("range", "vec_id")
+    dealt = found.select("vec_id", "embedding", "key", salt).mapInArrow(placed, own).repartition(ranges.shards, "range").sortWithinPartitions("range", "vec_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, bool], list[tuple[int, np.ndarray]]] = {}
