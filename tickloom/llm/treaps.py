@@ -30,12 +30,11 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._state import shared_dir
-from ._text import U64, Words, buffer, pieces, tune
+from ._text import Words, buffer, pieces, tune
 
 NOT_TERM = np.ones(256, bool)
 NOT_TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -224,7 +223,7 @@ def asked_terms(items: DataFrame) -> DataFrame:
     return every.groupBy("item_id", "term").agg(F.count("*").alias("times"))
 
 
-def _searched(index: DataFrame, asked: list, floors: dict, k: int, kind: str) -> DataFrame:
+def _searched(index: DataFrame, asked: list, floors: dict, k: int) -> DataFrame:
     """(item_id, doc_id, score): the best of each segment that reach their floors, of some segments and queries."""
     by_item: dict = {}
     for row in asked:
@@ -272,8 +271,8 @@ def search(index: Index, items: DataFrame, k: int = 20) -> DataFrame:
         own = weighed.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()
         floors = {}
         if segments > SEEDS:
-            seeds = _searched(rows.filter(F.pmod(F.xxhash64("segment"), F.lit(SEEDS)) == 0), own, {}, k, "long")
+            seeds = _searched(rows.filter(F.pmod(F.xxhash64("segment"), F.lit(SEEDS)) == 0), own, {}, k)
             floors = {r.item_id: r.score for r in _ranked(seeds, k).filter(F.col("rank") == k).select("item_id", "score").collect()}
-        results.append(_searched(rows, own, floors, k, "long"))
+        results.append(_searched(rows, own, floors, k))
     every = _ranked(reduce(DataFrame.unionByName, results), k)
     return every.select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
