@@ -79,11 +79,6 @@ def sums(rows: DataFrame, family: str, by: Sequence[str] = ("symbol", "side")) -
     return rows.groupBy(*by).agg(*m.bucketed(F.col(vol), F.col(money), {f: F.col(f) for f in fields}, buckets()))
 
 
-def merge(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Sums of sums: both sides of a symbol, or increments of a day."""
-    return rows.groupBy(*by).agg(*[F.sum(c).alias(c) for c in rows.columns if c not in ("symbol", "side", "label", *by)])
-
-
 def _prefix() -> Column:
     return F.when(F.col("side") == SIDES["buy"], "buy").when(F.col("side") == SIDES["sell"], "sell").otherwise("neutral")
 
