@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,69 +52,83 @@ def keyed_state(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+CHUNKS = 64  # fixed by what is in a state
+ORDER = np.dtype([("side", "<i8"), ("id", "<i8"), ("vol", "<i8"), ("tm", "<i8"), ("traded", "<i8")])
+FRAME = 50_000  # rows given out at once
+
+
+def _chunk(own: int) -> int:
+    return (own * 0x9E3779B97F4A7C15 >> 40) % CHUNKS
+
+
 class Orders(StatefulProcessor):
-    """The active orders of one (exchange, symbol) by (side, id), each with the volume, time and traded volume so far. A batch
-    reads and writes only the orders that its messages name. A timer clears what is left when the watermark has passed the
-    day's end."""
+    """The active orders of one (exchange, symbol) by (side, id), each with the volume, time and traded volume so far. They are
+    kept in chunks by a hash of the id, 40 bytes an order: a batch reads and writes once each chunk that its messages name an
+    order of. A timer clears what is left when the watermark has passed the day's end."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.orders = handle.getMapState("orders", "side int, id long", "vol long, tm long, traded long")
+        self.chunks = handle.getMapState("chunks", "chunk int", "orders binary")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         exchange, symbol = key
         came = pd.concat(list(rows)).sort_values(["tm", "seq", "vol", "px"])
-        seen: dict[tuple[int, int], list[int] | None] = {}
-        before: dict[tuple[int, int], tuple[int, ...] | None] = {}
+        end = int(pd.Timestamp(came["date"].max()).value // 1_000_000) + CLOSE_MS
+        any_held = self.chunks.exists()
+        held: dict[int, dict[tuple[int, int], list[int]]] = {}
 
-        def known(k: tuple[int, int]) -> list[int] | None:
-            if k not in seen:
-                found = self.orders.getValue(k) if self.orders.exists() and self.orders.containsKey(k) else None
-                before[k] = tuple(map(int, found)) if found is not None else None
-                seen[k] = list(before[k]) if found is not None else None
-            return seen[k]
+        def at(own: int) -> dict[tuple[int, int], list[int]]:
+            n = _chunk(own)
+            if n not in held:
+                found = self.chunks.getValue((n,)) if any_held and self.chunks.containsKey((n,)) else None
+                held[n] = {(side, k): rest for side, k, *rest in np.frombuffer(bytes(found[0]), ORDER).tolist()} if found is not None else {}
+            return held[n]
 
         out: list[tuple] = []
-        for tm, seq, kind, side, own, other, px, vol in came[["tm", "seq", "kind", "side", "id", "other", "px", "vol"]].itertuples(index=False):
-            tm, side, own, other, vol = int(tm), int(side), int(own), int(other), int(vol)
+        for tm, seq, kind, side, own, other, px, vol in zip(*(came[c].tolist() for c in ("tm", "seq", "kind", "side", "id", "other", "px", "vol")), strict=True):
             if kind == "order":
-                known((side, own))
-                seen[side, own] = [vol, tm, 0]
+                at(own)[side, own] = [vol, tm, 0]
                 out.append((symbol, tm, seq, kind, side, own, 0, px, vol, vol, tm, None, None, None))
             elif kind == "withdraw":
-                x = known((side, own))
+                mine = at(own)
+                x = mine.get((side, own))
                 out.append((symbol, tm, seq, kind, side, own, 0, px, vol, x and x[0], x and x[1], None, None, x and _session(tm) - _session(x[1])))
                 if x and vol >= x[0] - x[2]:
-                    seen[side, own] = None
+                    del mine[side, own]
             else:
-                buy, sell = (codes.BUY, own), (codes.SELL, other)
+                legs = (at(own), (codes.BUY, own)), (at(other), (codes.SELL, other))
                 if exchange == "SH" and side in (codes.BUY, codes.SELL):
-                    mine = buy if side == codes.BUY else sell
-                    if x := known(mine):
+                    mine, k = legs[side == codes.SELL]
+                    if x := mine.get(k):
                         x[0] += vol
                     else:
-                        seen[mine] = [vol, tm, 0]
-                        out.append((symbol, tm, seq, "order", side, mine[1], 0, px, vol, vol, tm, None, None, None))
-                a, b = known(buy), known(sell)
+                        mine[k] = [vol, tm, 0]
+                        out.append((symbol, tm, seq, "order", side, k[1], 0, px, vol, vol, tm, None, None, None))
+                a, b = (mine.get(k) for mine, k in legs)
                 lag = abs(_session(a[1]) - _session(b[1])) if a and b else None
                 out.append((symbol, tm, seq, kind, side, own, other, px, vol, a and a[0], a and a[1], b and b[0], b and b[1], lag))
-                for k in (buy, sell):
-                    if x := seen[k]:
+                for mine, k in legs:
+                    if x := mine.get(k):
                         x[2] += vol
                         if x[2] >= x[0]:
-                            seen[k] = None
-        for k, x in seen.items():
-            if x is None and before[k] is not None:
-                self.orders.removeKey(k)
-            elif x is not None and tuple(x) != before[k]:
-                self.orders.updateValue(k, tuple(x))
-        end = int(pd.Timestamp(came["date"].max()).value // 1_000_000) + CLOSE_MS
+                            del mine[k]
+            if len(out) >= FRAME:
+                yield self._frame(out)
+                out = []
+        for n, mine in held.items():
+            if mine:
+                self.chunks.updateValue((n,), (np.array([(*k, *x) for k, x in mine.items()], ORDER).tobytes(),))
+            elif any_held and self.chunks.containsKey((n,)):
+                self.chunks.removeKey((n,))
         if end not in set(self.handle.listTimers()):
             self.handle.registerTimer(end)
-        yield pd.DataFrame(out, columns=[f.split()[0] for f in FLOW.split(", ")]).astype({c: "Int64" for c in ("order_vol", "order_tm", "other_vol", "other_tm", "lag_ms")})
+        yield self._frame(out)
+
+    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=[f.split()[0] for f in FLOW.split(", ")]).astype({c: "Int64" for c in ("order_vol", "order_tm", "other_vol", "other_tm", "lag_ms")})
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.orders.clear()
+        self.chunks.clear()
         return iter(())
 
     def close(self) -> None:
@@ -125,8 +140,8 @@ def order_flow(stream: DataFrame) -> DataFrame:
 
     kind is order, withdraw or trade. An order is kept from its arrival until it is traded or withdrawn in full, or until the
     day's end. In Shanghai (SH) an order that trades on arrival first shows up in its trade: it is made from that trade, given
-    out, and kept if anything is left of it; one that is known already grows by the trade. State is a map of active orders per
-    (exchange, symbol), to which all messages of an order belong. Start it within keyed_state(). The watermark is the date of
+    out, and kept if anything is left of it; one that is known already grows by the trade. State is the active orders per
+    (exchange, symbol), in chunks, to which all messages of an order belong. Start it within keyed_state(). The watermark is the date of
     what has come: messages of a day may be late within it, and end with the first batch after one that has the next day.
     """
     timed = stream.withColumn("_at", F.col("date").cast("timestamp")).withWatermark("_at", "1 second")  # rows at the watermark itself count as late
