@@ -147,3 +147,77 @@ def test_a_code_without_ticks_ends_but_not_over_noon(spark, tmp_path):
 @pytest.mark.parametrize("tm", [93_059_999, 112_900_123])
 def test_market_time_in_milliseconds(spark, tm):
     assert spark.range(1).select(times.tm_to_ms(F.lit(tm))).first()[0] == live._ms(tm)
+
+
+class Calls:
+    """A state and timers that count what is asked of them."""
+
+    def __init__(self):
+        self.value, self.map, self.timers, self.n = None, {}, [], 0
+
+    def getValueState(self, *_):
+        return self
+
+    getMapState = getValueState
+
+    def get(self):
+        self.n += 1
+        return self.value
+
+    def update(self, value):
+        self.n += 1
+        self.value = value
+
+    def exists(self):
+        self.n += 1
+        return bool(self.map)
+
+    def containsKey(self, k):
+        self.n += 1
+        return k in self.map
+
+    def getValue(self, k):
+        self.n += 1
+        return self.map[k]
+
+    def updateValue(self, k, v):
+        self.n += 1
+        self.map[k] = v
+
+    def removeKey(self, k):
+        self.n += 1
+        del self.map[k]
+
+    def listTimers(self):
+        self.n += 1
+        return list(self.timers)
+
+    def registerTimer(self, t):
+        self.n += 1
+        self.timers.append(t)
+
+
+def test_a_batch_asks_for_a_days_state_once_however_many_minutes_it_has():
+    calls, bars = Calls(), live.Bars()
+    bars.init(calls)
+    for batch in range(2):
+        rows = [("600000.XSHG", DAY, (9 + (31 + k) // 60) * 10_000_000 + (31 + k) % 60 * 100_000 + batch, k, 10.0 + batch, k, (9 + (31 + k) // 60) * 100 + (31 + k) % 60 + 1) for k in range(100)]
+        before = calls.n
+        assert len([r for r in bars.handleInputRows(("600000.XSHG", DAY), iter(rows), None) if r[0] == "bar"]) == 100
+        assert calls.n - before <= 3
+
+
+def test_calls_for_orders_do_not_grow_with_the_orders_of_a_batch():
+    import pandas as pd
+
+    calls, orders = Calls(), flow.Orders()
+    orders.init(calls)
+    names = [f.split()[0] for f in flow.EVENTS.split(", ")]
+    for first in (0, 5000):
+        rows = pd.DataFrame([("SH", 7, DAY, 93_000_000 + k, k, "order", 66, first + k, 0, 10.0, 100) for k in range(5000)], columns=names)
+        before = calls.n
+        assert sum(map(len, orders.handleInputRows(("SH", 7), iter([rows]), None))) == 5000
+        assert calls.n - before <= 4 * flow.CHUNKS + 4
+    gone = pd.DataFrame([("SH", 7, DAY, 94_000_000 + k, k, "withdraw", 66, k, 0, 10.0, 100) for k in range(10_000)], columns=names)
+    out = pd.concat(list(orders.handleInputRows(("SH", 7), iter([gone]), None)))
+    assert (out["order_vol"] == 100).all() and calls.map == {}

@@ -2,8 +2,9 @@
 
 Bars keeps for each (code, date) one small row per minute: its first and last tick by (tm, seq), extremes, and the volume since
 the start of the day. A tick merges into its minute, however late it is: it can change the bar of that minute and the volume
-of the next one that has ticks, and nothing else, so a batch reads and writes the minutes of its own ticks and their neighbours.
-What has changed is given out (kind "bar"). A Shanghai tick of second 01 gives out that the minute before is over ("release").
+of the next one that has ticks, and nothing else. The minutes of a code's day, of which there are 240 at most, are one value of
+state (80 bytes a minute), so that a batch asks for state once and writes it once for each code that it has, however many
+minutes its ticks are of. What has changed is given out (kind "bar"). A Shanghai tick of second 01 gives out that the minute before is over ("release").
 The day of a code ends ("final", all its minutes) by one of two rules:
 - "close": the watermark has passed 15:05, that is, some code's tick of that time has come. The day's state is cleared, and
   ticks of that day that come later still are late for Spark, which counts and drops them.
@@ -21,23 +22,33 @@ in_progress() reads the state of a running or stopped stream: all minutes, the o
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from operator import itemgetter
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import times
 
 VALUES = ("open", "high", "low", "close", "volume")
-MINUTE = "open_tm long, open_seq long, open double, high double, low double, close_tm long, close_seq long, close double, cum long"
+MINUTE = np.dtype([("bar", "<i8"), ("open_tm", "<i8"), ("open_seq", "<i8"), ("open", "<f8"), ("high", "<f8"), ("low", "<f8"), ("close_tm", "<i8"), ("close_seq", "<i8"), ("close", "<f8"), ("cum", "<i8")])
 OUT = "kind string, code string, date date, bar int, tm long, open double, high double, low double, close double, volume long"
 CLOSE_MS = 54_300_000  # 15:05
 NOON = (112_900_000, 130_100_000)
 LABELS = {h * 100 + m for h in range(9, 16) for m in range(60) if 931 <= h * 100 + m <= 1130 or 1301 <= h * 100 + m <= 1500}
 
 
+def _unpacked(minutes: bytes) -> dict[int, tuple]:
+    """Minutes as state holds them, by bar in their order."""
+    return {m[0]: m[1:] for m in np.frombuffer(minutes, MINUTE).tolist()}
+
+
+_Out = Row(*[f.split()[0] for f in OUT.split(", ")])
+
+
 class Bars(StatefulProcessor):
     """One code's day; see the module. rule: "close" or "idle"."""
 
@@ -45,70 +56,60 @@ class Bars(StatefulProcessor):
         self.rule, self.idle_ms, self.keep_ms = rule, idle_ms, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        ttl = self.keep_ms if self.rule == "idle" else None
         self.handle = handle
-        self.minutes = handle.getMapState("minutes", "bar int", MINUTE, ttl)
-        self.day = handle.getValueState("day", "bars array<int>, last_tm long", ttl)
+        self.day = handle.getValueState("day", "last_tm long, minutes binary", self.keep_ms if self.rule == "idle" else None)
 
-    def _bar(self, bars: list[int], k: int, minute: tuple) -> tuple:
-        before = self.minutes.getValue((bars[k - 1],))[8] if k else 0
-        return (*minute[2:5], minute[7], minute[8] - before)
+    def _bars(self, kind: str, key: tuple, minutes: dict[int, tuple], wanted: set[int], tm: int) -> Iterator[Row]:
+        before = 0
+        for bar, m in minutes.items():
+            if bar in wanted:
+                yield _Out(kind, *key, bar, tm, m[2], m[3], m[4], m[7], m[8] - before)
+            before = m[8]
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        code, date = key
-        came = pd.concat(list(rows)).sort_values(["tm", "seq"])
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        came = sorted((tuple(r)[2:7] for r in rows), key=itemgetter(0, 1))
         held = self.day.get()
-        bars, last = (sorted(held[0]), int(held[1])) if held is not None else ([], 0)
-        newest = max(last, int(came["tm"].max()))
-        changed: set[int] = set()
-        own = came[(came["bar"] > 0) & (came["current"] > 0)]
-        for bar, ticks in own.groupby("bar", sort=True):
-            a, b = ticks.iloc[0], ticks.iloc[-1]
-            new = (int(a["tm"]), int(a["seq"]), float(a["current"]), float(ticks["current"].max()), float(ticks["current"].min()), int(b["tm"]), int(b["seq"]), float(b["current"]), int(b["volume"]))
-            bar = int(bar)
-            if bar in bars:
-                old = tuple(self.minutes.getValue((bar,)))
-                first, end = min(old, new, key=lambda m: (m[0], m[1])), max(old, new, key=lambda m: (m[5], m[6]))
-                new = (*first[:3], max(old[3], new[3]), min(old[4], new[4]), *end[5:9])
-                if new == old:
-                    continue
-            else:
-                bars = sorted([*bars, bar])
-            self.minutes.updateValue((bar,), new)
-            changed.add(bar)
-        changed |= {bars[k + 1] for k, bar in enumerate(bars[:-1]) if bar in changed}
-        self.day.update((bars, newest))
-        out = [("bar", code, date, bar, newest, *self._bar(bars, bars.index(bar), tuple(self.minutes.getValue((bar,))))) for bar in sorted(changed)]
-        if code.endswith(".XSHG"):
-            over = came.loc[came["tm"] // 1000 % 100 == 1, "tm"] // 100_000
-            out += [("release", code, date, int(bar), newest, None, None, None, None, None) for bar in over.unique() if bar in LABELS]
-        now = self.handle.listTimers()
+        newest, old = (int(held[0]), _unpacked(bytes(held[1]))) if held is not None else (0, {})
+        newest, new = max(newest, came[-1][0]), {}
+        for tm, seq, px, vol, bar in came:
+            if px is None or not px > 0 or bar is None or bar <= 0:
+                continue
+            m = new.get(bar) or old.get(bar)
+            if m is None:
+                new[bar] = (tm, seq, px, px, px, tm, seq, px, vol)
+                continue
+            first = (tm, seq, px) if (tm, seq) < m[:2] else m[:3]
+            last = (tm, seq, px, vol) if (tm, seq) > m[5:7] else m[5:9]
+            new[bar] = (*first, max(m[3], px), min(m[4], px), *last)
+        changed = {bar for bar, m in new.items() if old.get(bar) != m}
+        minutes = dict(sorted((old | new).items()))
+        bars = list(minutes)
+        after = {b for a, b in zip(bars, bars[1:]) if a in changed}
+        self.day.update((newest, np.array([(bar, *m) for bar, m in minutes.items()], MINUTE).tobytes()))
         if self.rule == "close":
-            if not list(now):
-                self.handle.registerTimer(int(pd.Timestamp(date).value // 1_000_000) + CLOSE_MS - 1)
+            if held is None:  # with the state goes its timer
+                self.handle.registerTimer(int(pd.Timestamp(key[1]).value // 1_000_000) + CLOSE_MS - 1)
         else:
-            for t in list(now):
+            for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-        yield self._frame(out)
-
-    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in OUT.split(", ")]).astype({"volume": "Int64"})
+        yield from self._bars("bar", key, minutes, changed | after, newest)
+        if key[0].endswith(".XSHG"):
+            for bar in dict.fromkeys(tm // 100_000 for tm, *_ in came if tm // 1000 % 100 == 1):
+                if bar in LABELS:
+                    yield _Out("release", *key, bar, newest, None, None, None, None, None)
 
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        code, date = key
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
         held = self.day.get()
         if held is None:
             return
-        bars, last = sorted(held[0]), int(held[1])
+        last, minutes = int(held[0]), _unpacked(bytes(held[1]))
         if self.rule == "idle" and NOON[0] <= last < NOON[1]:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
             return
-        out = [("final", code, date, bar, last, *self._bar(bars, k, tuple(self.minutes.getValue((bar,))))) for k, bar in enumerate(bars)]
         if self.rule == "close":
-            self.minutes.clear()
             self.day.clear()
-        yield self._frame(out)
+        yield from self._bars("final", key, minutes, set(minutes), last)
 
     def close(self) -> None:
         pass
@@ -120,13 +121,23 @@ def live_bars(stream: DataFrame, rule: str = "close", idle_ms: int = 60_000) ->
     rows = stream.select("code", "date", "tm", "seq", "current", "volume", times.bar_label(F.col("tm")).alias("bar"))
     if rule == "close":  # no tick before the day's end is ever late
         rows = rows.withColumn("_at", F.timestamp_millis(F.unix_millis(F.col("date").cast("timestamp")) + closed)).withWatermark("_at", "1 second")
-    return rows.groupBy("code", "date").transformWithStateInPandas(Bars(rule, idle_ms), OUT, "Append", "EventTime" if rule == "close" else "ProcessingTime")
+    return rows.groupBy("code", "date").transformWithState(Bars(rule, idle_ms), OUT, "Append", "EventTime" if rule == "close" else "ProcessingTime")
 
 
 def in_progress(spark: SparkSession, checkpoint: str) -> DataFrame:
     """(code, date, bar, VALUES) of what a stream's state holds: every minute so far, with what has come of the last one."""
-    state = spark.read.format("statestore").option("stateVarName", "minutes").load(checkpoint)
-    rows = state.select("key.code", "key.date", F.col("user_map_key.bar").alias("bar"), *[F.col(f"user_map_value.{c}").alias(c) for c in ("open", "high", "low", "close", "cum")])
+    state = spark.read.format("statestore").option("stateVarName", "day").load(checkpoint)
+    value = "value.value" if "ttlExpirationMs" in state.schema["value"].dataType.names else "value"  # by the rule of the stream
+
+    def unpacked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for code, date, minutes in frame.itertuples(index=False):
+                own = pd.DataFrame.from_records(np.frombuffer(minutes, MINUTE))[["bar", "open", "high", "low", "close", "cum"]]
+                own.insert(0, "code", code)
+                own.insert(1, "date", date)
+                yield own
+
+    rows = state.select("key.code", "key.date", F.col(f"{value}.minutes").alias("minutes")).mapInPandas(unpacked, "code string, date date, bar int, open double, high double, low double, close double, cum long")
     before = F.lag("cum", 1, 0).over(Window.partitionBy("code", "date").orderBy("bar"))
     return rows.withColumn("volume", F.col("cum") - before).select("code", "date", "bar", *VALUES)
 
