@@ -188,6 +188,24 @@ def test_scores_and_verdicts_equal_a_plain_sum(spark):
             assert got[r.doc_id].kept == (not plain_quality(r.text)[-1] and score >= model.threshold)
 
 
+def test_quality_learns_from_every_trusted_document(spark):
+    """More than 20,000 trusted documents, where a bounded target stopped."""
+    docs = spark.range(24_000).selectExpr("id AS doc_id", "concat('w', id, ' alpha') AS text")
+    labels = spark.range(24_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    assert quality.target(docs, labels.union(labels)).count() == 24_000
+    raw = quality.count_cells(docs, 1 << 17)
+    goal = sum(quality.count_cells(quality.target(docs, labels).filter(f"half = {h}"), 1 << 17) for h in (0, 1))
+    assert (raw == goal).all() and raw.sum() == 72_000
+
+
+def test_quantile_is_exact(spark):
+    values = [(float(x * 7919 % 1009),) for x in range(1009)] + [(None,)]
+    scores = spark.createDataFrame(values, "score double").repartition(5)
+    for share in (0.0, 0.0005, 0.25, 0.5, 1.0):
+        assert quality.quantile(scores, share) == scores.agg(F.percentile("score", share)).first()[0]
+    assert quality.quantile(scores.limit(0), 0.5) is None
+
+
 def test_quality_messy(spark, messy, empty):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 1, None), (None, 1, 0), (4, 1, 0), (9, None, None), (1, 1, 0)], "doc_id long, quality int, toxic int")
     model = quality.fit(messy, labels)

@@ -1,9 +1,9 @@
 """Quality rules: hashed n-gram log-likelihood ratio of a trusted target against the whole corpus.
 
 Word unigrams and bigrams are hashed into `buckets` cells. The raw multinomial counts every document; the target one
-counts at most `max_target` labelled documents (quality 1, not toxic), taken in the order of a hash of doc_id. A text's
+counts every labelled, trusted document (quality 1, not toxic). A text's
 score is the sum of its log ratios divided by (its n-grams + `prior`), so short texts stay near 0. `strength` counts are
-added to the target's and the expected count of each cell, so rare cells say little. Half of the sample gives the ratios,
+added to the target's and the expected count of each cell, so rare cells say little. Half of the target gives the ratios,
 the other half, which the ratios have not seen, the threshold: the `lost` quantile of its scores. A document is kept if it
 passes the base rules and scores no less.
 
@@ -13,6 +13,7 @@ judged one by one; no labels at all gives ratios of 0, and then only the base ru
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._state import shared_dir
 from ._text import SPACE, U64, Words, buffer, mix, pieces, tune
 
 SLICE = 4096
@@ -75,25 +77,38 @@ def count_cells(docs: DataFrame, buckets: int) -> np.ndarray:
     return out.ravel()
 
 
-def target_sample(docs: DataFrame, labels: DataFrame, max_target: int) -> DataFrame:
-    """Texts of at most max_target labelled, trusted documents; the ids are few enough to broadcast by this bound."""
-    good = labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    ids = good.withColumn("_order", F.xxhash64("doc_id")).orderBy("_order", "doc_id").limit(max_target).select("doc_id")
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi").withColumn("half", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2)))
+def target(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Texts of all labelled, trusted documents, and which half of the target each is in."""
+    good = labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select("doc_id")
+    return docs.select("doc_id", "text").join(good, "doc_id", "left_semi").withColumn("half", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, max_target: int = 20_000, strength: float = 5.0, prior: float = 60.0, lost: float = 0.0005) -> Model:
+def quantile(rows: DataFrame, share: float) -> float | None:
+    """The exact quantile of the one column of rows, between its two neighbours in proportion. Rows are written once, as they
+    are counted before the lowest are taken; two of them come to the driver."""
+    path, (name,) = f"{shared_dir(rows.sparkSession)}/scores-{uuid.uuid4().hex}", rows.columns
+    rows.write.parquet(path)
+    held = rows.sparkSession.read.schema(rows.schema).parquet(path).filter(F.col(name).isNotNull())
+    at = (held.count() - 1) * share
+    if at < 0:
+        return None
+    low = int(at)
+    near = [r[0] for r in held.orderBy(name).limit(low + 2).orderBy(F.desc(name)).limit(2).collect()][::-1]
+    return float(near[0] + (near[-1] - near[0]) * (at - low)) if at > low else float(held.orderBy(name).limit(low + 1).agg(F.max(name)).first()[0])
+
+
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, strength: float = 5.0, prior: float = 60.0, lost: float = 0.0005) -> Model:
     """Counts of the whole corpus and of half the target, their log ratios, and the threshold from the other half."""
     tune(docs.sparkSession)
     raw = count_cells(docs, buckets).astype(float)
-    sample = target_sample(docs, labels, max_target)
-    goal = count_cells(sample.filter("half = 0"), buckets).astype(float)
+    trusted = target(docs, labels)
+    goal = count_cells(trusted.filter("half = 0"), buckets).astype(float)
     if not goal.any():
         return Model(np.zeros(buckets, np.float32), prior, -np.inf)
     expected = goal.sum() * raw / raw.sum()
     model = Model(np.log((goal + strength) / (expected + strength)).astype(np.float32), prior, -np.inf)
-    cut = judge(sample.filter("half = 1"), model).filter(~F.col("base_failed")).agg(F.percentile("score", lost).alias("cut")).first()["cut"]
-    return Model(model.ratio, prior, -np.inf if cut is None else float(cut))
+    cut = quantile(judge(trusted.filter("half = 1"), model).filter(~F.col("base_failed")).select("score"), lost)
+    return Model(model.ratio, prior, -np.inf if cut is None else cut)
 
 
 def _dup_lines(text: bytes) -> int:
