@@ -24,11 +24,13 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _parts(spark: SparkSession, rows: DataFrame, part: Column, parts: int, name: str) -> DataFrame:
     """Rows as a stream of some parts, written one after the other: the stream reads them in that order, one a batch. What
-    makes the rows runs once."""
-    path, held = work_dir(spark, name), checkpointed(rows.withColumn("_part", part))
+    makes the rows runs once, and each part is read from a folder of its own."""
+    path, held = work_dir(spark, name), work_dir(spark, f"{name}-parts")
+    rows.withColumn("_part", part).write.partitionBy("_part").parquet(held)
     tasks = max(4, spark.sparkContext.defaultParallelism)
     for k in range(parts):
-        held.filter(c("_part") == k).drop("_part").repartition(tasks).write.mode("append").parquet(path)
+        own = spark.read.schema(rows.schema).option("basePath", f"{held}/_part={k}").parquet(f"{held}/_part={{{k}}}")  # a part may have no rows
+        own.repartition(tasks).write.mode("append").parquet(path)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", tasks).parquet(path)
 
 
