@@ -206,6 +206,22 @@ def test_quantile_is_exact(spark):
     assert quality.quantile(scores.limit(0), 0.5) is None
 
 
+def test_quality_moves_only_half_of_the_texts(spark):
+    """The same plan for few and many labels: one half's texts are dealt by doc_id, of the other half only scores."""
+    import numpy as np
+
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.Model(np.zeros(1 << 17, np.float32), 60.0, -np.inf)
+    plan = lambda rows: rows._jdf.queryExecution().executedPlan().toString()
+    held = quality.held_scores(docs, labels, model)
+    for rows in (quality.target(docs, labels).filter("half = 0"), held):
+        assert "ShuffledHashJoin" in plan(rows) and "BroadcastExchange" not in plan(rows)
+    left = plan(held).split("MapInArrow")[0]
+    assert left.count("Exchange hashpartitioning(doc_id") == 1
+    plain = quality.judge(quality.target(docs, labels).filter("half = 1"), model).filter("not base_failed")
+    assert held.count() == plain.count() > 0
+
+
 def test_quality_messy(spark, messy, empty):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 1, None), (None, 1, 0), (4, 1, 0), (9, None, None), (1, 1, 0)], "doc_id long, quality int, toxic int")
     model = quality.fit(messy, labels)

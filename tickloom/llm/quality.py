@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._state import shared_dir
@@ -77,10 +77,26 @@ def count_cells(docs: DataFrame, buckets: int) -> np.ndarray:
     return out.ravel()
 
 
+def _trusted(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows whose doc_id is labelled and trusted. Labels grow with the corpus, so the join is the same at every size: rows
+    and labels are dealt by doc_id, and no labels are broadcast."""
+    good = labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select("doc_id")
+    return rows.join(good.hint("shuffle_hash"), "doc_id", "left_semi")
+
+
+def half() -> Column:
+    """Which half of the target a document is in, if it is trusted."""
+    return F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2)).alias("half")
+
+
 def target(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Texts of all labelled, trusted documents, and which half of the target each is in."""
-    good = labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select("doc_id")
-    return docs.select("doc_id", "text").join(good, "doc_id", "left_semi").withColumn("half", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2)))
+    return _trusted(docs.select("doc_id", "text", half()), labels)
+
+
+def held_scores(docs: DataFrame, labels: DataFrame, model: Model) -> DataFrame:
+    """Scores of the other half of the target. Texts are judged where they are read, and only scores meet the labels."""
+    return _trusted(judge(docs.filter(half() == 1), model).filter(~F.col("base_failed")).select("doc_id", "score"), labels).select("score")
 
 
 def quantile(rows: DataFrame, share: float) -> float | None:
@@ -101,13 +117,12 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 17, strength: fl
     """Counts of the whole corpus and of half the target, their log ratios, and the threshold from the other half."""
     tune(docs.sparkSession)
     raw = count_cells(docs, buckets).astype(float)
-    trusted = target(docs, labels)
-    goal = count_cells(trusted.filter("half = 0"), buckets).astype(float)
+    goal = count_cells(target(docs, labels).filter("half = 0"), buckets).astype(float)
     if not goal.any():
         return Model(np.zeros(buckets, np.float32), prior, -np.inf)
     expected = goal.sum() * raw / raw.sum()
     model = Model(np.log((goal + strength) / (expected + strength)).astype(np.float32), prior, -np.inf)
-    cut = quantile(judge(trusted.filter("half = 1"), model).filter(~F.col("base_failed")).select("score"), lost)
+    cut = quantile(held_scores(docs, labels, model), lost)
     return Model(model.ratio, prior, -np.inf if cut is None else cut)
 
 
