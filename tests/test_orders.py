@@ -1,8 +1,10 @@
 """Cases of the order lifecycle and of the factors."""
 
 import datetime
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.plans import factors, orders
 from tickloom.streaming import flow
@@ -111,3 +113,23 @@ def test_cumulative_factors_have_all_families_at_all_times(spark):
         own = sorted((r for r in rows if r.symbol == symbol), key=lambda r: r.label)
         assert all(x[c] <= y[c] for x, y in zip(own, own[1:]) for c in counts)
     assert any(r[c] for r in rows if r.label == 1130 for c in counts if c.startswith("sell_withdraw"))
+
+
+def test_a_row_is_added_up_once_for_all_its_buckets(spark):
+    """Rows meet their buckets only as sums; counts and distinct orders at two times equal plain ones."""
+    rng = random.Random(3)
+    traded = [(600000 + rng.randint(0, 1), 1, rng.randint(1, 6), rng.randint(7, 12), rng.choice([93_000_000, 95_500_000, 144_500_000]), 10.0 + rng.randint(0, 200), rng.choice([10, 1000, 20_000, 200_000]), rng.choice([66, 83, 78])) for _ in range(200)]
+    o, t = inputs(spark, [(600000, 1, 1, 92_900_000, 10.0, 100, 66, 65)], traded, "sideflag")
+    life = orders.sh_lifecycle(o, t)
+    rows = factors.stacked(life, {"trade": F.when(F.col("tradetm") < 94_000_000, 0).when(F.col("tradetm") < 100_000_000, 1).otherwise(2)})
+    plan = factors.moments(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.rindex("Aggregate") and plan.count("Aggregate") == 2 + factors.stacked(life, {"trade": F.lit(0)})._jdf.queryExecution().optimizedPlan().toString().count("Aggregate")
+    got = {(r.symbol, r.label, r.key): r.stats for r in factors.distinct_orders(rows, (0, 1)).collect()}
+    at = lambda tm: 0 if tm < 94_000_000 else 1 if tm < 100_000_000 else 2
+    for symbol in (600000, 600001):
+        for label in (0, 1):
+            for prefix, sides in (("both", (66, 83, 78)), ("buy", (66,)), ("sell", (83,))):
+                for bucket, test in (("", lambda v, m: True), ("large", lambda v, m: v >= 100_000 or m >= 1_000_000), ("small", lambda v, m: v <= 10_000 and m <= 100_000 or v <= 1000 and m <= 500_000)):
+                    own = [x for x in traded if x[0] == symbol and at(x[4]) <= label and x[7] in sides and test(x[6], x[6] * x[5])]
+                    want = [len({x[2] for x in own}), len({x[3] for x in own})]
+                    assert got.get((symbol, label, f"{prefix}|trade|{bucket}|orders"), [0, 0]) == want
