@@ -167,3 +167,18 @@ def test_stream_state_holds_active_orders_only_and_ends_with_the_day(spark, tmp_
     assert [done[k]["numRowsTotal"] for k in range(4)] == [40, 80, 120, 80] and done[3]["numRowsRemoved"] == 40
     left = spark.read.format("statestore").option("stateVarName", "orders").load(str(tmp_path / "c")).collect()
     assert [(r.key.symbol, r.user_map_key.id) for r in left] == [(2, 5)]
+
+
+def test_messages_are_dealt_once_and_folded_in_batches(spark):
+    """One shuffle and no array of steps; batches of few rows, which cut orders apart, change nothing."""
+    o, t = inputs(spark, *made(7, "SH", 900), "sideflag")
+    labelled = lambda rows, tm: rows.withColumn("inc", q_orders._minute(factors.F.col(tm)).cast("long"))
+    legs = increments.legs(labelled(orders.sh_new(o), "ordertm"), labelled(orders.sh_withdraws(o), "withdrawtm"), labelled(orders.sh_trades(t), "tradetm"), True)
+    found = increments.folded(legs)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "collect_list" not in plan
+    out = []
+    for rows in (3, 50_000):
+        with increments._batches(spark, rows):
+            out.append(sorted(map(str, increments.folded(legs).collect())))
+    assert out[0] == out[1] and len(out[0]) > 500

@@ -1,8 +1,9 @@
 """Orders as of each increment of a day, without looking ahead, with the open orders of earlier increments carried on.
 
 An increment is a minute's label, or any number that ascends through the day. What an increment has of an order (its own
-message, trades on arrival, all its trades, withdrawals) is summed to one step. The steps of an order, of which there are no
-more than increments, are folded in order, in the JVM. An order that is not open begins with its message or with the trades by
+message, trades on arrival, all its trades, withdrawals) is summed to one step. Messages are dealt by order and sorted once;
+a task takes them as Arrow batches of whole orders, sums them to steps, and takes the first step of all its orders, then the
+second ones, and so on, of which there are no more than increments. An order that is not open begins with its message or with the trades by
 which it took the initiative; one that is open grows by further such trades; it ends with the increment in which its trades so
 far, or one withdrawal, reach its volume. What later trades of it find then is nothing, or a new order. So what is said of an
 increment depends on rows up to that increment only.
@@ -13,17 +14,24 @@ end: a day may be worked off in one run or in many, with the same rows. Moments
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes
 from .orders import ID, Lifecycle, enrich_trades, enrich_withdraws, relative, with_differences
 
-SEEN = "array<struct<inc:bigint,fresh:boolean,symbol:bigint,ordertm:bigint,orderpx:double,ordervol:bigint>>"
 OPEN = ("symbol", "ordertm", "orderpx", "ordervol", "traded")
+#: What a message is: the order's own, a withdrawal, a trade, or a trade on arrival.
+NEW, GONE, TRADE, ARRIVAL = range(4)
+LEGS = "channelid int, orderid long, side smallint, step int, inc long, kind tinyint, tm long, seq long, px double, vol long, symbol long"
+VIEWS = "channelid int, orderid long, side smallint, step int, inc long, symbol long, ordertm long, orderpx double, ordervol long, traded long, fresh boolean, open boolean, last boolean"
 
 
 class SoFar(NamedTuple):
@@ -33,69 +41,139 @@ class SoFar(NamedTuple):
     open: DataFrame
 
 
-def legs(new: DataFrame, withdraws: DataFrame, trades: DataFrame, grows: bool) -> DataFrame:
-    """One row for each message of an order; a trade is one of either side. grows: trades on arrival are not in the orders'
-    own messages. All have inc; new: ID, symbol, ordertm, orderpx, ordervol."""
-    none = {k: F.lit(None).cast(t) for k, t in (("n_tm", "long"), ("n_px", "double"), ("n_vol", "long"), ("symbol", "long"), ("tm", "long"), ("seq", "long"), ("px", "double"), ("a_vol", "long"), ("t_vol", "long"), ("w_vol", "long"))}
+def _leg(rows: DataFrame, kind: int | Column, step: int = 1, **own: str) -> DataFrame:
+    """Messages of one kind in the columns of LEGS; step is 0 for what an earlier run has left."""
+    own = {c: c for c in (*ID, "inc")} | own
+    kinds = {"step": F.lit(step), "kind": kind if isinstance(kind, Column) else F.lit(kind)}
+    return rows.select(*[kinds.get(c, F.col(own[c]) if c in own else F.lit(None)).cast(t).alias(c) for c, t in (x.split() for x in LEGS.split(", "))])
 
-    def stacked(rows: DataFrame, **own: str | Column) -> DataFrame:
-        return rows.select(F.col("channelid").cast("int").alias("channelid"), F.col("orderid").cast("long").alias("orderid"), F.col("side").cast("smallint").alias("side"), F.col("inc").cast("long").alias("inc"), *[(own[k] if k in own else c).alias(k) for k, c in none.items()])
 
-    c = F.col
-    a = stacked(new, n_tm=c("ordertm").cast("long"), n_px=c("orderpx"), n_vol=c("ordervol").cast("long"), symbol=c("symbol").cast("long"))
-    w = stacked(withdraws, w_vol=c("withdrawvol").cast("long"))
+def legs(new: DataFrame, withdraws: DataFrame, trades: DataFrame, grows: bool, carried: DataFrame | None = None) -> DataFrame:
+    """One row for each message of an order; a trade is one of either side. grows: trades on arrival are not in the orders'
+    own messages. All have inc; new: ID, symbol, ordertm, orderpx, ordervol. A carried order is a message and what it traded."""
+    order = {"tm": "ordertm", "px": "orderpx", "vol": "ordervol", "symbol": "symbol"}
     sides = F.explode(F.array(*[F.struct(F.lit(code).cast("smallint").alias("leg"), F.col(key).alias("orderid")) for code, key in ((codes.BUY, "tradebuyid"), (codes.SELL, "tradesellid"))]))
-    both = trades.withColumn("_leg", sides).select("*", "_leg.*").withColumn("_own", F.lit(grows) & (c("leg") == c("side"))).withColumn("side", c("leg"))
-    mine = lambda x: F.when(c("_own"), x)
-    t = stacked(both, symbol=mine(c("symbol").cast("long")), tm=mine(c("tradetm").cast("long")), seq=mine(c("seq").cast("long")), px=mine(c("tradepx")), a_vol=mine(c("tradevol").cast("long")), t_vol=c("tradevol").cast("long"))
-    return a.unionByName(w).unionByName(t)
-
-
-def steps(rows: DataFrame) -> DataFrame:
-    """What each increment has of each order."""
-    taken = F.col("a_vol").isNotNull()
-    px = F.when(F.col("side") == codes.BUY, F.max("px")).otherwise(F.min("px"))
-    symbol = F.coalesce(F.min(F.when(F.col("n_vol").isNotNull(), F.col("symbol"))), F.min_by(F.when(taken, F.col("symbol")), F.when(taken, F.struct("tm", "seq"))))
-    return rows.groupBy(*ID, "inc").agg(F.min("n_tm").alias("n_tm"), F.min("n_px").alias("n_px"), F.sum("n_vol").alias("n_vol"), symbol.alias("symbol"), F.min("tm").alias("a_tm"), px.alias("a_px"), F.sum("a_vol").alias("a_vol"), F.sum("t_vol").alias("t_vol"), F.max("w_vol").alias("w_vol"))
-
-
-def _next(a: Column, s: Column) -> Column:
-    zero = F.lit(0).cast("long")
-    n, grown = s["n_vol"].isNotNull(), F.coalesce(s["a_vol"], zero)
-    fresh = (n | s["a_vol"].isNotNull()) & (~a["open"] | n)
-    pick = lambda new, old: F.when(fresh, new).when(a["open"], old)
-    vol, traded = pick(F.coalesce(s["n_vol"], zero) + grown, a["ordervol"] + grown), F.when(fresh, zero).otherwise(a["traded"]) + F.coalesce(s["t_vol"], zero)
-    own = {"symbol": pick(s["symbol"], a["symbol"]), "ordertm": pick(F.coalesce(s["n_tm"], s["a_tm"]), a["ordertm"]), "orderpx": pick(F.coalesce(s["n_px"], s["a_px"]), a["orderpx"]), "ordervol": vol}
-    named = [v.alias(k) for k, v in own.items()]
-    ended = (traded >= vol) | F.coalesce(s["w_vol"] >= vol, F.lit(False))
-    seen = F.struct(s["inc"].alias("inc"), fresh.alias("fresh"), *named)
-    return F.struct(*named, traded.alias("traded"), ((fresh | a["open"]) & ~ended).alias("open"), F.concat(a["seen"], F.array(seen)).alias("seen"))
-
-
-def folded(steps_: DataFrame, carried: DataFrame | None = None) -> DataFrame:
-    """(ID, seen, open and the state of OPEN): a row for each order. seen has each increment's view of it."""
-    per = steps_.groupBy(*ID).agg(F.array_sort(F.collect_list(F.struct("inc", *[c for c in steps_.columns if c not in (*ID, "inc")]))).alias("steps"))
-    kinds = {"symbol": "long", "ordertm": "long", "orderpx": "double", "ordervol": "long"}
-    if carried is None:
-        before = {k: F.lit(None).cast(t) for k, t in kinds.items()} | {"traded": F.lit(0).cast("long"), "open": F.lit(False)}
-    else:
-        per = per.join(carried.select(*ID, F.struct(*OPEN).alias("_c")), list(ID), "full")
-        before = {k: F.col(f"_c.{k}").cast(t) for k, t in kinds.items()} | {"traded": F.coalesce("_c.traded", F.lit(0).cast("long")), "open": F.col("_c").isNotNull()}
-        per = per.withColumn("steps", F.coalesce("steps", F.array().cast(per.schema["steps"].dataType)))
-    start = F.struct(*[v.alias(k) for k, v in before.items()], F.array().cast(SEEN).alias("seen"))
-    return per.select(*ID, F.aggregate("steps", start, _next).alias("_s")).select(*ID, "_s.*")
+    both = trades.withColumn("_leg", sides).select("*", "_leg.*").withColumn("_own", F.lit(grows) & (F.col("leg") == F.col("side"))).withColumn("side", F.col("leg"))
+    out = [_leg(new, NEW, **order), _leg(withdraws, GONE, vol="withdrawvol"), _leg(both, F.when(F.col("_own"), ARRIVAL).otherwise(TRADE), tm="tradetm", seq="seq", px="tradepx", vol="tradevol", symbol="symbol")]
+    if carried is not None:
+        before = carried.withColumn("inc", F.lit(None))
+        out += [_leg(before, NEW, 0, **order), _leg(before, TRADE, 0, vol="traded")]
+    return reduce(DataFrame.unionByName, out)
+
+
+def _changes(rows: pa.Table, columns: Sequence[str]) -> np.ndarray:
+    """Where any of the columns, null or not, differs from the row before."""
+    new = np.ones(rows.num_rows, bool)
+    new[1:] = False
+    for c in columns:
+        ok, v = rows[c].is_valid().to_numpy(), rows[c].fill_null(0).to_numpy()
+        new[1:] |= (ok[1:] != ok[:-1]) | (v[1:] != v[:-1])
+    return np.flatnonzero(new)
+
+
+def _steps(rows: pa.Table, at: np.ndarray) -> dict[str, np.ndarray]:
+    """What each step has of its order: values, and for those that may be none, ok_ and whether there are any."""
+    kind, ok, vol = rows["kind"].to_numpy(), rows["vol"].is_valid().to_numpy(), rows["vol"].fill_null(0).to_numpy()
+    new, mine = kind == NEW, kind == ARRIVAL
+    total = lambda where: np.add.reduceat(np.where(where & ok, vol, 0), at)
+    any_ = lambda where: np.logical_or.reduceat(where, at)
+    out = {"new": any_(new & ok), "own": any_(mine & ok), "n_vol": total(new), "a_vol": total(mine), "t_vol": total(mine | (kind == TRADE)), "gone": any_((kind == GONE) & ok), "w_vol": np.maximum.reduceat(np.where((kind == GONE) & ok, vol, np.iinfo(np.int64).min), at)}
+
+    def least(name: str, none: float, where: np.ndarray, f: np.ufunc = np.fmin) -> tuple[np.ndarray, np.ndarray]:
+        there, v = where & rows[name].is_valid().to_numpy(), rows[name].fill_null(0).to_numpy()
+        return f.reduceat(np.where(there, v, none), at), any_(there)
+
+    big = np.iinfo(np.int64).max
+    (n_tm, ok_n), (a_tm, ok_a) = least("tm", big, new, np.minimum), least("tm", big, mine, np.minimum)
+    out |= {"ordertm": np.where(ok_n, n_tm, a_tm), "ok_ordertm": ok_n | ok_a}
+    (n_px, ok_n), (low, ok_a), (high, _) = least("px", np.nan, new), least("px", np.nan, mine), least("px", -np.inf, mine, np.maximum)
+    out |= {"orderpx": np.where(ok_n, n_px, np.where(rows["side"].fill_null(0).to_numpy()[at] == codes.BUY, high, low)), "ok_orderpx": ok_n | ok_a}
+    # rows are in the order of time and seq: an order that is known by its trades has the symbol of the first
+    (symbol, ok_n), (first, there) = least("symbol", big, new & ok, np.minimum), _first(mine & ok, at)
+    own, valid = rows["symbol"].fill_null(0).to_numpy(), rows["symbol"].is_valid().to_numpy()
+    return out | {"symbol": np.where(ok_n, symbol, own[first]), "ok_symbol": ok_n | (there & valid[first])}
+
+
+def _first(where: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first row of each step that is in `where` (0 without one), and whether there is one."""
+    n = len(where)
+    first = np.minimum.reduceat(np.where(where, np.arange(n), n), at)
+    return np.where(first < n, first, 0), first < n
+
+
+def _views(rows: pa.Table) -> pa.RecordBatch:
+    """Each increment's view of its order, from the sorted messages of whole orders."""
+    at = _changes(rows, (*ID, "step", "inc"))
+    s, held = _steps(rows, at), rows.take(at)
+    start = _changes(held, ID)
+    size, n = np.diff(np.append(start, len(at))), len(at)
+    start, size = start[np.argsort(-size, kind="stable")], np.sort(size)[::-1]
+    vol, traded, src, fresh, open_ = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, -1), np.zeros(n, bool), np.zeros(n, bool)
+    carried = held["step"].to_numpy() == 0
+    for k in range(size[0]):
+        i = start[: np.searchsorted(-size, -k)] + k  # the step k of all orders that have it
+        j = i - 1
+        was = open_[j] if k else np.zeros(len(i), bool)
+        new = fresh[i] = (s["new"][i] | s["own"][i]) & (~was | s["new"][i])
+        vol[i] = np.where(new, s["n_vol"][i], np.where(was, vol[j], 0)) + s["a_vol"][i]
+        traded[i] = np.where(new | ~was, 0, traded[j]) + s["t_vol"][i]
+        src[i] = np.where(new, i, np.where(was, src[j], -1))
+        ended = (traded[i] >= vol[i]) | (s["gone"][i] & (s["w_vol"][i] >= vol[i]))
+        open_[i] = (new | was) & (~ended | carried[i])
+    last = np.zeros(n, bool)
+    last[start + size - 1] = True
+    known = src >= 0
+    named = {c: pa.array(s[c][src], mask=~(known & s[f"ok_{c}"][src])) for c in ("symbol", "ordertm", "orderpx")}
+    own = {c: held[c].combine_chunks() for c in (*ID, "step", "inc")} | named | {"ordervol": pa.array(vol, mask=~known), "traded": traded, "fresh": fresh, "open": open_, "last": last}
+    return pa.RecordBatch.from_pydict({c.split()[0]: own[c.split()[0]] for c in VIEWS.split(", ")})
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = None  # the last order of a batch may go on in the next one
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+        if rows.num_rows:
+            cut = int(_changes(rows, ID)[-1])
+            held = rows.slice(cut)
+            if cut:
+                yield _views(rows.slice(0, cut).combine_chunks())
+    if held is not None:
+        yield _views(held.combine_chunks())
+
+
+def folded(legs_: DataFrame) -> DataFrame:
+    """The columns of VIEWS: a row for each order and step, with the order as that increment sees it and its state then."""
+    dealt = legs_.repartition(*ID).sortWithinPartitions("orderid", "channelid", "side", "step", "inc", "tm", "seq")
+    return dealt.drop("seq").mapInArrow(_folded, VIEWS)
+
+
+@contextmanager
+def _batches(spark: SparkSession, rows: int = 50_000) -> Iterator[None]:
+    """Arrow batches by rows alone while messages are folded: these are narrow, and the bytes of a batch are else counted at
+    each row."""
+    own = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str((1 << 31) - 1)}
+    before = {k: spark.conf.get(k) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def _life(new: DataFrame, withdraws: DataFrame, trades: DataFrame, grows: bool, days: DataFrame | None, carried: DataFrame | None, keep) -> SoFar:
-    states = keep(folded(steps(legs(new, withdraws, trades, grows)), carried))
-    views = states.select(*ID, F.explode("seen").alias("_v")).select(*ID, "_v.*").withColumn("ordermoney", F.col("ordervol") * F.col("orderpx"))
+    with _batches(new.sparkSession):
+        states = keep(folded(legs(new, withdraws, trades, grows, carried)))
+    views = states.filter("step = 1").select(*ID, "inc", "fresh", "symbol", "ordertm", "orderpx", "ordervol", (F.col("ordervol") * F.col("orderpx")).alias("ordermoney"))
     if days is not None:
         views = relative(views, days, "orderpx", "ordermoney", "orderret", "orderturnover")
     gone, done = enrich_withdraws(withdraws, views, ("inc",)), enrich_trades(trades, views, ("inc",))
     if days is not None:
         gone = relative(gone, days, "withdrawpx", "withdrawmoney", "withdrawret", "withdrawturnover")
         done = with_differences(relative(done, days, "tradepx", "trademoney", "traderet", "tradeturnover"))
-    return SoFar(Lifecycle(views.filter("fresh").drop("fresh"), gone, done), states.filter("open").select(*ID, *OPEN))
+    return SoFar(Lifecycle(views.filter("fresh").drop("fresh"), gone, done), states.filter("last and open").select(*ID, *OPEN))
 
 
 def as_of(exchange: str, orders: DataFrame, trades: DataFrame, increment, days: DataFrame | None = None, carried: DataFrame | None = None, keep=lambda rows: rows) -> SoFar:
