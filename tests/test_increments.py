@@ -182,3 +182,31 @@ def test_messages_are_dealt_once_and_folded_in_batches(spark):
         with increments._batches(spark, rows):
             out.append(sorted(map(str, increments.folded(legs).collect())))
     assert out[0] == out[1] and len(out[0]) > 500
+
+
+@pytest.mark.parametrize("relative", [False, True])
+def test_trades_are_dealt_twice_and_never_joined_or_written(spark, relative):
+    """From messages to statistics there is one job, in which both sums read the shuffle of the second fold; days are broadcast."""
+    o, t = inputs(spark, *made(8, "SH", 500), "sideflag")
+    days = spark.createDataFrame([(600000, 10.0, 1e6), (600001, None, 2e6)], "symbol long, pre_close double, cap double") if relative else None
+    held = []
+
+    def keep(rows):
+        held.append(rows)
+        return spark.createDataFrame(rows.collect(), rows.schema)
+
+    found = increments.as_of("SH", o, t, q_orders._minute, days, parts=3, left=False)
+    how = {"families": factors.RELATIVE} if relative else {}
+    assert factors.snapshots_so_far(found.rows, keep=keep, parts=3, **how).count() == 27
+    plan = held[0]._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and ("BroadcastHashJoin" in plan) == relative
+    assert plan.count("ReusedExchange") >= 1 and plan.count("ShuffleQueryStage") >= 3
+    dealt = plan.count("Exchange hashpartitioning(channelid")  # the first fold, the second, and what says that it is read again
+    assert dealt == 3 and plan.count("], Exchange hashpartitioning(channelid") == 1
+
+
+def test_orders_without_channel_are_found_by_nothing(spark):
+    o, t = inputs(spark, [(600000, 1, 1, 93_000_000, 10.0, 500, BUY, 65)], [(600000, 1, 1, 2, 93_001_000, 10.0, 100, 78)], "sideflag")
+    found = increments.as_of("SH", o.withColumn("channelid", factors.F.lit(None).cast("int")), t.withColumn("channelid", factors.F.lit(None).cast("int")), q_orders._minute)
+    assert rows_of(found)[2] == [(1, 2, 93_001_000, 100, 78, None, None)]
