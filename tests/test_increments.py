@@ -210,3 +210,58 @@ def test_orders_without_channel_are_found_by_nothing(spark):
     o, t = inputs(spark, [(600000, 1, 1, 93_000_000, 10.0, 500, BUY, 65)], [(600000, 1, 1, 2, 93_001_000, 10.0, 100, 78)], "sideflag")
     found = increments.as_of("SH", o.withColumn("channelid", factors.F.lit(None).cast("int")), t.withColumn("channelid", factors.F.lit(None).cast("int")), q_orders._minute)
     assert rows_of(found)[2] == [(1, 2, 93_001_000, 100, 78, None, None)]
+
+
+def test_a_batch_of_many_orders_is_one_value_of_state_and_equals_one_by_one(spark, tmp_path):
+    """Of a symbol, a task holds a chunk of one side's orders; what is known of an order is the same however it is kept."""
+    rng, day = random.Random(9), datetime.date(2024, 1, 2)
+    rows, n = [], 12_000
+    for k in range(n):
+        tm = 93_000_000 + k // 600 * 100_000 + k % 600 * 100
+        if k < n // 2:
+            rows.append(("SH", 1, day, tm, k, "order", BUY if k % 2 == 0 else SELL, k, 0, 10.0, 100 * rng.randint(1, 9)))
+        elif rng.random() < 0.1:
+            own = rng.randrange(n // 2)
+            rows.append(("SH", 1, day, tm, k, "withdraw", BUY if own % 2 == 0 else SELL, own, 0, 10.0, 100 * rng.randint(1, 9)))
+        else:
+            rows.append(("SH", 1, day, tm, k, "trade", rng.choice([BUY, SELL, 78]), 2 * rng.randrange(n // 4), 2 * rng.randrange(n // 4) + 1, 10.0, 100 * rng.randint(1, 3)))
+    cuts = [0, n // 2, n // 2 + 40, n - 2000, n]
+    for a, b in zip(cuts, cuts[1:]):
+        spark.createDataFrame(rows[a:b], flow.EVENTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(flow.EVENTS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    with flow.keyed_state(spark):
+        q = flow.order_flow(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        q.awaitTermination()
+    held, want = {}, []
+    for _, _, _, tm, seq, kind, side, own, other, _, vol in rows:
+        if kind == "order":
+            held[side, own] = [vol, tm, 0]
+            want.append((seq, kind, own, vol, tm, None, None))
+        elif kind == "withdraw":
+            x = held.get((side, own))
+            want.append((seq, kind, own, x and x[0], x and x[1], None, None))
+            if x and vol >= x[0] - x[2]:
+                del held[side, own]
+        else:
+            legs = (BUY, own), (SELL, other)
+            if side in (BUY, SELL):
+                k = legs[side == SELL]
+                if k in held:
+                    held[k][0] += vol
+                else:
+                    held[k] = [vol, tm, 0]
+                    want.append((seq, "order", k[1], vol, tm, None, None))
+            a, b = (held.get(k) for k in legs)
+            want.append((seq, kind, own, a and a[0], a and a[1], b and b[0], b and b[1]))
+            for k in legs:
+                if x := held.get(k):
+                    x[2] += vol
+                    if x[2] >= x[0]:
+                        del held[k]
+    got = [(r.seq, r.kind, r.id, r.order_vol, r.order_tm, r.other_vol, r.other_tm) for r in spark.read.schema(flow.FLOW).parquet(str(tmp_path / "out")).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    values = spark.read.format("statestore").option("stateVarName", "packed").load(str(tmp_path / "c")).collect()
+    single = spark.read.format("statestore").option("stateVarName", "orders").load(str(tmp_path / "c")).collect()
+    buys = sum(len(r.user_map_value.orders) // flow.ORDER.itemsize for r in values) + len(single)
+    assert buys == sum(side == BUY for side, _ in held) and 1 < len(values) <= flow.CHUNKS
+    assert len(q.recentProgress[0]["stateOperators"]) == 2

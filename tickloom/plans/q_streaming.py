@@ -34,11 +34,22 @@ def _parts(spark: SparkSession, rows: DataFrame, part: Column, parts: int, name:
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", tasks).parquet(path)
 
 
-def _landed(spark: SparkSession, rows: DataFrame, order: str, files: int, name: str) -> DataFrame:
-    """_parts() by quantiles of a column."""
-    held = checkpointed(rows)
+def _landed(spark: SparkSession, rows: DataFrame, order: str, files: int, name: str, again: bool = False) -> DataFrame:
+    """_parts() by quantiles of a column. again: rows are no more than columns of a table, so that they are made anew for each
+    part, and kept nowhere else."""
+    held = rows if again else checkpointed(rows)
     ends = held.approxQuantile(order, [k / files for k in range(1, files)], 0.01)
-    return _parts(spark, held, sum((F.when(c(order) > e, 1).otherwise(0) for e in ends), F.lit(0)), files, name)
+    part = sum((F.when(c(order) > e, 1).otherwise(0) for e in ends), F.lit(0))
+    if not again:
+        return _parts(spark, held, part, files, name)
+    path, tasks = work_dir(spark, name), max(4, spark.sparkContext.defaultParallelism)
+    wide = rows.rdd.getNumPartitions() >= 2 * tasks  # else they are dealt, for small tables
+    for k in range(files):
+        own = rows.filter(part == k)
+        (own.coalesce(tasks) if wide else own.repartition(tasks)).write.mode("append").parquet(path)
+        for _ in range((k + 1) * tasks - len(spark.read.schema(rows.schema).parquet(path).inputFiles())):  # a batch has as many files as a part
+            rows.limit(0).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", tasks).parquet(path)
 
 
 def _finished(stream: DataFrame, mode: str, name: str) -> DataFrame:
@@ -146,7 +157,7 @@ def r3(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = o.select(F.lit("SH").alias("exchange"), (c("orderid") % 40).alias("symbol"), day, c("ordertm").alias("tm"), c("orderid").alias("seq"), kind.alias("kind"), c("sideflag").cast("int").alias("side"), c("orderid").alias("id"), none.alias("other"), c("orderpx").alias("px"), c("ordervol").alias("vol"))
     b = t.select(F.lit("SH"), c("tradebuyid") % 40, day, c("tradetm"), c("seq").cast("long"), F.lit("trade"), c("sideflag").cast("int"), c("tradebuyid"), c("tradesellid"), c("tradepx"), c("tradevol"))
     with flow.keyed_state(spark):
-        return _finished(flow.order_flow(_landed(spark, a.union(b), "tm", 4, "flow")), "append", "flow").drop("batch")
+        return _finished(flow.order_flow(_landed(spark, a.union(b), "tm", 4, "flow", again=True)), "append", "flow").drop("batch")
 
 
 @query(
