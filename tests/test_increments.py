@@ -265,3 +265,13 @@ def test_a_batch_of_many_orders_is_one_value_of_state_and_equals_one_by_one(spar
     buys = sum(len(r.user_map_value.orders) // flow.ORDER.itemsize for r in values) + len(single)
     assert buys == sum(side == BUY for side, _ in held) and 1 < len(values) <= flow.CHUNKS
     assert len(q.recentProgress[0]["stateOperators"]) == 2
+
+
+def test_only_trades_on_arrival_carry_their_number(spark):
+    """It says which of them is an order's first, and is of no use else, so a shuffle has it for them alone."""
+    o, t = inputs(spark, *made(10, "SH", 200), "sideflag")
+    labelled = lambda rows, tm: rows.withColumn("inc", q_orders._minute(factors.F.col(tm)).cast("long"))
+    own = increments.legs(labelled(orders.sh_new(o), "ordertm"), labelled(orders.sh_withdraws(o), "withdrawtm"), labelled(orders.sh_trades(t), "tradetm"), True, None, BUY)
+    assert own.filter("kind >= 2 AND flag = 78").count() > 0 and own.filter("seq IS NOT NULL").select("flag").distinct().count() == 2
+    onward = increments._onward(increments.folded(own), True, False)
+    assert {r.flag for r in onward.filter("seq IS NOT NULL").collect()} == {SELL}

@@ -67,15 +67,16 @@ def _leg(rows: DataFrame, kind: int | Column, step: int = 1, **own: str) -> Data
 def legs(new: DataFrame, withdraws: DataFrame, trades: DataFrame | None, grows: bool, carried: DataFrame | None = None, only: int | None = None) -> DataFrame:
     """One row for each message of an order; a trade is one of either side, or of one (only), with all messages of that side's
     orders. grows: trades on arrival are not in the orders' own messages. All have inc; new: ID, symbol, ordertm, orderpx,
-    ordervol. A carried order is a message and what it traded."""
+    ordervol. A carried order is a message and what it traded. Only trades on arrival have seq, as it says which of them is an
+    order's first."""
     order = {"tm": "ordertm", "px": "orderpx", "vol": "ordervol", "symbol": "symbol"}
     mine = (lambda rows: rows) if only is None else (lambda rows: rows.filter(F.col("side") == only))
     out = [_leg(mine(new), NEW, **order), _leg(mine(withdraws), GONE, tm="withdrawtm", px="withdrawpx", vol="withdrawvol", symbol="w_symbol")]
     if trades is not None:
         ids = [(code, key, other) for code, key, other in ((codes.BUY, "tradebuyid", "tradesellid"), (codes.SELL, "tradesellid", "tradebuyid")) if only in (None, code)]
         sides = F.explode(F.array(*[F.struct(F.lit(code).cast("smallint").alias("leg"), F.col(key).alias("orderid"), F.col(other).alias("other")) for code, key, other in ids]))
-        both = trades.withColumn("_leg", sides).select("*", "_leg.*").withColumns({"flag": F.col("side"), "_own": F.lit(grows) & (F.col("leg") == F.col("side"))}).withColumn("side", F.col("leg"))
-        out.append(_leg(both, F.when(F.col("_own"), ARRIVAL).otherwise(TRADE), tm="tradetm", seq="seq", px="tradepx", vol="tradevol", symbol="symbol", flag="flag", other="other"))
+        both = trades.withColumn("_leg", sides).select("*", "_leg.*").withColumns({"flag": F.col("side"), "_own": F.lit(grows) & (F.col("leg") == F.col("side")), "_seq": F.when(F.lit(grows) & F.col("side").isin(codes.BUY, codes.SELL), F.col("seq"))}).withColumn("side", F.col("leg"))
+        out.append(_leg(both, F.when(F.col("_own"), ARRIVAL).otherwise(TRADE), tm="tradetm", seq="_seq", px="tradepx", vol="tradevol", symbol="symbol", flag="flag", other="other"))
     if carried is not None:
         before = mine(carried).withColumn("inc", F.lit(None))
         out += [_leg(before, NEW, 0, **order), _leg(before, TRADE, 0, vol="traded")]
@@ -85,7 +86,7 @@ def legs(new: DataFrame, withdraws: DataFrame, trades: DataFrame | None, grows:
 def _onward(seen: DataFrame, grows: bool, with_symbol: bool) -> DataFrame:
     """What the fold of buy orders gave out as messages to sell orders; what is no trade goes through."""
     trade = F.col("kind") < BEGUN
-    turned = {"orderid": F.when(trade, F.col("other")).otherwise(F.col("orderid")), "other": F.when(trade, F.col("orderid")), "side": F.when(trade, codes.SELL).otherwise(F.col("side")), "kind": F.when(trade, F.when(F.lit(grows) & (F.col("flag") == codes.SELL), ARRIVAL).otherwise(TRADE)).otherwise(F.col("kind"))}
+    turned = {"seq": F.when(F.lit(grows) & (F.col("flag") == codes.SELL), F.col("seq")), "orderid": F.when(trade, F.col("other")).otherwise(F.col("orderid")), "other": F.when(trade, F.col("orderid")), "side": F.when(trade, codes.SELL).otherwise(F.col("side")), "kind": F.when(trade, F.when(F.lit(grows) & (F.col("flag") == codes.SELL), ARRIVAL).otherwise(TRADE)).otherwise(F.col("kind"))}
     columns = [x.split() for x in ", ".join([LEGS, FIRST, *([FIRST_SYMBOL] if with_symbol else [])]).split(", ")]
     return seen.select(*[turned.get(c, F.col(c.replace("o_", "v_"))).cast(t).alias(c) for c, t in columns])
 
@@ -259,7 +260,7 @@ def _life(new: DataFrame, withdraws: DataFrame, trades: DataFrame, grows: bool,
     known = of("order", *ID, "inc", "symbol", "ordertm", "orderpx", "ordervol", "ordermoney", *more("order"))
     gone = of("withdraw", *ID, "inc", "symbol", "withdrawtm", "withdrawpx", "withdrawvol", "ordertm", "ordervol", "withdrawmoney", "withdrawtmlag", *more("withdraw"))
     pairs = [f"{c}_{name}" for name in ("buy", "sell") for c in ("ordertm", "ordervol", "ordermoney", *more("order"))]
-    done_ = of("trade", "channelid", "tradebuyid", "tradesellid", "inc", "symbol", "side", "tradetm", "seq", "tradepx", "tradevol", "trademoney", *pairs, "ordertmlag", "ordermoneydiff", *more("trade"), *(["orderretdiff", "orderturnoverdiff"] if days is not None else []))
+    done_ = of("trade", "channelid", "tradebuyid", "tradesellid", "inc", "symbol", "side", "tradetm", "tradepx", "tradevol", "trademoney", *pairs, "ordertmlag", "ordermoneydiff", *more("trade"), *(["orderretdiff", "orderturnoverdiff"] if days is not None else []))
     own = lambda c: F.when(F.col("side") == codes.BUY, F.col(f"o_{c}")).otherwise(F.col(f"v_{c}"))
     still = done.filter(F.col("kind") == LEFT).select(*ID, "symbol", own("tm").alias("ordertm"), own("px").alias("orderpx"), own("vol").alias("ordervol"), F.col("vol").alias("traded"))
     return SoFar(Lifecycle(known, gone, done_), still, rows)
