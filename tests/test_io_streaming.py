@@ -209,3 +209,12 @@ def test_the_rack_and_the_vendor_ticks_have_all_codes(spark):
     e = spark.read.parquet(f"{sf}/events.parquet")
     assert q_relational.j2(spark, sf).count() == 240 * e.select("user_id").distinct().count()
     assert q_io.s9(spark, sf).count() == e.filter("user_id is not null").count()
+
+
+def test_parts_land_one_a_batch_though_some_tasks_have_none_of_them(spark):
+    from tickloom.plans import q_streaming
+
+    rows = spark.range(0, 4000, 1, 32).withColumnRenamed("id", "tm")  # a quarter lies in a few of 32 tasks
+    stream, seen = q_streaming._landed(spark, rows, "tm", 4, "test", again=True), []
+    stream.writeStream.foreachBatch(lambda batch, k: seen.append(sorted(r.tm for r in batch.collect()))).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 4 and sum(seen, []) == list(range(4000))
